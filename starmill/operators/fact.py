@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from starmill.functions.calendar import date_key, month_key
 from starmill.operators.joins import hot_keys, lookup_join, BROADCAST_ROWS, count_up_to
@@ -11,8 +12,16 @@ from starmill.operators.keys import number_rows
 from starmill.schemas import CURATED, RAW, conform
 
 DIMENSIONS = ("customer", "product", "location")
+ACCEPTED, REJECTED = "accepted", "rejected"
+REJECT_IDS = ("customer_id", "product_id", "location_id", "sale_date")
 KEYS = ("customer_key", "product_key", "location_key", "date_key")
 
+# The stored form of all sales lines: accepted ones are the fact.
+SALES_LINES = StructType(
+    [StructField(f.name, f.dataType) for f in CURATED["sales_fact"] if f.name != "month_key"]
+    + [StructField(c, StringType()) for c in (*REJECT_IDS, "reject_reason", "status")]
+    + [StructField("month_key", IntegerType())])
+
 
 def resolve_sales(raw_sales: DataFrame, dims: dict[str, DataFrame], date_dim: DataFrame, loaded_at: Column, *,
                   first_key: int = 0, dim_rows: dict[str, int] | None = None,
@@ -70,6 +79,19 @@ def rejected(resolved: DataFrame) -> DataFrame:
     return resolved.where("reject_reason IS NOT NULL")
 
 
+def by_status(resolved: DataFrame) -> DataFrame:
+    """Fact rows and rejects as one table, so that one job stores both.
+
+    The ids are kept for rejects only; a fact row has the keys instead.
+    """
+    bad = F.col("reject_reason").isNotNull()
+    ids = [F.when(bad, F.col(c)).alias(c) for c in REJECT_IDS]
+    fact = [f.name for f in CURATED["sales_fact"] if f.name != "month_key"]
+    month = F.when(~bad, month_key(F.col("date_key"))).otherwise(F.lit(0))
+    return resolved.select(*fact, *ids, "reject_reason", F.when(bad, REJECTED).otherwise(ACCEPTED).alias("status"),
+                           month.alias("month_key"))
+
+
 def build_sales_fact(raw_sales: DataFrame, customer_dim: DataFrame, product_dim: DataFrame,
                      location_dim: DataFrame, date_dim: DataFrame, loaded_at: Column | None = None,
                      **options) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,13 +16,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_or_empty(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+    """A stored table, created empty on first use."""
+    empty = T.StructType([T.StructField(f.name, f.dataType) for f in contract])
+    spark.createDataFrame([], empty).write.mode("ignore").parquet(path)
+    return spark.read.schema(empty).parquet(path)
+
+
+def observed(seen: Observation, names: list[str]) -> dict:
+    """Metrics of a finished action; 0 where an empty result was optimized away together with its metrics."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+        return dict(seen.get)
+    except Py4JJavaError:
+        return dict.fromkeys(names, 0)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
@@ -41,8 +47,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.parquet(path)
-    log.info("wrote %s rows to %s", seen.get["rows"], path)
-    return dict(seen.get)
+    counts = observed(seen, ["rows", *metrics])
+    log.info("wrote %s rows to %s", counts["rows"], path)
+    return counts
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -50,12 +57,20 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
+def without_known(df: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys the stored table does not hold yet.
+
+    The whole table is asked, not only the partitions of the batch: a replayed
+    row is recognised also if its partition columns have changed since.  Only
+    the key columns of the table are read.
+    """
+    return df.join(stored.select(*keys), keys, "left_anti").select(*df.columns)
+
+
 def append_new(df: DataFrame, path: str, key: str, partition_by: list[str] | None = None) -> dict:
-    """Append the rows whose ``key`` the table does not hold yet; a replayed batch adds nothing."""
-    stored = read_if_exists(df.sparkSession, path)
-    if stored is not None:
-        df = df.join(stored.select(key), key, "left_anti").select(*df.columns)
-    return write_table(df, path, "append", partition_by)
+    """Append the rows whose ``key`` is new; a replayed batch adds nothing."""
+    new = without_known(df, read_or_empty(df.sparkSession, path, df.schema), [key])
+    return write_table(new, path, "append", partition_by)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.functions import measures as m
+from starmill.operators.sinks import replace_partitions
 from starmill.plans.warehouse import Star
 
 MONTHLY_KEYS = ["year", "month", "month_name", "category", "subcategory", "region", "state"]
@@ -125,3 +126,15 @@ def sales_enriched(star: Star) -> DataFrame:
     named = Star(fact=star.fact, customer=customers, product=star.product, location=star.location, date=star.date,
                  rows=star.rows)
     return named.join(rows, "customer", ["customer_id", "full_name", "customer_state"])
+
+
+def refresh_monthly_sales(star: Star, batch: DataFrame, path: str) -> None:
+    """Recompute the months that a batch of fact rows touches and replace only their partitions.
+
+    Distinct customers cannot be added up, so a touched month is recomputed from
+    the whole fact; the fact's other month partitions are pruned at run time.
+    """
+    # One row per month of the batch.
+    months = batch.select("month_key").distinct()
+    touched = star.fact.join(F.broadcast(months), "month_key", "left_semi")
+    replace_partitions(monthly_sales(star, touched), path, ["year", "month"])

@@ -6,16 +6,17 @@ import logging
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starmill.operators import dimensions as dims
-from starmill.operators.fact import accepted, rejected, resolve_sales
+from starmill.operators.fact import SALES_LINES, by_status, resolve_sales
 from starmill.operators.keys import allocate_keys
-from starmill.operators.sinks import append_new, export_csv, read_if_exists, read_table, write_table
+from starmill.operators.sinks import export_csv, read_or_empty, read_table, without_known, write_table
 from starmill.plans.aggregates import customer_summary, monthly_sales
-from starmill.plans.warehouse import TABLES, Star, open_star
-from starmill.schemas import NATURAL_KEYS, SURROGATE_KEYS
+from starmill.plans.warehouse import SALES_FOLDER, TABLES, Star, open_star
+from starmill.schemas import CURATED, NATURAL_KEYS, SURROGATE_KEYS
 from starmill.sources.raw import read_raw
 
 log = logging.getLogger("starmill")
@@ -32,8 +33,9 @@ def load_dimension(spark: SparkSession, cleaned: DataFrame, table: str, target:
     """Give new members a key, then replace the stored dimension.  Returns its row count."""
     natural, surrogate = NATURAL_KEYS[table], SURROGATE_KEYS[table]
     map_path = f"{target}/keys/{table}"
-    known = read_if_exists(spark, map_path)
-    write_table(allocate_keys(cleaned, natural, surrogate, known), map_path, "append")
+    contract = StructType([f for f in CURATED[table] if f.name in (natural, surrogate)])
+    known = read_or_empty(spark, map_path, contract)
+    write_table(allocate_keys(cleaned, natural, surrogate, known).select(*contract.names), map_path, "append")
     keyed = dims.with_keys(cleaned, read_table(spark, map_path), table, loaded_at)
     return write_table(keyed, f"{target}/{table}")["rows"]
 
@@ -53,31 +55,25 @@ def load_dimensions(spark: SparkSession, raw: dict[str, DataFrame], target: str,
 
 def load_fact(spark: SparkSession, raw_sales: DataFrame, target: str, loaded_at: Column, rows: dict[str, int],
               append: bool = False, reject_out_of_calendar: bool = True) -> dict[str, int]:
-    """Load the fact (replace, or append without replays) and quarantine what misses a key.
+    """Load the fact (replace, or append without replays) and quarantine what misses a key, in one job.
 
-    The stored dimensions are read back, so each is computed once.  The rejects
-    are counted during the load; they are extracted only if there are any.
+    The stored dimensions are read back, so each is computed once.  A line
+    without a sale_id cannot be recognised as a replay.
     """
     stored = {d: read_table(spark, f"{target}/{d}_dim") for d in ("customer", "product", "location")}
-    path = f"{target}/sales_fact"
-    first = 0
-    known = read_if_exists(spark, path) if append else None
-    if known is not None:
+    path = f"{target}/{SALES_FOLDER}"
+    first, known = 0, None
+    if append:
+        known = read_or_empty(spark, path, SALES_LINES)
         top = known.agg(F.max("sale_key")).first()[0]
         first = 0 if top is None else top + 1
-    resolved = resolve_sales(raw_sales, stored, read_table(spark, f"{target}/date_dim"), loaded_at, first_key=first,
-                             dim_rows=rows, reject_out_of_calendar=reject_out_of_calendar)
-    seen = Observation()
-    watched = resolved.observe(seen, F.count("reject_reason").alias("rejects"))
+    lines = by_status(resolve_sales(raw_sales, stored, read_table(spark, f"{target}/date_dim"), loaded_at,
+                                    first_key=first, dim_rows=rows, reject_out_of_calendar=reject_out_of_calendar))
     if append:
-        loaded = append_new(accepted(watched), path, "sale_id", ["month_key"])
-    else:
-        loaded = write_table(accepted(watched), path, partition_by=["month_key"])
-    rejects = seen.get["rejects"]
-    if rejects or not append:
-        quarantined = rejected(resolved) if rejects else resolved.limit(0)
-        write_table(quarantined, f"{target}/sales_rejects", "append" if append else "overwrite")
-    return {"fact": loaded["rows"], "rejects": rejects}
+        lines = without_known(lines, known, ["sale_id", "status"])
+    written = write_table(lines, path, "append" if append else "overwrite", ["status", "month_key"],
+                          rejects=F.count("reject_reason"))
+    return {"fact": written["rows"] - written["rejects"], "rejects": written["rejects"]}
 
 
 def refresh_summaries(star: Star, target: str) -> None:

@@ -123,7 +123,10 @@ def curated_rules(table: str) -> list:
 def constraints(table: str) -> list:
     """NOT NULL and CHECK constraints of the stored tables."""
     checks = {
-        "product_dim": lambda: [at_least("unit_price", 0), at_least("cost", 0)],
+        "product_dim": lambda: [
+            at_least("unit_price", 0), at_least("cost", 0),
+            # A margin beyond the stored type is kept as null.
+            Rule("margin", "fits_type", (F.col("unit_price") > 0) & F.col("cost").isNotNull() & F.col("margin").isNull())],
         "date_dim": lambda: [
             Rule("quarter", "between_1_4", ~F.col("quarter").between(1, 4)),
             Rule("month", "between_1_12", ~F.col("month").between(1, 12)),

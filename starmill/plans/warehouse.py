@@ -5,11 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starmill.operators.fact import ACCEPTED, REJECTED, SALES_LINES
 from starmill.operators.joins import lookup_join
 from starmill.operators.sinks import read_table
+from starmill.schemas import CURATED
 
 DIM_TABLES = {"customer": "customer_dim", "product": "product_dim", "location": "location_dim", "date": "date_dim"}
+SALES_FOLDER = "sales_lines"
 TABLES = [*DIM_TABLES.values(), "sales_fact"]
 
 
@@ -44,6 +48,19 @@ class Star:
         return lookup_join(left, lookup, key, how, spread="sale_key", right_rows=self.rows.get(dim), probe=self.fact)
 
 
+def _sales_lines(spark: SparkSession, root: str, status: str) -> DataFrame:
+    return spark.read.schema(SALES_LINES).parquet(f"{root}/{SALES_FOLDER}").where(F.col("status") == status)
+
+
+def read_fact(spark: SparkSession, root: str) -> DataFrame:
+    return _sales_lines(spark, root, ACCEPTED).select(*CURATED["sales_fact"].names)
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """Quarantined sales lines, with the ids as delivered and the names of the missing keys."""
+    return _sales_lines(spark, root, REJECTED).drop("status", "month_key")
+
+
 def open_star(spark: SparkSession, root: str, rows: dict[str, int] | None = None) -> Star:
     dims = {d: read_table(spark, f"{root}/{t}") for d, t in DIM_TABLES.items()}
-    return Star(fact=read_table(spark, f"{root}/sales_fact"), rows=dict(rows or {}), **dims)
+    return Star(fact=read_fact(spark, root), rows=dict(rows or {}), **dims)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.operators.dimensions import VERSION
+from starmill.operators.sinks import observed
 from starmill.schemas import RAW, coerce, text_schema
 
 log = logging.getLogger("starmill")
@@ -71,7 +72,7 @@ def bulk_load(spark: SparkSession, path: str, table: str, contract: T.StructType
     counted = rows.observe(seen, F.count(F.lit(1)).alias("read"), F.count(CORRUPT).alias("bad"))
     staging = f"{target}_staging"
     counted.where(F.col(CORRUPT).isNull()).drop(CORRUPT).write.mode("overwrite").parquet(staging)
-    counts = dict(seen.get)
+    counts = observed(seen, ["read", "bad"])
     if counts["bad"]:
         parsed = F.to_json(F.struct(*contract.names)).alias("parsed")
         bad = rows.where(F.col(CORRUPT).isNotNull()).select(
