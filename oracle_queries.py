@@ -302,6 +302,9 @@ _NO_KEY = "customer_key IS NULL OR product_key IS NULL OR location_key IS NULL O
 ORACLE: dict[str, str] = {
     "scan_raw_tables": _on_raw(_union([
         f"SELECT '{t}' AS table_name, count(*) AS row_count, count({c}) AS id_count FROM raw_{t}" for t, c in _RAW_ID.items()])),
+    "bulk_load_with_error_budget": _on_raw("""SELECT 'sales' AS table_name, count(*) AS rows_read,
+        count(*) - count(*) FILTER (WHERE bad) AS rows_loaded, count(*) FILTER (WHERE bad) AS rows_rejected
+        FROM (SELECT TRY_CAST(sale_date AS DATE) IS NULL OR TRY_CAST(quantity AS INTEGER) IS NULL AS bad FROM raw_sales)"""),
     "recent_load_errors": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, value FROM events
         WHERE event_type = 'error' AND ts > TIMESTAMP '2024-01-30 11:00:00' AND ts <= TIMESTAMP '2024-01-30 12:00:00'""",
     "customer_dim": _on_dims(_CUSTOMER),

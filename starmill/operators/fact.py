@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from starmill.functions.calendar import date_key, month_key
-from starmill.operators.joins import hot_keys, lookup_join, BROADCAST_ROWS, count_up_to
+from starmill.operators.joins import BROADCAST_ROWS, hot_keys, lookup_join
 from starmill.operators.keys import number_rows
 from starmill.schemas import CURATED, RAW, conform
 
@@ -35,7 +35,7 @@ def resolve_sales(raw_sales: DataFrame, dims: dict[str, DataFrame], date_dim: Da
     dim_rows = dict(dim_rows or {})
     for name in DIMENSIONS:
         if dim_rows.get(name) is None:
-            dim_rows[name] = count_up_to(dims[name], broadcast_rows + 1)
+            dim_rows[name] = dims[name].count()
     large = [f"{name}_id" for name in DIMENSIONS if dim_rows[name] > broadcast_rows]
     hot = hot_keys(raw_sales, large) if large else {}
 

@@ -14,11 +14,6 @@ _MAX_HOT = 100
 _SKETCH_ITEMS = 10_000
 
 
-def count_up_to(df: DataFrame, limit: int) -> int:
-    """Row count, but stop reading past ``limit`` rows."""
-    return df.limit(limit).count()
-
-
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> dict[str, list]:
     """Values that hold more than ``share`` of the rows, at most 100 per key column.
 
@@ -55,10 +50,11 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``left`` to a lookup table: broadcast if it is counted small, else a salted shuffle join.
 
+    ``right`` is counted (from file footers, if it is stored) unless ``right_rows`` is known.
     ``probe`` is a cheaper source of the hot keys than ``left``, such as the scan below it.
     """
     if right_rows is None:
-        right_rows = count_up_to(right, broadcast_rows + 1)
+        right_rows = right.count()
     if right_rows <= broadcast_rows:
         return left.join(F.broadcast(right), key, how)
     if hot is None:

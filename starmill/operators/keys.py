@@ -19,16 +19,13 @@ def allocate_keys(ids: DataFrame, natural: str, surrogate: str, existing: DataFr
     start of a bucket comes from the (at most 4,096) bucket counts.  Nothing
     depends on how rows happen to be laid out, so a re-run gives the same keys.
     """
-    new = ids.select(natural).where(F.col(natural).isNotNull())
+    # Folded up first: a repeated id must not crowd its bucket.
+    new = ids.select(natural).where(F.col(natural).isNotNull()).distinct()
     first = 0
     if existing is not None:
         first = existing.agg(F.max(surrogate)).first()[0] or 0
         new = new.join(existing.select(natural), natural, "left_anti")
-    new = (
-        new.withColumn("_bucket", F.substring(F.md5(F.col(natural).cast("binary")), 1, bucket_digits))
-        .repartition("_bucket")
-        .dropDuplicates(["_bucket", natural])
-    )
+    new = new.withColumn("_bucket", F.substring(F.md5(F.col(natural).cast("binary")), 1, bucket_digits))
     # One row per bucket: bounded by 16 ** bucket_digits, so one task may rank them.
     so_far = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = new.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).select(

@@ -32,17 +32,19 @@ def observed(seen: Observation, names: list[str]) -> dict:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-                **metrics) -> dict:
+                sort_by: list[str] | None = None, **metrics) -> dict:
     """Write Parquet and return the row count (and ``metrics``), observed during the write itself.
 
     A partitioned table is rebalanced on its partition columns: adaptive
-    execution splits a hot partition over tasks and merges small ones.
+    execution splits a hot partition over tasks and merges small ones.  The
+    writer needs the rows sorted by partition anyway; ``sort_by`` refines that
+    order, so that the files' min/max values prune.
     """
     seen = Observation()
     df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
     writer = df
     if partition_by:
-        writer = df.hint("rebalance", *partition_by)
+        writer = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *(sort_by or []))
     out = writer.write.mode(mode)
     if partition_by:
         out = out.partitionBy(*partition_by)
@@ -57,14 +59,19 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def without_known(df: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+def without_known(df: DataFrame, stored: DataFrame, keys: list[str], batch: DataFrame | None = None) -> DataFrame:
     """The rows whose keys the stored table does not hold yet.
 
     The whole table is asked, not only the partitions of the batch: a replayed
     row is recognised also if its partition columns have changed since.  Only
-    the key columns of the table are read.
+    the key columns of the table are read, and they are narrowed to the first
+    key's values in ``batch`` (by default ``df``): against a small batch, which
+    Spark broadcasts, the table is not shuffled at all.
     """
-    return df.join(stored.select(*keys), keys, "left_anti").select(*df.columns)
+    first = keys[0]
+    used = (df if batch is None else batch).select(first)
+    known = stored.select(*keys).join(used, first, "left_semi")
+    return df.join(known, keys, "left_anti").select(*df.columns)
 
 
 def append_new(df: DataFrame, path: str, key: str, partition_by: list[str] | None = None) -> dict:

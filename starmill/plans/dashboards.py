@@ -164,11 +164,14 @@ def purchase_frequency_hist(star: Star) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("customers")).orderBy("purchases"))
 
 
-def customer_segments(star: Star) -> DataFrame:
-    """VIP (top 10 % by lifetime value), Regular (to 50 %) or Occasional; a customer without sales counts as 0."""
-    spent = star.fact.groupBy("customer_key").agg(F.sum("net_amount").alias("net"))
-    per_customer = star.customer.select("customer_key", "customer_id").join(spent, "customer_key", "left").select(
-        "customer_id", F.coalesce("net", F.lit(0)).alias("lifetime_value"))
+def customer_segments(star: Star, summary: DataFrame | None = None) -> DataFrame:
+    """VIP (top 10 % by lifetime value), Regular (to 50 %) or Occasional; a customer without sales counts as 0.
+
+    The ranking passes over the customers three times, so give it the stored
+    customer ``summary``; without it the fact is aggregated each time.
+    """
+    summary = customer_summary(star) if summary is None else summary
+    per_customer = summary.select("customer_id", F.coalesce("lifetime_value", F.lit(0)).alias("lifetime_value"))
     cuts = rank_cuts(per_customer, "lifetime_value", {"vip": VIP_SHARE, "regular": REGULAR_SHARE})
     value = F.col("lifetime_value")
     segment = (F.when(value >= F.lit(cuts["vip"]), "VIP").when(value >= F.lit(cuts["regular"]), "Regular")
@@ -176,8 +179,8 @@ def customer_segments(star: Star) -> DataFrame:
     return per_customer.withColumn("segment", segment)
 
 
-def customer_segment_summary(star: Star) -> DataFrame:
-    return customer_segments(star).groupBy("segment").agg(
+def customer_segment_summary(star: Star, summary: DataFrame | None = None) -> DataFrame:
+    return customer_segments(star, summary).groupBy("segment").agg(
         F.count(F.lit(1)).alias("customers"), F.sum("lifetime_value").alias("total_ltv"),
         m.mean("lifetime_value").alias("avg_ltv"))
 

@@ -16,7 +16,7 @@ from starmill.operators.keys import allocate_keys
 from starmill.operators.sinks import export_csv, read_or_empty, read_table, without_known, write_table
 from starmill.plans.aggregates import customer_summary, monthly_sales
 from starmill.plans.warehouse import SALES_FOLDER, TABLES, Star, open_star
-from starmill.schemas import CURATED, NATURAL_KEYS, SURROGATE_KEYS
+from starmill.schemas import CURATED, NATURAL_KEYS, SORT_KEYS, SURROGATE_KEYS
 from starmill.sources.raw import read_raw
 
 log = logging.getLogger("starmill")
@@ -70,9 +70,9 @@ def load_fact(spark: SparkSession, raw_sales: DataFrame, target: str, loaded_at:
     lines = by_status(resolve_sales(raw_sales, stored, read_table(spark, f"{target}/date_dim"), loaded_at,
                                     first_key=first, dim_rows=rows, reject_out_of_calendar=reject_out_of_calendar))
     if append:
-        lines = without_known(lines, known, ["sale_id", "status"])
+        lines = without_known(lines, known, ["sale_id", "status"], batch=raw_sales)
     written = write_table(lines, path, "append" if append else "overwrite", ["status", "month_key"],
-                          rejects=F.count("reject_reason"))
+                          SORT_KEYS["sales_fact"], rejects=F.count("reject_reason"))
     return {"fact": written["rows"] - written["rejects"], "rejects": written["rejects"]}
 
 

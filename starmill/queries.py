@@ -73,6 +73,10 @@ class Workspace:
     def warehouse(self) -> str:
         return f"{self.root}/warehouse"
 
+    def stored(self, name: str) -> DataFrame:
+        self.star
+        return sinks.read_table(self.spark, f"{self.warehouse}/{name}")
+
     @property
     def rejects(self) -> DataFrame:
         self.star
@@ -307,13 +311,23 @@ for _build in (agg.top_customers, agg.monthly_trend, agg.top_products, agg.top_p
                agg.regional_performance, agg.weekend_vs_weekday, agg.category_by_month,
                dash.kpi_summary, dash.yoy_growth, dash.top10_products_total, dash.customer_ltv, dash.sales_ma30,
                dash.kpi_mom, dash.product_matrix_rollup, dash.price_vs_volume, dash.category_waterfall,
-               dash.purchase_frequency_hist, dash.customer_segments, dash.customer_segment_summary,
+               dash.purchase_frequency_hist,
                dash.store_performance, dash.top_stores, dash.regional_trend, dash.calendar_rollup,
                dash.fiscal_year_sales, dash.seasonality_index,
                checks.table_row_counts, checks.table_counts_wide, checks.constraint_report, checks.calendar_validity):
     QUERIES[_build.__name__] = lambda w, build=_build: build(w.star)
 
 
+@query
+def customer_segments(w: Workspace) -> DataFrame:
+    return dash.customer_segments(w.star, w.stored("mv_customer_summary"))
+
+
+@query
+def customer_segment_summary(w: Workspace) -> DataFrame:
+    return dash.customer_segment_summary(w.star, w.stored("mv_customer_summary"))
+
+
 @query
 def yoy_growth_daily(w: Workspace) -> DataFrame:
     return dash.yoy_growth(w.star, "day")
