@@ -41,11 +41,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     order, so that the files' min/max values prune.
     """
     seen = Observation()
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    # Counted in the last stage, where a re-run task counts once.
     df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
-    writer = df
     if partition_by:
-        writer = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *(sort_by or []))
-    out = writer.write.mode(mode)
+        df = df.sortWithinPartitions(*partition_by, *(sort_by or []))
+    out = df.write.mode(mode)
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.parquet(path)

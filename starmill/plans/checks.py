@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.operators.fact import KEYS
@@ -24,6 +24,15 @@ def table_row_counts(star: Star) -> DataFrame:
                       for name, df in star.tables().items()])
 
 
+def catalog_statistics(spark: SparkSession, database: str) -> DataFrame:
+    """Row count of every table of a catalog database, by name; an empty report for an empty database."""
+    names = sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    empty = spark.createDataFrame([], "schema_name string, table_name string, row_count long")
+    counts = [spark.table(f"{database}.{n}").agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(database).alias("schema_name"), F.lit(n).alias("table_name"), "row_count") for n in names]
+    return union_all([empty, *counts]).orderBy("table_name")
+
+
 def table_counts_wide(star: Star) -> DataFrame:
     """All counts in one row."""
     names = {"customer_dim": "customers", "product_dim": "products", "location_dim": "locations",

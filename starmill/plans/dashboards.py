@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starmill.functions import measures as m
 from starmill.functions.calendar import date_key
 from starmill.functions.cleaning import safe_ratio
+from starmill.operators.joins import lookup_join
 from starmill.operators.ranking import rank_cuts, top_with_ties
 from starmill.plans.aggregates import customer_summary, product_revenue, sales_enriched
 from starmill.plans.warehouse import Star
@@ -270,14 +271,17 @@ def seasonality_index(star: Star) -> DataFrame:
     return per_month.select("month", mean.alias("avg_sales"), (mean / overall).alias("seasonality_index")).orderBy("month")
 
 
+def _at_stores(star: Star, stores: DataFrame) -> DataFrame:
+    return lookup_join(star.fact, stores.select("location_key"), "location_key", "left_semi", spread="sale_key",
+                       right_rows=star.rows.get("location"))
+
+
 def store_access(star: Star, mapping: DataFrame, user: str) -> DataFrame:
     """The fact rows that ``user`` may see by the (user_name, location_id) mapping."""
     mine = mapping.where(F.col("user_name") == user).select("location_id")
-    stores = star.location.join(mine, "location_id", "left_semi").select("location_key")
-    return star.fact.join(stores, "location_key", "left_semi")
+    return _at_stores(star, star.location.join(mine, "location_id", "left_semi"))
 
 
 def region_access(star: Star, user: str) -> DataFrame:
     """The fact rows of the region that bears the user's name."""
-    stores = star.location.where(F.col("region") == user).select("location_key")
-    return star.fact.join(stores, "location_key", "left_semi")
+    return _at_stores(star, star.location.where(F.col("region") == user))

@@ -17,13 +17,27 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Shuffle partitions to start from, so that each holds about 256 MB; adaptive execution merges small ones."""
+    return max(8, -(-shuffled_bytes // SHUFFLE_TARGET_BYTES))
+
+
 def build_session(app_name: str = "starmill", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings above; ``extra`` keys use ``__`` for dots."""
+    """A session with the settings above; ``extra`` keys use ``__`` for dots.
+
+    For a large load pass ``spark__sql__shuffle__partitions=str(shuffle_partitions(bytes))``.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import customer, product, raw_table, rows, sale, write_raw
 from starmill.operators import sinks
+from starmill.plans.checks import catalog_statistics
 from starmill.schemas import CURATED, RAW
 from starmill.sources import files, raw
 
@@ -64,6 +65,7 @@ def test_catalog_table_has_types_comments_and_statistics(spark, tmp_path):
     assert described["margin"][0] == "decimal(5,2)" and "Percent" in described["margin"][1]
     found, seen = raw.read_catalog(spark, "shop", "product_dim")
     assert found.count() == 0 and found.schema.names == CURATED["product_dim"].names
+    assert [tuple(r) for r in catalog_statistics(spark, "shop").collect()] == [("shop", "product_dim", 0)]
     assert files.missing_tables(spark, "shop", ["product_dim", "sales_fact"]) == ["sales_fact"]
     with pytest.raises(Exception):
         raw.read_catalog(spark, "shop", "nothing")
