@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from starmill.operators.sinks import export_csv, read_or_empty, read_table, with
 from starmill.plans.aggregates import customer_summary, monthly_sales
 from starmill.plans.warehouse import SALES_FOLDER, TABLES, Star, open_star
 from starmill.schemas import CURATED, NATURAL_KEYS, SORT_KEYS, SURROGATE_KEYS
+from starmill.session import side_by_side
 from starmill.sources.raw import read_raw
 
 log = logging.getLogger("starmill")
@@ -47,10 +49,10 @@ def load_dimensions(spark: SparkSession, raw: dict[str, DataFrame], target: str,
         "product_dim": dims.clean_products(raw["products"]),
         "location_dim": dims.clean_locations(raw["locations"]),
     }
-    rows = {t.removesuffix("_dim"): load_dimension(spark, df, t, target, loaded_at) for t, df in cleaned.items()}
-    calendar = dims.build_date_dimension(spark, calendar_start, calendar_end, loaded_at)
-    rows["date"] = write_table(calendar.coalesce(1), f"{target}/date_dim")["rows"]
-    return rows
+    calendar = dims.build_date_dimension(spark, calendar_start, calendar_end, loaded_at).coalesce(1)
+    loads = {t.removesuffix("_dim"): partial(load_dimension, spark, df, t, target, loaded_at) for t, df in cleaned.items()}
+    loads["date"] = lambda: write_table(calendar, f"{target}/date_dim")["rows"]
+    return side_by_side(spark, loads)
 
 
 def load_fact(spark: SparkSession, raw_sales: DataFrame, target: str, loaded_at: Column, rows: dict[str, int],
@@ -78,8 +80,11 @@ def load_fact(spark: SparkSession, raw_sales: DataFrame, target: str, loaded_at:
 
 def refresh_summaries(star: Star, target: str) -> None:
     """Store the two summary tables; run after the fact load."""
-    write_table(monthly_sales(star), f"{target}/mv_monthly_sales", partition_by=["year", "month"])
-    write_table(customer_summary(star), f"{target}/mv_customer_summary")
+    side_by_side(star.fact.sparkSession, {
+        "mv_monthly_sales": lambda: write_table(monthly_sales(star), f"{target}/mv_monthly_sales",
+                                                partition_by=["year", "month"]),
+        "mv_customer_summary": lambda: write_table(customer_summary(star), f"{target}/mv_customer_summary"),
+    })
 
 
 def record_run(spark: SparkSession, target: str, job: str, state: str, started: datetime,

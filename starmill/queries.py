@@ -11,7 +11,7 @@ import hashlib
 import uuid
 from collections.abc import Callable
 from datetime import date
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ from starmill.plans import dashboards as dash
 from starmill.plans.pipeline import run_pipeline
 from starmill.plans.warehouse import SALES_FOLDER, TABLES, Star, read_rejects
 from starmill.schemas import CURATED, NATURAL_KEYS, RAW, SORT_KEYS, SURROGATE_KEYS
-from starmill.session import work_folder
+from starmill.session import side_by_side, work_folder
 from starmill.sources import files, raw, testdata
 from starmill.streaming import sales_stream
 
@@ -56,8 +56,10 @@ class Workspace:
 
     @cached_property
     def landing(self) -> str:
-        for name, build in testdata.RAW_BUILDERS.items():
-            build(self.spark, self.sf_dir).write.mode("overwrite").parquet(f"{self.root}/raw/{name}")
+        def store(name):
+            testdata.RAW_BUILDERS[name](self.spark, self.sf_dir).write.mode("overwrite").parquet(f"{self.root}/raw/{name}")
+
+        side_by_side(self.spark, {name: partial(store, name) for name in testdata.RAW_BUILDERS})
         return f"{self.root}/raw"
 
     @property

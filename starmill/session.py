@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -25,6 +28,16 @@ SETTINGS = {
 }
 
 
+def side_by_side(spark: SparkSession, jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Run independent Spark jobs at the same time, so that small ones do not leave the cluster idle.
+
+    Waits for all of them; the first failure is raised then.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()}
+    return {name: job.result() for name, job in running.items()}
+
+
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
 
 
