@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 # A lookup side is broadcast only when it is known to hold at most this many (narrow) rows.
 BROADCAST_ROWS = 500_000
-# A key that holds more than this share of the large side is spread over SALTS tasks.
-HOT_SHARE = 0.005
+# A key with more than this share of the large side (at most 100 keys have it) is spread over SALTS tasks.
+HOT_SHARE = 0.01
 SALTS = 256
-_MAX_HOT = 100
+_MAX_HOT = 100  # 1 / HOT_SHARE
 _SKETCH_ITEMS = 10_000
 
 
