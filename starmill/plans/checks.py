@@ -81,11 +81,15 @@ def cross_table_integrity(raw: dict[str, DataFrame], sample: int = SAMPLE) -> Da
     reports = []
     for table, key in INTEGRITY:
         unknown = unknown_ids(raw["sales"], raw[table], key)
-        total = unknown.agg(F.count(F.lit(1)).alias("invalid_ids")).withColumn("column_name", F.lit(key))
+        total = unknown.agg(F.count(F.lit(1)).alias("invalid_ids"))
         few = unknown.orderBy(key).limit(sample).agg(F.sort_array(F.collect_list(key)).alias("sample"))
-        few = few.select(F.lit(key).alias("column_name"), F.array_join("sample", ",").alias("sample_ids"))
-        reports.append(total.join(F.broadcast(few), "column_name").select("column_name", "invalid_ids", "sample_ids"))
-    return union_all(reports).withColumn("passed", F.col("invalid_ids") == 0)
+        reports += [
+            total.select(F.lit(key).alias("column_name"), "invalid_ids", F.lit(None).cast("string").alias("sample_ids")),
+            few.select(F.lit(key).alias("column_name"), F.lit(None).cast("long").alias("invalid_ids"),
+                       F.array_join("sample", ",").alias("sample_ids"))]
+    merged = union_all(reports).groupBy("column_name").agg(
+        F.max("invalid_ids").alias("invalid_ids"), F.max("sample_ids").alias("sample_ids"))
+    return merged.withColumn("passed", F.col("invalid_ids") == 0)
 
 
 def check_integrity(raw: dict[str, DataFrame]) -> bool:

@@ -12,14 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starmill.operators import dimensions as dims
-from starmill.operators.fact import SALES_LINES, by_status, resolve_sales
+from starmill.operators.fact import ACCEPTED, SALES_LINES, by_status, resolve_sales
 from starmill.operators.keys import allocate_keys
-from starmill.operators.sinks import export_csv, read_or_empty, read_table, without_known, write_table
+from starmill.operators.sinks import (
+    analyze_table, export_csv, read_or_empty, read_table, register_table, without_known, write_table)
 from starmill.plans.aggregates import customer_summary, monthly_sales
-from starmill.plans.warehouse import SALES_FOLDER, TABLES, Star, open_star
-from starmill.schemas import CURATED, NATURAL_KEYS, SORT_KEYS, SURROGATE_KEYS
+from starmill.plans.checks import null_key_verdict
+from starmill.plans.rules import DataQualityError
+from starmill.plans.warehouse import DIM_TABLES, SALES_FOLDER, TABLES, Star, open_star
+from starmill.schemas import CURATED, NATURAL_KEYS, RAW, SORT_KEYS, SURROGATE_KEYS
 from starmill.session import side_by_side
-from starmill.sources.raw import read_raw
+from starmill.sources.files import folder_report
+from starmill.sources.raw import read_catalog, read_raw
 
 log = logging.getLogger("starmill")
 
@@ -87,6 +91,42 @@ def refresh_summaries(star: Star, target: str) -> None:
     })
 
 
+def publish(spark: SparkSession, database: str, target: str) -> None:
+    """Declare the stored tables in the catalog, with their comments, and collect statistics.
+
+    The fact is a view on the accepted sales lines.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for table in DIM_TABLES.values():
+        register_table(spark, f"{database}.{table}", f"{target}/{table}", CURATED[table])
+        analyze_table(spark, f"{database}.{table}")
+    register_table(spark, f"{database}.{SALES_FOLDER}", f"{target}/{SALES_FOLDER}", SALES_LINES,
+                   "Sales lines; status tells fact rows from rejects", ["status", "month_key"])
+    analyze_table(spark, f"{database}.{SALES_FOLDER}", columns=False)
+    columns = ", ".join(f.name + (f" COMMENT '{f.metadata['comment']}'" if f.metadata else "") for f in CURATED["sales_fact"])
+    spark.sql(f"""CREATE OR REPLACE VIEW {database}.sales_fact ({columns}) COMMENT 'One row per sale line' AS
+        SELECT {", ".join(CURATED["sales_fact"].names)} FROM {database}.{SALES_FOLDER} WHERE status = '{ACCEPTED}'""")
+
+
+def require_folders(spark: SparkSession, root: str, folders: list[str]) -> None:
+    """Stop unless every folder holds data."""
+    lacking = [r["folder"] for r in folder_report(spark, root, folders).where("NOT passed").collect()]
+    if lacking:
+        raise DataQualityError(f"no data below {root} in {', '.join(sorted(lacking))}", lacking)
+
+
+def run_gated(spark: SparkSession, source: str, target: str, **options) -> PipelineResult:
+    """The daily run: raw files are there, build, stored tables are there, no key of the fact is missing."""
+    if not options.get("database"):
+        require_folders(spark, source, list(RAW))
+    result = run_pipeline(spark, source, target, **options)
+    require_folders(spark, target, [*DIM_TABLES.values(), SALES_FOLDER])
+    verdict = null_key_verdict(result.star.fact).first()
+    if verdict["null_rows"]:
+        raise DataQualityError(verdict["null_check"], [verdict])
+    return result
+
+
 def record_run(spark: SparkSession, target: str, job: str, state: str, started: datetime,
                completed: datetime | None) -> None:
     """One line in the run log that the job-health report reads."""
@@ -95,21 +135,29 @@ def record_run(spark: SparkSession, target: str, job: str, state: str, started:
     run.coalesce(1).write.mode("append").parquet(f"{target}/run_log")
 
 
-def run_pipeline(spark: SparkSession, source: str, target: str, *, as_of: date | None = None,
-                 calendar_start: date = dims.CALENDAR_START, calendar_end: date = dims.CALENDAR_END,
-                 fmt: str = "csv", append: bool = False, reject_out_of_calendar: bool = True,
-                 csv_export: str | None = None, job_name: str = "raw_to_curated") -> PipelineResult:
-    """Read the four raw tables below ``source``, build the star below ``target``, note the run.
+def read_sources(spark: SparkSession, source: str, fmt: str, database: str | None) -> dict[str, DataFrame]:
+    """The four raw tables, from the catalog if a database is named, else from folders below ``source``."""
+    if database:
+        return {t: read_catalog(spark, database, t) for t in RAW}
+    return {t: read_raw(spark, f"{source}/{t}", t, fmt, with_version=t in ("products", "locations")) for t in RAW}
+
+
+def run_pipeline(spark: SparkSession, source: str, target: str, *, database: str | None = None,
+                 as_of: date | None = None, calendar_start: date = dims.CALENDAR_START,
+                 calendar_end: date = dims.CALENDAR_END, fmt: str = "csv", append: bool = False,
+                 reject_out_of_calendar: bool = True, csv_export: str | None = None, publish_to: str | None = None,
+                 job_name: str = "raw_to_curated") -> PipelineResult:
+    """Read the four raw tables, build the star below ``target``, note the run.
 
     ``as_of`` is the run date that stands in for a missing creation date.
+    ``publish_to`` names a catalog database in which the stored tables are declared and analyzed.
     """
     started = datetime.now(timezone.utc)
     run_date = F.lit(as_of or started.date())
     loaded_at = F.lit(started)
     state = "FAILED"
     try:
-        raw = {t: read_raw(spark, f"{source}/{t}", t, fmt, with_version=t in ("products", "locations"))
-               for t in ("customers", "products", "locations", "sales")}
+        raw = read_sources(spark, source, fmt, database)
         rows = load_dimensions(spark, raw, target, run_date, loaded_at, calendar_start, calendar_end)
         loaded = load_fact(spark, raw["sales"], target, loaded_at, rows, append, reject_out_of_calendar)
         star = open_star(spark, target, rows)
@@ -117,6 +165,8 @@ def run_pipeline(spark: SparkSession, source: str, target: str, *, as_of: date |
         if csv_export:
             for table in TABLES:
                 export_csv(star.tables()[table], f"{csv_export}/{table}")
+        if publish_to:
+            publish(spark, publish_to, target)
         for table, n in {**rows, **loaded}.items():
             log.info("%s: %s rows", table, n)
         if loaded["rejects"]:

@@ -48,8 +48,13 @@ class Star:
         return lookup_join(left, lookup, key, how, spread="sale_key", right_rows=self.rows.get(dim), probe=self.fact)
 
 
+def read_sales_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Accepted and rejected sales lines, told apart by ``status``."""
+    return spark.read.schema(SALES_LINES).parquet(f"{root}/{SALES_FOLDER}")
+
+
 def _sales_lines(spark: SparkSession, root: str, status: str) -> DataFrame:
-    return spark.read.schema(SALES_LINES).parquet(f"{root}/{SALES_FOLDER}").where(F.col("status") == status)
+    return read_sales_lines(spark, root).where(F.col("status") == status)
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:

@@ -25,7 +25,7 @@ from starmill.plans import aggregates as agg
 from starmill.plans import changes, checks, health, rules
 from starmill.plans import dashboards as dash
 from starmill.plans.pipeline import run_pipeline
-from starmill.plans.warehouse import SALES_FOLDER, TABLES, Star, read_rejects
+from starmill.plans.warehouse import SALES_FOLDER, TABLES, Star, read_rejects, read_sales_lines
 from starmill.schemas import CURATED, NATURAL_KEYS, RAW, SORT_KEYS, SURROGATE_KEYS
 from starmill.session import side_by_side, work_folder
 from starmill.sources import files, raw, testdata
@@ -87,9 +87,8 @@ class Workspace:
     @property
     def all_lines(self) -> DataFrame:
         """Fact rows and rejects, with the keys they have."""
-        lines = self.star.fact.drop("month_key").unionByName(self.rejects, allowMissingColumns=True)
-        return lines.select("sale_key", "customer_key", "product_key", "location_key", "date_key",
-                            "quantity", "net_amount")
+        self.star
+        return read_sales_lines(self.spark, self.warehouse)
 
 
 _workspaces: dict[tuple[str, str], Workspace] = {}

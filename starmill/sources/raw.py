@@ -36,14 +36,18 @@ def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv", with_
     return df
 
 
-def read_catalog(spark: SparkSession, database: str, table: str) -> tuple[DataFrame, Observation]:
-    """A catalog table, and an observation that holds its row count after the first action on it."""
-    seen = Observation(f"read_{table}")
+def read_catalog(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """A catalog table; ``count_reads`` adds its row count to the first action on it."""
     try:
-        df = spark.table(f"{database}.{table}")
+        return spark.table(f"{database}.{table}")
     except Exception:
         log.error("cannot read %s.%s", database, table)
         raise
+
+
+def count_reads(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of its row count, filled by the first action instead of by one of its own."""
+    seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 

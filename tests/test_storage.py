@@ -63,7 +63,7 @@ def test_catalog_table_has_types_comments_and_statistics(spark, tmp_path):
     sinks.analyze_table(spark, "shop.product_dim")
     described = {r.col_name: (r.data_type, r.comment) for r in spark.sql("DESCRIBE shop.product_dim").collect()}
     assert described["margin"][0] == "decimal(5,2)" and "Percent" in described["margin"][1]
-    found, seen = raw.read_catalog(spark, "shop", "product_dim")
+    found = raw.read_catalog(spark, "shop", "product_dim")
     assert found.count() == 0 and found.schema.names == CURATED["product_dim"].names
     assert [tuple(r) for r in catalog_statistics(spark, "shop").collect()] == [("shop", "product_dim", 0)]
     assert files.missing_tables(spark, "shop", ["product_dim", "sales_fact"]) == ["sales_fact"]
@@ -71,6 +71,12 @@ def test_catalog_table_has_types_comments_and_statistics(spark, tmp_path):
         raw.read_catalog(spark, "shop", "nothing")
 
 
+def test_rows_read_are_counted_on_the_way(spark, tmp_path):
+    df, seen = raw.count_reads(table(spark, ("a", 1, 10), ("b", 1, 20)))
+    sinks.write_table(df.where("id = 'a'"), str(tmp_path / "t"))
+    assert seen.get == {"rows": 2}
+
+
 def write_lines(path, lines):
     os.makedirs(path)
     with open(f"{path}/data.csv", "w") as f:
