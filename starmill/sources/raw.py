@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from starmill.operators.dimensions import VERSION
 from starmill.operators.sinks import observed
-from starmill.schemas import RAW, coerce, text_schema
+from starmill.schemas import RAW, coerce
 
 log = logging.getLogger("starmill")
 CORRUPT = "_corrupt_record"
@@ -23,17 +23,18 @@ class LoadError(Exception):
 def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv", with_version: bool = False) -> DataFrame:
     """A raw table from files.  Text files keep every value as text; the builders convert it.
 
+    Columns go by the header's names: their order does not matter and extra ones
+    are left out.  A missing one, or a file whose header differs from the
+    others', is an error rather than a shifted table.
     ``with_version`` adds the source file's modification time, the tie-breaker
     for duplicate ids that carry no business date.
     """
     if fmt == "csv":
-        df = (spark.read.schema(text_schema(table)).option("header", True).option("mode", "PERMISSIVE")
-              .option("escape", '"').csv(path))
+        df = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').csv(path)
     else:
-        df = spark.read.format(fmt).load(path).select(RAW[table].names)
-    if with_version:
-        df = df.select("*", F.col("_metadata.file_modification_time").alias(VERSION))
-    return df
+        df = spark.read.format(fmt).load(path)
+    version = [F.col("_metadata.file_modification_time").alias(VERSION)] if with_version else []
+    return df.select(*RAW[table].names, *version)
 
 
 def read_catalog(spark: SparkSession, database: str, table: str) -> DataFrame:

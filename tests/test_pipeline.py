@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from helpers import AS_OF, customer, location, product, rows, sale, write_raw
+from helpers import AS_OF, customer, location, product, raw_table, rows, sale, write_raw
 from starmill.operators.sinks import register_table
 from starmill.plans import aggregates as agg
 from starmill.plans.health import job_health, read_run_log
@@ -12,6 +12,7 @@ from starmill.plans.pipeline import require_folders, run_gated, run_pipeline
 from starmill.plans.rules import DataQualityError
 from starmill.plans.warehouse import open_star, read_rejects
 from starmill.schemas import RAW, text_schema
+from starmill.streaming import sales_stream
 
 OPTIONS = {"as_of": AS_OF, "calendar_start": date(2024, 1, 1), "calendar_end": date(2024, 12, 31)}
 CUSTOMERS = [customer(1), customer(2), customer(2, created_date="2020-01-01"), customer(3)]
@@ -96,6 +97,20 @@ def test_runs_are_logged_also_when_they_fail(spark, folders, tmp_path):
     assert health.avg_duration_minutes > 0
 
 
+def test_streamed_sales_reach_the_fact_once(spark, folders, tmp_path):
+    source, target = folders
+    run_pipeline(spark, *folders, **OPTIONS)
+    arriving, checkpoint = str(tmp_path / "arriving"), str(tmp_path / "checkpoint")
+    for batch in ([SALES[0], sale(7)], [sale(7), sale(8, sale_date="2024-04-01"), sale(9, location_id=None)]):
+        raw_table(spark, "sales", batch).coalesce(1).write.mode("append").option("header", True).csv(arriving)
+        stream = sales_stream.read_stream(spark, arriving, text_schema("sales"), fmt="csv")
+        sales_stream.load_sales_stream(stream, target, checkpoint).awaitTermination()
+    fact = open_star(spark, target).fact
+    assert [r[0] for r in rows(fact, "sale_id")] == ["SALE1", "SALE2", "SALE3", "SALE7", "SALE8"]
+    assert fact.select("sale_key").distinct().count() == 5
+    assert read_rejects(spark, target).where("reject_reason = 'location_key'").count() == 1
+
+
 def test_empty_sales(spark, folders, tmp_path):
     source, target = folders
     write_raw(spark, source, CUSTOMERS, PRODUCTS, LOCATIONS, [])

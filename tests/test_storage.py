@@ -91,6 +91,25 @@ def test_text_files_keep_leading_zeros_and_skip_blank_lines(spark, tmp_path):
     assert len(out) == 1 and out[0].zip_code == "02101" and out[0].source_modified is not None
 
 
+def test_columns_go_by_name_not_by_position(spark, tmp_path):
+    path = str(tmp_path / "products")
+    row = {"colour": "red", **product(1)}
+    names = sorted(row)
+    write_lines(path, [",".join(names), ",".join(row[n] for n in names)])
+    assert raw.read_raw(spark, path, "products").first().asDict() == product(1)
+    with open(f"{path}/other.csv", "w") as f:
+        f.write(",".join(product(2)) + ",colour\n" + ",".join(product(2).values()) + ",blue\n")
+    with pytest.raises(Exception):
+        raw.read_raw(spark, path, "products").collect()
+
+
+def test_missing_column_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "products")
+    write_lines(path, ["product_id,brand", "PROD1,B"])
+    with pytest.raises(Exception, match="product_name"):
+        raw.read_raw(spark, path, "products")
+
+
 @pytest.mark.parametrize("bad, passes", [(0, True), (100, True), (101, False)])
 def test_error_budget(spark, tmp_path, bad, passes):
     good = [",".join(sale(i).values()) for i in range(50)]
