@@ -20,7 +20,7 @@ def allocate_keys(ids: DataFrame, natural: str, surrogate: str, existing: DataFr
     depends on how rows happen to be laid out, so a re-run gives the same keys.
     """
     # Folded up first: a repeated id must not crowd its bucket.
-    new = ids.select(natural).where(F.col(natural).isNotNull()).distinct()
+    new = ids.select(F.col(natural).cast("string").alias(natural)).where(F.col(natural).isNotNull()).distinct()
     first = 0
     if existing is not None:
         first = existing.agg(F.max(surrogate)).first()[0] or 0

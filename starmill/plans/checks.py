@@ -18,6 +18,17 @@ from starmill.schemas import NATURAL_KEYS, SURROGATE_KEYS
 SAMPLE = 5
 INTEGRITY = (("customers", "customer_id"), ("products", "product_id"), ("locations", "location_id"))
 
+# Texts that the reports' readers look for.
+NULL_KEYS_FOUND = "FAIL: Null keys found in sales_fact"
+NULL_KEYS_NONE = "PASS"
+ORPHAN_LABELS = {"customer": "Orphaned Customers", "product": "Orphaned Products", "location": "Orphaned Locations",
+                 "date": "Orphaned Dates"}
+NEGATIVE_QUANTITY, NEGATIVE_PRICE = "Negative Quantities", "Negative Prices"
+ZERO_SALE, GROSS_BELOW_NET = "Zero Sales Amount", "Gross < Net (Invalid)"
+CHECK_NAMES = ("Null Foreign Keys", "Negative Values", "Future Dates", "Orphaned Records")
+SUMMARY_COLUMNS = {"customer_dim": "customers", "product_dim": "products", "location_dim": "locations",
+                   "date_dim": "dates", "sales_fact": "sales_transactions"}
+
 
 def table_row_counts(star: Star) -> DataFrame:
     return union_all([df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
@@ -35,11 +46,9 @@ def catalog_statistics(spark: SparkSession, database: str) -> DataFrame:
 
 def table_counts_wide(star: Star) -> DataFrame:
     """All counts in one row."""
-    names = {"customer_dim": "customers", "product_dim": "products", "location_dim": "locations",
-             "date_dim": "dates", "sales_fact": "sales_transactions"}
     counts = table_row_counts(star)
-    picked = [F.max(F.when(F.col("table_name") == t, F.col("row_count"))).alias(n) for t, n in names.items()]
-    return counts.agg(*picked).select(F.lit("Summary").alias("description"), *names.values())
+    picked = [F.max(F.when(F.col("table_name") == t, F.col("row_count"))).alias(n) for t, n in SUMMARY_COLUMNS.items()]
+    return counts.agg(*picked).select(F.lit("Summary").alias("description"), *SUMMARY_COLUMNS.values())
 
 
 _PLURAL = {"customer_key": "customers", "product_key": "products", "location_key": "locations", "date_key": "dates"}
@@ -59,15 +68,15 @@ def _any_key_missing() -> Column:
 
 def null_key_verdict(fact: DataFrame) -> DataFrame:
     missing = F.count_if(_any_key_missing())
-    return fact.agg(F.when(missing > 0, "FAIL: Null keys found in sales_fact").otherwise("PASS").alias("null_check"),
+    return fact.agg(F.when(missing > 0, NULL_KEYS_FOUND).otherwise(NULL_KEYS_NONE).alias("null_check"),
                     missing.alias("null_rows"))
 
 
 def orphan_checks(fact: DataFrame, star: Star) -> DataFrame:
     """Fact rows per dimension whose key is missing there."""
     return union_all([
-        count_orphans(fact, getattr(star, d), f"{d}_key").select(F.lit(f"Orphaned {n}").alias("check_type"), "orphan_count")
-        for d, n in (("customer", "Customers"), ("product", "Products"), ("location", "Locations"), ("date", "Dates"))])
+        count_orphans(fact, getattr(star, d), f"{d}_key").select(F.lit(label).alias("check_type"), "orphan_count")
+        for d, label in ORPHAN_LABELS.items()])
 
 
 def unknown_ids(sales: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
@@ -130,10 +139,10 @@ def duplicate_keys(raw: dict[str, DataFrame], star: Star) -> DataFrame:
 def anomaly_counts(fact: DataFrame) -> DataFrame:
     """Odd amounts, in one pass; gross below net is only information: it holds whenever tax exceeds the discount."""
     odd = {
-        "Negative Quantities": F.col("quantity") < 0,
-        "Negative Prices": F.col("unit_price") < 0,
-        "Zero Sales Amount": F.col("net_amount") == 0,
-        "Gross < Net (Invalid)": F.col("gross_amount") < F.col("net_amount"),
+        NEGATIVE_QUANTITY: F.col("quantity") < 0,
+        NEGATIVE_PRICE: F.col("unit_price") < 0,
+        ZERO_SALE: F.col("net_amount") == 0,
+        GROSS_BELOW_NET: F.col("gross_amount") < F.col("net_amount"),
     }
     counts = fact.agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(odd.values())])
     return long_form(counts, [F.struct(F.lit(n).alias("anomaly_type"), F.col(f"c{i}").alias("anomalies"))
@@ -173,16 +182,14 @@ def future_dates(star: Star, as_of: date) -> DataFrame:
 def quality_verdict(fact: DataFrame, star: Star, as_of: date) -> DataFrame:
     """One row per check (null keys, negative values, future dates, orphans) and the overall verdict on each."""
     dated = Star(fact=fact, customer=star.customer, product=star.product, location=star.location, date=star.date)
-    checks = union_all([
-        null_key_verdict(fact).select(F.lit("Null Foreign Keys").alias("check_name"), F.col("null_rows").alias("violations")),
-        negative_values(fact).select(F.lit("Negative Values").alias("check_name"),
-                                     (F.col("negative_quantity") + F.col("negative_amount")).alias("violations")),
-        future_dates(dated, as_of).select(F.lit("Future Dates").alias("check_name"),
-                                          F.col("future_date_count").alias("violations")),
-        orphan_checks(fact, star).where(F.col("check_type").isin("Orphaned Customers", "Orphaned Products"))
-        .agg(F.sum("orphan_count").alias("violations"))
-        .select(F.lit("Orphaned Records").alias("check_name"), "violations"),
-    ])
+    orphans = orphan_checks(fact, star).where(F.col("check_type").isin(ORPHAN_LABELS["customer"], ORPHAN_LABELS["product"]))
+    counts = (
+        null_key_verdict(fact).select(F.col("null_rows").alias("violations")),
+        negative_values(fact).select((F.col("negative_quantity") + F.col("negative_amount")).alias("violations")),
+        future_dates(dated, as_of).select(F.col("future_date_count").alias("violations")),
+        orphans.agg(F.sum("orphan_count").alias("violations")),
+    )
+    checks = union_all([df.select(F.lit(name).alias("check_name"), "violations") for name, df in zip(CHECK_NAMES, counts)])
     # Four rows: folded into one and unfolded again, so that the checks run once.
     folded = checks.agg(F.collect_list(F.struct("check_name", "violations")).alias("checks"),
                         F.max("violations").alias("worst"))

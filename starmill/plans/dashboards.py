@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from starmill.functions import measures as m
 from starmill.functions.calendar import date_key
 from starmill.functions.cleaning import safe_ratio
-from starmill.operators.joins import lookup_join
 from starmill.operators.ranking import rank_cuts, top_with_ties
 from starmill.plans.aggregates import customer_summary, product_revenue, sales_enriched
 from starmill.plans.warehouse import Star
@@ -272,8 +271,9 @@ def seasonality_index(star: Star) -> DataFrame:
 
 
 def _at_stores(star: Star, stores: DataFrame) -> DataFrame:
-    return lookup_join(star.fact, stores.select("location_key"), "location_key", "left_semi", spread="sale_key",
-                       right_rows=star.rows.get("location"))
+    chosen = Star(fact=star.fact, customer=star.customer, product=star.product, location=stores, date=star.date,
+                  rows=star.rows)
+    return chosen.join(star.fact, "location", [], "left_semi")
 
 
 def store_access(star: Star, mapping: DataFrame, user: str) -> DataFrame:

@@ -35,26 +35,34 @@ class PipelineResult:
     rejected_sales: int = 0
 
 
-def load_dimension(spark: SparkSession, cleaned: DataFrame, table: str, target: str, loaded_at: Column) -> int:
-    """Give new members a key, then replace the stored dimension.  Returns its row count."""
+def load_dimension(spark: SparkSession, cleaned: DataFrame, ids: DataFrame, table: str, target: str,
+                   loaded_at: Column) -> int:
+    """Give new members a key, then replace the stored dimension.  Returns its row count.
+
+    ``ids`` holds the members' natural ids, repeated or not.
+    """
     natural, surrogate = NATURAL_KEYS[table], SURROGATE_KEYS[table]
     map_path = f"{target}/keys/{table}"
     contract = StructType([f for f in CURATED[table] if f.name in (natural, surrogate)])
     known = read_or_empty(spark, map_path, contract)
-    write_table(allocate_keys(cleaned, natural, surrogate, known).select(*contract.names), map_path, "append")
+    write_table(allocate_keys(ids, natural, surrogate, known).select(*contract.names), map_path, "append")
     keyed = dims.with_keys(cleaned, read_table(spark, map_path), table, loaded_at)
     return write_table(keyed, f"{target}/{table}")["rows"]
 
 
 def load_dimensions(spark: SparkSession, raw: dict[str, DataFrame], target: str, as_of: Column, loaded_at: Column,
                     calendar_start: date, calendar_end: date) -> dict[str, int]:
+    customers, locations = dims.clean_customers(raw["customers"], as_of), dims.clean_locations(raw["locations"])
+    products = dims.clean_products(raw["products"])
+    # Every customer and location id makes a member, so the raw id column is enough; products also need a price.
     cleaned = {
-        "customer_dim": dims.clean_customers(raw["customers"], as_of),
-        "product_dim": dims.clean_products(raw["products"]),
-        "location_dim": dims.clean_locations(raw["locations"]),
+        "customer_dim": (customers, raw["customers"]),
+        "product_dim": (products, products),
+        "location_dim": (locations, raw["locations"]),
     }
     calendar = dims.build_date_dimension(spark, calendar_start, calendar_end, loaded_at).coalesce(1)
-    loads = {t.removesuffix("_dim"): partial(load_dimension, spark, df, t, target, loaded_at) for t, df in cleaned.items()}
+    loads = {t.removesuffix("_dim"): partial(load_dimension, spark, df, ids, t, target, loaded_at)
+             for t, (df, ids) in cleaned.items()}
     loads["date"] = lambda: write_table(calendar, f"{target}/date_dim")["rows"]
     return side_by_side(spark, loads)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.operators.fact import ACCEPTED, REJECTED, SALES_LINES
-from starmill.operators.joins import lookup_join
+from starmill.operators.joins import BROADCAST_ROWS, hot_keys, lookup_join
 from starmill.operators.sinks import read_table
 from starmill.schemas import CURATED
 
@@ -27,6 +27,13 @@ class Star:
     location: DataFrame
     date: DataFrame
     rows: dict[str, int] = field(default_factory=dict)
+    _hot: dict[str, list] = field(default_factory=dict, repr=False)
+
+    def hot(self, key: str) -> list:
+        """The fact's hot values of a key, looked for once per star."""
+        if key not in self._hot:
+            self._hot[key] = hot_keys(self.fact, [key])[key]
+        return self._hot[key]
 
     def tables(self) -> dict[str, DataFrame]:
         return {**{t: getattr(self, d) for d, t in DIM_TABLES.items()}, "sales_fact": self.fact}
@@ -45,7 +52,9 @@ class Star:
             return left.join(lookup, key, how)
         if grouped:
             return lookup_join(left, lookup, key, how, spread=key, right_rows=self.rows[dim], hot=[])
-        return lookup_join(left, lookup, key, how, spread="sale_key", right_rows=self.rows.get(dim), probe=self.fact)
+        rows = self.rows[dim] if dim in self.rows else lookup.count()
+        hot = self.hot(key) if rows > BROADCAST_ROWS else []
+        return lookup_join(left, lookup, key, how, spread="sale_key", right_rows=rows, hot=hot)
 
 
 def read_sales_lines(spark: SparkSession, root: str) -> DataFrame:

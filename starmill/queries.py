@@ -184,7 +184,8 @@ def _keyed(w: Workspace, table: str) -> DataFrame:
     cleaned = {"customer_dim": lambda: dims.clean_customers(df, F.lit(RUN_DATE)),
                "product_dim": lambda: dims.clean_products(df),
                "location_dim": lambda: dims.clean_locations(df)}[table]()
-    keys = allocate_keys(cleaned, NATURAL_KEYS[table], SURROGATE_KEYS[table])
+    ids = cleaned if table == "product_dim" else df
+    keys = allocate_keys(ids, NATURAL_KEYS[table], SURROGATE_KEYS[table])
     return _no_audit(dims.with_keys(cleaned, keys, table, F.current_timestamp()))
 
 
