@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# "file:/a", "file:///a" and "/a" are the same folder.
+SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:/+"
+
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """path, length, modificationTime of every data file below ``folder``."""
@@ -18,9 +23,11 @@ def folder_report(spark: SparkSession, root: str, folders: list[str]) -> DataFra
 
     The required folders drive the report, so that an absent one shows up as a row.
     """
-    listed = list_files(spark, root).select(
-        *["length", "modificationTime"],
-        F.regexp_extract(F.substring_index("path", f"{root.rstrip('/')}/", -1), "^([^/]+)/", 1).alias("folder"))
+    base = re.sub(SCHEME, "/", root).rstrip("/") + "/"
+    path = F.regexp_replace("path", SCHEME, "/")
+    listed = list_files(spark, root).where(path.startswith(base)).select(
+        "length", "modificationTime",
+        F.regexp_extract(path.substr(F.lit(len(base) + 1), F.length(path)), "^([^/]+)/", 1).alias("folder"))
     found = listed.groupBy("folder").agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
         F.max("modificationTime").alias("last_modified"))

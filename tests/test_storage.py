@@ -143,6 +143,8 @@ def test_folder_report_and_freshness(spark, tmp_path):
     root = str(tmp_path / "raw")
     write_raw(spark, root, [customer(1)], [product(1)], [], [sale(1)], fmt="csv")
     report = {r.folder: r for r in files.folder_report(spark, root, ["customers", "sales", "returns"]).collect()}
+    again = files.folder_report(spark, f"file://{root}/", ["customers", "sales", "returns"])
+    assert {r.folder: r.passed for r in again.collect()} == {"customers": True, "sales": True, "returns": False}
     assert report["customers"].passed and report["sales"].bytes > 0
     assert (report["returns"].present, report["returns"].passed, report["returns"].bytes) == (False, False, 0)
     soon = F.lit(datetime.now(timezone.utc) + timedelta(hours=1))
