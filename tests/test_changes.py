@@ -1,8 +1,6 @@
 import random
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import functions as F
-
 from helpers import rows
 from starmill.plans import changes
 from starmill.streaming import sales_stream
