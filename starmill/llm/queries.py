@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import exact_dedup, packing, sharding, simhash, token_files
+from starmill.llm import exact_dedup, language, packing, sharding, simhash, token_files, toxicity
 from starmill.llm.common import new_folder, table
 
 SHARDS = 40
@@ -31,6 +31,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.with_score(docs, model).select(
+        "doc_id", (F.crc32(F.col("doc_id").cast("string")) % toxicity.FOLDS == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -38,6 +46,13 @@ def op6_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = language.fold("doc_id", 3) == 1
+    found = language.identify(docs.drop("lang"), language.fit(docs, ~held))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -48,4 +63,4 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_shards, op2_best_fit_packing, op6_bit_plane_files, op8_simhash, op9_exact_dedup)}
+    f.__name__: f for f in (op1_byte_shards, op2_best_fit_packing, op3_toxicity, op6_bit_plane_files, op7_language, op8_simhash, op9_exact_dedup)}
