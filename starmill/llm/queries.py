@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import exact_dedup, language, packing, sharding, simhash, token_files, toxicity
+from starmill.llm import edit_fingerprint, exact_dedup, language, packing, sharding, simhash, token_files, toxicity
 from starmill.llm.common import new_folder, table
 
 SHARDS = 40
@@ -62,5 +62,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_shards, op2_best_fit_packing, op3_toxicity, op6_bit_plane_files, op7_language, op8_simhash, op9_exact_dedup)}
+    f.__name__: f for f in (op1_byte_shards, op2_best_fit_packing, op3_toxicity, op6_bit_plane_files, op7_language, op8_simhash, op9_exact_dedup,
+    op10_edit_fingerprints)}

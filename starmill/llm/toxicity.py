@@ -185,7 +185,7 @@ class Reader:
 @dataclass
 class Model:
     reader: Reader
-    weights: np.ndarray  # score of each feature bucket, 0 or more
+    weights: dict[int, float]  # score of the feature buckets that have one
     beta: np.ndarray
     known: dict[str, tuple[tuple[float, str], ...]] = field(default_factory=dict)
 
@@ -194,8 +194,9 @@ class Model:
 
     def marked(self, words: tuple[str, ...] | list[str]) -> tuple[tuple[float, str], ...]:
         """Words with a score above 0."""
-        scored = ((float(self.weights[features(w)].max()), w) for w in words)
-        return tuple(x for x in scored if x[0] > 0)
+        weights = self.weights
+        scored = ([weights[f] for f in features(w) if f in weights] for w in words)
+        return tuple((max(s), w) for s, w in zip(scored, words) if s)
 
     def evidence(self, text: str | None) -> list[float]:
         """The highest scores of a text's distinct words, summed up, and its length in distinct tokens."""
@@ -281,8 +282,8 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str =
     toxic[found.column("f").to_numpy()] = found.column("toxic").to_numpy()
     ratio = np.log((toxic + 0.5) / (toxic[-1] + 1)) - np.log((clean + 0.5) / (clean[-1] + 1))
     bound = ratio - Z * np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
-    weights = np.where(toxic >= MIN_TEXTS, np.maximum(bound, 0), 0)[:-1].astype(np.float32)
-    model = Model(reader, weights, np.zeros(7))
+    strong = np.flatnonzero((toxic[:-1] >= MIN_TEXTS) & (bound[:-1] > 0)).tolist()
+    model = Model(reader, {f: float(bound[f]) for f in strong}, np.zeros(7))
     sharing = spark.sparkContext.broadcast(model)
 
     def calibrate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
