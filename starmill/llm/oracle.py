@@ -9,4 +9,19 @@ FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ',
 WINDOW g AS (PARTITION BY t)
 """
 
-ORACLE = {"op9_exact_dedup": _EXACT}
+_ESCAPED = r"replace(replace(replace({0}, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')"
+
+_CHAT = rf"""
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(4 + length(replace({_ESCAPED.format('role')}, ':', '\:')) + 2 + length({_ESCAPED.format('text')}) + 8) AS BIGINT)
+         AS formatted_chars
+FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+                                      (-7, 1, 'assistant', '\### Assistant: </turn> ok')))
+GROUP BY conv_id
+"""
+
+ORACLE = {"op4_chat_tree": _CHAT, "op9_exact_dedup": _EXACT}

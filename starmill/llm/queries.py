@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import edit_fingerprint, exact_dedup, language, packing, sharding, simhash, token_files, toxicity
+from starmill.llm import chat_tree, edit_fingerprint, exact_dedup, language, packing, sharding, simhash, token_files, toxicity
 from starmill.llm.common import new_folder, table
 
 SHARDS = 40
@@ -39,6 +39,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], turns.schema)
+    nodes, conversations = chat_tree.build(turns.union(planted))
+    return chat_tree.read_back(nodes, conversations)
+
+
 def op6_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -67,5 +75,5 @@ def op10_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_shards, op2_best_fit_packing, op3_toxicity, op6_bit_plane_files, op7_language, op8_simhash, op9_exact_dedup,
+    f.__name__: f for f in (op1_byte_shards, op2_best_fit_packing, op3_toxicity, op4_chat_tree, op6_bit_plane_files, op7_language, op8_simhash, op9_exact_dedup,
     op10_edit_fingerprints)}

@@ -19,6 +19,9 @@ ID = np.dtype("<u4")
 MAX_CHUNKS = 1_200_000
 # White space whose characters are not split one by one.
 _RUN = re.compile(r"\s\s(?:\s|\Z)")
+# Letters in every version of Unicode; what combines with the letter before it begins at _COMBINING.
+_CORE = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+")
+_COMBINING = "\u0300"
 # White space to Python, but symbols to the tokenizer.
 _ODD = re.compile("[\x1c-\x1f]")
 
@@ -36,49 +39,85 @@ def load(path: str):
     return tokenizer
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in a byte-level vocabulary: printable bytes as they are, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class ChunkIds:
-    """``ids(text)``: the ids as bytes (``ID``); equal to encoding the whole text."""
+    """``ids(text)``: the ids as bytes (``ID``); equal to encoding the whole text.
+
+    A run of letters is a word of its own to both vocabularies: it goes to the tokenizer's model at once.
+    What else a chunk holds is encoded as a text.
+    """
 
     def __init__(self, path: str, lower: bool, max_chunks: int = MAX_CHUNKS):
         self.tokenizer, self.max_chunks = load(path), max_chunks
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
-        self.first = lru_cache(maxsize=100_000)(lambda word: self.encode([word])[0])  # no blank before it
+        self.lead = "" if lower else " "
+        self.whole = lru_cache(maxsize=200_000)(self.encode)
+        self.bare = lru_cache(maxsize=200_000)(self._bare)
         self.ids: Callable[[str], bytes] = self._words if lower else self._spaced
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, ID).tobytes() for e in found]
-
-    def _join(self, keys: list[str], chunk: Callable[[str], str]) -> bytes:
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return np.array([t.id for t in self.model.tokenize(letters)], ID).tobytes()
+
+    def _bare(self, chunk: str) -> bytes:
+        """Ids of a chunk as it is."""
+        return self._split(chunk, "") if chunk else b""
+
+    def _split(self, chunk: str, lead: str) -> bytes:
+        found = _CORE.match(chunk)
+        if not found or chunk[found.end():found.end() + 1] >= _COMBINING:
+            return self.encode(lead + chunk)
+        rest = chunk[found.end():]
+        if not rest:
+            return self._word(lead + chunk)
+        word = found.group()
+        return (self._chunk(word) if lead == self.lead else self.bare(word)) + self.bare(rest)
+
+    def _chunk(self, key: str) -> bytes:
+        ids = self.known.get(key)
+        if ids is None:
+            ids = self.bare("\n") + self.bare(key[1:]) if key[:1] == "\n" else self._split(key, self.lead) if key else self.encode(" ")
+            if len(self.known) >= self.max_chunks:
+                self.known.clear()
+            self.known[key] = ids
+        return ids
+
+    def _join(self, keys: list[str]) -> bytes:
         known = self.known
         try:
             return b"".join([known[k] for k in keys])
         except KeyError:
-            new = [k for k in set(keys) if k not in known]
-            if len(known) + len(new) > self.max_chunks:
-                known.clear()
-                new = list(set(keys))
-            known.update(zip(new, self.encode([chunk(k) for k in new])))
-            return b"".join([known[k] for k in keys])
+            return b"".join([known.get(k) or self._chunk(k) for k in keys])
 
     def _spaced(self, text: str) -> bytes:
         """Byte-level vocabulary: a blank belongs to the word after it, other white space stands alone."""
         if _RUN.search(text):
-            return self.encode([text])[0]
+            return self.encode(text)
         first, *keys = text.replace("\n", " \n").split(" ")
-        ids = self._join(keys, lambda k: k if k[:1] == "\n" else f" {k}")
-        return self.first(first) + ids if first else ids
+        return self.bare(first) + self._join(keys)
 
     def _words(self, text: str) -> bytes:
         """Lower-case vocabulary that drops white space."""
         if _ODD.search(text):
-            return self.encode([text])[0]
+            return self.encode(text)
         try:
             text.encode("latin-1")  # where lower() is the tokenizer's own
-            text = text.lower()
         except UnicodeEncodeError:
-            pass
-        return self._join(text.split(), str)
+            return b"".join([self.whole(chunk) for chunk in text.split()])  # the tokenizer normalises each
+        return self._join(text.lower().split())
 
 
 @lru_cache(maxsize=4)
