@@ -50,37 +50,40 @@ class Vocabulary:
             key = a * self.size + b
             keys[key % self.buckets].append(key), values[key % self.buckets].append(rank)
         # JSON has no maps with numbers as keys: a map is its keys and its values.
-        self._keys, self._ranks = _literal(keys, "array<array<bigint>>"), _literal(values, "array<array<int>>")
-        self._bytes = _literal([ranks[bytes([b])] for b in range(256)], "array<int>")
+        self._tables = F.struct(
+            _literal(keys, "array<array<bigint>>").alias("keys"), _literal(values, "array<array<int>>").alias("ranks"),
+            _literal([ranks[bytes([b])] for b in range(256)], "array<int>").alias("bytes"))
         pieces = {rank: token.hex() for token, rank in ranks.items()}
         self._hex = _literal([pieces.get(i) for i in range(self.size)], "array<string>")
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
-    def _rank(self, a: Column, b: Column) -> Column:
+    def _rank(self, tables: Column, a: Column, b: Column) -> Column:
         """Rank of the merged pair, or _NONE."""
         key = a.cast("long") * self.size + b
         bucket = (key % self.buckets).cast("int")
-        at = F.array_position(F.get(self._keys, bucket), key).cast("int")
-        return F.coalesce(F.get(F.get(self._ranks, bucket), at - 1), F.lit(_NONE))
+        at = F.array_position(F.get(tables["keys"], bucket), key).cast("int")
+        return F.coalesce(F.get(F.get(tables["ranks"], bucket), at - 1), F.lit(_NONE))
 
     def fold(self, word: Column) -> Column:
         """Ids of one word, as an array."""
-        digits = F.hex(F.encode(word, "utf-8"))
-        n = F.octet_length(word)
-        byte = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
-            self._bytes, F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int")))
+        return _let(self._tables, lambda tables: self._fold(tables, word))
+
+    def _fold(self, tables: Column, word: Column) -> Column:
+        digits, n, none = F.hex(F.encode(word, "utf-8")), F.octet_length(word), F.expr("array()").cast("array<int>")
+        first = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
+            tables["bytes"], F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int")))
 
         def start(ids: Column) -> Column:
-            ranks = F.transform(F.slice(ids, 2, n), lambda b, i: self._rank(F.get(ids, i), b))
+            ranks = F.transform(F.slice(ids, 2, n), lambda b, i: self._rank(tables, F.get(ids, i), b))
             return F.struct(ids.alias("ids"), ranks.alias("ranks"))
 
         def merge(state: Column, best: Column, at: Column) -> Column:
             """Merge the pair at place ``at`` (from 1): the merged token's id is its rank."""
             ids, ranks = state["ids"], state["ranks"]
-            left = F.when(at > 1, F.array(self._rank(F.get(ids, at - 2), best))).otherwise(F.expr("array()").cast("array<int>"))
-            right = F.when(at < F.size(ranks), F.array(self._rank(best, F.get(ids, at + 1)))).otherwise(F.expr("array()").cast("array<int>"))
+            left = F.when(at > 1, F.array(self._rank(tables, F.get(ids, at - 2), best))).otherwise(none)
+            right = F.when(at < F.size(ranks), F.array(self._rank(tables, best, F.get(ids, at + 1)))).otherwise(none)
             return F.struct(
                 F.concat(F.slice(ids, 1, at - 1), F.array(best), F.slice(ids, at + 2, F.size(ids))).alias("ids"),
                 F.concat(F.slice(ranks, 1, F.greatest(at - 2, F.lit(0))), left, right,
@@ -91,8 +94,8 @@ class Vocabulary:
                 best.isNull() | (best == _NONE), state).otherwise(
                 _let(F.array_position(state["ranks"], best).cast("int"), lambda at: merge(state, best, at))))
 
-        folded = _let(byte, lambda ids: F.aggregate(F.sequence(F.lit(1), n), start(ids), step, lambda s: s["ids"]))
-        return F.when(n == 1, byte).otherwise(folded)
+        folded = _let(first, lambda ids: F.aggregate(F.sequence(F.lit(1), n), start(ids), step, lambda s: s["ids"]))
+        return F.when(n == 1, first).otherwise(folded)
 
     def text_of(self, ids: Column) -> Column:
         """Bytes of an array of ids."""
@@ -112,8 +115,8 @@ class Vocabulary:
 
     def encode(self, df: DataFrame, text: Column, head: Column) -> Column:
         """Ids of a whole text."""
-        def ids(word: Column) -> Column:
+        def ids(tables: Column, word: Column) -> Column:
             known = F.get(head, F.pmod(F.xxhash64(word), F.lit(self._head_buckets)).cast("int"))
-            return F.coalesce(F.element_at(known, word), self.fold(word))
+            return F.coalesce(F.element_at(known, word), self._fold(tables, word))
 
-        return F.flatten(F.transform(self.words(text), ids))
+        return _let(self._tables, lambda tables: F.flatten(F.transform(self.words(text), lambda word: ids(tables, word))))

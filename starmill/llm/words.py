@@ -8,6 +8,7 @@ faster than encoding the text.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -16,7 +17,7 @@ import numpy as np
 #: Ids as little-endian unsigned 32-bit integers.
 ID = np.dtype("<u4")
 # A worker's memory for chunks: about 250 bytes each.
-MAX_CHUNKS = 1_200_000
+MAX_CHUNKS = 1_600_000
 # White space whose characters are not split one by one.
 _RUN = re.compile(r"\s\s(?:\s|\Z)")
 # Letters in every version of Unicode; what combines with the letter before it begins at _COMBINING.
@@ -47,6 +48,8 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_BLANK = _BYTE_LETTERS[32]
+_UINT32 = next(code for code in "IL" if array(code).itemsize == ID.itemsize)
 
 
 class ChunkIds:
@@ -68,9 +71,11 @@ class ChunkIds:
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return np.array([t.id for t in self.model.tokenize(letters)], ID).tobytes()
+    def _word(self, word: str, lead: str) -> bytes:
+        """Ids of a run of letters, with a blank before it or without."""
+        letters = word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        tokens = self.model.tokenize(_BLANK + letters if lead else letters)
+        return array(_UINT32, [t.id for t in tokens]).tobytes()
 
     def _bare(self, chunk: str) -> bytes:
         """Ids of a chunk as it is."""
@@ -78,29 +83,33 @@ class ChunkIds:
 
     def _split(self, chunk: str, lead: str) -> bytes:
         found = _CORE.match(chunk)
-        if not found or chunk[found.end():found.end() + 1] >= _COMBINING:
+        if not found:
             return self.encode(lead + chunk)
-        rest = chunk[found.end():]
-        if not rest:
-            return self._word(lead + chunk)
         word = found.group()
-        return (self._chunk(word) if lead == self.lead else self.bare(word)) + self.bare(rest)
+        if len(word) == len(chunk):
+            return self._word(word, lead)
+        if chunk[len(word)] >= _COMBINING:
+            return self.encode(lead + chunk)
+        return (self._chunk(word) if lead == self.lead else self.bare(word)) + self.bare(chunk[len(word):])
 
     def _chunk(self, key: str) -> bytes:
         ids = self.known.get(key)
         if ids is None:
-            ids = self.bare("\n") + self.bare(key[1:]) if key[:1] == "\n" else self._split(key, self.lead) if key else self.encode(" ")
+            if key[:1] == "\n":
+                ids = self.bare("\n") + self.bare(key[1:])
+            else:
+                ids = self._split(key, self.lead) if key else self.encode(" ")
             if len(self.known) >= self.max_chunks:
                 self.known.clear()
             self.known[key] = ids
         return ids
 
     def _join(self, keys: list[str]) -> bytes:
-        known = self.known
-        try:
-            return b"".join([known[k] for k in keys])
-        except KeyError:
-            return b"".join([known.get(k) or self._chunk(k) for k in keys])
+        found = list(map(self.known.get, keys))
+        if None in found:
+            chunk = self._chunk
+            found = [chunk(k) if ids is None else ids for k, ids in zip(keys, found)]
+        return b"".join(found)
 
     def _spaced(self, text: str) -> bytes:
         """Byte-level vocabulary: a blank belongs to the word after it, other white space stands alone."""
