@@ -113,10 +113,21 @@ class Vocabulary:
         self._head_buckets = buckets
         return _literal(table, "array<map<string,array<int>>>")
 
-    def encode(self, df: DataFrame, text: Column, head: Column) -> Column:
+    def encode(self, text: Column, head: Column) -> Column:
         """Ids of a whole text."""
         def ids(tables: Column, word: Column) -> Column:
             known = F.get(head, F.pmod(F.xxhash64(word), F.lit(self._head_buckets)).cast("int"))
             return F.coalesce(F.element_at(known, word), self._fold(tables, word))
 
         return _let(self._tables, lambda tables: F.flatten(F.transform(self.words(text), lambda word: ids(tables, word))))
+
+
+def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
+    """All columns of ``df`` and ``ids`` (array of int), the ids of the whole text; a column so named is replaced.
+
+    A null or empty text has no ids.  Every match of the pattern is encoded by itself, without special
+    tokens.  An empty table gives an empty result.
+    """
+    value = F.col(f"`{text}`")
+    head = vocabulary.frequent(df, value, head_words)
+    return df.drop("ids").withColumn("ids", vocabulary.encode(value, head))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import chat_tree, edit_fingerprint, exact_dedup, language, packing, sharding, simhash, token_files, toxicity
+from starmill.llm import byte_bpe, chat_tree, edit_fingerprint, exact_dedup, language, packing, sharding, simhash, token_files, toxicity
 from starmill.llm.common import new_folder, table
 
 SHARDS = 40
@@ -47,6 +47,15 @@ def op4_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_tree.read_back(nodes, conversations)
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    vocabulary = byte_bpe.Vocabulary(ranks, public_tokenizers.PATTERN)
+    docs = byte_bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).select("doc_id", "ids")
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+                       F.sha2(vocabulary.text_of(F.col("ids")), 256).alias("decoded_sha256"))
+
+
 def op6_bit_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
@@ -75,5 +84,5 @@ def op10_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_shards, op2_best_fit_packing, op3_toxicity, op4_chat_tree, op6_bit_plane_files, op7_language, op8_simhash, op9_exact_dedup,
+    f.__name__: f for f in (op1_byte_shards, op2_best_fit_packing, op3_toxicity, op4_chat_tree, op5_byte_bpe, op6_bit_plane_files, op7_language, op8_simhash, op9_exact_dedup,
     op10_edit_fingerprints)}
