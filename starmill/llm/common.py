@@ -80,7 +80,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared work folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     folder = new_folder(spark, name)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     kept = spark.read.schema(df.schema).parquet(folder)
     kept.stored_in = folder
     return kept
