@@ -3,8 +3,8 @@
 Each partition packs its pieces by best fit, largest first, and compares its number of
 sequences with lower bounds from dual feasible functions.  A partition that meets its
 bound is optimal and done.  The others give the pieces of their unfilled sequences
-to a pool, which is dealt anew over fewer partitions and packed again, until the
-pool meets its bound, or one round on one partition's worth of pieces changes nothing.
+to a pool, which is dealt anew over fewer partitions and packed again, until all meet their
+bounds, one partition has the whole pool, or a round needs no fewer sequences than the one before.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import drop, extended, fresh, python_ready, stored, texts_of, with_columns
+from starmill.llm.common import drop, extended, python_ready, stored, texts_of, with_columns
 from starmill.llm.words import ID, chunk_ids
 
 CAPACITY = 1024
@@ -109,21 +109,23 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, np.array(fills, np.int64)
 
 
-def _round(df: DataFrame, parts: int, number: int, last: bool, capacity: int, lane: str) -> DataFrame:
-    """Deal the pieces over ``parts`` lanes and pack each; ``_done`` tells which placements stand."""
-    schema = extended(df.schema, sequence_id="long", offset="long", _done="boolean")
-
-    def pack(group: pa.Table) -> pa.Table:
+def _round(df: DataFrame, parts: int, number: int, last: bool, capacity: int) -> DataFrame:
+    """Deal the pieces over ``parts`` lanes and pack each; ``done`` tells which placements stand."""
+    def fit(group: pa.Table) -> pa.Table:
         lengths = group.column("length").to_numpy().astype(np.int64)
         bins, offsets, fills = best_fit(lengths, capacity)
         done = np.full(len(fills), True)
         if not last and len(fills) > lower_bound(lengths, capacity):
             done = capacity - fills <= capacity // FULL_ENOUGH
-        first = (number + 1 << 56) | (group.column(lane)[0].as_py() << 28)
-        return group.append_column("sequence_id", pa.array(first + bins)).append_column("offset", pa.array(offsets)) \
-            .append_column("_done", pa.array(done[bins]))
+        first = (number + 1 << 56) | (group.column("lane")[0].as_py() << 28)
+        made = {"sequence_id": first + bins, "offset": offsets, "done": done[bins]}
+        for name, values in made.items():
+            group = group.append_column(name, pa.array(values))
+        return group
 
-    return df.groupBy(lane).applyInArrow(pack, schema)
+    # A row's number in a stored table is the same in each run of a task.
+    dealt = df.withColumn("lane", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
+    return dealt.groupBy("lane").applyInArrow(fit, extended(dealt.schema, sequence_id="long", offset="long", done="boolean"))
 
 
 def pack(df: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES_PER_TASK) -> DataFrame:
@@ -132,27 +134,31 @@ def pack(df: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES_
     Pieces are dealt by number, not by key, so that no hot key meets in one task; equal rows are
     separate pieces.  Other columns are carried along and should be narrow.  Each round halves the
     number of lanes at least, and what stands is stored.  An empty table gives an empty result.
+    Clashing columns are replaced.
     """
-    lane = fresh(df, "_lane")
-    df = df.drop("sequence_id", "offset", "_done")
-    left, packed, number = stored(df.withColumn(lane, F.lit(0).cast("long")), "pieces"), [], 0
-    parts = max(1, -(-left.count() // pieces_per_task))
+    names = [c for c in df.columns if c.lower() not in {"sequence_id", "offset"}]
+    plain = ["length" if c == "length" else f"c{i}" for i, c in enumerate(names)]
+    left = stored(df.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(names, plain)]), "pieces")
+    packed, number, parts, used = [], 0, max(1, -(-left.count() // pieces_per_task)), None
+    place = ["sequence_id", "offset"]
     while True:
         last = parts == 1 or number == MAX_ROUNDS - 1
-        dealt = left.withColumn(lane, F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
-        now = stored(_round(dealt, parts, number, last, capacity, lane), f"packed{number}")
-        packed.append(now.filter("_done").drop("_done", lane))
+        now = stored(_round(left.select(*plain), parts, number, last, capacity), f"packed{number}")
+        if used and now.select("sequence_id").distinct().count() >= used:  # the pool was packed no worse before
+            packed.append(left.select(*plain, *place))
+            break
+        packed.append(now.filter("done").select(*plain, *place))
         drop(left)
-        rest = now.filter("not _done").drop("sequence_id", "offset", "_done")
-        if last or rest.isEmpty():
+        rest = now.filter("not done").select(*plain, *place)
+        used = rest.select("sequence_id").distinct().count()
+        if last or not used:
             break
-        # A row of the scan number and lane of a stored table is the same in each run of a task.
         left, number = stored(rest, "pool"), number + 1
         parts = max(1, min(parts // 2, -(-left.count() // pieces_per_task)))
     out = packed[0]
     for more in packed[1:]:
-        out = out.unionByName(more)
-    return out
+        out = out.union(more)
+    return out.toDF(*names, *place)
 
 
 def certificate(packed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
