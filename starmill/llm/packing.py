@@ -2,8 +2,8 @@
 
 Each partition packs its pieces by best fit, largest first, and compares its number of
 sequences with lower bounds from dual feasible functions.  A partition that meets its
-bound is optimal and done.  The others give the pieces of their unfilled sequences
-to a pool, which is dealt anew over fewer partitions and packed again, until all meet their
+bound is optimal and keeps all but its emptiest sequence.  The others give the pieces of all
+unfilled sequences to a pool, which is dealt anew over fewer partitions and packed again, until all meet their
 bounds, one partition has the whole pool, or a round needs no fewer sequences than the one before.
 """
 
@@ -115,8 +115,12 @@ def _round(df: DataFrame, parts: int, number: int, last: bool, capacity: int) ->
         lengths = group.column("length").to_numpy().astype(np.int64)
         bins, offsets, fills = best_fit(lengths, capacity)
         done = np.full(len(fills), True)
-        if not last and len(fills) > lower_bound(lengths, capacity):
-            done = capacity - fills <= capacity // FULL_ENOUGH
+        if not last:
+            full = capacity - fills <= capacity // FULL_ENOUGH
+            if len(fills) > lower_bound(lengths, capacity):
+                done = full
+            else:  # no packing of this lane needs fewer, but its emptiest sequence has room for others
+                done[fills.argmin()] = full[fills.argmin()]
         first = (number + 1 << 56) | (group.column("lane")[0].as_py() << 28)
         made = {"sequence_id": first + bins, "offset": offsets, "done": done[bins]}
         for name, values in made.items():
@@ -139,6 +143,7 @@ def pack(df: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES_
     names = [c for c in df.columns if c.lower() not in {"sequence_id", "offset"}]
     plain = ["length" if c == "length" else f"c{i}" for i, c in enumerate(names)]
     left = stored(df.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(names, plain)]), "pieces")
+    python_ready(df.sparkSession)
     packed, number, parts, used = [], 0, max(1, -(-left.count() // pieces_per_task)), None
     place = ["sequence_id", "offset"]
     while True:
