@@ -45,6 +45,20 @@ def python_ready(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(target))
 
 
+_holder: list = [None, None]
+
+
+def claim_memory(holder: object, release: Callable[[], None]) -> None:
+    """In a Python worker: only one operator's look-ups stay in memory, those of the one that runs.
+
+    A worker process serves one operator after the other; the former holder's look-ups are released.
+    """
+    if _holder[0] is not holder:
+        if _holder[1]:
+            _holder[1]()
+        _holder[:] = [holder, release]
+
+
 def hadoop_path(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import add_columns, all_columns, fresh, python_ready
+from starmill.llm.common import add_columns, all_columns, claim_memory, fresh, python_ready
 
 # Symbols that stand in for letters.
 LOOKALIKES = {
@@ -44,7 +44,7 @@ TOP = 8
 # Labelled rows, at most, on which the classifier is fitted.
 MAX_TOXIC, MAX_CLEAN = 8_000, 16_000
 FOLDS = 5
-MAX_KNOWN = 1_000_000  # tokens a worker remembers
+MAX_KNOWN, MAX_TOKEN = 1_000_000, 64  # tokens that a worker remembers, and their length
 _SLICE = 1 << 20
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -150,14 +150,6 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(m.encode()) % FEATURES for m in (*marks, f"={word}")]
 
 
-def _put(known: dict, key: str, value: object) -> None:
-    """Remember a short token's value, in bounded memory."""
-    if len(key) <= 64:
-        if len(known) >= MAX_KNOWN:
-            known.clear()
-        known[key] = value
-
-
 @dataclass
 class Reader:
     """Restored words of tokens and texts."""
@@ -201,11 +193,14 @@ class Model:
     def evidence(self, text: str | None) -> list[float]:
         """The highest scores of a text's distinct words, summed up, and its length in distinct tokens."""
         tokens, known = set((text or "").split()), self.known
+        if len(known) >= MAX_KNOWN:  # between two texts, so that none of its tokens is lost
+            known.clear()
         found = set(self.marked(self.reader.runs(text or "")))
         for token in tokens.difference(known):
             new = self.marked(self.reader.read(token))
             found.update(new)
-            _put(known, token, new)
+            if len(token) <= MAX_TOKEN:
+                known[token] = new
         for marked in filter(None, map(known.get, tokens)):
             found.update(marked)
         top = sorted((score for score, _ in found), reverse=True)[:TOP]
@@ -213,6 +208,7 @@ class Model:
         return [top[0], top[1], top[2], sum(top), max(0.0, top[0] - 4.0), float(np.log1p(len(tokens))), 1.0]
 
     def score(self, texts: list[str | None]) -> np.ndarray:
+        claim_memory(self, self.known.clear)
         x = np.array([self.evidence(t) for t in texts]).reshape(len(texts), -1)
         return 1 / (1 + np.exp(-np.clip(x @ self.beta, -30, 30)))
 
@@ -259,16 +255,22 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str =
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, texts, known = np.zeros((2, FEATURES), np.int32), [0, 0], {}
+        claim_memory(known, known.clear)
         for batch in batches:
             for t, toxic, calibrate in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if calibrate:
                     continue
                 texts[toxic] += 1
                 found = {f for w in shared.value.runs(t or "") for f in features(w)}
+                if len(known) >= MAX_KNOWN // 4:  # an entry has some ten numbers
+                    known.clear()
                 for token in set((t or "").split()):
-                    if token not in known:
-                        _put(known, token, {f for w in shared.value.read(token) for f in features(w)})
-                    found |= known.get(token, ())
+                    new = known.get(token)
+                    if new is None:
+                        new = tuple({f for w in shared.value.read(token) for f in features(w)})
+                        if len(token) <= MAX_TOKEN:
+                            known[token] = new
+                    found.update(new)
                 counts[toxic, list(found)] += 1
         at = np.flatnonzero(counts.any(axis=0))
         yield pa.RecordBatch.from_arrays(
@@ -288,6 +290,7 @@ def fit(df: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str =
 
     def calibrate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            claim_memory(sharing.value, sharing.value.known.clear)
             x = [sharing.value.evidence(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 

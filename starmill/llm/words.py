@@ -14,6 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from starmill.llm.common import claim_memory
+
 #: Ids as little-endian unsigned 32-bit integers.
 ID = np.dtype("<u4")
 # A worker's memory for chunks: about 250 bytes each.
@@ -68,6 +70,9 @@ class ChunkIds:
         self.bare = lru_cache(maxsize=200_000)(self._bare)
         self.ids: Callable[[str], bytes] = self._words if lower else self._spaced
 
+    def forget(self) -> None:
+        self.known.clear(), self.bare.cache_clear(), self.whole.cache_clear()
+
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID).tobytes()
 
@@ -130,6 +135,12 @@ class ChunkIds:
 
 
 @lru_cache(maxsize=4)
-def chunk_ids(path: str, lower: bool) -> ChunkIds:
-    """One for each worker process, kept from task to task."""
+def _chunk_ids(path: str, lower: bool) -> ChunkIds:
     return ChunkIds(path, lower)
+
+
+def chunk_ids(path: str, lower: bool) -> ChunkIds:
+    """One for each worker process, kept from task to task until another operator runs there."""
+    found = _chunk_ids(path, lower)
+    claim_memory(found, found.forget)
+    return found
