@@ -61,7 +61,8 @@ raw_sales AS (
     'LOC' || l_suppkey AS location_id,
     CASE WHEN k % 997 = 0 THEN 'not-a-date' WHEN k % 499 = 0 THEN '1990-01-15'
          ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS sale_date,
-    CASE WHEN k % 1009 = 0 THEN 'many' ELSE CAST(q AS VARCHAR) END AS quantity,
+    CASE WHEN k % 1009 = 0 THEN 'many' WHEN k % 307 = 0 THEN q || '.0' WHEN k % 311 = 0 THEN q || '.5'
+         ELSE CAST(q AS VARCHAR) END AS quantity,
     CAST(price AS VARCHAR) AS unit_price,
     CASE WHEN k % 5 <> 0 THEN CAST(CAST(q * price * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS VARCHAR) END AS discount_amount,
     CASE WHEN k % 7 <> 0 THEN CAST(CAST(q * price * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS VARCHAR) END AS tax_amount
@@ -114,13 +115,14 @@ date_dim AS MATERIALIZED (
 _FACT = r"""
 resolved AS MATERIALIZED (
   SELECT s.sale_id, s.customer_id, s.product_id, s.location_id, s.sale_date, customer_key, product_key, location_key, date_key,
-    TRY_CAST(s.quantity AS INTEGER) AS quantity, CAST(s.unit_price AS DECIMAL(10,2)) AS unit_price,
-    CAST(TRY_CAST(s.quantity AS INTEGER) * CAST(s.unit_price AS DECIMAL(10,2)) AS DECIMAL(12,2)) AS gross_amount,
+    q AS quantity, CAST(s.unit_price AS DECIMAL(10,2)) AS unit_price,
+    CAST(q * CAST(s.unit_price AS DECIMAL(10,2)) AS DECIMAL(12,2)) AS gross_amount,
     coalesce(CAST(s.discount_amount AS DECIMAL(10,2)), 0) AS discount_amount,
     coalesce(CAST(s.tax_amount AS DECIMAL(10,2)), 0) AS tax_amount,
-    CAST(TRY_CAST(s.quantity AS INTEGER) * CAST(s.unit_price AS DECIMAL(10,2)) - coalesce(CAST(s.discount_amount AS DECIMAL(10,2)), 0)
+    CAST(q * CAST(s.unit_price AS DECIMAL(10,2)) - coalesce(CAST(s.discount_amount AS DECIMAL(10,2)), 0)
          + coalesce(CAST(s.tax_amount AS DECIMAL(10,2)), 0) AS DECIMAL(12,2)) AS net_amount
-  FROM raw_sales s LEFT JOIN customer_dim c ON s.customer_id = c.customer_id
+  FROM (SELECT *, CASE WHEN regexp_full_match(quantity, '-?\d+(\.0)?') THEN CAST(split_part(quantity, '.', 1) AS INTEGER) END AS q
+        FROM raw_sales) s LEFT JOIN customer_dim c ON s.customer_id = c.customer_id
     LEFT JOIN product_dim p ON s.product_id = p.product_id
     LEFT JOIN location_dim l ON s.location_id = l.location_id
     LEFT JOIN date_dim d ON TRY_CAST(s.sale_date AS DATE) = d.date_value
@@ -128,6 +130,7 @@ resolved AS MATERIALIZED (
 sales_fact AS MATERIALIZED (
   SELECT * FROM resolved
   WHERE customer_key IS NOT NULL AND product_key IS NOT NULL AND location_key IS NOT NULL AND date_key IS NOT NULL
+    AND quantity IS NOT NULL AND unit_price IS NOT NULL
 ),
 star AS (
   SELECT f.*, d.* EXCLUDE (date_key), p.product_name, p.category, p.subcategory, p.brand, l.store_name, l.region, l.state,
@@ -206,36 +209,37 @@ _MONEY = "DECIMAL(10,2)"
 
 
 def _below(column: str, bound: int) -> str:
-    return f"TRY_CAST({column} AS DECIMAL(20,2)) < {bound}"
+    return f"TRY_CAST({column} AS DECIMAL(38,10)) < {bound}"
 
 
 _RAW_RULES = [
     *_null_rules("customers", "customer_id first_name last_name email"),
     _type_rule("customers", "created_date", "DATE"), _type_rule("customers", "is_active", "BOOLEAN"),
-    ("customers", "customer_id", "pattern", r"NOT regexp_matches(customer_id, '^CUST\d+$')"),
+    ("customers", "customer_id", "pattern", r"NOT regexp_matches(customer_id, '^CUST\p{Nd}+$')"),
     ("customers", "first_name", "length_1_100", "length(first_name) NOT BETWEEN 1 AND 100"),
     ("customers", "last_name", "length_1_100", "length(last_name) NOT BETWEEN 1 AND 100"),
-    ("customers", "email", "pattern", r"NOT regexp_matches(email, '^[\w\.-]+@[\w\.-]+\.\w+$')"),
+    ("customers", "email", "pattern", r"NOT regexp_matches(email, '^[\pL\pM\p{Nd}\p{Pc}.-]+@[\pL\pM\p{Nd}\p{Pc}.-]+\.[\pL\pM\p{Nd}\p{Pc}]+$')"),
     ("customers", "state", "length_2_50", "length(state) NOT BETWEEN 2 AND 50"),
     *_null_rules("products", "product_id product_name category unit_price"),
     _type_rule("products", "unit_price", _MONEY), _type_rule("products", "cost", _MONEY),
     _type_rule("products", "is_active", "BOOLEAN"),
-    ("products", "product_id", "pattern", r"NOT regexp_matches(product_id, '^PROD\d+$')"),
+    ("products", "product_id", "pattern", r"NOT regexp_matches(product_id, '^PROD\p{Nd}+$')"),
     ("products", "product_name", "length_1_255", "length(product_name) NOT BETWEEN 1 AND 255"),
     ("products", "unit_price", "at_least_0", _below("unit_price", 0)),
-    ("products", "unit_price", "less_than_100000", "TRY_CAST(unit_price AS DECIMAL(20,2)) >= 100000"),
+    ("products", "unit_price", "less_than_100000", "TRY_CAST(unit_price AS DECIMAL(38,10)) >= 100000"),
     ("products", "cost", "at_least_0", _below("cost", 0)),
     *_null_rules("locations", "location_id store_name city state country"),
-    ("locations", "location_id", "pattern", r"NOT regexp_matches(location_id, '^LOC\d+$')"),
+    ("locations", "location_id", "pattern", r"NOT regexp_matches(location_id, '^LOC\p{Nd}+$')"),
     ("locations", "region", "allowed_value", "region NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')"),
     *_null_rules("sales", "sale_id customer_id product_id location_id sale_date quantity unit_price"),
-    _type_rule("sales", "sale_date", "DATE"), _type_rule("sales", "quantity", "INTEGER"),
+    _type_rule("sales", "sale_date", "DATE"),
+    ("sales", "quantity", "type", r"NOT regexp_full_match(quantity, '-?\d+(\.0)?')"),
     *[_type_rule("sales", c, _MONEY) for c in ("unit_price", "discount_amount", "tax_amount")],
-    ("sales", "customer_id", "pattern", r"NOT regexp_matches(customer_id, '^CUST\d+$')"),
-    ("sales", "product_id", "pattern", r"NOT regexp_matches(product_id, '^PROD\d+$')"),
-    ("sales", "location_id", "pattern", r"NOT regexp_matches(location_id, '^LOC\d+$')"),
-    ("sales", "quantity", "more_than_0", "TRY_CAST(quantity AS DECIMAL(20,2)) <= 0"),
-    ("sales", "quantity", "less_than_10000", "TRY_CAST(quantity AS DECIMAL(20,2)) >= 10000"),
+    ("sales", "customer_id", "pattern", r"NOT regexp_matches(customer_id, '^CUST\p{Nd}+$')"),
+    ("sales", "product_id", "pattern", r"NOT regexp_matches(product_id, '^PROD\p{Nd}+$')"),
+    ("sales", "location_id", "pattern", r"NOT regexp_matches(location_id, '^LOC\p{Nd}+$')"),
+    ("sales", "quantity", "more_than_0", "TRY_CAST(quantity AS DECIMAL(38,10)) <= 0"),
+    ("sales", "quantity", "less_than_10000", "TRY_CAST(quantity AS DECIMAL(38,10)) >= 10000"),
     ("sales", "unit_price", "at_least_0", _below("unit_price", 0)),
     ("sales", "discount_amount", "at_least_0", _below("discount_amount", 0)),
     ("sales", "tax_amount", "at_least_0", _below("tax_amount", 0)),
@@ -288,6 +292,44 @@ def _profile(table: str, columns: str) -> str:
     return _union(parts)
 
 
+# The stored tables' columns, but the load time and what only the storage needs.
+_COLUMNS = {
+    "customer_dim": "customer_key customer_id full_name email phone address city state zip_code country created_date is_active",
+    "product_dim": "product_key product_id product_name category subcategory brand unit_price cost margin is_active",
+    "location_dim": "location_key location_id store_name address city state zip_code region country",
+    "date_dim": "date_key date_value year quarter month month_name day day_of_week day_name week_of_year is_weekend fiscal_year",
+    "sales_fact": "sale_id customer_key product_key location_key date_key quantity unit_price gross_amount discount_amount"
+                  " tax_amount net_amount",
+}
+
+
+def _row_text(table: str) -> str:
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _COLUMNS[table].split())
+    return f"SELECT '{table}' AS table_name, concat_ws('|', {parts}) AS row_text FROM {table}"
+
+
+# Type by the contract, and the type found in text files where it differs: digits look like numbers, and a few
+# unreadable values make a column text.
+_TYPES = {
+    "customers": "customer_id:string first_name:string last_name:string:int email:string phone:string address:string city:string"
+                 " state:string zip_code:string:int country:string created_date:date is_active:boolean",
+    "products": "product_id:string product_name:string category:string subcategory:string brand:string"
+                " unit_price:decimal(10,2):double cost:decimal(10,2):double is_active:boolean",
+    "locations": "location_id:string store_name:string address:string city:string state:string zip_code:string:int region:string"
+                 " country:string",
+    "sales": "sale_id:string customer_id:string product_id:string location_id:string sale_date:date:string quantity:int:string"
+             " unit_price:decimal(10,2):double discount_amount:decimal(10,2):double tax_amount:decimal(10,2):double",
+}
+
+
+def _drift() -> str:
+    rows = []
+    for table, columns in _TYPES.items():
+        for name, contract, *found in (c.split(":") for c in columns.split()):
+            rows.append((table, name, contract, *(found or [contract]), "type_differs" if found else "match"))
+    return f"SELECT * FROM (VALUES {', '.join(map(str, rows))}) AS t(table_name, column_name, contract_type, found_type, status)"
+
+
 _SLICE = """date_value BETWEEN DATE '1997-03-05' AND DATE '1999-07-09'
   AND brand IN ('Brand#2', 'Brand#3', 'Brand#5', 'Brand#7')"""
 _PURCHASES = "SELECT customer_key, count(sale_id) AS purchases FROM customer_dim LEFT JOIN sales_fact USING (customer_key) GROUP BY customer_key"
@@ -302,23 +344,32 @@ _NO_KEY = "customer_key IS NULL OR product_key IS NULL OR location_key IS NULL O
 ORACLE: dict[str, str] = {
     "scan_raw_tables": _on_raw(_union([
         f"SELECT '{t}' AS table_name, count(*) AS row_count, count({c}) AS id_count FROM raw_{t}" for t, c in _RAW_ID.items()])),
-    "bulk_load_with_error_budget": _on_raw("""SELECT 'sales' AS table_name, count(*) AS rows_read,
+    "bulk_load_with_error_budget": _on_star(_union(["""SELECT 'sales' AS table_name, count(*) AS rows_read,
         count(*) - count(*) FILTER (WHERE bad) AS rows_loaded, count(*) FILTER (WHERE bad) AS rows_rejected
-        FROM (SELECT TRY_CAST(sale_date AS DATE) IS NULL OR TRY_CAST(quantity AS INTEGER) IS NULL AS bad FROM raw_sales)"""),
+        FROM (SELECT TRY_CAST(sale_date AS DATE) IS NULL OR NOT regexp_full_match(quantity, '-?\\d+') OR customer_id IS NULL AS bad
+              FROM raw_sales)""",
+        *[f"SELECT '{t}' AS table_name, count(*) AS rows_read, count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_rejected FROM {t}"
+          for t in _COLUMNS]])),
     "recent_load_errors": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, value FROM events
         WHERE event_type = 'error' AND ts > TIMESTAMP '2024-01-30 11:00:00' AND ts <= TIMESTAMP '2024-01-30 12:00:00'""",
     "customer_dim": _on_dims(_CUSTOMER),
     "product_dim": _on_dims(_PRODUCT),
-    "load_replace": _on_dims(_PRODUCT),
+    "load_replace": _on_dims(_union([_row_text(t) for t in _COLUMNS if t != "sales_fact"])),
     "location_dim": _on_dims("SELECT * FROM location_dim"),
     "date_dim": _on_dims(f"SELECT * EXCLUDE (date_value), {_D('date_value')} FROM date_dim"),
     "sales_fact": _on_star(_FACT_ROWS),
-    "curated_roundtrip": _on_star(_FACT_ROWS),
-    "compact_sorted": _on_star(_FACT_ROWS),
+    "curated_roundtrip": _on_star(_union([_row_text(t) for t in _COLUMNS])),
+    "compact_sorted": _on_star(_union([_row_text(t) for t in _COLUMNS])),
+    "input_gate": _on_star(_union(
+        [f"SELECT 'raw' AS stage, '{t}' AS folder, count(*) > 0 AS present, count(*) > 0 AS passed FROM raw_{t}" for t in _RAW_ID]
+        + [f"SELECT 'curated' AS stage, '{f}' AS folder, count(*) > 0 AS present, count(*) > 0 AS passed FROM {t}" for f, t in (
+            *((t, t) for t in _COLUMNS if t != "sales_fact"), ("sales_lines", "resolved"))])),
+    "schema_drift": _drift(),
     "sales_fact_rejects": _on_star(f"""SELECT sale_id, customer_id, product_id, location_id, sale_date,
         concat_ws(',', CASE WHEN customer_key IS NULL THEN 'customer_key' END, CASE WHEN product_key IS NULL THEN 'product_key' END,
-          CASE WHEN location_key IS NULL THEN 'location_key' END, CASE WHEN date_key IS NULL THEN 'date_key' END) AS reject_reason
-        FROM resolved WHERE {_NO_KEY}"""),
+          CASE WHEN location_key IS NULL THEN 'location_key' END, CASE WHEN date_key IS NULL THEN 'date_key' END,
+          CASE WHEN quantity IS NULL THEN 'quantity,gross_amount,net_amount' END) AS reject_reason
+        FROM resolved WHERE {_NO_KEY} OR quantity IS NULL"""),
     "surrogate_key_map": """WITH ids AS (SELECT 'CUST' || c_custkey AS customer_id, c_acctbal < 0 AS late FROM customer)
         SELECT customer_id, CASE WHEN late THEN (SELECT count(*) FROM ids WHERE NOT late) ELSE 0 END
           + row_number() OVER (PARTITION BY late ORDER BY substr(md5(customer_id), 1, 3), customer_id) AS customer_key FROM ids""",
@@ -425,7 +476,7 @@ ORACLE: dict[str, str] = {
         [_rule_row("customer_dim", "customer_dim", c, r, cond) for c, r, cond in (
             ("customer_key", "not_null", "customer_key IS NULL"), ("customer_key", "at_least_0", "customer_key < 0"),
             ("customer_id", "not_null", "customer_id IS NULL"),
-            ("email", "pattern", r"NOT regexp_matches(email, '^[\w\.-]+@[\w\.-]+\.\w+$')"))]
+            ("email", "pattern", r"NOT regexp_matches(email, '^[\pL\pM\p{Nd}\p{Pc}.-]+@[\pL\pM\p{Nd}\p{Pc}.-]+\.[\pL\pM\p{Nd}\p{Pc}]+$')"))]
         + [_unique_row("customer_dim", "customer_dim", c) for c in ("customer_key", "customer_id")]
         + [_rule_row("sales_fact", _KEYED_FACT, c, "not_null", f"{c} IS NULL")
            for c in ("sale_key", "customer_key", "product_key", "location_key", "date_key", "quantity", "gross_amount", "net_amount")]
@@ -502,9 +553,7 @@ ORACLE: dict[str, str] = {
           FROM (SELECT date_value, lead(date_value) OVER (ORDER BY date_value) AS next FROM date_dim) WHERE next <> date_value + 1
         UNION ALL SELECT 'covers_fact', count(*), count(*) = 0
           FROM sales_fact WHERE date_key NOT IN (SELECT date_key FROM date_dim)"""),
-    "column_profile": _on_dims(_union([
-        _profile("product_dim", "product_key product_id product_name category subcategory brand unit_price cost margin"),
-        _profile("location_dim", "location_key location_id store_name address city state zip_code region country")])),
+    "column_profile": _on_star(_union([_profile(t, c) for t, c in _COLUMNS.items()])),
     "cdc_merge": """WITH latest AS (SELECT o_custkey, o_orderpriority, o_orderstatus,
           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS n FROM orders)
         SELECT c_custkey, CASE WHEN o_custkey IS NULL THEN c_mktsegment ELSE o_orderpriority END AS last_order

@@ -14,8 +14,6 @@ from starmill.schemas import CURATED, RAW, conform
 VERSION = "source_modified"  # optional column: when the row's source file was written
 CALENDAR_START = date(2020, 1, 1)
 CALENDAR_END = date(2030, 12, 31)
-# A calendar is broadcast, so its length is checked.
-MAX_CALENDAR_DAYS = 200_000
 
 
 def keep_latest(df: DataFrame, key: str, newest: list[str]) -> DataFrame:
@@ -98,8 +96,6 @@ def with_keys(cleaned: DataFrame, key_map: DataFrame, table: str, loaded_at: Col
 def build_date_dimension(spark: SparkSession, start: date = CALENDAR_START, end: date = CALENDAR_END,
                          loaded_at: Column | None = None) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
-    if (end - start).days >= MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar longer than {MAX_CALENDAR_DAYS} days: {start}..{end}")
     days = spark.range(1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("INTERVAL 1 DAY"))).alias("_day"))
     loaded_at = F.current_timestamp() if loaded_at is None else loaded_at

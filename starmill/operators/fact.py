@@ -15,6 +15,7 @@ DIMENSIONS = ("customer", "product", "location")
 ACCEPTED, REJECTED = "accepted", "rejected"
 REJECT_IDS = ("customer_id", "product_id", "location_id", "sale_date")
 KEYS = ("customer_key", "product_key", "location_key", "date_key")
+AMOUNTS = ("quantity", "unit_price", "gross_amount", "net_amount")
 
 # The stored form of all sales lines: accepted ones are the fact.
 SALES_LINES = StructType(
@@ -26,10 +27,9 @@ SALES_LINES = StructType(
 def resolve_sales(raw_sales: DataFrame, dims: dict[str, DataFrame], date_dim: DataFrame, loaded_at: Column, *,
                   first_key: int = 0, dim_rows: dict[str, int] | None = None,
                   reject_out_of_calendar: bool = True, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Every sales line with its keys, measures and (where a key is missing) ``reject_reason``.
+    """Every sales line with its keys, measures and (where a key or an amount is missing) ``reject_reason``.
 
-    ``raw_sales`` is a read of files.  Three lookups are broadcast or salted by
-    size; a calendar is always small.  With ``reject_out_of_calendar=False`` a
+    ``raw_sales`` is a read of files.  The lookups are broadcast or salted by size.  With ``reject_out_of_calendar=False`` a
     date outside the calendar keeps its key, only an unreadable date is missing.
     """
     dim_rows = dict(dim_rows or {})
@@ -48,15 +48,15 @@ def resolve_sales(raw_sales: DataFrame, dims: dict[str, DataFrame], date_dim: Da
         sales = lookup_join(sales, dims[name].select(key, f"{name}_key"), key, "left", spread="sale_key",
                             right_rows=dim_rows[name], hot=hot.get(key), broadcast_rows=broadcast_rows)
     if reject_out_of_calendar:
-        known = F.broadcast(date_dim.select("date_key", F.col("date_key").alias("_known_date")))
-        sales = sales.join(known, "date_key", "left").withColumn("date_key", F.col("_known_date"))
+        known = date_dim.select("date_key", F.col("date_key").alias("_known_date"))
+        sales = lookup_join(sales, known, "date_key", "left", spread="sale_key", right_rows=dim_rows.get("date"),
+                            broadcast_rows=broadcast_rows).withColumn("date_key", F.col("_known_date"))
 
     zero = F.lit(0).cast("decimal(10,2)")
     discount = F.coalesce("discount_amount", zero)
     tax = F.coalesce("tax_amount", zero)
     gross = F.col("quantity") * F.col("unit_price")
-    reason = F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in KEYS])
-    return sales.select(
+    lines = sales.select(
         "sale_key", "sale_id", "customer_id", "product_id", "location_id",
         F.col("_sale_date_text").alias("sale_date"), *KEYS, "quantity", "unit_price",
         gross.try_cast("decimal(12,2)").alias("gross_amount"),
@@ -64,18 +64,20 @@ def resolve_sales(raw_sales: DataFrame, dims: dict[str, DataFrame], date_dim: Da
         tax.alias("tax_amount"),
         (gross - discount + tax).try_cast("decimal(12,2)").alias("net_amount"),
         loaded_at.alias("etl_inserted_date"),
-        F.nullif(reason, F.lit("")).alias("reject_reason"),
     )
+    # An amount is missing if it is unreadable or does not fit its type; such a line would be lost to every sum.
+    reason = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in (*KEYS, *AMOUNTS)])
+    return lines.withColumn("reject_reason", F.nullif(reason, F.lit("")))
 
 
 def accepted(resolved: DataFrame) -> DataFrame:
-    """Fact rows: all four keys present."""
+    """Fact rows: all four keys and the amounts present."""
     rows = resolved.where("reject_reason IS NULL").withColumn("month_key", month_key(F.col("date_key")))
     return conform(rows, CURATED["sales_fact"])
 
 
 def rejected(resolved: DataFrame) -> DataFrame:
-    """Sales lines that miss a key, with the names of the missing keys."""
+    """Sales lines that miss a key or an amount, with the names of what is missing."""
     return resolved.where("reject_reason IS NOT NULL")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,12 +23,12 @@ def read_or_empty(spark: SparkSession, path: str, contract: T.StructType) -> Dat
     return spark.read.schema(empty).parquet(path)
 
 
-def observed(seen: Observation, names: list[str]) -> dict:
-    """Metrics of a finished action; 0 where an empty result was optimized away together with its metrics."""
+def observed(seen: Observation) -> dict | None:
+    """Metrics of a finished action; ``None`` where they are unknown, as when an empty plan is optimized away."""
     try:
         return dict(seen.get)
     except Py4JJavaError:
-        return dict.fromkeys(names, 0)
+        return None
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
@@ -44,14 +44,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     # Counted in the last stage, where a re-run task counts once.
-    df = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
-    if partition_by:
-        df = df.sortWithinPartitions(*partition_by, *(sort_by or []))
-    out = df.write.mode(mode)
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
+    if partition_by or sort_by:
+        rows = rows.sortWithinPartitions(*(partition_by or []), *(sort_by or []))
+    out = rows.write.mode(mode)
     if partition_by:
         out = out.partitionBy(*partition_by)
     out.parquet(path)
-    counts = observed(seen, ["rows", *metrics])
+    counts = observed(seen)
+    if counts is None:  # counted again rather than taken for 0
+        counts = df.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]).first().asDict()
     log.info("wrote %s rows to %s", counts["rows"], path)
     return counts
 
@@ -76,9 +78,20 @@ def without_known(df: DataFrame, stored: DataFrame, keys: list[str], batch: Data
     return df.join(known, keys, "left_anti").select(*df.columns)
 
 
+def one_per_key(df: DataFrame, key: str, best: list[Column]) -> DataFrame:
+    """The first row per key in the order of ``best``, which must be total; rows without a key all stay.
+
+    Spark limits each key to one row before the shuffle, so a key that repeats a lot costs nothing.
+    """
+    order = Window.partitionBy(key).orderBy(*best)
+    ranked = df.where(F.col(key).isNotNull()).withColumn("_row", F.row_number().over(order))
+    return ranked.where("_row = 1").drop("_row").unionByName(df.where(F.col(key).isNull()))
+
+
 def append_new(df: DataFrame, path: str, key: str, partition_by: list[str] | None = None) -> dict:
-    """Append the rows whose ``key`` is new; a replayed batch adds nothing."""
-    new = without_known(df, read_or_empty(df.sparkSession, path, df.schema), [key])
+    """Append the rows whose ``key`` is new, one per key; a replayed batch adds nothing."""
+    once = one_per_key(df, key, [F.col(c).desc_nulls_last() for c in df.columns])
+    new = without_known(once, read_or_empty(df.sparkSession, path, df.schema), [key], batch=df)
     return write_table(new, path, "append", partition_by)
 
 
@@ -101,7 +114,34 @@ def compact_sorted(df: DataFrame, path: str, sort_keys: list[str], files: int |
 
 def _ddl_column(field: T.StructField) -> str:
     comment = field.metadata.get("comment")
-    return f"`{field.name}` {field.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else "")
+    return f"`{field.name}` {field.dataType.simpleString()}" + (f" COMMENT {quoted(comment)}" if comment else "")
+
+
+def quoted(text: str) -> str:
+    """A text as a literal of Spark SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def move_into(spark: SparkSession, staging: str, target: str, replace: bool) -> None:
+    """Move the data files of a finished staging folder to ``target``, within one file system, instead of copying them.
+
+    Spark's file names are unique, so an append never overwrites.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    source, goal = path(staging), path(target)
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if replace:
+        files.delete(goal, True)
+        files.mkdirs(goal.getParent())
+        if not files.rename(source, goal):
+            raise OSError(f"cannot move {staging} to {target}")
+        return
+    files.mkdirs(goal)
+    for status in files.listStatus(source):
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")) and not files.rename(status.getPath(), path(goal, name)):
+            raise OSError(f"cannot move {name} to {target}")
+    files.delete(source, True)
 
 
 def register_table(spark: SparkSession, name: str, path: str, contract: T.StructType, comment: str = "",
@@ -110,7 +150,7 @@ def register_table(spark: SparkSession, name: str, path: str, contract: T.Struct
     partitions = partition_by or []
     columns = ", ".join(_ddl_column(f) for f in contract)
     by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} LOCATION '{path}' COMMENT '{comment}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} LOCATION '{path}' COMMENT {quoted(comment)}")
     if partitions:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 

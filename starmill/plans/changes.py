@@ -11,12 +11,17 @@ from starmill.operators.dimensions import keep_latest
 def merge_changes(stored: DataFrame, changes: DataFrame, key: str, version: str, deleted: str) -> DataFrame:
     """``stored`` after a change feed: the latest change per key replaces, adds or (``deleted``) removes the row.
 
-    Unchanged rows go through an anti join rather than through a full outer
-    join, so that the values of a row always come from one side.
+    A change without a flag is no deletion.  One full outer join on the latest change; a marker on the
+    change's side says from which side a row's values come, so that nulls are values too.
+    A stored row without a key stays; a change without a key is left out, as it is nobody's.
     """
-    latest = keep_latest(changes, key, [version])
-    kept = stored.join(latest.select(key), key, "left_anti")
-    return kept.unionByName(latest.where(~F.col(deleted)).select(*stored.columns))
+    latest = keep_latest(changes.where(F.col(key).isNotNull()), key, [version])
+    side = F.struct(F.coalesce(F.col(deleted), F.lit(False)).alias("_gone"), *latest.columns)
+    latest = latest.select(F.col(key).alias("_key"), side.alias("_change"))
+    both = stored.join(latest, F.col(key) == F.col("_key"), "full")
+    changed = F.col("_change").isNotNull()
+    return both.where(~changed | ~F.col("_change._gone")).select(
+        *[F.when(changed, F.col(f"_change.{c}")).otherwise(F.col(c)).alias(c) for c in stored.columns])
 
 
 def customer_history(versions: DataFrame, key: str, day: str, tracked: list[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from starmill.operators import dimensions as dims
 from starmill.operators.fact import ACCEPTED, SALES_LINES, by_status, resolve_sales
 from starmill.operators.keys import allocate_keys
 from starmill.operators.sinks import (
-    analyze_table, export_csv, read_or_empty, read_table, register_table, without_known, write_table)
+    analyze_table, export_csv, one_per_key, quoted, read_or_empty, read_table, register_table, without_known, write_table)
 from starmill.plans.aggregates import customer_summary, monthly_sales
 from starmill.plans.checks import null_key_verdict
 from starmill.plans.rules import DataQualityError
@@ -71,8 +71,8 @@ def load_fact(spark: SparkSession, raw_sales: DataFrame, target: str, loaded_at:
               append: bool = False, reject_out_of_calendar: bool = True) -> dict[str, int]:
     """Load the fact (replace, or append without replays) and quarantine what misses a key, in one job.
 
-    The stored dimensions are read back, so each is computed once.  A line
-    without a sale_id cannot be recognised as a replay.
+    The stored dimensions are read back, so each is computed once.  An append keeps one line per sale_id of a
+    batch, an accepted one before a rejected one; lines without a sale_id cannot be told apart and all stay.
     """
     stored = {d: read_table(spark, f"{target}/{d}_dim") for d in ("customer", "product", "location")}
     path = f"{target}/{SALES_FOLDER}"
@@ -84,6 +84,7 @@ def load_fact(spark: SparkSession, raw_sales: DataFrame, target: str, loaded_at:
     lines = by_status(resolve_sales(raw_sales, stored, read_table(spark, f"{target}/date_dim"), loaded_at,
                                     first_key=first, dim_rows=rows, reject_out_of_calendar=reject_out_of_calendar))
     if append:
+        lines = one_per_key(lines, "sale_id", [F.col("status").asc(), F.col("sale_key").asc()])
         lines = without_known(lines, known, ["sale_id", "status"], batch=raw_sales)
     written = write_table(lines, path, "append" if append else "overwrite", ["status", "month_key"],
                           SORT_KEYS["sales_fact"], rejects=F.count("reject_reason"))
@@ -111,7 +112,7 @@ def publish(spark: SparkSession, database: str, target: str) -> None:
     register_table(spark, f"{database}.{SALES_FOLDER}", f"{target}/{SALES_FOLDER}", SALES_LINES,
                    "Sales lines; status tells fact rows from rejects", ["status", "month_key"])
     analyze_table(spark, f"{database}.{SALES_FOLDER}", columns=False)
-    columns = ", ".join(f.name + (f" COMMENT '{f.metadata['comment']}'" if f.metadata else "") for f in CURATED["sales_fact"])
+    columns = ", ".join(f.name + (f" COMMENT {quoted(f.metadata['comment'])}" if f.metadata else "") for f in CURATED["sales_fact"])
     spark.sql(f"""CREATE OR REPLACE VIEW {database}.sales_fact ({columns}) COMMENT 'One row per sale line' AS
         SELECT {", ".join(CURATED["sales_fact"].names)} FROM {database}.{SALES_FOLDER} WHERE status = '{ACCEPTED}'""")
 
@@ -178,7 +179,7 @@ def run_pipeline(spark: SparkSession, source: str, target: str, *, database: str
         for table, n in {**rows, **loaded}.items():
             log.info("%s: %s rows", table, n)
         if loaded["rejects"]:
-            log.warning("%s sales lines miss a dimension key", loaded["rejects"])
+            log.warning("%s sales lines miss a dimension key or an amount", loaded["rejects"])
         state = "SUCCEEDED"
         return PipelineResult(star, {**rows, **loaded}, loaded["rejects"])
     except Exception:

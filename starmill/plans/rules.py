@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmill.schemas import CURATED, RAW
+from starmill.schemas import CURATED, RAW, WIDE
 from starmill.sources.raw import coercion_failure
 
 # Id and e-mail formats, allowed regions, bounds.
@@ -54,7 +54,8 @@ def required(column: str) -> Rule:
 
 
 def matches(column: str, pattern: str) -> Rule:
-    return Rule(column, "pattern", ~F.col(column).rlike(pattern))
+    """The pattern's classes hold for letters and digits of every script."""
+    return Rule(column, "pattern", ~F.col(column).rlike(f"(?U){pattern}"))
 
 
 def length_between(column: str, low: int, high: int) -> Rule:
@@ -65,19 +66,19 @@ def one_of(column: str, allowed) -> Rule:
     return Rule(column, "allowed_value", ~F.col(column).isin(*allowed))
 
 
-def at_least(column: str, bound, kind: str = "decimal(20,2)") -> Rule:
+def at_least(column: str, bound, kind=WIDE) -> Rule:
     return Rule(column, f"at_least_{bound}", F.col(column).try_cast(kind) < bound)
 
 
-def more_than(column: str, bound, kind: str = "decimal(20,2)") -> Rule:
+def more_than(column: str, bound, kind=WIDE) -> Rule:
     return Rule(column, f"more_than_{bound}", F.col(column).try_cast(kind) <= bound)
 
 
-def less_than(column: str, bound, kind: str = "decimal(20,2)") -> Rule:
+def less_than(column: str, bound, kind=WIDE) -> Rule:
     return Rule(column, f"less_than_{bound}", F.col(column).try_cast(kind) >= bound)
 
 
-def at_most(column: str, bound, kind: str = "decimal(20,2)") -> Rule:
+def at_most(column: str, bound, kind=WIDE) -> Rule:
     return Rule(column, f"at_most_{bound}", F.col(column).try_cast(kind) > bound)
 
 
@@ -206,7 +207,7 @@ def validate_curated_data(df: DataFrame, table: str) -> bool:
     return validate(df, curated_rules(table), table, CURATED[table].names[0])
 
 
-# The suite that is run on the fact: (expectation, column, arguments).
+# The suite that is run on the fact, as (expectation, column, arguments).
 FACT_SUITE = [
     ("column_exists", "customer_key", {}),
     ("column_exists", "product_key", {}),

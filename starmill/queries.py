@@ -129,6 +129,16 @@ def _no_audit(df: DataFrame) -> DataFrame:
     return df.drop("etl_inserted_date", "month_key")
 
 
+def _as_text(tables: dict[str, DataFrame]) -> DataFrame:
+    """All rows of several tables: the table's name, and the columns joined by bars."""
+    parts = []
+    for name, df in tables.items():
+        df = df.select([c for c in CURATED[name].names if c not in ("etl_inserted_date", "month_key", "sale_key")])
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+        parts.append(df.select(F.lit(name).alias("table_name"), text.alias("row_text")))
+    return rules.union_all(parts)
+
+
 # --- sources -----------------------------------------------------------------
 
 
@@ -142,21 +152,42 @@ def scan_raw_tables(w: Workspace) -> DataFrame:
 
 @query
 def schema_drift(w: Workspace) -> DataFrame:
-    """The contract against the schema found in text files of the raw products."""
-    path = w.new_folder("csv_products")
-    sinks.export_csv(w.raw["products"], path)
-    return raw.schema_drift(w.spark, path, "products", sampling=1.0)
+    """The contracts against the schemas found in text files of all raw tables, which are read whole."""
+    root = w.new_folder("csv_raw")
+
+    def found(table: str, df: DataFrame) -> DataFrame:
+        sinks.export_csv(df, f"{root}/{table}")
+        return raw.schema_drift(w.spark, f"{root}/{table}", table)
+
+    return rules.union_all(list(side_by_side(w.spark, {t: partial(found, t, df) for t, df in w.raw.items()}).values()))
 
 
 @query
 def bulk_load_with_error_budget(w: Workspace) -> DataFrame:
-    """All raw sales as text, loaded under the typed contract; unreadable dates and numbers go to the quarantine."""
-    path = w.new_folder("csv_sales")
-    sinks.export_csv(w.raw["sales"], path)
+    """The five stored tables and the raw sales as text, loaded under their typed contracts; bad lines go to the quarantine.
+
+    The fact is appended in two loads; its report adds them up.
+    """
+    root = w.new_folder("bulk")
     total = w.raw["sales"].count()
-    report = raw.bulk_load(w.spark, path, "sales", RAW["sales"], w.new_folder("loaded_sales"),
-                           w.new_folder("quarantine"), F.current_timestamp(), max_errors=total // 20)
-    return w.spark.createDataFrame([report], "table_name string, rows_read long, rows_loaded long, rows_rejected long")
+
+    def load(table: str, df: DataFrame, contract, part: str = "all", max_errors: int = 0) -> dict:
+        sinks.export_csv(df, f"{root}/csv/{table}-{part}")
+        return raw.bulk_load(w.spark, f"{root}/csv/{table}-{part}", table, contract, f"{root}/loaded/{table}", f"{root}/quarantine",
+                             F.current_timestamp(), max_errors, append=part != "all")
+
+    tables = w.star.tables()
+    fact, early = tables.pop("sales_fact"), F.col("month_key") <= 199912
+    jobs = {t: partial(load, t, df, CURATED[t]) for t, df in tables.items()}
+    jobs["sales"] = partial(load, "sales", w.raw["sales"], RAW["sales"], max_errors=total // 20)
+    reports = list(side_by_side(w.spark, jobs).values())
+    reports += [load("sales_fact", fact.where(c), CURATED["sales_fact"], part) for part, c in (("early", early), ("late", ~early))]
+    counts = ["rows_read", "rows_loaded", "rows_rejected"]
+    schema = "table_name string, rows_read long, rows_loaded long, rows_rejected long"
+    stored = sinks.read_table(w.spark, f"{root}/loaded/sales_fact").count()
+    if stored != sum(r["rows_loaded"] for r in reports if r["table_name"] == "sales_fact"):
+        raise raw.LoadError(f"the appended fact holds {stored} rows")
+    return w.spark.createDataFrame(reports, schema).groupBy("table_name").agg(*[F.sum(c).alias(c) for c in counts])
 
 
 @query
@@ -168,11 +199,11 @@ def recent_load_errors(w: Workspace) -> DataFrame:
 
 @query
 def input_gate(w: Workspace) -> DataFrame:
-    """Raw and curated folders: present, not empty, size."""
+    """Raw and curated folders: present and not empty."""
     w.star
     landing = files.folder_report(w.spark, w.landing, list(RAW)).withColumn("stage", F.lit("raw"))
     curated = files.folder_report(w.spark, w.warehouse, [*TABLES[:4], SALES_FOLDER]).withColumn("stage", F.lit("curated"))
-    return landing.unionByName(curated).drop("last_modified")
+    return landing.unionByName(curated).select("stage", "folder", "present", "passed")
 
 
 # --- build -------------------------------------------------------------------
@@ -250,29 +281,36 @@ def sales_enriched(w: Workspace) -> DataFrame:
 
 @query
 def curated_roundtrip(w: Workspace) -> DataFrame:
-    """The fact, exported as delimited text and read back under its contract."""
-    path = w.new_folder("fact_csv")
-    sinks.export_csv(w.star.fact, path)
-    back = w.spark.read.schema(CURATED["sales_fact"]).option("header", True).csv(path)
-    return _no_audit(back).drop("sale_key")
+    """The five stored tables, exported as delimited text and read back under their contracts."""
+    root = w.new_folder("curated_csv")
+
+    def back(table: str, df: DataFrame) -> DataFrame:
+        sinks.export_csv(df, f"{root}/{table}")
+        return w.spark.read.schema(CURATED[table]).option("header", True).option("escape", '"').csv(f"{root}/{table}")
+
+    return _as_text(side_by_side(w.spark, {t: partial(back, t, df) for t, df in w.star.tables().items()}))
 
 
 @query
 def load_replace(w: Workspace) -> DataFrame:
-    """The product dimension loaded twice by replacement: still one row per product."""
-    path = w.new_folder("product_replace")
-    for _ in range(2):
-        sinks.write_table(w.star.product, path)
-    return _no_audit(sinks.read_table(w.spark, path))
+    """The four dimensions loaded twice by replacement: still one row per member."""
+    root = w.new_folder("replaced")
+
+    def load(table: str, df: DataFrame) -> DataFrame:
+        for _ in range(2):
+            sinks.write_table(df, f"{root}/{table}", sort_by=SORT_KEYS[table])
+        return sinks.read_table(w.spark, f"{root}/{table}")
+
+    return _as_text({t: load(t, df) for t, df in w.star.tables().items() if t != "sales_fact"})
 
 
 @query
 def load_append_idempotent(w: Workspace) -> DataFrame:
-    """The fact appended in two overlapping batches, the second one twice; totals per month."""
+    """The fact appended in two overlapping batches, the second one twice and with repeated lines; totals per month."""
     path = w.new_folder("fact_append")
     fact = w.star.fact
     early = fact.where(F.col("month_key") <= 199912)
-    for batch in (early, fact, fact):
+    for batch in (early, fact.unionByName(fact.where("product_key % 5 = 0")), fact):
         sinks.append_new(batch, path, "sale_id", ["month_key"])
     return sinks.read_table(w.spark, path).groupBy("month_key").agg(
         F.count(F.lit(1)).alias("sales"), F.sum("net_amount").alias("net_amount"))
@@ -301,10 +339,14 @@ def mv_refresh_incremental(w: Workspace) -> DataFrame:
 
 @query
 def compact_sorted(w: Workspace) -> DataFrame:
-    """The fact rewritten in files sorted by date and customer."""
-    path = w.new_folder("fact_sorted")
-    sinks.compact_sorted(w.star.fact, path, SORT_KEYS["sales_fact"])
-    return _no_audit(sinks.read_table(w.spark, path)).drop("sale_key")
+    """The five stored tables rewritten in files sorted by their declared keys."""
+    root = w.new_folder("sorted")
+
+    def compact(table: str, df: DataFrame) -> DataFrame:
+        sinks.compact_sorted(df, f"{root}/{table}", SORT_KEYS[table])
+        return sinks.read_table(w.spark, f"{root}/{table}")
+
+    return _as_text({t: compact(t, df) for t, df in w.star.tables().items()})
 
 
 # --- analytics ---------------------------------------------------------------
@@ -471,8 +513,8 @@ def job_health(w: Workspace) -> DataFrame:
 
 @query
 def column_profile(w: Workspace) -> DataFrame:
-    return rules.union_all([checks.column_profile(_no_audit(w.star.product).drop("is_active"), "product_dim"),
-                            checks.column_profile(_no_audit(w.star.location), "location_dim")])
+    """All columns of the five stored tables, but the load time, the storage month and the running number of a sale."""
+    return rules.union_all([checks.column_profile(_no_audit(df).drop("sale_key"), t) for t, df in w.star.tables().items()])
 
 
 # --- change data and streams -------------------------------------------------
@@ -480,11 +522,11 @@ def column_profile(w: Workspace) -> DataFrame:
 
 @query
 def cdc_merge(w: Workspace) -> DataFrame:
-    """The orders' customers as a change feed: each order is a change of the customer's last order."""
+    """The orders' customers as a change feed: each order is a change of the customer's last order; some lack the flag."""
     stored = w.table("customer").select("c_custkey", F.col("c_mktsegment").alias("last_order"))
     feed = w.table("orders").select(
         F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("last_order"),
-        (F.col("o_orderstatus") == "P").alias("deleted"), F.col("o_orderkey").alias("version"))
+        F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus") == "P").alias("deleted"), F.col("o_orderkey").alias("version"))
     return changes.merge_changes(stored, feed, "c_custkey", "version", "deleted")
 
 
@@ -501,9 +543,8 @@ def stream_sales(w: Workspace) -> DataFrame:
     events = w.table("events")
     stream = sales_stream.read_stream(w.spark, w.sf_dir, events.schema, files="events.parquet")
     target = w.new_folder("stream_sales")
-    bought = sales_stream.without_replays(stream.where("event_type = 'purchase'"), "event_id", "ts")
-    run = sales_stream.append_stream(bought.select("event_id", "ts", "user_id", "value"), target, f"{target}_checkpoint")
-    run.awaitTermination()
+    bought = stream.where("event_type = 'purchase'").select("event_id", "ts", "user_id", "value")
+    sales_stream.append_stream(bought, "event_id", target, f"{target}_checkpoint").awaitTermination()
     return w.spark.read.parquet(target)
 
 

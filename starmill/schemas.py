@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PRICE = T.DecimalType(10, 2)
+# Wide enough to compare any amount as it is written.
+WIDE = T.DecimalType(38, 10)
 AMOUNT = T.DecimalType(12, 2)
 
 
@@ -82,7 +84,7 @@ NATURAL_KEYS = {
 SURROGATE_KEYS = {
     "customer_dim": "customer_key", "product_dim": "product_key", "location_dim": "location_key",
 }
-# Sort order of each stored table.
+# The sort keys that the tables declare.
 SORT_KEYS = {
     "customer_dim": ["customer_id"],
     "product_dim": ["category", "product_id"],
@@ -98,9 +100,15 @@ def text_schema(table: str) -> T.StructType:
 
 
 def coerce(column: Column, kind: T.DataType) -> Column:
-    """Convert without raising: a value that does not fit becomes null."""
+    """Convert without raising: a value that does not fit becomes null.
+
+    A whole number may be written with decimals ("2.0"); a fraction is no whole number.
+    """
     if isinstance(kind, T.DateType):
         return F.try_to_date(column.cast("string"))
+    if isinstance(kind, T.IntegralType):
+        number = column.try_cast(WIDE)
+        return F.when(number == F.floor(number), number.try_cast(kind))
     return column.try_cast(kind)
 
 

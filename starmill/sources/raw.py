@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.operators.dimensions import VERSION
-from starmill.operators.sinks import observed
+from starmill.operators.sinks import move_into, observed
 from starmill.schemas import RAW, coerce
 
 log = logging.getLogger("starmill")
@@ -57,41 +58,51 @@ def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> Data
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 
-def read_for_load(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+def read_for_load(spark: SparkSession, path: str, contract: T.StructType, **options: str) -> DataFrame:
     """Delimited text under a typed contract, by position, header skipped; bad rows keep their text."""
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in contract] + [T.StructField(CORRUPT, T.StringType())])
     return (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).options(**options).csv(path))
 
 
 def bulk_load(spark: SparkSession, path: str, table: str, contract: T.StructType, target: str, quarantine: str,
-              loaded_at: Column, max_errors: int = 100) -> dict:
-    """Load text files into a Parquet table; unreadable rows go to the quarantine.
-
-    The load itself counts the bad rows; the text is parsed a second time only
-    if there is something to quarantine.  With more than ``max_errors`` of them the load
-    fails before the target is touched by anything but a staging folder.
+              loaded_at: Column, max_errors: int = 100, append: bool = False, **options: str) -> dict:
+    """Load text files into a Parquet table, in place of it or (``append``) beside what it holds.
+
+    Rows that do not parse, or lack a required column, go to the quarantine, in a folder of this source
+    and table: a repeated load replaces its own lines there.  The load itself counts the bad rows; the text is
+    parsed a second time only if there are any.  With more than ``max_errors`` of them the load fails
+    before the target is touched; else the written files are moved there.  ``options`` go to the
+    reader, such as ``dateFormat``.
     """
-    rows = read_for_load(spark, path, contract)
+    rows = read_for_load(spark, path, contract, **options)
+    lacking = F.lit(False)
+    for f in contract:
+        lacking = lacking | F.col(f.name).isNull() if not f.nullable else lacking
+    unfit = F.col(CORRUPT).isNotNull() | lacking
     seen = Observation()
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("read"), F.count(CORRUPT).alias("bad"))
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(unfit).alias("bad"))
     staging = f"{target}_staging"
-    counted.where(F.col(CORRUPT).isNull()).drop(CORRUPT).write.mode("overwrite").parquet(staging)
-    counts = observed(seen, ["read", "bad"])
+    counted.where(~unfit).drop(CORRUPT).write.mode("overwrite").parquet(staging)
+    counts = observed(seen)
+    if counts is None:
+        counts = rows.cache().agg(F.count(F.lit(1)).alias("read"), F.count_if(unfit).alias("bad")).first().asDict()
+        rows.unpersist()
     if counts["bad"]:
         parsed = F.to_json(F.struct(*contract.names)).alias("parsed")
-        bad = rows.where(F.col(CORRUPT).isNotNull()).select(
+        bad = rows.where(unfit).select(
             F.lit(table).alias("table_name"), loaded_at.alias("load_ts"), F.col(CORRUPT).alias("raw_line"), parsed)
-        bad.write.mode("append").parquet(quarantine)
+        source = hashlib.md5(path.encode()).hexdigest()[:12]
+        bad.write.mode("overwrite").parquet(f"{quarantine}/load={table}-{source}")
     if counts["bad"] > max_errors:
         raise LoadError(f"{table}: {counts['bad']} unreadable rows, {max_errors} allowed")
-    spark.read.parquet(staging).write.mode("overwrite").parquet(target)
+    move_into(spark, staging, target, replace=not append)
     return {"table_name": table, "rows_read": counts["read"], "rows_loaded": counts["read"] - counts["bad"],
             "rows_rejected": counts["bad"]}
 
 
-def schema_drift(spark: SparkSession, path: str, table: str, fmt: str = "csv", sampling: float = 0.1) -> DataFrame:
-    """The contract against the schema found in the files: one row per column, of metadata only.
+def schema_drift(spark: SparkSession, path: str, table: str, fmt: str = "csv", sampling: float = 1.0) -> DataFrame:
+    """The contract against the schema found in the files: one row per column.  Text files are read whole by default.
 
     status: ``match``, ``type_differs``, ``missing`` (not in the files) or ``extra`` (allowed).
     """

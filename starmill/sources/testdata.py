@@ -135,7 +135,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         product.alias("product_id"),
         F.concat(F.lit("LOC"), "l_suppkey").alias("location_id"),
         day.alias("sale_date"),
-        F.when(every("k", 1009), "many").otherwise(quantity.cast("string")).alias("quantity"),
+        (F.when(every("k", 1009), "many").when(every("k", 307), F.concat(quantity, F.lit(".0")))
+         .when(every("k", 311), F.concat(quantity, F.lit(".5"))).otherwise(quantity.cast("string"))).alias("quantity"),
         F.col("price").alias("unit_price"),
         F.when(~every("k", 5), share("l_discount")).alias("discount_amount"),
         F.when(~every("k", 7), share("l_tax")).alias("tax_amount"),

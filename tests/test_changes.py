@@ -8,10 +8,11 @@ from starmill.streaming import sales_stream
 
 def test_merge_takes_the_latest_change_per_key(spark):
     stored = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", None)], "id string, v string")
-    feed = spark.createDataFrame([("a", "x", False, 1), ("a", "y", False, 2), ("b", "z", True, 5), ("d", None, False, 1), ("e", "q", True, 1)],
+    feed = spark.createDataFrame([("a", "x", False, 1), ("a", "y", None, 2), ("b", "z", True, 5), ("d", None, False, 1), ("e", "q", True, 1),
+                                  ("f", "n", None, 3), (None, "n", False, 3)],
                                  "id string, v string, deleted boolean, version int")
     merged = changes.merge_changes(stored, feed, "id", "version", "deleted")
-    assert rows(merged) == sorted([("a", "y"), ("c", None), ("d", None)], key=repr)
+    assert rows(merged) == sorted([("a", "y"), ("c", None), ("d", None), ("f", "n")], key=repr)
 
 
 def test_history_against_a_plain_loop(spark):
@@ -45,8 +46,9 @@ def test_stream_appends_each_sale_once(spark, tmp_path):
 
     def ingest(schema):
         stream = sales_stream.read_stream(spark, source, schema)
-        sales_stream.append_stream(sales_stream.without_replays(stream, "sale_id", "ts"), target, checkpoint).awaitTermination()
+        sales_stream.append_stream(stream, "sale_id", target, checkpoint).awaitTermination()
 
-    ingest(drop([1, 2, 3, 3]))
-    ingest(drop([3, 4, 2, 5]))
-    assert rows(spark.read.parquet(target).select("sale_id")) == [(i,) for i in range(1, 6)]
+    ingest(drop([1000, 1001, 1002, 1002]))
+    ingest(drop([1002, 1003, 1001, 1004]))
+    ingest(drop([500, 1]))  # hours behind the others
+    assert rows(spark.read.parquet(target).select("sale_id")) == [(1,), (1000,), (1001,), (1002,), (1003,), (1004,), (500,)]

@@ -54,14 +54,19 @@ def test_rejects_name_the_missing_keys(spark, star, calendar):
     out = rejected(resolve(spark, star, calendar, DIRTY))
     assert dict(rows(out, "sale_id", "reject_reason")) == {
         "SALE2": "customer_key", "SALE3": "product_key", "SALE4": "customer_key,location_key", "SALE5": "date_key",
-        "SALE6": "date_key", "SALE11": "date_key"}
+        "SALE6": "date_key", "SALE10": "quantity,gross_amount,net_amount", "SALE11": "date_key"}
     assert dict(rows(out, "sale_id", "sale_date"))["SALE5"] == "soon"
 
 
-def test_unreadable_quantity_is_kept_without_amounts(spark, star, calendar):
-    out = accepted(resolve(spark, star, calendar, DIRTY))
-    assert dict(rows(out, "sale_id", "net_amount"))["SALE10"] is None
-    assert {r[0] for r in rows(out, "sale_id")} == {"SALE1", "SALE7", "SALE8", "SALE9", "SALE10"}
+def test_lines_without_amounts_are_rejected(spark, star, calendar):
+    data = [*DIRTY, sale(12, quantity="2.0"), sale(13, quantity="2.5"), sale(14, quantity="99999999", unit_price="99999.00"),
+            sale(15, unit_price="cheap"), sale(16, quantity=None)]
+    resolved = resolve(spark, star, calendar, data)
+    assert {r[0] for r in rows(accepted(resolved), "sale_id")} == {"SALE1", "SALE7", "SALE8", "SALE9", "SALE12"}
+    assert dict(rows(accepted(resolved), "sale_id", "quantity"))["SALE12"] == 2
+    reasons = dict(rows(rejected(resolved), "sale_id", "reject_reason"))
+    assert (reasons["SALE13"], reasons["SALE14"], reasons["SALE15"]) == (
+        "quantity,gross_amount,net_amount", "gross_amount,net_amount", "unit_price,gross_amount,net_amount")
 
 
 def test_dates_outside_the_calendar_may_be_let_through(spark, star, calendar):

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 
 FOLDER = entry.SMOKE_DIR
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "conversations"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not here")
 
