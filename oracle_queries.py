@@ -336,6 +336,9 @@ _PURCHASES = "SELECT customer_key, count(sale_id) AS purchases FROM customer_dim
 _DAILY = "SELECT date_value, year, quarter, month, day, fiscal_year, is_weekend, sum(net_amount) AS net, count(*) AS sales FROM star GROUP BY ALL"
 _MONTHS = "SELECT year, month, sum(net_amount) AS net FROM star GROUP BY ALL"
 _PRODUCTS = "SELECT category, product_name, CAST(sum(quantity) AS BIGINT) AS units_sold, sum(net_amount) AS revenue FROM star GROUP BY ALL"
+_TOP_CUSTOMERS = f"""SELECT customer_id, full_name, customer_city AS city, customer_state AS state,
+  count(*) AS total_purchases, {_NET} AS lifetime_value FROM star GROUP BY ALL
+  ORDER BY lifetime_value DESC, customer_id LIMIT {{0}}"""
 _COUNTS = {"customer_dim": "customers", "product_dim": "products", "location_dim": "locations", "date_dim": "dates",
            "sales_fact": "sales_transactions"}
 _PLURAL = {"customer_key": "customers", "product_key": "products", "location_key": "locations", "date_key": "dates"}
@@ -384,9 +387,8 @@ ORACLE: dict[str, str] = {
     "mv_monthly_sales": _on_star(_MONTHLY),
     "mv_refresh_incremental": _on_star(_MONTHLY),
     "mv_customer_summary": _on_star(_SUMMARY),
-    "top_customers": _on_star(f"""SELECT customer_id, full_name, customer_city AS city, customer_state AS state,
-        count(*) AS total_purchases, {_NET} AS lifetime_value FROM star GROUP BY ALL
-        ORDER BY lifetime_value DESC, customer_id LIMIT 10"""),
+    "top_customers": _on_star(_TOP_CUSTOMERS.format(10)),
+    "top20_customers": _on_star(_TOP_CUSTOMERS.format(20)),
     "monthly_trend": _on_star(f"""SELECT year, month_name, count(DISTINCT customer_key) AS unique_customers,
         CAST(sum(quantity) AS BIGINT) AS units_sold, {_NET} AS total_revenue, {_AVG} AS avg_transaction_value
         FROM star GROUP BY year, month, month_name ORDER BY year, month"""),
@@ -410,9 +412,11 @@ ORACLE: dict[str, str] = {
         FROM (SELECT product_name, sum(net_amount) AS revenue, rank() OVER (ORDER BY sum(net_amount) DESC) AS r
               FROM star GROUP BY product_name) WHERE r <= 10"""),
     "customer_ltv": _on_star(f"SELECT customer_id, {_NET} AS customer_ltv FROM star GROUP BY customer_id"),
-    "sales_ma30": _on_star(f"""SELECT {_D('date_value')}, CAST(net AS DOUBLE) AS daily_sales,
-        CAST(sum(net) OVER w AS DOUBLE) / count(net) OVER w AS sales_ma30 FROM ({_DAILY})
-        WINDOW w AS (ORDER BY date_value RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)"""),
+    "sales_ma30": _on_star(f"""SELECT {_D('date_value')}, daily_sales, sales_ma30 FROM (
+        SELECT date_value, CAST(net AS DOUBLE) AS daily_sales, CAST(sum(net) OVER w AS DOUBLE) / nullif(count(net) OVER w, 0) AS sales_ma30
+        FROM date_dim LEFT JOIN (SELECT date_value, sum(net_amount) AS net FROM star GROUP BY date_value) USING (date_value)
+        WHERE date_value <= (SELECT max(date_value) FROM star)
+        WINDOW w AS (ORDER BY date_value RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)) WHERE sales_ma30 IS NOT NULL"""),
     "kpi_mom": _on_star(f"""SELECT year, month, total_sales, total_transactions, avg_transaction_value, unique_customers,
         lag(total_sales) OVER w AS previous_total_sales, lag(total_transactions) OVER w AS previous_total_transactions,
         lag(avg_transaction_value) OVER w AS previous_avg_transaction_value, lag(unique_customers) OVER w AS previous_unique_customers

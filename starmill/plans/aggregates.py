@@ -39,28 +39,42 @@ def monthly_sales(star: Star, fact: DataFrame | None = None) -> DataFrame:
 
 def customer_summary(star: Star) -> DataFrame:
     """Purchases of every customer, also of those without any."""
-    bought = star.join(star.fact, "date", ["date_value"], how="left").groupBy("customer_key").agg(
+    def day(key):  # the key is the date itself, so lines need not meet the calendar
+        return F.try_to_date(key.cast("string"), "yyyyMMdd")
+
+    bought = star.fact.groupBy("customer_key").agg(
         F.count("sale_key").alias("total_purchases"),
         F.sum("quantity").alias("total_items_purchased"),
         F.sum("net_amount").alias("lifetime_value"),
         m.average_sale().alias("avg_order_value"),
-        F.max("date_value").alias("last_purchase_date"),
-        F.min("date_value").alias("first_purchase_date"),
+        day(F.max("date_key")).alias("last_purchase_date"),
+        day(F.min("date_key")).alias("first_purchase_date"),
     )
     who = star.customer.select("customer_key", "customer_id", "full_name", "city", "state")
     return who.join(bought, "customer_key", "left").withColumn(
         "total_purchases", F.coalesce("total_purchases", F.lit(0)).cast("long"))
 
 
-def top_customers(star: Star, n: int = 10) -> DataFrame:
+def buyers(star: Star, summary: DataFrame | None = None) -> DataFrame:
+    """Customers who bought: from the stored customer ``summary``, or from the fact without one."""
+    return (customer_summary(star) if summary is None else summary).where("total_purchases > 0")
+
+
+def top_customers(star: Star, n: int = 10, summary: DataFrame | None = None) -> DataFrame:
     """The ``n`` customers with the highest lifetime value."""
-    spent = star.fact.groupBy("customer_key").agg(
-        F.count("sale_key").alias("total_purchases"), F.sum("net_amount").alias("lifetime_value"))
-    named = star.join(spent, "customer", ["customer_id", "full_name", "city", "state"], grouped=True)
-    return (named.select("customer_id", "full_name", "city", "state", "total_purchases", "lifetime_value")
+    return (buyers(star, summary).select("customer_id", "full_name", "city", "state", "total_purchases", "lifetime_value")
             .orderBy(F.desc_nulls_last("lifetime_value"), "customer_id").limit(n))
 
 
+def by_month(star: Star, dim: str, column: str) -> DataFrame:
+    """Net sales by month and one attribute of a dimension: lines are folded by month and key before any join."""
+    folded = star.fact.groupBy("month_key", f"{dim}_key").agg(F.sum("net_amount").alias("net"))
+    months = star.date.select((F.col("year").cast("int") * 100 + F.col("month")).alias("month_key"),
+                              "year", "month", "month_name").distinct()
+    rows = star.join(folded.join(months, "month_key"), dim, [column], grouped=True)
+    return rows.groupBy("year", "month", "month_name", column).agg(F.sum("net").alias("net"))
+
+
 def monthly_trend(star: Star) -> DataFrame:
     return (_months_of(star, star.fact).groupBy("year", "month", "month_name").agg(
         m.unique_customers().alias("unique_customers"),
@@ -110,8 +124,7 @@ def weekend_vs_weekday(star: Star) -> DataFrame:
 
 
 def category_by_month(star: Star) -> DataFrame:
-    rows = star.join(_months_of(star, star.fact), "product", ["category"])
-    return (rows.groupBy("year", "month", "month_name", "category").agg(m.total_sales().alias("revenue"))
+    return (by_month(star, "product", "category").withColumnRenamed("net", "revenue")
             .orderBy("year", "month", F.desc_nulls_last("revenue"), "category").drop("month"))
 
 
@@ -124,7 +137,7 @@ def sales_enriched(star: Star) -> DataFrame:
     # the customer's own state is not the store's
     customers = star.customer.select("customer_key", "customer_id", "full_name", F.col("state").alias("customer_state"))
     named = Star(fact=star.fact, customer=customers, product=star.product, location=star.location, date=star.date,
-                 rows=star.rows)
+                 rows=star.rows, _hot=star._hot)
     return named.join(rows, "customer", ["customer_id", "full_name", "customer_state"])
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from starmill.functions import measures as m
 from starmill.functions.calendar import date_key
 from starmill.functions.cleaning import safe_ratio
-from starmill.operators.ranking import rank_cuts, top_with_ties
-from starmill.plans.aggregates import customer_summary, product_revenue, sales_enriched
+from starmill.operators.ranking import rank_cuts, running_total, top_with_ties
+from starmill.plans.aggregates import buyers, by_month, customer_summary, product_revenue, sales_enriched
 from starmill.plans.warehouse import Star
 
 VIP_SHARE, REGULAR_SHARE = (1, 10), (1, 2)
@@ -78,19 +78,25 @@ def top10_products_total(star: Star, n: int = 10) -> DataFrame:
         F.count(F.lit(1)).alias("products"), F.sum("revenue").alias("top_products_sales"))
 
 
-def customer_ltv(star: Star) -> DataFrame:
+def customer_ltv(star: Star, summary: DataFrame | None = None) -> DataFrame:
     """Lifetime value per customer who bought."""
-    spent = star.fact.groupBy("customer_key").agg(F.sum("net_amount").alias("customer_ltv"))
-    return star.join(spent, "customer", ["customer_id"], grouped=True).select("customer_id", "customer_ltv")
+    return buyers(star, summary).select("customer_id", F.col("lifetime_value").alias("customer_ltv"))
 
 
 def sales_ma30(star: Star, days: int = 30) -> DataFrame:
-    """Daily net sales and their mean over the ``days``-day span that ends on the day; days without sales don't count."""
-    daily = _daily(star, ["date_value"]).withColumn("_n", F.unix_date("date_value"))
+    """Net sales of each calendar day up to the last sale, and their mean over the ``days``-day span that ends on the day.
+
+    Days without sales don't count for the mean; a day whose whole span has none is left out.
+    """
+    sold = star.fact.groupBy("date_key").agg(F.sum("net_amount").alias("net"))
+    days_sold = star.date.select("date_key", "date_value").join(sold, "date_key", "left")
+    last = F.max(F.when(F.col("net").isNotNull(), F.col("date_value"))).over(_whole())
+    daily = days_sold.withColumn("_last", last).where("date_value <= _last").withColumn("_n", F.unix_date("date_value"))
     # One row per calendar day.
     span = _whole("_n").rangeBetween(1 - days, 0)
     mean = F.sum("net").over(span).cast("double") / F.count("net").over(span)
-    return daily.select("date_value", F.col("net").alias("daily_sales"), mean.alias("sales_ma30")).orderBy("date_value")
+    return (daily.select("date_value", F.col("net").alias("daily_sales"), mean.alias("sales_ma30"))
+            .where("sales_ma30 IS NOT NULL").orderBy("date_value"))
 
 
 def kpi_mom(star: Star) -> DataFrame:
@@ -148,19 +154,15 @@ def price_vs_volume(star: Star) -> DataFrame:
 
 def category_waterfall(star: Star) -> DataFrame:
     """Each category's contribution and the running total, largest first."""
-    rows = sales_by(star, "product", "category").drop("transactions")
-    # One row per category.
-    order = Window.partitionBy(F.lit(1)).orderBy(F.desc_nulls_last("total_sales"), "category")
-    running = F.sum("total_sales").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    share = safe_ratio(F.col("total_sales"), F.sum("total_sales").over(_whole()))
-    return rows.select("category", "total_sales", running.alias("running_total"), share.alias("share"))
+    rows = running_total(sales_by(star, "product", "category").drop("transactions"), "total_sales", "category")
+    share = safe_ratio(F.col("total_sales"), F.col("grand_total"))
+    return rows.select("category", "total_sales", "running_total", share.alias("share"))
 
 
-def purchase_frequency_hist(star: Star) -> DataFrame:
+def purchase_frequency_hist(star: Star, summary: DataFrame | None = None) -> DataFrame:
     """How many customers made how many purchases (0 included)."""
-    bought = star.fact.groupBy("customer_key").agg(F.count("sale_key").alias("purchases"))
-    everyone = star.customer.select("customer_key").join(bought, "customer_key", "left")
-    return (everyone.groupBy(F.coalesce("purchases", F.lit(0)).alias("purchases"))
+    everyone = customer_summary(star) if summary is None else summary
+    return (everyone.groupBy(F.col("total_purchases").alias("purchases"))
             .agg(F.count(F.lit(1)).alias("customers")).orderBy("purchases"))
 
 
@@ -185,10 +187,9 @@ def customer_segment_summary(star: Star, summary: DataFrame | None = None) -> Da
         m.mean("lifetime_value").alias("avg_ltv"))
 
 
-def rfm(star: Star, as_of: date) -> DataFrame:
+def rfm(star: Star, as_of: date, summary: DataFrame | None = None) -> DataFrame:
     """Recency in days, frequency and monetary value per customer who bought."""
-    bought = customer_summary(star).where("total_purchases > 0")
-    return bought.select("customer_id", F.date_diff(F.lit(as_of), "last_purchase_date").alias("recency_days"),
+    return buyers(star, summary).select("customer_id", F.date_diff(F.lit(as_of), "last_purchase_date").alias("recency_days"),
                          F.col("total_purchases").alias("frequency"), F.col("lifetime_value").alias("monetary"))
 
 
@@ -208,8 +209,7 @@ def top_stores(star: Star, n: int = 10) -> DataFrame:
 
 def regional_trend(star: Star) -> DataFrame:
     """Net sales by region and month."""
-    rows = star.join(star.join(star.fact, "date", ["year", "month"]), "location", ["region"])
-    return (rows.groupBy("region", "year", "month").agg(m.total_sales().alias("total_sales"))
+    return (by_month(star, "location", "region").select("region", "year", "month", F.col("net").alias("total_sales"))
             .orderBy("region", "year", "month"))
 
 
@@ -272,7 +272,7 @@ def seasonality_index(star: Star) -> DataFrame:
 
 def _at_stores(star: Star, stores: DataFrame) -> DataFrame:
     chosen = Star(fact=star.fact, customer=star.customer, product=star.product, location=stores, date=star.date,
-                  rows=star.rows)
+                  rows=star.rows, _hot=star._hot)
     return chosen.join(star.fact, "location", [], "left_semi")
 
 

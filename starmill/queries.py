@@ -351,17 +351,25 @@ def compact_sorted(w: Workspace) -> DataFrame:
 
 # --- analytics ---------------------------------------------------------------
 
-for _build in (agg.top_customers, agg.monthly_trend, agg.top_products, agg.top_products_per_category,
+for _build in (agg.monthly_trend, agg.top_products, agg.top_products_per_category,
                agg.regional_performance, agg.weekend_vs_weekday, agg.category_by_month,
-               dash.kpi_summary, dash.yoy_growth, dash.top10_products_total, dash.customer_ltv, dash.sales_ma30,
+               dash.kpi_summary, dash.yoy_growth, dash.top10_products_total, dash.sales_ma30,
                dash.kpi_mom, dash.product_matrix_rollup, dash.price_vs_volume, dash.category_waterfall,
-               dash.purchase_frequency_hist,
                dash.store_performance, dash.top_stores, dash.regional_trend, dash.calendar_rollup,
                dash.fiscal_year_sales, dash.seasonality_index,
                checks.table_row_counts, checks.table_counts_wide, checks.constraint_report, checks.calendar_validity):
     QUERIES[_build.__name__] = lambda w, build=_build: build(w.star)
 
 
+for _build in (agg.top_customers, dash.customer_ltv, dash.purchase_frequency_hist):
+    QUERIES[_build.__name__] = lambda w, build=_build: build(w.star, summary=w.stored("mv_customer_summary"))
+
+
+@query
+def top20_customers(w: Workspace) -> DataFrame:
+    return agg.top_customers(w.star, 20, w.stored("mv_customer_summary"))
+
+
 @query
 def customer_segments(w: Workspace) -> DataFrame:
     return dash.customer_segments(w.star, w.stored("mv_customer_summary"))
@@ -394,7 +402,7 @@ def sales_by_state(w: Workspace) -> DataFrame:
 
 @query
 def rfm(w: Workspace) -> DataFrame:
-    return dash.rfm(w.star, RUN_DATE)
+    return dash.rfm(w.star, RUN_DATE, w.stored("mv_customer_summary"))
 
 
 @query
