@@ -2,42 +2,53 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# "file:/a", "file:///a" and "/a" are the same folder.
-SCHEME = "^[a-zA-Z][a-zA-Z0-9+.-]*:/+"
 
+def _open(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """path, length, modificationTime of every data file below ``folder``."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-             .select("path", "length", "modificationTime"))
-    return files.where(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
+
+def data_files(spark: SparkSession, folder: str) -> Iterator:
+    """Statuses of the data files below ``folder``, from the file system's own listing; none if it does not exist.
+
+    Lazy: whoever wants to know whether there is one takes the first.
+    """
+    files, path = _open(spark, folder)
+    if not files.exists(path):
+        return
+    listing = files.listFiles(path, True)
+    while listing.hasNext():
+        status = listing.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            yield status
 
 
 def folder_report(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
-    """folder, files, bytes, size_mb, last_modified, present (a file exists), passed (and has bytes).
+    """folder, files, bytes, size_mb, present (a data file exists), passed (and one has bytes).
 
-    The required folders drive the report, so that an absent one shows up as a row.
+    The required folders drive the report, so that an absent one, or an absent root, shows up as rows.
+    Only they are asked: presence takes the first files of a listing, size the file system's summary
+    (which also counts marker files).  No job is started.
     """
-    base = re.sub(SCHEME, "/", root).rstrip("/") + "/"
-    path = F.regexp_replace("path", SCHEME, "/")
-    listed = list_files(spark, root).where(path.startswith(base)).select(
-        "length", "modificationTime",
-        F.regexp_extract(path.substr(F.lit(len(base) + 1), F.length(path)), "^([^/]+)/", 1).alias("folder"))
-    found = listed.groupBy("folder").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
-        F.max("modificationTime").alias("last_modified"))
-    wanted = spark.createDataFrame([(f,) for f in folders], "folder string")
-    report = wanted.join(found, "folder", "left")
-    size = F.coalesce("bytes", F.lit(0))
-    return report.select(
-        "folder", F.coalesce("files", F.lit(0)).alias("files"), size.alias("bytes"),
-        (size / (1024 * 1024)).alias("size_mb"), "last_modified",
-        F.col("files").isNotNull().alias("present"), (size > 0).alias("passed"))
+    rows = []
+    for folder in folders:
+        files, path = _open(spark, f"{root.rstrip('/')}/{folder}")
+        present = passed = False
+        for status in data_files(spark, f"{root.rstrip('/')}/{folder}"):
+            present, passed = True, status.getLen() > 0
+            if passed:
+                break
+        summary = files.getContentSummary(path) if present else None
+        size = summary.getLength() if summary else 0
+        rows.append((folder, summary.getFileCount() if summary else 0, size, size / (1024 * 1024), present, passed))
+    return spark.createDataFrame(
+        rows, "folder string, files long, bytes long, size_mb double, present boolean, passed boolean")
 
 
 def missing_tables(spark: SparkSession, database: str, required: list[str]) -> list[str]:
@@ -48,8 +59,9 @@ def missing_tables(spark: SparkSession, database: str, required: list[str]) -> l
 
 def file_freshness(spark: SparkSession, folder: str, as_of: Column, max_age_hours: int = 24) -> DataFrame:
     """Age of the newest file; status NO_DATA where there is none."""
-    newest = list_files(spark, folder).agg(F.max("modificationTime").alias("last_modified"))
-    return freshness_of(newest, as_of, max_age_hours)
+    newest = max((s.getModificationTime() for s in data_files(spark, folder)), default=None)
+    last = None if newest is None else datetime.fromtimestamp(newest / 1000, timezone.utc)
+    return freshness_of(spark.createDataFrame([(last,)], "last_modified timestamp"), as_of, max_age_hours)
 
 
 def freshness_of(newest: DataFrame, as_of: Column, max_age_hours: int = 24) -> DataFrame:

@@ -177,6 +177,9 @@ def test_folder_report_and_freshness(spark, tmp_path):
     assert {r.folder: r.passed for r in again.collect()} == {"customers": True, "sales": True, "returns": False}
     assert report["customers"].passed and report["sales"].bytes > 0
     assert (report["returns"].present, report["returns"].passed, report["returns"].bytes) == (False, False, 0)
+    nowhere = files.folder_report(spark, str(tmp_path / "nowhere"), ["sales"]).first()
+    assert (nowhere.present, nowhere.passed, nowhere.files) == (False, False, 0)
+    assert files.file_freshness(spark, str(tmp_path / "nowhere"), F.current_timestamp()).first().status == "NO_DATA"
     soon = F.lit(datetime.now(timezone.utc) + timedelta(hours=1))
     late = F.lit(datetime.now(timezone.utc) + timedelta(hours=30))
     assert files.file_freshness(spark, f"{root}/sales", soon).first().status == "FRESH"
