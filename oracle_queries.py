@@ -387,6 +387,11 @@ ORACLE: dict[str, str] = {
     "mv_monthly_sales": _on_star(_MONTHLY),
     "mv_refresh_incremental": _on_star(_MONTHLY),
     "mv_customer_summary": _on_star(_SUMMARY),
+    "mv_customer_merge": _on_star(_SUMMARY),
+    "catalog_statistics": _on_star(_union([
+        f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {t}" for n, t in (
+            *((t, t) for t in _COLUMNS), ("sales_lines", "resolved"), ("mv_customer_summary", "customer_dim"),
+            ("mv_monthly_sales", f"({_MONTHLY})"))])),
     "top_customers": _on_star(_TOP_CUSTOMERS.format(10)),
     "top20_customers": _on_star(_TOP_CUSTOMERS.format(20)),
     "monthly_trend": _on_star(f"""SELECT year, month_name, count(DISTINCT customer_key) AS unique_customers,

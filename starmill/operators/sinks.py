@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 log = logging.getLogger("starmill")
+REQUIRED = "starmill.required"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -112,9 +113,11 @@ def compact_sorted(df: DataFrame, path: str, sort_keys: list[str], files: int |
     ranged.sortWithinPartitions(*sort_keys).write.mode("overwrite").parquet(path)
 
 
-def _ddl_column(field: T.StructField) -> str:
+def _ddl_column(field: T.StructField, default: str | None) -> str:
     comment = field.metadata.get("comment")
-    return f"`{field.name}` {field.dataType.simpleString()}" + (f" COMMENT {quoted(comment)}" if comment else "")
+    parts = [f"`{field.name}` {field.dataType.simpleString()}", "" if field.nullable else "NOT NULL",
+             f"DEFAULT {default}" if default else "", f"COMMENT {quoted(comment)}" if comment else ""]
+    return " ".join(p for p in parts if p)
 
 
 def quoted(text: str) -> str:
@@ -145,16 +148,22 @@ def move_into(spark: SparkSession, staging: str, target: str, replace: bool) ->
 
 
 def register_table(spark: SparkSession, name: str, path: str, contract: T.StructType, comment: str = "",
-                   partition_by: list[str] | None = None) -> None:
-    """Declare a stored folder as a catalog table with typed, commented columns, if it is not there yet."""
+                   partition_by: list[str] | None = None, defaults: dict[str, str] | None = None) -> None:
+    """Declare a stored folder as a catalog table, if it is not there yet: types, required columns, defaults, comments.
+
+    The catalog takes columns of files as nullable, so the required ones are also noted as a table property.
+    """
     partitions = partition_by or []
-    columns = ", ".join(_ddl_column(f) for f in contract)
+    columns = ", ".join(_ddl_column(f, (defaults or {}).get(f.name)) for f in contract)
+    required = ",".join(f.name for f in contract if not f.nullable)
+    noted = f"TBLPROPERTIES ('{REQUIRED}' = '{required}')" if required else ""
     by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} LOCATION '{path}' COMMENT {quoted(comment)}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} LOCATION '{path}' COMMENT {quoted(comment)} {noted}")
     if partitions:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def analyze_table(spark: SparkSession, name: str, columns: bool = True) -> None:
-    """Collect the statistics that the cost-based optimizer uses."""
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS" + (" FOR ALL COLUMNS" if columns else ""))
+def analyze_table(spark: SparkSession, name: str, columns: list[str] | None = None) -> None:
+    """Collect the statistics that the cost-based optimizer uses: of all columns, or of the given ones."""
+    chosen = f"FOR COLUMNS {', '.join(columns)}" if columns else "FOR ALL COLUMNS"
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS {chosen}")

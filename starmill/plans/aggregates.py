@@ -37,12 +37,12 @@ def monthly_sales(star: Star, fact: DataFrame | None = None) -> DataFrame:
     )
 
 
-def customer_summary(star: Star) -> DataFrame:
-    """Purchases of every customer, also of those without any."""
+def customer_summary(star: Star, fact: DataFrame | None = None) -> DataFrame:
+    """Purchases of every customer, also of those without any; of the whole fact or of the given rows."""
     def day(key):  # the key is the date itself, so lines need not meet the calendar
         return F.try_to_date(key.cast("string"), "yyyyMMdd")
 
-    bought = star.fact.groupBy("customer_key").agg(
+    bought = (star.fact if fact is None else fact).groupBy("customer_key").agg(
         F.count("sale_key").alias("total_purchases"),
         F.sum("quantity").alias("total_items_purchased"),
         F.sum("net_amount").alias("lifetime_value"),
@@ -141,6 +141,21 @@ def sales_enriched(star: Star) -> DataFrame:
     return named.join(rows, "customer", ["customer_id", "full_name", "customer_state"])
 
 
+def merge_customer_summary(star: Star, stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The customer summary after a batch of new fact rows: counts and sums add up, first and last days extend."""
+    kept = ["customer_key", "total_purchases", "total_items_purchased", "lifetime_value", "last_purchase_date", "first_purchase_date"]
+    new = customer_summary(star, batch).where("total_purchases > 0").select(*kept)
+    both = stored.where("total_purchases > 0").select(*kept).unionByName(new).groupBy("customer_key").agg(
+        *[F.sum(c).alias(c) for c in kept[1:4]], F.max(kept[4]).alias(kept[4]), F.min(kept[5]).alias(kept[5]))
+    # Every line of the fact has a net amount.
+    mean = (F.col("lifetime_value").cast("double") / F.col("total_purchases")).alias("avg_order_value")
+    who = star.customer.select("customer_key", "customer_id", "full_name", "city", "state")
+    return who.join(both, "customer_key", "left").select(
+        *who.columns, F.coalesce("total_purchases", F.lit(0)).cast("long").alias("total_purchases"), "total_items_purchased",
+        F.col("lifetime_value").cast(stored.schema["lifetime_value"].dataType).alias("lifetime_value"), mean,
+        "last_purchase_date", "first_purchase_date")
+
+
 def refresh_monthly_sales(star: Star, batch: DataFrame, path: str) -> None:
     """Recompute the months that a batch of fact rows touches and replace only their partitions.
 

@@ -12,17 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starmill.operators import dimensions as dims
-from starmill.operators.fact import ACCEPTED, SALES_LINES, by_status, resolve_sales
+from starmill.operators.fact import ACCEPTED, KEYS, SALES_LINES, by_status, resolve_sales
 from starmill.operators.keys import allocate_keys
 from starmill.operators.sinks import (
-    analyze_table, export_csv, one_per_key, quoted, read_or_empty, read_table, register_table, without_known, write_table)
-from starmill.plans.aggregates import customer_summary, monthly_sales
+    analyze_table, export_csv, move_into, one_per_key, quoted, read_or_empty, read_table, register_table, without_known, write_table)
+from starmill.plans.aggregates import customer_summary, merge_customer_summary, monthly_sales, refresh_monthly_sales
 from starmill.plans.checks import null_key_verdict
 from starmill.plans.rules import DataQualityError
 from starmill.plans.warehouse import DIM_TABLES, SALES_FOLDER, TABLES, Star, open_star
-from starmill.schemas import CURATED, NATURAL_KEYS, RAW, SORT_KEYS, SURROGATE_KEYS
+from starmill.schemas import CURATED, DEFAULTS, NATURAL_KEYS, RAW, SORT_KEYS, SURROGATE_KEYS, TABLE_COMMENTS
 from starmill.session import side_by_side
-from starmill.sources.files import folder_report
+from starmill.sources.files import folder_report, missing_tables
 from starmill.sources.raw import read_catalog, read_raw
 
 log = logging.getLogger("starmill")
@@ -47,7 +47,7 @@ def load_dimension(spark: SparkSession, cleaned: DataFrame, ids: DataFrame, tabl
     known = read_or_empty(spark, map_path, contract)
     write_table(allocate_keys(ids, natural, surrogate, known).select(*contract.names), map_path, "append")
     keyed = dims.with_keys(cleaned, read_table(spark, map_path), table, loaded_at)
-    return write_table(keyed, f"{target}/{table}")["rows"]
+    return write_table(keyed, f"{target}/{table}", sort_by=SORT_KEYS[table])["rows"]
 
 
 def load_dimensions(spark: SparkSession, raw: dict[str, DataFrame], target: str, as_of: Column, loaded_at: Column,
@@ -88,7 +88,7 @@ def load_fact(spark: SparkSession, raw_sales: DataFrame, target: str, loaded_at:
         lines = without_known(lines, known, ["sale_id", "status"], batch=raw_sales)
     written = write_table(lines, path, "append" if append else "overwrite", ["status", "month_key"],
                           SORT_KEYS["sales_fact"], rejects=F.count("reject_reason"))
-    return {"fact": written["rows"] - written["rejects"], "rejects": written["rejects"]}
+    return {"fact": written["rows"] - written["rejects"], "rejects": written["rejects"], "first_key": first}
 
 
 def refresh_summaries(star: Star, target: str) -> None:
@@ -100,6 +100,25 @@ def refresh_summaries(star: Star, target: str) -> None:
     })
 
 
+def update_summaries(star: Star, target: str, first_key: int) -> None:
+    """Bring both stored summaries up to date with the fact rows whose key is ``first_key`` or higher.
+
+    The monthly summary is recomputed for the months of these rows only.  The customer summary adds
+    their counts and sums to the stored ones, without reading older sales; names and cities
+    are today's.  Attributes that changed in months without new sales show after ``refresh_summaries``.
+    """
+    spark = star.fact.sparkSession
+    batch = star.fact.where(F.col("sale_key") >= first_key)
+    customers = f"{target}/mv_customer_summary"
+
+    def merge() -> None:
+        write_table(merge_customer_summary(star, read_table(spark, customers), batch), f"{customers}_new")
+        move_into(spark, f"{customers}_new", customers, replace=True)
+
+    side_by_side(spark, {"mv_customer_summary": merge, "mv_monthly_sales": lambda: refresh_monthly_sales(
+        star, batch, f"{target}/mv_monthly_sales")})
+
+
 def publish(spark: SparkSession, database: str, target: str) -> None:
     """Declare the stored tables in the catalog, with their comments, and collect statistics.
 
@@ -107,13 +126,18 @@ def publish(spark: SparkSession, database: str, target: str) -> None:
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in DIM_TABLES.values():
-        register_table(spark, f"{database}.{table}", f"{target}/{table}", CURATED[table])
+        register_table(spark, f"{database}.{table}", f"{target}/{table}", CURATED[table], TABLE_COMMENTS[table], defaults=DEFAULTS)
         analyze_table(spark, f"{database}.{table}")
     register_table(spark, f"{database}.{SALES_FOLDER}", f"{target}/{SALES_FOLDER}", SALES_LINES,
                    "Sales lines; status tells fact rows from rejects", ["status", "month_key"])
-    analyze_table(spark, f"{database}.{SALES_FOLDER}", columns=False)
+    # Statistics of what queries join and filter on.
+    analyze_table(spark, f"{database}.{SALES_FOLDER}", [*KEYS, "sale_key", "net_amount", "month_key"])
+    for summary, partitions in (("mv_monthly_sales", ["year", "month"]), ("mv_customer_summary", [])):
+        schema = read_table(spark, f"{target}/{summary}").schema
+        register_table(spark, f"{database}.{summary}", f"{target}/{summary}", schema, TABLE_COMMENTS[summary], partitions)
+        analyze_table(spark, f"{database}.{summary}")
     columns = ", ".join(f.name + (f" COMMENT {quoted(f.metadata['comment'])}" if f.metadata else "") for f in CURATED["sales_fact"])
-    spark.sql(f"""CREATE OR REPLACE VIEW {database}.sales_fact ({columns}) COMMENT 'One row per sale line' AS
+    spark.sql(f"""CREATE OR REPLACE VIEW {database}.sales_fact ({columns}) COMMENT {quoted(TABLE_COMMENTS["sales_fact"])} AS
         SELECT {", ".join(CURATED["sales_fact"].names)} FROM {database}.{SALES_FOLDER} WHERE status = '{ACCEPTED}'""")
 
 
@@ -125,8 +149,11 @@ def require_folders(spark: SparkSession, root: str, folders: list[str]) -> None:
 
 
 def run_gated(spark: SparkSession, source: str, target: str, **options) -> PipelineResult:
-    """The daily run: raw files are there, build, stored tables are there, no key of the fact is missing."""
-    if not options.get("database"):
+    """The daily run: raw files or catalog tables are there, build, stored tables are there, no key of the fact is missing."""
+    if database := options.get("database"):
+        if lacking := missing_tables(spark, database, list(RAW)):
+            raise DataQualityError(f"no table {', '.join(lacking)} in {database}", lacking)
+    else:
         require_folders(spark, source, list(RAW))
     result = run_pipeline(spark, source, target, **options)
     require_folders(spark, target, [*DIM_TABLES.values(), SALES_FOLDER])
@@ -169,8 +196,12 @@ def run_pipeline(spark: SparkSession, source: str, target: str, *, database: str
         raw = read_sources(spark, source, fmt, database)
         rows = load_dimensions(spark, raw, target, run_date, loaded_at, calendar_start, calendar_end)
         loaded = load_fact(spark, raw["sales"], target, loaded_at, rows, append, reject_out_of_calendar)
+        first_key = loaded.pop("first_key")
         star = open_star(spark, target, rows)
-        refresh_summaries(star, target)
+        if first_key:
+            update_summaries(star, target, first_key)
+        else:
+            refresh_summaries(star, target)
         if csv_export:
             for table in TABLES:
                 export_csv(star.tables()[table], f"{csv_export}/{table}")

@@ -24,7 +24,7 @@ from starmill.operators.keys import allocate_keys
 from starmill.plans import aggregates as agg
 from starmill.plans import changes, checks, health, rules
 from starmill.plans import dashboards as dash
-from starmill.plans.pipeline import run_pipeline
+from starmill.plans.pipeline import publish, run_pipeline
 from starmill.plans.warehouse import SALES_FOLDER, TABLES, Star, read_rejects, read_sales_lines
 from starmill.schemas import CURATED, NATURAL_KEYS, RAW, SORT_KEYS, SURROGATE_KEYS
 from starmill.session import side_by_side, work_folder
@@ -337,6 +337,24 @@ def mv_refresh_incremental(w: Workspace) -> DataFrame:
     return sinks.read_table(w.spark, path)
 
 
+@query
+def mv_customer_merge(w: Workspace) -> DataFrame:
+    """The customer summary of the sales to mid 2001, then brought up to date from a later batch alone."""
+    path = w.new_folder("mv_customers")
+    cut = F.col("date_key") <= 20010615
+    sinks.write_table(agg.customer_summary(w.star, w.star.fact.where(cut)), path)
+    return agg.merge_customer_summary(w.star, sinks.read_table(w.spark, path), w.star.fact.where(~cut))
+
+
+@query
+def catalog_statistics(w: Workspace) -> DataFrame:
+    """Rows of the tables that are published in the catalog."""
+    database = f"published_{uuid.uuid4().hex[:8]}"
+    w.star
+    publish(w.spark, database, w.warehouse)
+    return checks.catalog_statistics(w.spark, database).drop("schema_name")
+
+
 @query
 def compact_sorted(w: Workspace) -> DataFrame:
     """The five stored tables rewritten in files sorted by their declared keys."""

@@ -86,12 +86,23 @@ SURROGATE_KEYS = {
 }
 # The sort keys that the tables declare.
 SORT_KEYS = {
-    "customer_dim": ["customer_id"],
-    "product_dim": ["category", "product_id"],
-    "location_dim": ["region", "location_id"],
+    "customer_dim": ["customer_id", "created_date"],
+    "product_dim": ["category", "subcategory", "product_id"],
+    "location_dim": ["region", "state", "city"],
     "date_dim": ["date_key"],
     "sales_fact": ["date_key", "customer_key"],
 }
+# The defaults that the tables declare.
+DEFAULTS = {"is_active": "true", "etl_inserted_date": "current_timestamp()", "discount_amount": "0", "tax_amount": "0"}
+TABLE_COMMENTS = {
+    "customer_dim": "One row per customer; the latest version of each",
+    "product_dim": "One row per product, by category and subcategory",
+    "location_dim": "One row per store, by region, state and city",
+    "date_dim": "One row per calendar day",
+    "sales_fact": "One row per sale line",
+    "mv_monthly_sales": "Sales by month, category, subcategory, region and state",
+    "mv_customer_summary": "Purchases and lifetime value of every customer",
+}
 
 
 def text_schema(table: str) -> T.StructType:

@@ -50,7 +50,11 @@ def test_gated_run_from_text_files(spark, folders, tmp_path):
     check_star(spark, run_gated(spark, *folders, csv_export=export, publish_to="mart", **OPTIONS), target)
     assert spark.read.option("header", True).csv(f"{export}/sales_fact").count() == 3
     assert spark.table("mart.sales_fact").count() == 3 and spark.table("mart.product_dim").count() == 2
-    assert [r.row_count for r in catalog_statistics(spark, "mart").collect()] == [3, 366, 2, 2, 3, 5]
+    assert {r.table_name: r.row_count for r in catalog_statistics(spark, "mart").collect()} == {
+        "customer_dim": 3, "date_dim": 366, "location_dim": 2, "product_dim": 2, "sales_fact": 3, "sales_lines": 5,
+        "mv_monthly_sales": 3, "mv_customer_summary": 3}
+    ddl = spark.sql("SHOW CREATE TABLE mart.customer_dim").first()[0]
+    assert "'starmill.required' = 'customer_key,customer_id'" in ddl and "DEFAULT true" in ddl and "One row per customer" in ddl
     with pytest.raises(DataQualityError, match="returns"):
         require_folders(spark, source, ["sales", "returns"])
 
@@ -59,6 +63,8 @@ def test_catalog_tables_give_the_same(spark, folders, tmp_path):
     source, target = str(tmp_path / "raw2"), folders[1]
     write_raw(spark, source, CUSTOMERS, PRODUCTS, LOCATIONS, SALES, fmt="parquet")
     spark.sql("CREATE DATABASE IF NOT EXISTS landing")
+    with pytest.raises(DataQualityError, match="sales"):
+        run_gated(spark, source, target, database="landing", **OPTIONS)
     for t in RAW:
         register_table(spark, f"landing.{t}", f"{source}/{t}", text_schema(t))
     check_star(spark, run_pipeline(spark, source, target, database="landing", **OPTIONS), target)
@@ -81,7 +87,11 @@ def test_appended_batches_are_replay_safe(spark, folders):
     write_raw(spark, source, [*CUSTOMERS, customer(9)], PRODUCTS, LOCATIONS, [*SALES, sale(6, sale_date="2024-03-01")])
     for expected in (2, 0):  # SALE6 is new and SALE4's customer has come; then nothing is
         assert run_pipeline(spark, *folders, append=True, **OPTIONS).rows["fact"] == expected
-    fact = open_star(spark, target).fact
+    star = open_star(spark, target)
+    fact = star.fact
+    assert rows(spark.read.parquet(f"{target}/mv_customer_summary")) == rows(agg.customer_summary(star))
+    monthly = spark.read.parquet(f"{target}/mv_monthly_sales")
+    assert rows(monthly.select(*sorted(monthly.columns))) == rows(agg.monthly_sales(star).select(*sorted(monthly.columns)))
     assert [r[0] for r in rows(fact, "sale_id")] == ["SALE1", "SALE2", "SALE3", "SALE4", "SALE6"]
     assert fact.select("sale_key").distinct().count() == 5
     assert read_rejects(spark, target).count() == 2
