@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup side is broadcast only when it is known to hold at most this many (narrow) rows.
+# A lookup side is broadcast only when it is known to hold at most this many rows, and about so many bytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+_TEXT_BYTES = 40
 # A key with more than this share of the large side (at most 100 keys have it) is spread over SALTS tasks.
 HOT_SHARE = 0.01
 SALTS = 256
@@ -14,6 +17,11 @@ _MAX_HOT = 100  # 1 / HOT_SHARE
 _SKETCH_ITEMS = 10_000
 
 
+def row_bytes(schema: T.StructType) -> int:
+    """Bytes of a row in a broadcast table, roughly: text columns count as _TEXT_BYTES."""
+    return 16 + sum(8 + _TEXT_BYTES * isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in schema)
+
+
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> dict[str, list]:
     """Values that hold more than ``share`` of the rows, at most 100 per key column.
 
@@ -48,14 +56,14 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: list
 def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *, spread: str,
                 right_rows: int | None = None, hot: list | None = None, probe: DataFrame | None = None,
                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join ``left`` to a lookup table: broadcast if it is counted small, else a salted shuffle join.
+    """Join ``left`` to a lookup table: broadcast if it is counted small in rows and bytes, else a salted shuffle join.
 
     ``right`` is counted (from file footers, if it is stored) unless ``right_rows`` is known.
     ``probe`` is a cheaper source of the hot keys than ``left``, such as the scan below it.
     """
     if right_rows is None:
         right_rows = right.count()
-    if right_rows <= broadcast_rows:
+    if right_rows <= broadcast_rows and right_rows * row_bytes(right.schema) <= BROADCAST_BYTES:
         return left.join(F.broadcast(right), key, how)
     if hot is None:
         hot = hot_keys(left if probe is None else probe, [key])[key]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import logging
 import tempfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -66,6 +68,20 @@ def _local_folder(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="starmill-")
 
 
+@lru_cache(maxsize=None)
+def _cleaned_at_exit(spark: SparkSession, folder: str) -> str:
+    """The session's own folder is deleted when the driver ends."""
+    def clean() -> None:
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # noqa: BLE001  the session has ended before: the folder is left to the cluster's clean-up
+            logging.getLogger("starmill").info("left %s behind", folder)
+
+    atexit.register(clean)
+    return folder
+
+
 def work_folder(spark: SparkSession) -> str:
     """Folder for written intermediate tables, shared by all executors.
 
@@ -75,7 +91,7 @@ def work_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     app = spark.sparkContext.applicationId
     if shared:
-        return f"{shared.rstrip('/')}/starmill-{app}"
+        return _cleaned_at_exit(spark, f"{shared.rstrip('/')}/starmill-{app}")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder(app)
+    return _cleaned_at_exit(spark, _local_folder(app))

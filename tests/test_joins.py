@@ -50,3 +50,19 @@ def test_orphans_count_missing_and_unknown_keys(skewed, lookup):
     expected = skewed.join(lookup, "key", "left_anti").count()
     assert count_orphans(skewed, lookup, "key").first()[0] == expected > 0
     assert count_orphans(skewed.limit(0), lookup, "key").first()[0] == 0
+
+
+def test_a_wide_lookup_is_not_broadcast(spark):
+    """Rows alone do not tell: a lookup of few but wide rows takes the shuffle join."""
+    left = spark.range(100).select(F.col("id").alias("sale_key"), (F.col("id") % 10).alias("k"))
+    wide = spark.range(10).select(F.col("id").alias("k"), *[F.lit("x").alias(f"c{i}") for i in range(8)])
+    plan = lambda rows: lookup_join(left, wide, "k", spread="sale_key", right_rows=rows, hot=[])._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(1000).lower() and "broadcast" not in plan(400_000).lower()
+
+
+def test_a_lookup_of_unknown_size_is_counted(spark, monkeypatch):
+    counted = []
+    wide = spark.range(10).select(F.col("id").alias("k"))
+    monkeypatch.setattr(type(wide), "count", lambda self: counted.append(1) or 10)
+    lookup_join(spark.range(5).select(F.col("id").alias("k"), F.col("id").alias("sale_key")), wide, "k", spread="sale_key")
+    assert counted == [1]
