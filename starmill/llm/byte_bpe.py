@@ -2,9 +2,9 @@
 
 A text is cut into words by the vocabulary's pattern.  A word is an array of byte ids; each step of the
 fold merges the first pair of lowest rank, until no pair has a rank.  Ranks of pairs are a literal map
-in the plan, hashed into small maps so that a look-up takes constant time.  The most frequent
-words of the corpus are folded once and become a second literal map of bounded size; other words are
-folded where they stand.  Decoding looks up the bytes of each id and concatenates them.
+in the plan, hashed into small maps so that a look-up takes constant time.  Every distinct word of the
+corpus is folded once; the most frequent ones become a second literal map, of bounded size, and
+the others reach their texts over a join.  Decoding looks up the bytes of each id and concatenates them.
 """
 
 from __future__ import annotations
@@ -15,8 +15,11 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Words in the literal map, at most; of the others each occurrence is folded.
-HEAD_WORDS = 200_000
+from starmill.llm.common import stored
+
+# Words in the literal map, at most: nine tenths of all occurrences in the check's tables.
+HEAD_WORDS = 100_000
+LONG_TEXT = 50_000
 _NONE = 2**31 - 1
 
 
@@ -101,23 +104,31 @@ class Vocabulary:
         """Bytes of an array of ids."""
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self._hex, i)), ""))
 
-    def frequent(self, df: DataFrame, text: Column, limit: int = HEAD_WORDS) -> Column:
-        """Literal map of the ``limit`` most frequent words of all texts to their ids, hashed into small maps."""
-        counts = df.select(F.explode(self.words(text)).alias("word")).groupBy("word").count()
-        head = counts.orderBy(F.desc("count"), "word").limit(limit).select("word")
+    def counts(self, df: DataFrame, text: Column) -> DataFrame:
+        """``word``, ``count``: the distinct words of all texts, stored."""
+        return stored(df.select(F.explode(self.words(text)).alias("word")).groupBy("word").count(), "words")
+
+    def head(self, counts: DataFrame, limit: int) -> Column:
+        """Literal map of the ``limit`` most frequent words to their ids, hashed into small maps."""
         buckets = 1 << max(1, limit.bit_length() - 1)
         table: list[dict[str, list[int]]] = [{} for _ in range(buckets)]
-        found = head.select("word", F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("b"), self.fold(F.col("word")).alias("ids"))
+        frequent = counts.orderBy(F.desc("count"), "word").limit(limit).select("word")
+        found = stored(frequent, "frequent").repartition("word").select(
+            "word", F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("b"), self.fold(F.col("word")).alias("ids"))
         for row in found.toArrow().to_pylist():  # ``limit`` rows at most
             table[row["b"]][row["word"]] = row["ids"]
-        self._head_buckets = buckets
-        return _literal(table, "array<map<string,array<int>>>")
+        literal = _literal(table, "array<map<string,array<int>>>")
+        self._head = lambda word: F.element_at(F.get(literal, F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")), word)
+        return literal
 
-    def encode(self, text: Column, head: Column) -> Column:
-        """Ids of a whole text."""
+    def known(self, word: Column) -> Column:
+        """Ids of a frequent word; null for others."""
+        return self._head(word)
+
+    def encode(self, text: Column, others: Column) -> Column:
+        """Ids of a whole text; ``others`` maps its other words to ids, or is null."""
         def ids(tables: Column, word: Column) -> Column:
-            known = F.get(head, F.pmod(F.xxhash64(word), F.lit(self._head_buckets)).cast("int"))
-            return F.coalesce(F.element_at(known, word), self._fold(tables, word))
+            return F.coalesce(self.known(word), F.element_at(others, word), self._fold(tables, word))
 
         return _let(self._tables, lambda tables: F.flatten(F.transform(self.words(text), lambda word: ids(tables, word))))
 
@@ -125,9 +136,27 @@ class Vocabulary:
 def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
     """All columns of ``df`` and ``ids`` (array of int), the ids of the whole text; a column so named is replaced.
 
+    The distinct words of all texts are folded once.  The most frequent ones come back to the texts as a
+    literal map, the others over a join: each distinct text asks for its own, which is a small
+    part of its words, and gets them as a map.  A text of more than LONG_TEXT words folds its rare words in
+    place, as a look-up in such a map takes time in proportion to its size.
+
     A null or empty text has no ids.  Every match of the pattern is encoded by itself, without special
     tokens.  An empty table gives an empty result.
     """
     value = F.col(f"`{text}`")
-    head = vocabulary.frequent(df, value, head_words)
-    return df.drop("ids").withColumn("ids", vocabulary.encode(value, head))
+    counts = vocabulary.counts(df, value)
+    vocabulary.head(counts, head_words)
+    key = F.unhex(F.sha2(F.coalesce(value, F.lit("")), 256))
+    asked = df.select(key.alias("key"), vocabulary.words(value).alias("words")).where(F.size("words") <= LONG_TEXT)
+    rare = F.array_distinct(F.filter("words", lambda w: vocabulary.known(w).isNull()))
+    asked = asked.select("key", F.explode(rare).alias("word"))
+    folded = counts.where(vocabulary.known(F.col("word")).isNull()).select("word").repartition("word")
+    folded = folded.select("word", vocabulary.fold(F.col("word")).alias("ids"))
+    given = asked.join(folded, "word").groupBy("key").agg(
+        F.map_from_entries(F.collect_set(F.struct("word", "ids"))).alias("others"))
+    names = [c for c in df.columns if c.lower() != "ids"]
+    plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], value.alias("text"), key.alias("key"))
+    out = plain.join(given, "key", "left").select(
+        *[f"c{i}" for i in range(len(names))], vocabulary.encode(F.col("text"), F.col("others")).alias("ids"))
+    return out.toDF(*names, "ids")
