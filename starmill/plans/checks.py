@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starmill.operators.fact import KEYS
 from starmill.operators.joins import count_orphans
 from starmill.plans.rules import (
-    DataQualityError, REGIONS, constraints, duplicate_count, long_form, raw_rules, rule_report, union_all,
+    DataQualityError, REGIONS, constraints, duplicate_counts, long_form, raw_rules, rule_report, union_all,
     validate_raw_data)
 from starmill.plans.warehouse import Star
 from starmill.schemas import NATURAL_KEYS, SURROGATE_KEYS
@@ -127,13 +127,10 @@ def constraint_report(star: Star) -> DataFrame:
 
 def duplicate_keys(raw: dict[str, DataFrame], star: Star) -> DataFrame:
     """Repeated keys of the raw tables and of the star."""
-    checks = [(t, raw[t], k) for t, k in (*INTEGRITY, ("sales", "sale_id"))]
-    for table, df in star.tables().items():
-        if table in NATURAL_KEYS:
-            checks += [(table, df, NATURAL_KEYS[table]), (table, df, SURROGATE_KEYS[table])]
-    checks += [("date_dim", star.date, "date_key"), ("date_dim", star.date, "date_value"),
-               ("sales_fact", star.fact, "sale_key"), ("sales_fact", star.fact, "sale_id")]
-    return union_all([duplicate_count(df, t, k) for t, df, k in checks])
+    keys = {t: [NATURAL_KEYS[t], SURROGATE_KEYS[t]] for t in NATURAL_KEYS}
+    keys |= {"date_dim": ["date_key", "date_value"], "sales_fact": ["sale_key", "sale_id"]}
+    return union_all([duplicate_counts(raw[t], t, [k]) for t, k in (*INTEGRITY, ("sales", "sale_id"))]
+                     + [duplicate_counts(df, t, keys[t]) for t, df in star.tables().items()])
 
 
 def anomaly_counts(fact: DataFrame) -> DataFrame:
@@ -160,7 +157,7 @@ def business_rules(star: Star) -> DataFrame:
         F.struct(F.lit("gross = quantity * unit_price").alias("rule"), F.col("g").alias("violations")),
         F.struct(F.lit("net = gross - discount + tax").alias("rule"), F.col("n").alias("violations"))])
     keys = [*SURROGATE_KEYS.items(), ("date_dim", "date_key"), ("sales_fact", "sale_key")]
-    unique = [duplicate_count(star.tables()[t], t, k).select(
+    unique = [duplicate_counts(star.tables()[t], t, [k]).select(
         F.lit(f"unique {t}.{k}").alias("rule"), F.col("duplicate_values").alias("violations")) for t, k in keys]
     return union_all([formulas, *unique]).withColumn("passed", F.col("violations") == 0)
 

@@ -139,19 +139,24 @@ def constraints(table: str) -> list:
     return [*not_null, *checks.get(table, lambda: [])()]
 
 
-def repeated_values(df: DataFrame, column: str) -> DataFrame:
-    """Values of ``column`` that occur more than once, with their number of rows."""
-    return (df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
-            .where("rows > 1"))
+def repeated_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Values of ``columns`` that occur more than once, with their number of rows."""
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
-def duplicate_count(df: DataFrame, table: str, column: str) -> DataFrame:
-    """One row: table_name, column_name, repeated values, rows beyond the first of each."""
-    return repeated_values(df, column).agg(
-        F.count(F.lit(1)).alias("duplicate_values"),
-        F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).cast("long").alias("surplus_rows"),
-    ).select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-             "duplicate_values", "surplus_rows")
+def duplicate_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """One row per column: table_name, column_name, repeated values, rows beyond the first of each.
+
+    One scan and one shuffle for all columns: (column, value) pairs are folded up before they move.
+    """
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])))
+    repeated = repeated_values(pairs.where("value IS NOT NULL"), ["column_name", "value"]).groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("duplicate_values"), F.sum(F.col("rows") - 1).cast("long").alias("surplus_rows"))
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return every.join(F.broadcast(repeated), "column_name", "left").select(  # a row for each column
+        F.lit(table).alias("table_name"), "column_name", F.coalesce("duplicate_values", F.lit(0)).alias("duplicate_values"),
+        F.coalesce("surplus_rows", F.lit(0)).alias("surplus_rows"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -164,17 +169,15 @@ def long_form(one_row: DataFrame, entries: list[Column]) -> DataFrame:
 
 
 def rule_report(df: DataFrame, rules: list, table: str) -> DataFrame:
-    """table_name, column_name, rule, violations, passed: all row rules in one pass, each uniqueness in one more."""
+    """table_name, column_name, rule, violations, passed: all row rules in one pass, uniqueness in one more."""
     row_rules = [r for r in rules if isinstance(r, Rule)]
     counts = df.agg(*[F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(row_rules)])
     reports = [long_form(counts, [
         F.struct(F.lit(table).alias("table_name"), F.lit(r.column).alias("column_name"), F.lit(r.name).alias("rule"),
                  F.col(f"r{i}").alias("violations")) for i, r in enumerate(row_rules)])] if row_rules else []
-    for rule in rules:
-        if isinstance(rule, Unique):
-            reports.append(duplicate_count(df, table, rule.column).select(
-                "table_name", "column_name", F.lit(rule.name).alias("rule"),
-                F.col("duplicate_values").alias("violations")))
+    if unique := [r for r in rules if isinstance(r, Unique)]:
+        reports.append(duplicate_counts(df, table, [r.column for r in unique]).select(
+            "table_name", "column_name", F.lit(unique[0].name).alias("rule"), F.col("duplicate_values").alias("violations")))
     return union_all(reports).withColumn("passed", F.col("violations") == 0)
 
 
@@ -242,7 +245,7 @@ def run_suite(df: DataFrame, suite: list = FACT_SUITE) -> DataFrame:
         elif kind == "row_count_at_least":
             measured.append(F.when(F.count(F.lit(1)) >= args["low"], 0).otherwise(1).cast("long").alias(name))
         elif kind == "unique":
-            extra.append(repeated_values(df, column).agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("unexpected"))
+            extra.append(repeated_values(df.where(F.col(column).isNotNull()), [column]).agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("unexpected"))
                          .select(F.lit(i).alias("position"), F.lit(kind).alias("expectation"),
                                  F.lit(column).alias("column_name"), "unexpected"))
             continue
