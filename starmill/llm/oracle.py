@@ -24,4 +24,22 @@ FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS te
 GROUP BY conv_id
 """
 
-ORACLE = {"op4_chat_tree": _CHAT, "op9_exact_dedup": _EXACT}
+# CRC-32 byte by byte, from the table of its polynomial.
+_SHARDS = r"""
+WITH crc_table AS (
+  SELECT list(list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY c) AS t
+  FROM range(256) AS r(c)),
+sized AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(strlen(text), 0) + 16 AS size FROM documents),
+placed AS (SELECT *, CAST(sum(size) OVER (ORDER BY doc_id) - size AS BIGINT) AS start, CAST(sum(size) OVER () AS BIGINT) AS total
+           FROM sized),
+cut AS (SELECT *, CAST((2 * start + size) * 40 // (2 * total) AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard,
+  xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen(text)),
+                                                          lambda i: CAST('0x' || substr(hex(text), 2 * i + 1, 2) AS BIGINT))),
+                  lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32
+FROM cut, crc_table
+"""
+
+ORACLE = {"op1_byte_shards": _SHARDS, "op4_chat_tree": _CHAT, "op9_exact_dedup": _EXACT}
