@@ -48,10 +48,11 @@ def python_ready(spark: SparkSession) -> None:
 _holder: list = [None, None]
 
 
-def claim_memory(holder: object, release: Callable[[], None]) -> None:
+def claim_memory(holder: object, release: Callable[[], None] | None = None) -> None:
     """In a Python worker: only one operator's look-ups stay in memory, those of the one that runs.
 
-    A worker process serves one operator after the other; the former holder's look-ups are released.
+    A worker process serves one operator after the other; the former holder's look-ups are released,
+    also by a holder that keeps none.
     """
     if _holder[0] is not holder:
         if _holder[1]:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import add_columns, all_columns, fresh, python_ready, stored
+from starmill.llm.common import add_columns, all_columns, claim_memory, fresh, python_ready, stored
 
 # A cut lies where the hash of the last WINDOW bytes ends in CUT_BITS zeros: every 2 KB on average.
 WINDOW = 16
@@ -73,6 +73,7 @@ def chunks(df: DataFrame, text: str, id_bytes: int) -> DataFrame:
     python_ready(df.sparkSession)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim_memory(cut)
         for batch in batches:
             found = {c for t in batch.column(0).to_pylist() for c in cut(normalise(t))}
             yield pa.RecordBatch.from_arrays(
@@ -104,6 +105,7 @@ def with_recipe(df: DataFrame, recipe: str, digest: str | None = None, text: str
     conflicts = frozenset(found)
 
     def add(texts: list[str | None]) -> dict[str, pa.Array]:
+        claim_memory(cut)
         data = [normalise(t) for t in texts]
         recipes = [b"".join([chunk_id(c, id_bytes, conflicts) for c in cut(d)]) for d in data]
         made = {recipe: pa.array(recipes, pa.binary())}

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import add_columns, all_columns, fresh, python_ready
+from starmill.llm.common import add_columns, all_columns, claim_memory, fresh, python_ready
 
 GRAM_BUCKETS = 1 << 16
 MAX_LANGUAGES = 1000
@@ -42,6 +42,7 @@ def grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
     A block has about _SLICE characters, whatever the length of the texts; a long text is in several.
     """
+    claim_memory(grams)
     block: list[str] = []
     owner: list[int] = []
     held = 0

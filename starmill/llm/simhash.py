@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmill.llm.common import add_columns, all_columns, drop, fresh, stored
+from starmill.llm.common import add_columns, all_columns, claim_memory, drop, fresh, stored
 
 BITS = 64
 SHINGLE_WORDS = 3
@@ -41,6 +41,7 @@ def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
 def with_fingerprint(df: DataFrame, name: str, text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
     """All columns of ``df`` and the fingerprint (signed long).  A null text has no words."""
     def add(texts: list[str | None]) -> dict[str, pa.Array]:
+        claim_memory(fingerprint)
         values = [fingerprint(t.encode(), words) if t else 0 for t in texts]
         return {name: pa.array(np.array(values, np.uint64).view(np.int64))}
 

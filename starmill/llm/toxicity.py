@@ -87,6 +87,7 @@ def char_model(df: DataFrame, text: str = "text") -> np.ndarray:
     python_ready(df.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim_memory(count_grams)
         counts = np.zeros(SYMBOLS ** 4, np.int64)
         for batch in batches:
             count_grams(batch.column(0).to_pylist(), counts)
