@@ -11,15 +11,17 @@ from __future__ import annotations
 
 import base64
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import stored
 
-# Words in the literal map, at most: nine tenths of all occurrences in the check's tables.
-HEAD_WORDS = 100_000
-LONG_TEXT = 50_000
+# Words in the literal map, at most: some nine tenths of all occurrences in the check's tables.
+HEAD_WORDS = 60_000
+# Maps of rare words that a text gets, so that a look-up stays short in a long text.
+PARTS = 64
 _NONE = 2**31 - 1
 
 
@@ -108,29 +110,19 @@ class Vocabulary:
         """``word``, ``count``: the distinct words of all texts, stored."""
         return stored(df.select(F.explode(self.words(text)).alias("word")).groupBy("word").count(), "words")
 
-    def head(self, counts: DataFrame, limit: int) -> Column:
-        """Literal map of the ``limit`` most frequent words to their ids, hashed into small maps."""
-        buckets = 1 << max(1, limit.bit_length() - 1)
+    def folded(self, words: DataFrame, name: str) -> DataFrame:
+        """``word``, ``ids`` of distinct words, stored."""
+        return stored(words.select("word").repartition("word").select("word", self.fold(F.col("word")).alias("ids")), name)
+
+    def literal_map(self, folded: DataFrame, size: int) -> Callable[[Column], Column]:
+        """Look-up of a word's ids in a literal map of ``folded`` (about ``size`` rows), hashed into small maps."""
+        buckets = 1 << max(1, size.bit_length() - 1)
         table: list[dict[str, list[int]]] = [{} for _ in range(buckets)]
-        frequent = counts.orderBy(F.desc("count"), "word").limit(limit).select("word")
-        found = stored(frequent, "frequent").repartition("word").select(
-            "word", F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("b"), self.fold(F.col("word")).alias("ids"))
-        for row in found.toArrow().to_pylist():  # ``limit`` rows at most
+        place = F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("b")
+        for row in folded.select("word", "ids", place).toLocalIterator():
             table[row["b"]][row["word"]] = row["ids"]
         literal = _literal(table, "array<map<string,array<int>>>")
-        self._head = lambda word: F.element_at(F.get(literal, F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")), word)
-        return literal
-
-    def known(self, word: Column) -> Column:
-        """Ids of a frequent word; null for others."""
-        return self._head(word)
-
-    def encode(self, text: Column, others: Column) -> Column:
-        """Ids of a whole text; ``others`` maps its other words to ids, or is null."""
-        def ids(tables: Column, word: Column) -> Column:
-            return F.coalesce(self.known(word), F.element_at(others, word), self._fold(tables, word))
-
-        return _let(self._tables, lambda tables: F.flatten(F.transform(self.words(text), lambda word: ids(tables, word))))
+        return lambda word: F.element_at(F.get(literal, F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")), word)
 
 
 def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
@@ -138,25 +130,32 @@ def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_word
 
     The distinct words of all texts are folded once.  The most frequent ones come back to the texts as a
     literal map, the others over a join: each distinct text asks for its own, which is a small
-    part of its words, and gets them as a map.  A text of more than LONG_TEXT words folds its rare words in
-    place, as a look-up in such a map takes time in proportion to its size.
+    part of its words, and gets them as maps by the words' hash.
 
     A null or empty text has no ids.  Every match of the pattern is encoded by itself, without special
     tokens.  An empty table gives an empty result.
     """
     value = F.col(f"`{text}`")
-    counts = vocabulary.counts(df, value)
-    vocabulary.head(counts, head_words)
+    words = vocabulary.words(value)
+    counts = stored(df.select(F.explode(words).alias("word")).groupBy("word").count(), "words")
+    top = stored(counts.orderBy(F.desc("count"), "word").limit(head_words).select("word"), "top")
+    frequent = vocabulary.folded(top, "frequent")
+    rare = vocabulary.folded(counts.join(top, "word", "left_anti"), "rare")
+    known = vocabulary.literal_map(frequent, head_words)
+
+    # Equal texts ask once; the digest stands for the text.
     key = F.unhex(F.sha2(F.coalesce(value, F.lit("")), 256))
-    asked = df.select(key.alias("key"), vocabulary.words(value).alias("words")).where(F.size("words") <= LONG_TEXT)
-    rare = F.array_distinct(F.filter("words", lambda w: vocabulary.known(w).isNull()))
-    asked = asked.select("key", F.explode(rare).alias("word"))
-    folded = counts.where(vocabulary.known(F.col("word")).isNull()).select("word").repartition("word")
-    folded = folded.select("word", vocabulary.fold(F.col("word")).alias("ids"))
-    given = asked.join(folded, "word").groupBy("key").agg(
-        F.map_from_entries(F.collect_set(F.struct("word", "ids"))).alias("others"))
+    asked = df.select(key.alias("key"), F.explode(F.array_distinct(F.filter(words, lambda w: known(w).isNull()))).alias("word"))
+    found = asked.join(rare, "word").withColumn("part", F.pmod(F.xxhash64("word"), F.lit(PARTS)).cast("int"))
+    maps = found.groupBy("key", "part").agg(F.map_from_entries(F.collect_set(F.struct("word", "ids"))).alias("map"))
+    given = stored(maps.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("part", "map"))).alias("others")), "given")
+
+    def ids(word: Column) -> Column:
+        other = F.element_at(F.col("others"), F.pmod(F.xxhash64(word), F.lit(PARTS)).cast("int"))
+        return F.coalesce(known(word), F.element_at(other, word))
+
     names = [c for c in df.columns if c.lower() != "ids"]
-    plain = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], value.alias("text"), key.alias("key"))
-    out = plain.join(given, "key", "left").select(
-        *[f"c{i}" for i in range(len(names))], vocabulary.encode(F.col("text"), F.col("others")).alias("ids"))
+    plain = [f"c{i}" for i in range(len(names))]
+    rows = df.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(names, plain)], value.alias("text"), key.alias("key"))
+    out = rows.join(given, "key", "left").select(*plain, F.flatten(F.transform(vocabulary.words(F.col("text")), ids)).alias("ids"))
     return out.toDF(*names, "ids")
