@@ -2,7 +2,7 @@
 
 1. A character model (interpolated 4-grams of 40 symbols) is counted over all documents.
 2. Disguised words are restored: a token with look-alike symbols, inserted separators, spaced-out or
-   repeated letters opens a lattice of readings, and Viterbi decoding takes the most likely one under the
+   doubled letters opens a lattice of readings, and Viterbi decoding takes the most likely one under the
    character model and the channel's costs.  Any other token has only one reading, itself.
 3. Restored words are scored by their beginnings: how much more often labelled toxic texts have them,
    as a lower confidence bound.  A logistic model joins a text's highest word scores.
@@ -15,6 +15,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,10 @@ BACKOFF = 5.0
 # Costs of the channel, in nats.
 COST_LOOKALIKE, COST_SEPARATOR, COST_SYMBOL = 1.5, 1.0, 2.0
 COST_DOUBLED, COST_REPEAT = 2.1, 0.7  # to leave out a letter's first repetition, and each further one
-LATTICE_CHARS = 200  # a longer token is decoded in pieces of this length
+# To read a look-alike mark at either end of a token as a mark: usual ones once, others each.
+COST_MARK, COST_EDGE = 1.0, 4.0
+USUAL_FIRST, USUAL_LAST = "@|+", "!|"
+LATTICE_CHARS = 200  # after so many characters, what all readings have in common is put out
 
 FEATURES = 1 << 20
 PREFIXES = range(3, 9)
@@ -48,10 +52,14 @@ MAX_KNOWN, MAX_TOKEN = 1_000_000, 64  # tokens that a worker remembers, and thei
 _SLICE = 1 << 20
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_THRICE = re.compile(r"([^\W\d_])\1\1", re.I)
-_LEAD = re.compile(r"^[^\w@$]+")
-_TAIL = re.compile(r"[\W_]+$")
-_SPACED = re.compile(r"(?<!\S)(?:\S[ .*_-]){3,}\S(?!\S)")
+_TWICE = re.compile(r"([^\W\d_])\1", re.I)
+_MARKS = re.escape("".join(c for c in LOOKALIKES if not c.isalnum()))
+# From the first letter, digit or look-alike to the last one.
+_CORE = re.compile(rf"(?:[^\W_]|[{_MARKS}])(?:.*(?:[^\W_]|[{_MARKS}]))?", re.S)
+# Three single characters or more, with blanks or separators between them; not parts of words, nor after an apostrophe.
+_GAP = re.compile(r"[\s.*_-]+")
+_SPACED = re.compile(rf"(?<![^\W_])(?<![^\W_]['’])(?:[^\W_]|[{_MARKS}])[\s.*_-]++(?:[^\s.*_-][\s.*_-]++)+"
+                     rf"(?:[^\W_]|[{_MARKS}])(?![^\W_]|['’][^\W_])")
 
 
 def symbol(char: str) -> int:
@@ -112,17 +120,16 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
 
 def decode(token: str, logp: np.ndarray) -> str:
     """The most likely reading of a token: lower-case words, separated by blanks."""
-    token = token.lower()
-    return " ".join(_viterbi(token[a:a + LATTICE_CHARS], logp) for a in range(0, len(token), LATTICE_CHARS))
-
-
-def _viterbi(token: str, logp: np.ndarray) -> str:
-    size, cubed = SYMBOLS, SYMBOLS ** 3
+    size, cubed, token = SYMBOLS, SYMBOLS ** 3, token.lower()
+    inner = [i for i, c in enumerate(token) if c.isalnum()]
+    first, last = (inner[0], inner[-1]) if inner else (len(token), len(token))
     states: dict[int, tuple[float, str]] = {0: (0.0, "")}  # last three symbols: cost, output
-    before, run = "", 0
-    for char in token:
+    before, run, common = "", 0, []
+    for i, char in enumerate(token):
         run = run + 1 if char == before else 0
         letters = [(char, 0.0)] if char.isalpha() else [(x, COST_LOOKALIKE) for x in LOOKALIKES.get(char, "")]
+        edge = bool(letters) and not first <= i <= last
+        usual = edge and char in (USUAL_FIRST if i < first else USUAL_LAST)
         new: dict[int, tuple[float, str]] = {}
 
         def offer(state: int, cost: float, out: str) -> None:
@@ -133,16 +140,28 @@ def _viterbi(token: str, logp: np.ndarray) -> str:
             for letter, extra in letters:
                 at = state * size + symbol(letter)
                 offer(at % cubed, cost + extra - float(logp[at]), out + letter)
-            if run and letters:
+            if run and letters and (state or not edge):
                 offer(state, cost + (COST_DOUBLED if run == 1 else COST_REPEAT), out)
             if not char.isalpha():
-                if not char.isalnum():
-                    offer(state, cost + COST_SEPARATOR, out)  # put in between letters
                 end = -float(logp[state * size]) if state % size else 0.0
-                offer(0, cost + end + (0.0 if char.isspace() else COST_SYMBOL), f"{out} ")
+                if edge:  # a mark before or after the word
+                    mark = COST_EDGE if not usual else COST_MARK if state or not i else 0.0
+                else:
+                    mark = 0.0 if char.isspace() else COST_SYMBOL
+                    if not char.isalnum():
+                        offer(state, cost + COST_SEPARATOR, out)  # put in between letters
+                offer(0, cost + end + mark, f"{out} ")
         states, before = new, char
+        if i % LATTICE_CHARS == LATTICE_CHARS - 1:
+            common.append(commonprefix([out for _, out in states.values()]))
+            states = {s: (cost, out[len(common[-1]):]) for s, (cost, out) in states.items()}
     ends = ((cost - (float(logp[s * size]) if s % size else 0.0), out) for s, (cost, out) in states.items())
-    return min(ends)[1].strip()
+    return "".join([*common, min(ends)[1]]).strip()
+
+
+def decode_spaced(run: str, logp: np.ndarray) -> str:
+    """The most likely reading of spaced-out letters; several blanks count as one."""
+    return decode(_GAP.sub(lambda gap: gap.group().strip()[:1] or " ", run), logp)
 
 
 def features(word: str) -> list[int]:
@@ -158,8 +177,9 @@ class Reader:
     logp: np.ndarray
 
     def read(self, token: str) -> tuple[str, ...]:
-        core = _TAIL.sub("", _LEAD.sub("", token))
-        if core.isalpha() and not _THRICE.search(core):
+        found = _CORE.search(token)
+        core = found.group() if found else ""
+        if core.isalpha() and not _TWICE.search(core):
             return (core.lower(),)
         if not any(c.isalpha() for c in core):
             return ()
@@ -167,11 +187,11 @@ class Reader:
 
     def runs(self, text: str) -> list[str]:
         """Words that were spaced out."""
-        return [w for run in _SPACED.finditer(text) for w in _LETTERS.findall(decode(run.group(), self.logp))]
+        return [w for run in _SPACED.finditer(text) for w in _LETTERS.findall(decode_spaced(run.group(), self.logp))]
 
     def restored(self, text: str | None) -> str:
         """The text with every token as restored; runs of spaced letters first."""
-        text = _SPACED.sub(lambda m: decode(m.group(), self.logp), text or "")
+        text = _SPACED.sub(lambda m: decode_spaced(m.group(), self.logp), text or "")
         return " ".join(" ".join(self.read(t)) for t in text.split())
 
 

@@ -354,6 +354,25 @@ def test_restored_words():
     assert reader.read("2024") == () and reader.restored("you s t u p i d m0ron") == "you stupid moron"
 
 
+def test_no_disguise_is_lost_before_the_lattice():
+    counts = np.zeros(toxicity.SYMBOLS ** 4, np.int64)
+    toxicity.count_grams(["stupid idiot moron scum fuck shit ass dumbass hello will valley weather a I the you"] * 50, counts)
+    logp = toxicity.log_probabilities(counts)
+    reader = toxicity.Reader(logp)
+    for token, word in {"a$$": "ass", "sh!+": "shit", "idio+": "idiot", "!diot": "idiot", "dumba$$": "dumbass", "iiddiioott": "idiot",
+                        "stuupid": "stupid", "$cum!!!!!!!!": "scum", "hello!": "hello", "(will),": "will", "“idio+”.": "idiot",
+                        "@you": "you"}.items():
+        assert reader.read(token) == (word,), token
+    for text, word in {"f u c k!": "fuck", "(i d i o t)": "idiot", '"s c u m"': "scum", "f  u  c  k": "fuck", "m\to\tr\to\tn": "moron",
+                       "s\nh\r\ni\nt": "shit", "a s s": "ass", "a $ $": "ass", "s - c - u - m": "scum"}.items():
+        assert reader.runs(f"the {text} you") == [word], text
+        assert reader.restored(text) == word
+    assert reader.runs("you don't a I, will the a") == []
+    for blanks in range(190, 205):  # a word over each place of the 200th character
+        text = "." * blanks + "1d10t" + "." * 300 + "m0r0n"
+        assert toxicity.decode(text, logp).split() == ["idiot", "moron"], blanks
+
+
 def test_gram_counts_by_hand():
     counts = np.zeros(toxicity.SYMBOLS ** 4, np.int64)
     toxicity.count_grams(["ab", None, "B!"], counts)
