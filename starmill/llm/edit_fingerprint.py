@@ -27,6 +27,8 @@ CLASSES = 256
 SEED = 20
 BANDS, BAND_STEPS = 32, 6
 NEAR = 0.8
+LISTED = 8  # members of a bucket whose pairs are listed; more are compared in groups of two blocks
+BLOCK = 500
 _SEGMENT = 1 << 16
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
                   ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
@@ -136,36 +138,96 @@ def with_fingerprint(df: DataFrame, name: str, text: str = "text") -> DataFrame:
     return add_columns(df.drop(name), {name: "string"}, add, text)
 
 
-def near_classes(df: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = NEAR) -> DataFrame:
-    """``id_column``, ``fingerprint``, ``class_id``: texts joined by chains of fingerprints alike by ``threshold``.
+def _row(fp: str, level: int) -> np.ndarray:
+    """Digits of a fingerprint at its own or a coarser level, as bytes."""
+    own, digits = int(fp[:2], 16), np.frombuffer(fp[2:].encode(), np.uint8)
+    if level == own:
+        return digits
+    at = _finer(np.arange(-(-len(digits) >> (level - own))), level, own)
+    return np.where(at < len(digits), np.append(digits, np.uint8(45))[np.minimum(at, len(digits))], np.uint8(45))
+
+
+@lru_cache(maxsize=2048)
+def _picks(length: int) -> np.ndarray:
+    """Places of each band's digits in a row of that length: of a fixed shuffle, the first one within the row.
 
-    Equal fingerprints are folded first.  A fingerprint gives BANDS samples of BAND_STEPS digits at its own
-    level and at the next, so that lengths on both sides of a limit meet.  In a bucket of equal
-    samples all members are verified against its first one; those alike are linked to it, and the others
-    go on with the first of them, so no pairs within a bucket are listed.  The class id is the smallest id.
+    A row longer or shorter by a step or two thus has nearly all places in common.
+    """
+    shuffles = np.random.RandomState(SEED).rand(BANDS, BAND_STEPS, SAMPLES)
+    return shuffles[:, :, :max(1, length)].argmin(axis=2)
+
+
+def band_keys(fp: str) -> np.ndarray:
+    """Keys of a fingerprint's bands at its own level and at the next one."""
+    own, bands, out = int(fp[:2], 16), np.arange(BANDS), []
+    for level in (own, own + 1):
+        row = _row(fp, level)
+        digits = (row if len(row) else np.full(1, 45, np.uint8))[_picks(len(row))]
+        out.append(_mix(level, bands, *digits.T).view(np.int64))
+    return np.concatenate(out)
+
+
+def forest(prints: list[str], threshold: float) -> list[tuple[int, int]]:
+    """Places of pairs alike by ``threshold`` that join all that chains of such pairs join.
+
+    Whoever is reached becomes a head in its turn and is held against all that are not reached yet.
+    """
+    own = np.array([int(fp[:2], 16) for fp in prints])
+    rows: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by level: a row for each print of this level or a finer one
+    for level in set(own.tolist()):
+        found = [_row(fp, level) if o <= level else np.zeros(0, np.uint8) for fp, o in zip(prints, own.tolist())]
+        lengths = np.array([len(r) for r in found])
+        table = np.zeros((len(found), lengths.max(initial=0)), np.uint8)
+        for i, r in enumerate(found):
+            table[i, :len(r)] = r
+        rows[level] = table, lengths
+    links, open_ = [], np.arange(len(prints))
+    while len(open_):
+        heads, open_ = [int(open_[0])], open_[1:]
+        while heads and len(open_):
+            head, reached = heads.pop(), []
+            coarser = np.maximum(own[open_], own[head])
+            for level in np.unique(coarser).tolist():
+                table, lengths = rows[level]
+                others = open_[coarser == level]
+                equal = ((table[others] == table[head]) & (table[head] > 45)).sum(axis=1)
+                reached.append(others[equal / np.maximum(1, np.maximum(lengths[others], lengths[head])) >= threshold])
+            new = np.concatenate(reached)
+            links += [(head, i) for i in new.tolist()]
+            heads += new.tolist()
+            open_ = np.setdiff1d(open_, new)
+    return links
+
+
+def print_classes(prints: DataFrame, threshold: float = NEAR) -> DataFrame:
+    """``fp``, ``class_id`` of fingerprints (``fp``, each once, with the smallest id ``first``) that have a link.
+
+    A fingerprint gives BANDS samples of BAND_STEPS digits at its own level and at the next, so that lengths on
+    both sides of a limit meet.  All pairs in a bucket of equal samples count.  Those of small buckets are listed,
+    each pair once, and verified.  A larger bucket is cut into blocks, and each two blocks are one
+    group, in which members are verified against heads until all are reached.  Chains cross groups and buckets.
     """
     from starmill.llm.simhash import components
 
-    docs = stored(with_fingerprint(df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text")),
-                                   "fp", "text").drop("text"), "edit-prints")
-    prints = docs.groupBy("fp").agg(F.min("id").alias("first"))
-    python_ready(df.sparkSession)
-    picks = np.random.RandomState(SEED).randint(0, SAMPLES // 2, (BANDS, BAND_STEPS))
+    python_ready(prints.sparkSession)
+    nodes = stored(prints.withColumn("node", F.monotonically_increasing_id()), "prints")
 
     def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, prints_ = [], []
-            for fp in batch.column(0).to_pylist():
-                own, digits = int(fp[:2], 16), np.frombuffer(fp[2:].encode(), np.uint8)
-                for level in (own, own + 1):
-                    at = _finer(np.arange(max(1, -(-len(digits) >> (level - own)))), level, own)
-                    row = np.where(at < len(digits), np.append(digits, 45)[np.minimum(at, len(digits))], 45)
-                    for n, pick in enumerate(picks % len(row)):
-                        keys.append(f"{level}.{n}.{row[pick].tobytes().decode()}"), prints_.append(fp)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(prints_, pa.string())], names=["key", "fp"])
-
-    left = stored(prints.select("fp").mapInArrow(band, "key string, fp string"), "bands")
-    edges = None
+            keys = [band_keys(fp) for fp in batch.column(0).to_pylist()]
+            node = np.repeat(batch.column(1).to_numpy(), 2 * BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])), pa.array(node)],
+                                             names=["key", "node"])
+
+    def bands() -> DataFrame:
+        return nodes.select("fp", "node").mapInArrow(band, "key long, node long")
+
+    hot = stored(bands().groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+    members = stored(bands().join(hot, "key"), "members")
+    small = members.filter(F.col("n") <= LISTED)
+    pairs = small.select("key", F.col("node").alias("a")).join(small.select("key", F.col("node").alias("b")), "key")
+    pairs = pairs.filter("a < b").select("a", "b").distinct()
+    of = nodes.select("node", "fp")
 
     @F.pandas_udf("double")
     def alike(a, b):
@@ -173,21 +235,52 @@ def near_classes(df: DataFrame, id_column: str = "doc_id", text: str = "text", t
 
         return pd.Series([likeness(x, y) for x, y in zip(a, b)])
 
-    while True:
-        heads = left.groupBy("key").agg(F.min("fp").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        pairs = left.join(heads, "key").filter("fp <> head").withColumn("like", alike("fp", "head"))
-        checked = stored(pairs, "checked")
-        drop(left)
-        now = checked.filter(F.col("like") >= threshold).select(F.col("head").alias("a"), F.col("fp").alias("b"))
-        edges = now if edges is None else edges.union(now)
-        left = checked.filter(F.col("like") < threshold).select("key", "fp")
-        if left.isEmpty():
-            break
-        left = stored(left, "bands")
-    labels = components(edges).toDF("fp", "label")
-    own = prints.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    least = own.groupBy("label").agg(F.min("first").alias("class_id"))
-    return docs.join(own.join(least, "label").select("fp", "class_id"), "fp").select(
+    pairs = pairs.join(of.toDF("a", "x"), "a").join(of.toDF("b", "y"), "b")
+    edges = pairs.withColumn("like", alike("x", "y")).filter(F.col("like") >= threshold).select("a", "b")
+
+    def join(group: pa.Table) -> pa.Table:
+        node = group.column("node").to_numpy()
+        links = np.array(forest(group.column("fp").to_pylist(), threshold), np.int64).reshape(-1, 2)
+        ends = np.sort(node[links], axis=1)
+        return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    large = members.filter(F.col("n") > LISTED).withColumn("blocks", blocks).withColumn(
+        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    large = large.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
+    edges = edges.union(large.join(of, "node").groupBy("key", "i", "j").applyInArrow(join, "a long, b long"))
+    labels = components(edges).toDF("node", "label")
+    linked = nodes.join(labels, "node")
+    least = linked.groupBy("label").agg(F.min("first").alias("class_id"))
+    return linked.join(least, "label").select("fp", "class_id")
+
+
+def with_class(df: DataFrame, fp: str, id_column: str = "doc_id", threshold: float = NEAR) -> DataFrame:
+    """All columns of ``df`` and ``class_id``, the smallest id of the rows whose fingerprints ``fp`` chains join.
+
+    Equal fingerprints are folded first.  Only fingerprints that more than one row has or that are linked are looked up.
+    """
+    prints = stored(df.groupBy(F.col(f"`{fp}`").alias("fp")).agg(F.min(f"`{id_column}`").alias("first"),
+                                                               F.count(F.lit(1)).alias("n")), "distinct")
+    linked = print_classes(prints.select("fp", "first"), threshold).withColumn("linked", F.lit(True))
+    classes = prints.join(linked, "fp", "left").filter("linked or n > 1").select(
+        F.col("fp").alias("_fp"), F.when(F.col("linked"), F.col("class_id")).otherwise(F.col("first")).alias("_class"),
+        F.lit(True).alias("_known"))
+    classes = stored(classes, "classes")
+    out = df.join(classes, F.col(f"`{fp}`") == F.col("_fp"), "left")
+    return out.withColumn("class_id", F.when(F.col("_known"), F.col("_class")).otherwise(F.col(f"`{id_column}`"))).drop(
+        "_fp", "_class", "_known")
+
+
+def near_classes(df: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = NEAR) -> DataFrame:
+    """``id_column``, ``fingerprint``, ``class_id``: texts joined by chains of fingerprints alike by ``threshold``.
+
+    The class id is the smallest id.  Verified are the fingerprints, not the texts.
+    """
+    docs = stored(with_fingerprint(df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text")),
+                                   "fp", "text").drop("text"), "edit-prints")
+    return with_class(docs, "fp", "id", threshold).select(
         F.col("id").alias(id_column), F.col("fp").alias("fingerprint"), "class_id")
 
 

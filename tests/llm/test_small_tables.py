@@ -475,6 +475,40 @@ def test_edit_distance_shows(spark):
     assert edit_fingerprint.near_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_classes_keep_every_link_of_a_bucket(spark):
+    """Prints edited independently, chains of edits and short texts: the classes are those of all pairs."""
+    rng = random.Random(5)
+
+    def changed(digits, share):
+        return "".join(rng.choice("0123456789abcdef") if rng.random() < share else c for c in digits)
+
+    origin = "".join(rng.choice("0123456789abcdef") for _ in range(400))
+    prints = [origin, *[changed(origin, 0.15) for _ in range(600)]]
+    chain = ["".join(rng.choice("0123456789abcdef") for _ in range(300))]
+    for _ in range(100):
+        chain.append(changed(chain[-1], 0.1) + "7")
+    prints = [f"00{d}" for d in dict.fromkeys(prints + chain)] + ["00"]
+    want = list(range(len(prints)))
+    for a, b in edit_fingerprint.forest(prints, edit_fingerprint.NEAR):  # as checked below
+        x, y = want[a], want[b]
+        want = [min(x, y) if w in (x, y) else w for w in want]
+    for a in range(len(prints)):
+        for b in range(a):
+            assert want[a] == want[b] or edit_fingerprint.likeness(prints[a], prints[b]) < edit_fingerprint.NEAR
+    assert all(edit_fingerprint.likeness(prints[a], prints[b]) >= edit_fingerprint.NEAR
+               for a, b in edit_fingerprint.forest(prints, edit_fingerprint.NEAR))
+    df = spark.createDataFrame(list(enumerate(prints)), "doc_id long, fp string")
+    found = {r["doc_id"]: r["class_id"] for r in edit_fingerprint.with_class(df, "fp").collect()}
+    assert [found[i] for i in range(len(prints))] == want and len(set(want)) < 20
+    same = np.mean([(edit_fingerprint._picks(n) == edit_fingerprint._picks(n + 2)).all(axis=1).mean() for n in range(100, 250)])
+    assert same > 0.85
+    texts = ["the quick brown fox jumps over the lazy dog by the river", "the quick brown fox jumps over the lazy dog by the rivers"]
+    likes = edit_fingerprint.likeness(*map(edit_fingerprint.fingerprint, texts))
+    short = {r["doc_id"]: r["class_id"] for r in edit_fingerprint.near_classes(
+        spark.createDataFrame(list(enumerate(texts)) + [(2, "ab"), (3, "cd")], "doc_id long, text string")).collect()}
+    assert likes >= edit_fingerprint.NEAR and short == {0: 0, 1: 0, 2: 2, 3: 3}
+
+
 def test_stages_take_anything(spark, docs, none, tmp_path):
     """Every stage but the last gives back the columns it got, on odd and on empty tables."""
     spark.createDataFrame([(1, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
