@@ -3,8 +3,9 @@
 Each partition packs its pieces by best fit, largest first, and compares its number of
 sequences with lower bounds from dual feasible functions.  A partition that meets its
 bound is optimal and keeps all but its emptiest sequence.  The others give the pieces of all
-unfilled sequences to a pool, which is dealt anew over fewer partitions and packed again, until all meet their
-bounds, one partition has the whole pool, or a round needs no fewer sequences than the one before.
+unfilled sequences to a pool, which is dealt anew, in another order, over as many partitions as its size
+asks for, and packed again, until all meet their bounds, one partition has the whole pool, or a round
+needs no fewer sequences than the one before.
 """
 
 from __future__ import annotations
@@ -127,8 +128,11 @@ def _round(df: DataFrame, parts: int, number: int, last: bool, capacity: int) ->
             group = group.append_column(name, pa.array(values))
         return group
 
-    # A row's number in a stored table is the same in each run of a task.
-    dealt = df.withColumn("lane", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
+    # A row's number in a stored table is the same in each run of a task.  The lanes of a later round must mix
+    # the former ones: of any ``parts`` rows in a row each lane gets one, in an order that the round seeds.
+    row = F.monotonically_increasing_id()
+    turn = F.xxhash64(F.floor(row / parts), F.lit(number)) if number else F.lit(0)
+    dealt = df.withColumn("lane", F.pmod(F.pmod(row, F.lit(parts)) + F.pmod(turn, F.lit(parts)), F.lit(parts)))
     return dealt.groupBy("lane").applyInArrow(fit, extended(dealt.schema, sequence_id="long", offset="long", done="boolean"))
 
 
@@ -136,8 +140,8 @@ def pack(df: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES_
     """Adds ``sequence_id`` and ``offset`` to rows with a ``length`` of 1 to ``capacity``.
 
     Pieces are dealt by number, not by key, so that no hot key meets in one task; equal rows are
-    separate pieces.  Other columns are carried along and should be narrow.  Each round halves the
-    number of lanes at least, and what stands is stored.  An empty table gives an empty result.
+    separate pieces.  Other columns are carried along and should be narrow.  A lane has about
+    ``pieces_per_task`` pieces at most in every round, and what stands is stored.  An empty table gives an empty result.
     Clashing columns are replaced.
     """
     names = [c for c in df.columns if c.lower() not in {"sequence_id", "offset"}]
@@ -159,7 +163,7 @@ def pack(df: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES_
         if last or not used:
             break
         left, number = stored(rest, "pool"), number + 1
-        parts = max(1, min(parts // 2, -(-left.count() // pieces_per_task)))
+        parts = max(1, -(-left.count() // pieces_per_task))
     out = packed[0]
     for more in packed[1:]:
         out = out.union(more)

@@ -153,6 +153,23 @@ def test_rounds_bring_gaps_together(spark):
     assert found.count() == 900 and bound <= at_once <= used < alone
 
 
+def test_no_round_exceeds_a_tasks_pieces(spark, monkeypatch):
+    """Lengths that no lane packs to its bound: the pool hardly shrinks, and the lanes stay bounded."""
+    lengths, seen, deal = np.random.default_rng(2).integers(300, 500, 3200), [], packing._round
+
+    def watched(df, parts, *rest):
+        out = deal(df, parts, *rest)
+        seen.append((df.count(), max(r["count"] for r in out.groupBy("lane").count().collect())))
+        return out
+
+    monkeypatch.setattr(packing, "_round", watched)
+    found = packing.pack(spark.createDataFrame([(int(n),) for n in lengths], "length long"), pieces_per_task=200)
+    assert len(seen) > 1 and seen[1][0] > 2000  # most pieces are exchanged
+    assert max(most for _, most in seen) <= 240
+    fills = found.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("k"), F.countDistinct("offset").alias("o"))
+    assert found.count() == 3200 and fills.filter("n > 1024 or k <> o").isEmpty()
+
+
 def test_token_files(spark, docs, rows, none, tmp_path):
     library = Tokenizer.from_file(WORD_BPE)
     library.encode_special_tokens = True
