@@ -28,7 +28,7 @@ SEED = 20
 BANDS, BAND_STEPS = 32, 6
 NEAR = 0.8
 LISTED = 8  # members of a bucket whose pairs are listed; more are compared in groups of two blocks
-BLOCK = 500
+BLOCK = 4_000  # a group has two blocks at most, some 4 MB
 _SEGMENT = 1 << 16
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
                   ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])

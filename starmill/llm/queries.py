@@ -80,7 +80,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+    return edit_fingerprint.with_class(edit_fingerprint.compare_with_next(table(spark, sf_dir, "documents")), "fingerprint")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -492,7 +492,7 @@ def test_edit_distance_shows(spark):
     assert edit_fingerprint.near_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_classes_keep_every_link_of_a_bucket(spark):
+def test_classes_keep_every_link_of_a_bucket(spark, monkeypatch):
     """Prints edited independently, chains of edits and short texts: the classes are those of all pairs."""
     rng = random.Random(5)
 
@@ -514,6 +514,7 @@ def test_classes_keep_every_link_of_a_bucket(spark):
             assert want[a] == want[b] or edit_fingerprint.likeness(prints[a], prints[b]) < edit_fingerprint.NEAR
     assert all(edit_fingerprint.likeness(prints[a], prints[b]) >= edit_fingerprint.NEAR
                for a, b in edit_fingerprint.forest(prints, edit_fingerprint.NEAR))
+    monkeypatch.setattr(edit_fingerprint, "BLOCK", 50)  # groups of two blocks as well
     df = spark.createDataFrame(list(enumerate(prints)), "doc_id long, fp string")
     found = {r["doc_id"]: r["class_id"] for r in edit_fingerprint.with_class(df, "fp").collect()}
     assert [found[i] for i in range(len(prints))] == want and len(set(want)) < 20
