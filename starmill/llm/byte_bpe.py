@@ -3,8 +3,8 @@
 A text is cut into words by the vocabulary's pattern.  A word is an array of byte ids; each step of the
 fold merges the first pair of lowest rank, until no pair has a rank.  Ranks of pairs are a literal map
 in the plan, hashed into small maps so that a look-up takes constant time.  The most frequent
-words of the corpus are folded once and become a second literal map of bounded size; other words are
-folded where they stand.  Decoding looks up the bytes of each id and concatenates them.
+words of the corpus, but no long ones, are folded once and become a second literal map of bounded size;
+other words are folded where they stand.  Decoding looks up the bytes of each id and concatenates them.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from starmill.llm.common import stored
 
 # Words in the literal map, at most: nineteen of twenty occurrences in the check's tables.
 HEAD_WORDS = 200_000
+HEAD_BYTES = 64  # of a word in the map, at most; its ids are no more, so the map's size is bounded
 _NONE = 2**31 - 1
 
 
@@ -133,7 +134,7 @@ class Vocabulary:
 def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
     """All columns of ``df`` and ``ids`` (array of int), the ids of the whole text; a column so named is replaced.
 
-    The distinct words of all texts are counted; the most frequent ones are folded once and come back to the
+    The distinct words of all texts are counted; the most frequent ones of at most HEAD_BYTES are folded once and come back to the
     texts as a literal map.  Texts do not move: the remaining words are folded where they stand.
 
     A null or empty text has no ids.  Every match of the pattern is encoded by itself, without special
@@ -141,6 +142,7 @@ def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_word
     """
     value = F.col(f"`{text}`")
     counts = df.select(F.explode(vocabulary.words(value)).alias("word")).groupBy("word").count()
+    counts = counts.filter(F.octet_length("word") <= HEAD_BYTES)
     top = stored(counts.orderBy(F.desc("count"), "word").limit(head_words).select("word"), "top")
     known = vocabulary.literal_map(vocabulary.folded(top, "frequent"), head_words)
     return df.drop("ids").withColumn("ids", vocabulary.encode(value, known))

@@ -170,6 +170,18 @@ def test_no_round_exceeds_a_tasks_pieces(spark, monkeypatch):
     assert found.count() == 3200 and fills.filter("n > 1024 or k <> o").isEmpty()
 
 
+def test_long_words_stay_out_of_the_literal_map(spark, monkeypatch):
+    vocabulary = byte_bpe.Vocabulary(byte_bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    taken, folded = [], vocabulary.folded
+    monkeypatch.setattr(vocabulary, "folded", lambda words, name: taken.extend(r["word"] for r in words.collect()) or folded(words, name))
+    texts = ["漢字仮名" * 40, "é" * 33, "a" * 64, "short words"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 5)], "doc_id long, text string")
+    got = {r["doc_id"]: r["ids"] for r in byte_bpe.encoded(df, vocabulary).collect()}
+    assert max(len(w.encode()) for w in taken) == byte_bpe.HEAD_BYTES == 64
+    library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+    assert all(got[i] == library.encode_ordinary(t) for i, t in enumerate(texts * 5))
+
+
 def test_token_files(spark, docs, rows, none, tmp_path):
     library = Tokenizer.from_file(WORD_BPE)
     library.encode_special_tokens = True
