@@ -232,11 +232,11 @@ def fold(id_column: str, folds: int) -> Column:
 
 
 def without_unknown(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows whose text has a language, as they are; texts without a letter go."""
-    pred = fresh(df, "_pred")
+    """The rows whose text has grams, as they are; texts without a letter go, whether or not a language was learned."""
+    n = fresh(df, "_grams")
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def add(texts: list[str | None]) -> dict[str, pa.Array]:
-        return {pred: pa.array(shared.value.predict(texts)[0], pa.string())}
+        return {n: pa.array(shared.value.margins(texts)[1])}
 
-    return add_columns(df, {pred: "string"}, add, text).filter(F.col(pred) != UNKNOWN).select(*all_columns(df))
+    return add_columns(df, {n: "long"}, add, text).filter(F.col(n) > 0).select(*all_columns(df))

@@ -433,6 +433,11 @@ def test_language(spark):
     assert {r["lang_pred"] for r in language.identify(docs, one).collect()} == {"x", "und"}
 
 
+def test_nothing_learned_drops_no_text(spark):
+    df = spark.createDataFrame([(1, "some text", None), (2, "12 34", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in corpus_pipeline.spoken(spark, df, "").collect()] == [1]
+
+
 def test_codewords():
     for n in (2, 3, 4, 6, 12):
         code = language.codewords(n)
