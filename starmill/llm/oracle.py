@@ -42,4 +42,56 @@ SELECT doc_id, size, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shar
 FROM cut, crc_table
 """
 
-ORACLE = {"op1_byte_shards": _SHARDS, "op4_chat_tree": _CHAT, "op9_exact_dedup": _EXACT}
+_CRC_TABLE = r"""crc_table AS (
+  SELECT list(list_reduce([c, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY c) AS t
+  FROM range(256) AS r(c))"""
+
+# A digest's input: the bytes, a colon and the value; a hyphen for null.
+_FIELD = "coalesce(strlen({0}) || ':' || {0}, '-')"
+
+_CHILDREN = """max(node) FILTER (place % 3 = 0) OVER run AS a, max(node) FILTER (place % 3 = 1) OVER run AS b,
+               max(node) FILTER (place % 3 = 2) OVER run AS c"""
+
+_PARENT = """place // 3, (n + 2) // 3,
+         sha256(a || coalesce(b, '') || coalesce(c, '')),
+         sha256(CASE place % 3 WHEN 0 THEN folded ELSE a END || coalesce(CASE place % 3 WHEN 1 THEN folded ELSE b END, '')
+                || coalesce(CASE place % 3 WHEN 2 THEN folded ELSE c END, '')),
+         proof || CASE place % 3 WHEN 0 THEN '' ELSE a END || coalesce(CASE place % 3 WHEN 1 THEN '' ELSE b END, '')
+               || coalesce(CASE place % 3 WHEN 2 THEN '' ELSE c END, '')"""
+
+# Levels of the trees of the sources, then of the tree over them; every row goes along with its node.
+_MERKLE = r"""
+WITH RECURSIVE {crc_table},
+told AS (SELECT *, list_reduce(list_prepend(4294967295, list_transform(range(strlen(CAST(doc_id AS VARCHAR))),
+                      lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i + 1 AS BIGINT), 1)) AS BIGINT))),
+                      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])) AS rest
+         FROM documents, crc_table),
+leaves AS (
+  SELECT doc_id, source, sha256(head || {text}) AS leaf,
+         sha256(head || {tampered}) AS shown
+  FROM (SELECT *, {doc_id} || {source} || {lang} || {n_chars} AS head FROM told)),
+lower_tree AS (
+  SELECT doc_id, source, leaf, row_number() OVER s - 1 AS place, count(*) OVER (PARTITION BY source) AS n,
+         leaf AS node, shown AS folded, '' AS proof
+  FROM leaves WINDOW s AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf)
+  UNION ALL
+  SELECT doc_id, source, leaf, {parent}
+  FROM (SELECT *, {children}
+        FROM lower_tree WHERE n > 1 WINDOW run AS (PARTITION BY source, place // 3))),
+upper_tree AS (
+  SELECT doc_id, leaf, node AS subroot, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+         (SELECT count(DISTINCT coalesce('=' || source, '')) FROM documents) AS n, node, folded, proof
+  FROM lower_tree WHERE n = 1
+  UNION ALL
+  SELECT doc_id, leaf, subroot, {parent}
+  FROM (SELECT *, {children}
+        FROM upper_tree WHERE n > 1 WINDOW run AS (PARTITION BY place // 3)))
+SELECT doc_id, leaf, subroot, node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = node AS verified
+FROM upper_tree WHERE n = 1
+""".format(
+    crc_table=_CRC_TABLE, parent=_PARENT, children=_CHILDREN, source=_FIELD.format("source"), lang=_FIELD.format("lang"),
+    text=_FIELD.format("text"), doc_id=_FIELD.format("CAST(doc_id AS VARCHAR)"), n_chars=_FIELD.format("CAST(n_chars AS VARCHAR)"),
+    tampered=_FIELD.format("CASE WHEN rest & 1 = 1 THEN replace(text, chr(10), '') ELSE text END"))
+
+ORACLE = {"op1_byte_shards": _SHARDS, "op4_chat_tree": _CHAT, "op9_exact_dedup": _EXACT, "op11_merkle_manifest": _MERKLE}

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import byte_bpe, chat_tree, edit_fingerprint, exact_dedup, language, packing, sharding, simhash, token_files, toxicity
+from starmill.llm import (byte_bpe, chat_tree, edit_fingerprint, exact_dedup, language, merkle, packing, periodic_runs, quality,
+                          sharding, simhash, token_files, toxicity)
 from starmill.llm.common import new_folder, table
 
 SHARDS = 40
@@ -83,6 +84,43 @@ def op10_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprint.with_class(edit_fingerprint.compare_with_next(table(spark, sf_dir, "documents")), "fingerprint")
 
 
+def _crc(column: str) -> Column:
+    """Unsigned CRC-32 of an id as text; null for a null."""
+    return F.crc32(F.col(column).cast("string"))
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    rest = [F.col(c) for c in docs.columns[:-1]]
+    tampered = merkle.leaf(*rest, F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    leaves = docs.withColumn("leaf", merkle.leaf(*rest, F.col("text")))
+    leaves = leaves.select("doc_id", "source", "leaf", F.when(_crc("doc_id") % 2 == 0, tampered).otherwise(F.col("leaf")).alias("shown"))
+    return merkle.build(leaves, "source", ["doc_id"], "leaf").verify("shown").drop("source", "shown")
+
+
+def op12_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored, _ = quality.with_score(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return scored.select("doc_id", (~quality.learning("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = _crc("doc_id")
+    g = F.floor(h / 10).cast("long")
+    repeated = periodic_runs.repeated_from(F.col("text"), lambda n: g % n, lambda n: 1 + F.floor((n - g % n) / (3 + g % 8)).cast("long"))
+    docs = docs.withColumn("text", F.when(h % 10 == 0, repeated).otherwise(F.col("text")))
+    found = periodic_runs.with_runs(docs)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                       F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.short")
+    return out.select("doc_id", "n_runs", (-F.col("best.back")).alias("start"), length.alias("length"), period.alias("period"),
+                      F.floor(1000 * length / period).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_byte_shards, op2_best_fit_packing, op3_toxicity, op4_chat_tree, op5_byte_bpe, op6_bit_plane_files, op7_language, op8_simhash, op9_exact_dedup,
-    op10_edit_fingerprints)}
+    op10_edit_fingerprints, op11_merkle_manifest, op12_pu_quality, op13_periodic_runs)}
