@@ -386,6 +386,7 @@ ORACLE: dict[str, str] = {
         {_NET} AS net_amount FROM star GROUP BY year, month"""),
     "mv_monthly_sales": _on_star(_MONTHLY),
     "mv_refresh_incremental": _on_star(_MONTHLY),
+    "mv_after_failed_append": _on_star(_MONTHLY),
     "mv_customer_summary": _on_star(_SUMMARY),
     "mv_customer_merge": _on_star(_SUMMARY),
     "catalog_statistics": _on_star(_union([

@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmill.operators import folders
+
 log = logging.getLogger("starmill")
 REQUIRED = "starmill.required"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.parquet(folders.settle(spark, path))
 
 
 def read_or_empty(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
     """A stored table, created empty on first use."""
     empty = T.StructType([T.StructField(f.name, f.dataType) for f in contract])
-    spark.createDataFrame([], empty).write.mode("ignore").parquet(path)
+    spark.createDataFrame([], empty).write.mode("ignore").parquet(folders.settle(spark, path))
     return spark.read.schema(empty).parquet(path)
 
 
@@ -33,25 +36,34 @@ def observed(seen: Observation) -> dict | None:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None, **metrics) -> dict:
+                sort_by: list[str] | None = None, notes: Mapping[str, str] | None = None, in_place: bool = False,
+                options: Mapping[str, str] | None = None, **metrics) -> dict:
     """Write Parquet and return the row count (and ``metrics``), observed during the write itself.
 
+    An overwrite is finished beside the table, with its ``notes``, and then put in its place: a job that dies leaves the
+    old table whole.  ``in_place`` is for folders that nobody else reads.  ``options`` go to the writer.
+
     A partitioned table is rebalanced on its partition columns: adaptive
     execution splits a hot partition over tasks and merges small ones.  The
     writer needs the rows sorted by partition anyway; ``sort_by`` refines that
     order, so that the files' min/max values prune.
     """
-    seen = Observation()
+    seen, spark = Observation(), df.sparkSession
+    beside = mode == "overwrite" and not in_place
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     # Counted in the last stage, where a re-run task counts once.
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
     if partition_by or sort_by:
         rows = rows.sortWithinPartitions(*(partition_by or []), *(sort_by or []))
-    out = rows.write.mode(mode)
+    out = rows.write.mode(mode).options(**(options or {}))
     if partition_by:
         out = out.partitionBy(*partition_by)
-    out.parquet(path)
+    out.parquet(folders.beside(path) if beside else folders.settle(spark, path))
+    if beside:
+        for name, text in (notes or {}).items():
+            folders.write_note(spark, folders.beside(path), name, text)
+        folders.switch(spark, path)
     counts = observed(seen)
     if counts is None:  # counted again rather than taken for 0
         counts = df.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]).first().asDict()
@@ -64,21 +76,6 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def without_known(df: DataFrame, stored: DataFrame, keys: list[str], batch: DataFrame | None = None) -> DataFrame:
-    """The rows whose keys the stored table does not hold yet.
-
-    The whole table is asked, not only the partitions of the batch: a replayed
-    row is recognised also if its partition columns have changed since.  Only
-    the key columns of the table are read, and they are narrowed to the first
-    key's values in ``batch`` (by default ``df``): against a small batch, which
-    Spark broadcasts, the table is not shuffled at all.
-    """
-    first = keys[0]
-    used = (df if batch is None else batch).select(first)
-    known = stored.select(*keys).join(used, first, "left_semi")
-    return df.join(known, keys, "left_anti").select(*df.columns)
-
-
 def one_per_key(df: DataFrame, key: str, best: list[Column]) -> DataFrame:
     """The first row per key in the order of ``best``, which must be total; rows without a key all stay.
 
@@ -89,13 +86,6 @@ def one_per_key(df: DataFrame, key: str, best: list[Column]) -> DataFrame:
     return ranked.where("_row = 1").drop("_row").unionByName(df.where(F.col(key).isNull()))
 
 
-def append_new(df: DataFrame, path: str, key: str, partition_by: list[str] | None = None) -> dict:
-    """Append the rows whose ``key`` is new, one per key; a replayed batch adds nothing."""
-    once = one_per_key(df, key, [F.col(c).desc_nulls_last() for c in df.columns])
-    new = without_known(once, read_or_empty(df.sparkSession, path, df.schema), [key], batch=df)
-    return write_table(new, path, "append", partition_by)
-
-
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Overwrite only the partitions that ``df`` holds."""
     (df.hint("rebalance", *partition_by).write.mode("overwrite")
@@ -125,26 +115,23 @@ def quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def move_into(spark: SparkSession, staging: str, target: str, replace: bool) -> None:
+def move_into(spark: SparkSession, staging: str, target: str, replace: bool, tag: str = "") -> None:
     """Move the data files of a finished staging folder to ``target``, within one file system, instead of copying them.
 
-    Spark's file names are unique, so an append never overwrites.
+    To replace, the folder takes the target's place.  An append gives its files names that begin with ``tag``, in
+    place of those that so begin already: a source that is loaded again replaces its own files.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    source, goal = path(staging), path(target)
-    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
     if replace:
-        files.delete(goal, True)
-        files.mkdirs(goal.getParent())
-        if not files.rename(source, goal):
-            raise OSError(f"cannot move {staging} to {target}")
+        folders.remove(spark, folders.beside(target))
+        folders.rename(spark, staging, folders.beside(target))
+        folders.switch(spark, target)
         return
-    files.mkdirs(goal)
-    for status in files.listStatus(source):
-        name = status.getPath().getName()
-        if not name.startswith(("_", ".")) and not files.rename(status.getPath(), path(goal, name)):
-            raise OSError(f"cannot move {name} to {target}")
-    files.delete(source, True)
+    folders.settle(spark, target)
+    if tag:
+        for name in folders.data_paths(spark, target):
+            if name.rpartition("/")[2].startswith(tag):
+                folders.remove(spark, f"{target}/{name}")
+    folders.move_all(spark, staging, target, tag)
 
 
 def register_table(spark: SparkSession, name: str, path: str, contract: T.StructType, comment: str = "",

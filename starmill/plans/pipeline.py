@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from functools import partial
@@ -14,11 +15,12 @@ from pyspark.sql.types import StructType
 from starmill.operators import dimensions as dims
 from starmill.operators.fact import ACCEPTED, KEYS, SALES_LINES, by_status, resolve_sales
 from starmill.operators.keys import allocate_keys
+from starmill.operators.ledger import GENERATION, Ledger
 from starmill.operators.sinks import (
-    analyze_table, export_csv, move_into, one_per_key, quoted, read_or_empty, read_table, register_table, without_known, write_table)
-from starmill.plans.aggregates import customer_summary, merge_customer_summary, monthly_sales, refresh_monthly_sales
+    analyze_table, export_csv, one_per_key, quoted, read_or_empty, read_table, register_table, write_table)
 from starmill.plans.checks import null_key_verdict
 from starmill.plans.rules import DataQualityError
+from starmill.plans.summaries import sync_summaries
 from starmill.plans.warehouse import DIM_TABLES, SALES_FOLDER, TABLES, Star, open_star
 from starmill.schemas import CURATED, DEFAULTS, NATURAL_KEYS, RAW, SORT_KEYS, SURROGATE_KEYS, TABLE_COMMENTS
 from starmill.session import side_by_side
@@ -68,55 +70,35 @@ def load_dimensions(spark: SparkSession, raw: dict[str, DataFrame], target: str,
 
 
 def load_fact(spark: SparkSession, raw_sales: DataFrame, target: str, loaded_at: Column, rows: dict[str, int],
-              append: bool = False, reject_out_of_calendar: bool = True) -> dict[str, int]:
+              append: bool = False, reject_out_of_calendar: bool = True) -> dict:
     """Load the fact (replace, or append without replays) and quarantine what misses a key, in one job.
 
     The stored dimensions are read back, so each is computed once.  An append keeps one line per sale_id of a
-    batch, an accepted one before a rejected one; lines without a sale_id cannot be told apart and all stay.
+    batch, an accepted one before a rejected one; lines without a sale_id cannot be told apart and all stay.  A ledger of the
+    ids tells which are known and where the sale keys go on; the stored lines are not read.  Gives back the
+    counts, the first and the highest sale key, and the months written.
     """
     stored = {d: read_table(spark, f"{target}/{d}_dim") for d in ("customer", "product", "location")}
     path = f"{target}/{SALES_FOLDER}"
-    first, known = 0, None
+    first, ledger = 0, None
     if append:
-        known = read_or_empty(spark, path, SALES_LINES)
-        top = known.agg(F.max("sale_key")).first()[0]
-        first = 0 if top is None else top + 1
+        ledger = Ledger(spark, path, "sale_id", ("status",), number="sale_key")
+        ledger.ensure(read_or_empty(spark, path, SALES_LINES))
+        first = ledger.top + 1
     lines = by_status(resolve_sales(raw_sales, stored, read_table(spark, f"{target}/date_dim"), loaded_at,
                                     first_key=first, dim_rows=rows, reject_out_of_calendar=reject_out_of_calendar))
-    if append:
-        lines = one_per_key(lines, "sale_id", [F.col("status").asc(), F.col("sale_key").asc()])
-        lines = without_known(lines, known, ["sale_id", "status"], batch=raw_sales)
-    written = write_table(lines, path, "append" if append else "overwrite", ["status", "month_key"],
-                          SORT_KEYS["sales_fact"], rejects=F.count("reject_reason"))
-    return {"fact": written["rows"] - written["rejects"], "rejects": written["rejects"], "first_key": first}
-
-
-def refresh_summaries(star: Star, target: str) -> None:
-    """Store the two summary tables; run after the fact load."""
-    side_by_side(star.fact.sparkSession, {
-        "mv_monthly_sales": lambda: write_table(monthly_sales(star), f"{target}/mv_monthly_sales",
-                                                partition_by=["year", "month"]),
-        "mv_customer_summary": lambda: write_table(customer_summary(star), f"{target}/mv_customer_summary"),
-    })
-
-
-def update_summaries(star: Star, target: str, first_key: int) -> None:
-    """Bring both stored summaries up to date with the fact rows whose key is ``first_key`` or higher.
-
-    The monthly summary is recomputed for the months of these rows only.  The customer summary adds
-    their counts and sums to the stored ones, without reading older sales; names and cities
-    are today's.  Attributes that changed in months without new sales show after ``refresh_summaries``.
-    """
-    spark = star.fact.sparkSession
-    batch = star.fact.where(F.col("sale_key") >= first_key)
-    customers = f"{target}/mv_customer_summary"
-
-    def merge() -> None:
-        write_table(merge_customer_summary(star, read_table(spark, customers), batch), f"{customers}_new")
-        move_into(spark, f"{customers}_new", customers, replace=True)
-
-    side_by_side(spark, {"mv_customer_summary": merge, "mv_monthly_sales": lambda: refresh_monthly_sales(
-        star, batch, f"{target}/mv_monthly_sales")})
+    # Months are few: one value for each month of the calendar.
+    seen = {"rejects": F.count("reject_reason"), "months": F.collect_set(F.when(F.col("status") == ACCEPTED, F.col("month_key")))}
+    partitions, order = ["status", "month_key"], SORT_KEYS["sales_fact"]
+    if ledger:
+        lines = ledger.unknown(one_per_key(lines, "sale_id", [F.col("status").asc(), F.col("sale_key").asc()]), batch=raw_sales)
+        written = ledger.append(lines, partitions, order, **seen)
+    else:
+        written = write_table(lines, path, "overwrite", partitions, order, notes={GENERATION: uuid.uuid4().hex}, **seen,
+                              top=F.max("sale_key"))
+    top = first - 1 if written["top"] is None else written["top"]
+    return {"fact": written["rows"] - written["rejects"], "rejects": written["rejects"], "first_key": first, "top": top,
+            "months": sorted(written["months"])}
 
 
 def publish(spark: SparkSession, database: str, target: str) -> None:
@@ -196,12 +178,9 @@ def run_pipeline(spark: SparkSession, source: str, target: str, *, database: str
         raw = read_sources(spark, source, fmt, database)
         rows = load_dimensions(spark, raw, target, run_date, loaded_at, calendar_start, calendar_end)
         loaded = load_fact(spark, raw["sales"], target, loaded_at, rows, append, reject_out_of_calendar)
-        first_key = loaded.pop("first_key")
         star = open_star(spark, target, rows)
-        if first_key:
-            update_summaries(star, target, first_key)
-        else:
-            refresh_summaries(star, target)
+        sync_summaries(star, target, loaded)
+        loaded = {n: loaded[n] for n in ("fact", "rejects")}
         if csv_export:
             for table in TABLES:
                 export_csv(star.tables()[table], f"{csv_export}/{table}")

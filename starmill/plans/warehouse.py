@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.operators.fact import ACCEPTED, REJECTED, SALES_LINES
+from starmill.operators.folders import settle
 from starmill.operators.joins import BROADCAST_ROWS, hot_keys, lookup_join
 from starmill.operators.sinks import read_table
 from starmill.schemas import CURATED
@@ -59,7 +60,7 @@ class Star:
 
 def read_sales_lines(spark: SparkSession, root: str) -> DataFrame:
     """Accepted and rejected sales lines, told apart by ``status``."""
-    return spark.read.schema(SALES_LINES).parquet(f"{root}/{SALES_FOLDER}")
+    return spark.read.schema(SALES_LINES).parquet(settle(spark, f"{root}/{SALES_FOLDER}"))
 
 
 def _sales_lines(spark: SparkSession, root: str, status: str) -> DataFrame:

@@ -70,7 +70,7 @@ def bulk_load(spark: SparkSession, path: str, table: str, contract: T.StructType
     """Load text files into a Parquet table, in place of it or (``append``) beside what it holds.
 
     Rows that do not parse, or lack a required column, go to the quarantine, in a folder of this source
-    and table: a repeated load replaces its own lines there.  The load itself counts the bad rows; the text is
+    and table: a repeated load replaces its own lines there, and an appended one its own files in the target.  The load itself counts the bad rows; the text is
     parsed a second time only if there are any.  With more than ``max_errors`` of them the load fails
     before the target is touched; else the written files are moved there.  ``options`` go to the
     reader, such as ``dateFormat``.
@@ -82,7 +82,7 @@ def bulk_load(spark: SparkSession, path: str, table: str, contract: T.StructType
     unfit = F.col(CORRUPT).isNotNull() | lacking
     seen = Observation()
     counted = rows.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(unfit).alias("bad"))
-    staging = f"{target}_staging"
+    staging, source = f"{target}_staging", hashlib.md5(path.encode()).hexdigest()[:12]
     counted.where(~unfit).drop(CORRUPT).write.mode("overwrite").parquet(staging)
     counts = observed(seen)
     if counts is None:
@@ -92,11 +92,10 @@ def bulk_load(spark: SparkSession, path: str, table: str, contract: T.StructType
         parsed = F.to_json(F.struct(*contract.names)).alias("parsed")
         bad = rows.where(unfit).select(
             F.lit(table).alias("table_name"), loaded_at.alias("load_ts"), F.col(CORRUPT).alias("raw_line"), parsed)
-        source = hashlib.md5(path.encode()).hexdigest()[:12]
         bad.write.mode("overwrite").parquet(f"{quarantine}/load={table}-{source}")
     if counts["bad"] > max_errors:
         raise LoadError(f"{table}: {counts['bad']} unreadable rows, {max_errors} allowed")
-    move_into(spark, staging, target, replace=not append)
+    move_into(spark, staging, target, replace=not append, tag=f"{source}-" if append else "")
     return {"table_name": table, "rows_read": counts["read"], "rows_loaded": counts["read"] - counts["bad"],
             "rows_rejected": counts["bad"]}
 

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmill.operators.sinks import append_new, read_table
-from starmill.plans.pipeline import load_fact, update_summaries
+from starmill.operators.ledger import append_new
+from starmill.operators.sinks import read_table
+from starmill.plans.pipeline import load_fact
+from starmill.plans.summaries import sync_summaries
 from starmill.plans.warehouse import DIM_TABLES, open_star
 
 
@@ -40,15 +42,15 @@ def load_sales_stream(stream: DataFrame, target: str, checkpoint: str):
     """Append newly arrived raw sales to the stored fact, one load per micro-batch.
 
     A batch that is repeated after a failure, or a sale that is delivered twice
-    at any distance, adds nothing: the load asks the whole fact for its sale_id.  The stored summaries follow.
+    at any distance, adds nothing: the ledger of the fact's ids knows it.  The stored summaries follow, also those that a
+    batch which died in between left behind.
     """
     spark = stream.sparkSession
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         rows = {d: read_table(spark, f"{target}/{t}").count() for d, t in DIM_TABLES.items()}
         loaded = load_fact(spark, batch, target, F.lit(datetime.now(timezone.utc)), rows, append=True)
-        if loaded["fact"]:
-            update_summaries(open_star(spark, target, rows), target, loaded["first_key"])
+        sync_summaries(open_star(spark, target, rows), target, loaded)
 
     return (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

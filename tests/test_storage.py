@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import customer, product, raw_table, rows, sale, write_raw
 from starmill.operators import sinks
+from starmill.operators.ledger import append_new
 from starmill.plans.checks import catalog_statistics
 from starmill.schemas import CURATED, RAW
 from starmill.sources import files, raw
@@ -18,11 +19,11 @@ def table(spark, *data):
 def test_replayed_batch_adds_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     first, second = table(spark, ("a", 1, 10), ("b", 1, 20)), table(spark, ("b", 1, 20), ("c", 2, 30))
-    counts = [sinks.append_new(df, path, "id", ["month"])["rows"] for df in (first, second, second)]
+    counts = [append_new(df, path, "id", ["month"])["rows"] for df in (first, second, second)]
     assert counts == [2, 1, 0]
     assert rows(sinks.read_table(spark, path), "id", "month", "amount") == [("a", 1, 10), ("b", 1, 20), ("c", 2, 30)]
     repeated = table(spark, ("d", 1, 1), ("d", 1, 2), ("a", 9, 9), (None, 3, 3), (None, 3, 3))
-    assert sinks.append_new(repeated, path, "id", ["month"])["rows"] == 3
+    assert append_new(repeated, path, "id", ["month"])["rows"] == 3
     assert rows(sinks.read_table(spark, path).where("id = 'd' OR id IS NULL"), "id", "amount") == [("d", 2), (None, 3), (None, 3)]
 
 
