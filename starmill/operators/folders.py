@@ -115,10 +115,20 @@ def move_all(spark: SparkSession, source: str, goal: str, tag: str = "") -> int:
     Spark's file names are unique, so nothing is overwritten, and an interrupted move is completed by another one.  With
     a ``tag`` the files' names begin with it.
     """
-    moved = 0
-    for relative in list(data_paths(spark, source)):
+    files, _ = opened(spark, goal)
+    path, places = spark._jvm.org.apache.hadoop.fs.Path, {}
+    for relative in data_paths(spark, source):
         place, _, name = relative.rpartition("/")
-        rename(spark, f"{source}/{relative}", f"{goal}/{place}/{tag}{name}" if place else f"{goal}/{tag}{name}")
-        moved += 1
+        places.setdefault(place, []).append(name)
+    for place, names in places.items():
+        here, there = path(f"{source}/{place}" if place else source), path(f"{goal}/{place}" if place else goal)
+        if place and not tag and not files.exists(there):  # a new partition moves as a whole
+            files.mkdirs(there.getParent())
+            if files.rename(here, there):
+                continue
+        files.mkdirs(there)
+        for name in names:
+            if not files.rename(path(here, name), path(there, f"{tag}{name}")):
+                raise OSError(f"cannot move {name} from {here} to {there}")
     remove(spark, source)
-    return moved
+    return sum(map(len, places.values()))

@@ -53,11 +53,13 @@ class Ledger:
         """The highest ``number`` in the table, -1 without rows."""
         return json.loads(folders.read_note(self.spark, self.folder, STATE))["top"]
 
-    def _write(self, rows: DataFrame, path: str, **metrics) -> dict:
+    def _write(self, rows: DataFrame, path: str, number: int, **metrics) -> dict:
+        """Entries of ``number`` lines; filters are sized for a bucket's share of them."""
         entries = rows.where(F.col(self.key).isNotNull()).select(
             bucket_of(F.col(self.key)).alias("bucket"), self.key, *self.also, *([self.number] if self.number else []))
         return write_table(entries, path, partition_by=["bucket"], sort_by=[self.key], in_place=True, options={
-            f"parquet.bloom.filter.enabled#{self.key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}, **metrics)
+            f"parquet.bloom.filter.enabled#{self.key}": "true",
+            f"parquet.bloom.filter.expected.ndv#{self.key}": str(max(64, 2 * number // BUCKETS))}, **metrics)
 
     def ensure(self, table: DataFrame) -> None:
         """Build the ledger of a table that has none, or whose lines have been replaced since."""
@@ -65,7 +67,7 @@ class Ledger:
         if folders.read_note(self.spark, self.folder, GENERATION) == generation:
             return
         new = folders.beside(self.folder)
-        seen = self._write(table, new, **({"top": F.max(self.number)} if self.number else {}))
+        seen = self._write(table, new, table.count(), **({"top": F.max(self.number)} if self.number else {}))
         folders.write_note(self.spark, new, GENERATION, generation)
         folders.write_note(self.spark, new, STATE, json.dumps({"top": -1 if seen.get("top") is None else seen["top"]}))
         folders.switch(self.spark, self.folder)
@@ -97,7 +99,7 @@ class Ledger:
         staged = f"{self.entering}/lines"
         written = write_table(lines, staged, partition_by=partition_by, sort_by=sort_by, in_place=True, **metrics)
         if written["rows"]:
-            self._write(self.spark.read.schema(lines.schema).parquet(staged), f"{self.entering}/keys")
+            self._write(self.spark.read.schema(lines.schema).parquet(staged), f"{self.entering}/keys", written["rows"])
             top = max(self.top, written["top"]) if self.number else -1
             folders.write_note(self.spark, self.entering, STATE, json.dumps({"top": top}))
         self.recover()

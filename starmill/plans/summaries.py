@@ -5,7 +5,7 @@ Every summary notes through which ``sale_key`` it includes the fact, and which g
 died after the fact load is made up for by the next one, and a repeated update finds nothing to do.
 
 The monthly summary adds up: its state has sums and, for the distinct customers, sets of the dense
-``customer_key``: a bitmap per 32,768 keys or, while there are few of them, the positions themselves.  Each load adds
+``customer_key`` per 32,768 keys: their positions or, where there are many, a bitmap.  Each load adds
 one folder of its own sums and sets; the summary's months are folded from these folders, and no
 older sale is read.  Many folders are folded into one.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from starmill.functions import measures as m
 from starmill.operators import folders
 from starmill.operators.sinks import read_table, replace_partitions, write_table
-from starmill.plans.aggregates import MONTHLY_KEYS, customer_summary, merge_customer_summary
+from starmill.plans.aggregates import MONTHLY_KEYS, customer_summary, merge_customer_summary, monthly_sales
 from starmill.plans.warehouse import SALES_FOLDER, Star
 from starmill.session import side_by_side
 
@@ -37,51 +37,20 @@ _STATE = ("month_name string, category string, subcategory string, region string
 # --- sums and sets that add up ------------------------------------------------
 
 
-def _as_sets(positions: DataFrame, bitmaps: DataFrame | None = None) -> DataFrame:
-    """Sets from distinct ``positions`` (one a row) and earlier ``bitmaps``: each as positions or, beyond POSITIONS, as a bitmap.
-
-    A bucket has 32,768 positions at most, so no group grows without bound.
-    """
-    counted = positions.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*_SET)))
-    if bitmaps is None:
-        few = counted.where(F.col("n") <= POSITIONS)
-        many = counted.where(F.col("n") > POSITIONS)
-    else:
-        full = bitmaps.select(*_SET, F.lit(None).cast("long").alias("position"), F.lit(True).alias("full"))
-        marked = positions.withColumn("full", F.lit(False)).unionByName(full)
-        whole = Window.partitionBy(*_SET)
-        counted = marked.withColumns({"n": F.count("position").over(whole), "has": F.max("full").over(whole)}).where("position IS NOT NULL")
-        few = counted.where((F.col("n") <= POSITIONS) & ~F.col("has"))
-        many = counted.where((F.col("n") > POSITIONS) | F.col("has"))
-    few = few.groupBy(*_SET).agg(F.collect_list(F.col("position").cast("int")).alias("positions"), F.lit(None).cast("binary").alias("bitmap"))
-    many = many.groupBy(*_SET).agg(F.bitmap_construct_agg("position").alias("bitmap"))
-    if bitmaps is not None:
-        many = many.unionByName(bitmaps.select(*_SET, "bitmap")).groupBy(*_SET).agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
-    return few.unionByName(many.withColumn("positions", F.lit(None).cast("array<int>")))
-
-
 def monthly_state(star: Star, fact: DataFrame) -> DataFrame:
-    """Sums and sets of customers of fact rows, by the keys of the monthly summary.
+    """Sums and customers of fact rows, by the keys of the monthly summary and the customers' bucket.
 
-    Rows with a ``bucket`` hold a set, those without hold the sums.  Lines are folded by their keys before they meet
-    the dimensions' attributes.
+    One aggregation; a set has 32,768 positions at most.  Lookups of a checked size are broadcast, larger ones join with salt.
     """
-    keys = ["date_key", "product_key", "location_key"]
-    amounts = {"transactions": m.transactions(), "quantity": F.sum("quantity"), "gross": F.sum("gross_amount"),
-               "discounts": m.total_discount(), "net": m.total_sales()}
-
-    def named(rows: DataFrame) -> DataFrame:
-        rows = star.join(rows, "date", ["year", "month", "month_name"], grouped=True)
-        rows = star.join(rows, "product", ["category", "subcategory"], grouped=True)
-        return star.join(rows, "location", ["region", "state"], grouped=True)
-
-    folded = named(fact.groupBy(*keys).agg(*[c.alias(n) for n, c in amounts.items()]))
-    sums = folded.groupBy(*MONTHLY_KEYS).agg(*[F.sum(n).alias(n) for n in SUMS])
-    pairs = named(fact.select(*keys, "customer_key").where("customer_key IS NOT NULL").distinct())
+    rows = star.join(fact, "date", ["year", "month", "month_name"])
+    rows = star.join(rows, "product", ["category", "subcategory"])
+    rows = star.join(rows, "location", ["region", "state"])
     key = F.col("customer_key")
-    sets = _as_sets(pairs.select(*MONTHLY_KEYS, F.bitmap_bucket_number(key).alias("bucket"),
-                                 F.bitmap_bit_position(key).alias("position")).distinct())
-    return _narrow(sums).unionByName(sets, allowMissingColumns=True)
+    rows = rows.withColumns({"bucket": F.bitmap_bucket_number(key), "position": F.bitmap_bit_position(key).cast("int")})
+    state = rows.groupBy(*_SET).agg(
+        m.transactions().alias("transactions"), F.sum("quantity").alias("quantity"), F.sum("gross_amount").alias("gross"),
+        m.total_discount().alias("discounts"), m.total_sales().alias("net"), F.collect_set("position").alias("positions"))
+    return _narrow(state).withColumn("bitmap", F.lit(None).cast("binary"))
 
 
 def _narrow(sums: DataFrame) -> DataFrame:
@@ -90,23 +59,47 @@ def _narrow(sums: DataFrame) -> DataFrame:
     return sums.withColumns({n: F.col(n).cast(kind) for n, kind in kinds.items()})
 
 
+def _sums() -> list[Column]:
+    return [F.sum(n).alias(n) for n in SUMS]
+
+
+def with_bitmaps(state: DataFrame) -> DataFrame:
+    """A state whose large sets are bitmaps of 4 KB."""
+    large = F.size("positions") > POSITIONS
+    positions = state.where(large).select(*_SET, F.explode(F.col("positions").cast("array<bigint>")).alias("position"))
+    bitmaps = positions.groupBy(*_SET).agg(F.bitmap_construct_agg("position").alias("bitmap"))
+    sums = state.where(large).select(*_SET, *SUMS)
+    whole = bitmaps.unionByName(sums, allowMissingColumns=True).groupBy(*_SET).agg(
+        F.first("bitmap", ignorenulls=True).alias("bitmap"), *_sums())
+    return state.where(F.col("bitmap").isNotNull() | ~large).unionByName(_narrow(whole), allowMissingColumns=True)
+
+
 def add_up(states: DataFrame) -> DataFrame:
-    """One state from the rows of several."""
-    sums = _narrow(states.where("bucket IS NULL").groupBy(*MONTHLY_KEYS).agg(*[F.sum(n).alias(n) for n in SUMS]))
-    sets = states.where("bucket IS NOT NULL")
-    positions = sets.where("positions IS NOT NULL").select(*_SET, F.explode(F.col("positions").cast("array<bigint>")).alias("position")).distinct()
-    return sums.unionByName(_as_sets(positions, sets.where("bitmap IS NOT NULL")), allowMissingColumns=True)
+    """One state from the rows of several: sums are added, positions united; bitmaps, if any are there, are or-ed.
+
+    All rows of a group come together once; they are few, one for each load and bucket.
+    """
+    near = states.repartition(*MONTHLY_KEYS)
+    united = F.array_distinct(F.flatten(F.collect_list("positions"))).alias("positions")
+    if states.where("bitmap IS NOT NULL").isEmpty():
+        return _narrow(near.groupBy(*_SET).agg(*_sums(), united)).withColumn("bitmap", F.lit(None).cast("binary"))
+    marked = near.withColumn("_large", F.max(F.col("bitmap").isNotNull()).over(Window.partitionBy(*_SET)))
+    small = marked.where("NOT _large").groupBy(*_SET).agg(*_sums(), united)
+    large = marked.where("_large")
+    positions = large.select(*_SET, F.explode(F.col("positions").cast("array<bigint>")).alias("position"))
+    bitmaps = positions.groupBy(*_SET).agg(F.bitmap_construct_agg("position").alias("bitmap")).unionByName(
+        large.where("bitmap IS NOT NULL").select(*_SET, "bitmap")).unionByName(large.select(*_SET, *SUMS), allowMissingColumns=True)
+    whole = bitmaps.groupBy(*_SET).agg(F.bitmap_or_agg("bitmap").alias("bitmap"), *_sums())
+    return _narrow(small.unionByName(whole, allowMissingColumns=True))
 
 
 def monthly_view(states: DataFrame) -> DataFrame:
     """The monthly summary of a state, or of several together."""
-    size = F.coalesce(F.size("positions").cast("long"), F.bitmap_count("bitmap"))
-    state = add_up(states).withColumn("customers", F.when(F.col("bucket").isNotNull(), size))
-    return state.groupBy(*MONTHLY_KEYS).agg(
-        F.coalesce(F.sum("customers"), F.lit(0)).alias("unique_customers"),
-        *[F.max(n).alias(alias) for n, alias in (  # one row of a group has the sums
-            ("transactions", "total_transactions"), ("quantity", "total_quantity_sold"), ("gross", "total_gross_sales"),
-            ("discounts", "total_discounts"), ("net", "total_net_sales"))]).withColumn(
+    customers = F.coalesce(F.bitmap_count("bitmap"), F.size("positions").cast("long"))
+    names = {"transactions": "total_transactions", "quantity": "total_quantity_sold", "gross": "total_gross_sales",
+             "discounts": "total_discounts", "net": "total_net_sales"}
+    summed = add_up(states).groupBy(*MONTHLY_KEYS).agg(F.sum(customers).alias("unique_customers"), *_sums())
+    return _narrow(summed).withColumnsRenamed(names).withColumn(
         "avg_transaction_value", F.col("total_net_sales").cast("double") / F.col("total_transactions"))
 
 
@@ -124,11 +117,23 @@ def read_state(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(_STATE).parquet(folders.settle(spark, folder))
 
 
+def _store(state: DataFrame, path: str, through: int) -> None:
+    """Write a state and its mark.  Only where a set is large is it read again, to make bitmaps."""
+    spark, parts = state.sparkSession, ["year", "month"]
+    largest = write_table(state, path, partition_by=parts, in_place=True, largest=F.max(F.size("positions")))["largest"]
+    if largest and largest > POSITIONS:
+        folders.remove(spark, f"{path}__sets")
+        folders.rename(spark, path, f"{path}__sets")
+        sets = spark.read.schema(_STATE).parquet(f"{path}__sets").drop("from")
+        write_table(with_bitmaps(sets), path, partition_by=parts, in_place=True)
+        folders.remove(spark, f"{path}__sets")
+    folders.write_note(spark, path, THROUGH, str(through))
+
+
 def _write_load(state: DataFrame, folder: str, first: int, through: int) -> None:
     """Add the state of a load, which may be empty, to a stored one in one step."""
     spark, draft = state.sparkSession, f"{folder}__load"
-    write_table(state, draft, partition_by=["year", "month"], in_place=True)
-    folders.write_note(spark, draft, THROUGH, str(through))
+    _store(state, draft, through)
     folders.rename(spark, draft, f"{folder}/from={first:020d}")
 
 
@@ -136,8 +141,7 @@ def replace_state(state: DataFrame, folder: str, through: int, generation: str =
     """A stored state that consists of one load."""
     spark, new = state.sparkSession, folders.beside(folder)
     folders.remove(spark, new)
-    write_table(state, f"{new}/from={0:020d}", partition_by=["year", "month"], in_place=True)
-    folders.write_note(spark, f"{new}/from={0:020d}", THROUGH, str(through))
+    _store(state, f"{new}/from={0:020d}", through)
     folders.write_note(spark, new, GENERATION, generation)
     folders.switch(spark, folder)
 
@@ -200,7 +204,10 @@ def sync_summaries(star: Star, target: str, load: dict | None = None, rebuild: b
         if rebuild or folders.read_note(spark, folders.settle(spark, folder), GENERATION) != generation:
             if folders.exists(spark, folders.settle(spark, view)):
                 folders.write_note(spark, view, APPLIED, "none -1")
-            replace_state(monthly_state(star, star.fact), folder, top, generation)
+            # Both from the fact, at the same time: the state serves the updates to come.
+            note = {APPLIED: f"{generation} {top}"}
+            side_by_side(spark, {"state": lambda: replace_state(monthly_state(star, star.fact), folder, top, generation),
+                                 "summary": lambda: write_table(monthly_sales(star), view, partition_by=["year", "month"], notes=note)})
         else:
             extend_state(star, beyond(max(_loads(spark, folder).values())), folder, top)
         _derive_months(spark, folder, view, generation)
