@@ -91,11 +91,23 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{_root(spark)}/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared work folder and read back: cuts lineage, survives lost executors."""
+#: With this setting Spark deletes the shuffle files of a query when it ends, not when the driver collects garbage.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+    """``df`` written to the shared work folder and read back: cuts lineage, survives lost executors.
+
+    ``tidy`` frees the shuffle files of the write at its end.
+    """
     spark = df.sparkSession
     folder = new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(folder)
+    before = spark.conf.get(_TIDY)
+    try:
+        spark.conf.set(_TIDY, "true" if tidy else before)
+        df.write.option("compression", "zstd").parquet(folder)
+    finally:
+        spark.conf.set(_TIDY, before)
     kept = spark.read.schema(df.schema).parquet(folder)
     kept.stored_in = folder
     return kept

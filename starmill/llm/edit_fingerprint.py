@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import add_columns, drop, python_ready, stored
+from starmill.llm.common import add_columns, drop, fresh, python_ready, stored
 
 SAMPLES = 512
 PERIOD = 1024  # steps after which the walk's random bits repeat
@@ -157,10 +157,14 @@ def _picks(length: int) -> np.ndarray:
     return shuffles[:, :, :max(1, length)].argmin(axis=2)
 
 
-def band_keys(fp: str) -> np.ndarray:
-    """Keys of a fingerprint's bands at its own level and at the next one."""
+def band_keys(fp: str, threshold: float = NEAR) -> np.ndarray:
+    """Keys of a fingerprint's bands at its own level and, if a coarser one may be alike, at the next one.
+
+    Texts of the next level have about SAMPLES / 2 blocks there or more, and lengths of alike texts differ by the
+    threshold at most; a tenth is left for walks that are shorter or longer than usual.
+    """
     own, bands, out = int(fp[:2], 16), np.arange(BANDS), []
-    for level in (own, own + 1):
+    for level in (own, own + 1) if len(fp) - 2 >= 0.9 * threshold * SAMPLES else (own,):
         row = _row(fp, level)
         digits = (row if len(row) else np.full(1, 45, np.uint8))[_picks(len(row))]
         out.append(_mix(level, bands, *digits.T).view(np.int64))
@@ -202,28 +206,28 @@ def forest(prints: list[str], threshold: float) -> list[tuple[int, int]]:
 def print_classes(prints: DataFrame, threshold: float = NEAR) -> DataFrame:
     """``fp``, ``class_id`` of fingerprints (``fp``, each once, with the smallest id ``first``) that have a link.
 
-    A fingerprint gives BANDS samples of BAND_STEPS digits at its own level and at the next, so that lengths on
-    both sides of a limit meet.  All pairs in a bucket of equal samples count.  Those of small buckets are listed,
+    A fingerprint gives BANDS samples of BAND_STEPS digits at its own level and, near a limit, at the next, so that lengths on
+    both sides of it meet.  All pairs in a bucket of equal samples count.  Those of small buckets are listed,
     each pair once, and verified.  A larger bucket is cut into blocks, and each two blocks are one
     group, in which members are verified against heads until all are reached.  Chains cross groups and buckets.
+    Other columns are left out; without rows the result is empty.  Each table is deleted once the next one is stored.
     """
     from starmill.llm.simhash import components
 
     python_ready(prints.sparkSession)
-    nodes = stored(prints.withColumn("node", F.monotonically_increasing_id()), "prints")
+    nodes = stored(prints.withColumn("node", F.monotonically_increasing_id()), "prints", tidy=True)
 
     def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [band_keys(fp) for fp in batch.column(0).to_pylist()]
-            node = np.repeat(batch.column(1).to_numpy(), 2 * BANDS)
+            keys = [band_keys(fp, threshold) for fp in batch.column(0).to_pylist()]
+            node = np.repeat(batch.column(1).to_numpy(), [len(k) for k in keys])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])), pa.array(node)],
                                              names=["key", "node"])
 
-    def bands() -> DataFrame:
-        return nodes.select("fp", "node").mapInArrow(band, "key long, node long")
-
-    hot = stored(bands().groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-    members = stored(bands().join(hot, "key"), "members")
+    bands = stored(nodes.select("fp", "node").mapInArrow(band, "key long, node long"), "bands", tidy=True)
+    hot = stored(bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets", tidy=True)
+    members = stored(bands.join(hot, "key"), "members", tidy=True)
+    drop(bands), drop(hot)
     small = members.filter(F.col("n") <= LISTED)
     pairs = small.select("key", F.col("node").alias("a")).join(small.select("key", F.col("node").alias("b")), "key")
     pairs = pairs.filter("a < b").select("a", "b").distinct()
@@ -250,27 +254,34 @@ def print_classes(prints: DataFrame, threshold: float = NEAR) -> DataFrame:
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     large = large.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
     edges = edges.union(large.join(of, "node").groupBy("key", "i", "j").applyInArrow(join, "a long, b long"))
+    edges = stored(edges, "edit-edges", tidy=True)
+    drop(members)
     labels = components(edges).toDF("node", "label")
     linked = nodes.join(labels, "node")
     least = linked.groupBy("label").agg(F.min("first").alias("class_id"))
-    return linked.join(least, "label").select("fp", "class_id")
+    classes = stored(linked.join(least, "label").select("fp", "class_id"), "print-classes", tidy=True)
+    drop(edges), drop(nodes)
+    return classes
 
 
 def with_class(df: DataFrame, fp: str, id_column: str = "doc_id", threshold: float = NEAR) -> DataFrame:
     """All columns of ``df`` and ``class_id``, the smallest id of the rows whose fingerprints ``fp`` chains join.
 
-    Equal fingerprints are folded first.  Only fingerprints that more than one row has or that are linked are looked up.
+    Equal fingerprints are folded first.  Only fingerprints that more than one row has or that are linked are looked up.  A null
+    id never is the smallest; a class of null ids only has a null id.  Rows with a null fingerprint are their own class.
+    A column ``class_id`` is replaced, others stay whatever their names.  An empty table gives an empty result.
     """
-    prints = stored(df.groupBy(F.col(f"`{fp}`").alias("fp")).agg(F.min(f"`{id_column}`").alias("first"),
-                                                               F.count(F.lit(1)).alias("n")), "distinct")
-    linked = print_classes(prints.select("fp", "first"), threshold).withColumn("linked", F.lit(True))
-    classes = prints.join(linked, "fp", "left").filter("linked or n > 1").select(
-        F.col("fp").alias("_fp"), F.when(F.col("linked"), F.col("class_id")).otherwise(F.col("first")).alias("_class"),
-        F.lit(True).alias("_known"))
-    classes = stored(classes, "classes")
-    out = df.join(classes, F.col(f"`{fp}`") == F.col("_fp"), "left")
-    return out.withColumn("class_id", F.when(F.col("_known"), F.col("_class")).otherwise(F.col(f"`{id_column}`"))).drop(
-        "_fp", "_class", "_known")
+    df = df.drop("class_id")
+    prints = stored(df.groupBy(F.col(f"`{fp}`").alias("fp")).agg(F.min(f"`{id_column}`").alias("first"), F.count(F.lit(1)).alias("n"))
+                    .filter("fp is not null"), "distinct", tidy=True)
+    linked = print_classes(prints.select("fp", "first"), threshold)
+    key, own, known = fresh(df, "_fp"), fresh(df, "_class"), fresh(df, "_known")
+    found = prints.join(linked.withColumn("linked", F.lit(True)), "fp", "left").filter("linked or n > 1")
+    classes = stored(found.select(F.col("fp").alias(key), F.when(F.col("linked"), F.col("class_id")).otherwise(F.col("first")).alias(own),
+                                  F.lit(True).alias(known)), "classes", tidy=True)
+    drop(prints), drop(linked)
+    out = df.join(classes, F.col(f"`{fp}`") == F.col(key), "left")
+    return out.withColumn("class_id", F.when(F.col(known), F.col(own)).otherwise(F.col(f"`{id_column}`"))).drop(key, own, known)
 
 
 def near_classes(df: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = NEAR) -> DataFrame:
@@ -279,7 +290,7 @@ def near_classes(df: DataFrame, id_column: str = "doc_id", text: str = "text", t
     The class id is the smallest id.  Verified are the fingerprints, not the texts.
     """
     docs = stored(with_fingerprint(df.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text")),
-                                   "fp", "text").drop("text"), "edit-prints")
+                                   "fp", "text").drop("text"), "edit-prints", tidy=True)
     return with_class(docs, "fp", "id", threshold).select(
         F.col("id").alias(id_column), F.col("fp").alias("fingerprint"), "class_id")
 
@@ -341,7 +352,7 @@ def compare_with_next(df: DataFrame, id_column: str = "doc_id", text: str = "tex
         if held:
             yield pa.RecordBatch.from_pylist([{"doc_id": held[0], "part": part, "last": held[1]}], schema)
 
-    done = stored(ranges.mapInArrow(stream, sql), "compared")
+    done = stored(ranges.mapInArrow(stream, sql), "compared", tidy=True)
     firsts = done.filter("first is not null").select("part", F.col("first").alias("following"))
     used = sorted(r["part"] for r in firsts.select("part").collect())  # a number for each range
     follows = spark.createDataFrame(list(zip(used, used[1:] + used[:1])), "part int, after int")
