@@ -2,10 +2,10 @@
 
 Each partition packs its pieces by best fit, largest first, and compares its number of
 sequences with lower bounds from dual feasible functions.  A partition that meets its
-bound is optimal and keeps all but its emptiest sequence.  The others give the pieces of all
-unfilled sequences to a pool, which is dealt anew, in another order, over as many partitions as its size
-asks for, and packed again, until all meet their bounds, one partition has the whole pool, or a round
-needs no fewer sequences than the one before.
+bound is optimal and keeps its well-filled sequences, the others only full ones.  The pieces of all other
+sequences go to a pool, which is dealt anew, in another order, and packed again, until all meet their
+bounds, one partition has the whole pool, or a round saves next to nothing.  Each piece keeps the bound of the
+partition that packed it last, and whether that was met.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.llm.common import drop, extended, python_ready, stored, texts_of, with_columns
@@ -24,9 +24,12 @@ CAPACITY = 1024
 END_ID = 2
 # What one task packs: a piece takes some 100 bytes there.
 PIECES_PER_TASK = 200_000
-MAX_ROUNDS = 6
-# A sequence with at most this part of its room free stands even if its partition misses the bound.
-FULL_ENOUGH = 64
+# Small inputs are dealt over the session's cores too, but a lane has this many pieces at least.
+PIECES_LEAST = 64
+# A round that saves less than this part of the pool's sequences is the last.
+GAIN = 1000
+# A sequence with at most this part of its room free stands if its lane meets the bound, and if it misses it.
+WELL_FILLED, FULL_ENOUGH = 16, 64
 
 
 def pieces(df: DataFrame, tokenizer: str, text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -115,15 +118,12 @@ def _round(df: DataFrame, parts: int, number: int, last: bool, capacity: int) ->
     def fit(group: pa.Table) -> pa.Table:
         lengths = group.column("length").to_numpy().astype(np.int64)
         bins, offsets, fills = best_fit(lengths, capacity)
-        done = np.full(len(fills), True)
+        done, bound = np.full(len(fills), True), lower_bound(lengths, capacity)
         if not last:
-            full = capacity - fills <= capacity // FULL_ENOUGH
-            if len(fills) > lower_bound(lengths, capacity):
-                done = full
-            else:  # no packing of this lane needs fewer, but its emptiest sequence has room for others
-                done[fills.argmin()] = full[fills.argmin()]
+            done = capacity - fills <= capacity // (FULL_ENOUGH if len(fills) > bound else WELL_FILLED)
         first = (number + 1 << 56) | (group.column("lane")[0].as_py() << 28)
-        made = {"sequence_id": first + bins, "offset": offsets, "done": done[bins]}
+        made = {"sequence_id": first + bins, "offset": offsets, "lane_bound": np.full(len(bins), bound),
+                "certified": np.full(len(bins), len(fills) == bound), "done": done[bins]}
         for name, values in made.items():
             group = group.append_column(name, pa.array(values))
         return group
@@ -133,37 +133,47 @@ def _round(df: DataFrame, parts: int, number: int, last: bool, capacity: int) ->
     row = F.monotonically_increasing_id()
     turn = F.xxhash64(F.floor(row / parts), F.lit(number)) if number else F.lit(0)
     dealt = df.withColumn("lane", F.pmod(F.pmod(row, F.lit(parts)) + F.pmod(turn, F.lit(parts)), F.lit(parts)))
-    return dealt.groupBy("lane").applyInArrow(fit, extended(dealt.schema, sequence_id="long", offset="long", done="boolean"))
+    return dealt.groupBy("lane").applyInArrow(fit, extended(
+        dealt.schema, sequence_id="long", offset="long", lane_bound="long", certified="boolean", done="boolean"))
+
+
+def _lanes(spark: SparkSession, pieces: int, pieces_per_task: int) -> int:
+    """As many lanes as the cores can pack side by side, and never more pieces in one than a task holds."""
+    return max(1, -(-pieces // pieces_per_task), min(spark.sparkContext.defaultParallelism, pieces // PIECES_LEAST))
 
 
 def pack(df: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES_PER_TASK) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to rows with a ``length`` of 1 to ``capacity``.
+    """Adds ``sequence_id``, ``offset``, ``lane_bound`` and ``certified`` to rows with a ``length`` of 1 to ``capacity``.
 
     Pieces are dealt by number, not by key, so that no hot key meets in one task; equal rows are
     separate pieces.  Other columns are carried along and should be narrow.  A lane has about
-    ``pieces_per_task`` pieces at most in every round, and what stands is stored.  An empty table gives an empty result.
-    Clashing columns are replaced.
+    ``pieces_per_task`` pieces at most in every round, and what stands is stored.  ``lane_bound`` is the least number of sequences
+    for the lane that packed the piece last, ``certified`` whether it used no more.  Lengths that are null or out of range
+    have no place and must be filtered before.  An empty table gives an empty result.  Clashing columns are replaced.
     """
-    names = [c for c in df.columns if c.lower() not in {"sequence_id", "offset"}]
+    place = ["sequence_id", "offset", "lane_bound", "certified"]
+    names = [c for c in df.columns if c.lower() not in place]
     plain = ["length" if c == "length" else f"c{i}" for i, c in enumerate(names)]
+    spark = df.sparkSession
     left = stored(df.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(names, plain)]), "pieces")
-    python_ready(df.sparkSession)
-    packed, number, parts, used = [], 0, max(1, -(-left.count() // pieces_per_task)), None
-    place = ["sequence_id", "offset"]
+    python_ready(spark)
+    packed, number, used = [], 0, None
+    parts = _lanes(spark, left.count(), pieces_per_task)
     while True:
-        last = parts == 1 or number == MAX_ROUNDS - 1
-        now = stored(_round(left.select(*plain), parts, number, last, capacity), f"packed{number}")
-        if used and now.select("sequence_id").distinct().count() >= used:  # the pool was packed no worse before
-            packed.append(left.select(*plain, *place))
-            break
+        now = stored(_round(left.select(*plain), parts, number, parts == 1, capacity), f"packed{number}")
+        if used:
+            needed = now.select("sequence_id").distinct().count()
+            if needed > used - max(1, used // GAIN):  # next to nothing saved: what is better stands
+                packed.append((now if needed < used else left).select(*plain, *place))
+                break
         packed.append(now.filter("done").select(*plain, *place))
         drop(left)
         rest = now.filter("not done").select(*plain, *place)
         used = rest.select("sequence_id").distinct().count()
-        if last or not used:
+        if parts == 1 or not used:
             break
         left, number = stored(rest, "pool"), number + 1
-        parts = max(1, -(-left.count() // pieces_per_task))
+        parts = _lanes(spark, left.count(), pieces_per_task)
     out = packed[0]
     for more in packed[1:]:
         out = out.union(more)

@@ -29,7 +29,8 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
     pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset",
+                                       "lane_bound", "certified")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 empty tables, and extra columns whose names clash with the operator's own."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -153,6 +154,22 @@ def test_rounds_bring_gaps_together(spark):
     assert found.count() == 900 and bound <= at_once <= used < alone
 
 
+def test_small_inputs_are_certified_too(spark, monkeypatch):
+    """A few hundred pieces are dealt over several lanes, each with its bound; a single lane tells whether it met it."""
+    seen, deal = [], packing._round
+    monkeypatch.setattr(packing, "_round", lambda df, parts, *rest: seen.append(parts) or deal(df, parts, *rest))
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(packing, "_lanes", lambda spark, n, most: max(1, n // packing.PIECES_LEAST))  # whatever the session's cores
+    for lengths, exact in ((rng.integers(50, 900, 500), None), (np.array([512] * 40), True), (np.array([400, 400, 400]), True)):
+        seen.clear()
+        got = packing.pack(spark.createDataFrame([(int(n), 1) for n in lengths], "length long, certified int")).collect()
+        assert len(got) == len(lengths) and seen[0] == max(1, len(lengths) // packing.PIECES_LEAST)
+        used, bound = len({r["sequence_id"] for r in got}), packing.lower_bound(lengths, 1024)
+        assert bound <= used <= len(packing.best_fit(lengths, 1024)[2]) * 1.01 + 1
+        if seen == [1]:
+            assert {r["lane_bound"] for r in got} == {bound} and {r["certified"] for r in got} == {used == bound} == {exact}
+
+
 def test_no_round_exceeds_a_tasks_pieces(spark, monkeypatch):
     """Lengths that no lane packs to its bound: the pool hardly shrinks, and the lanes stay bounded."""
     lengths, seen, deal = np.random.default_rng(2).integers(300, 500, 3200), [], packing._round
@@ -509,6 +526,44 @@ def test_edit_distance_shows(spark):
     assert edit_fingerprint.near_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_levels_meet_near_a_limit_and_clashing_columns_stay(spark):
+    """Texts alike on both sides of a level's limit share a bucket; so do pairs within a level; helper names are free to use."""
+    rng = random.Random(12)
+    met = []
+    for n in (256, 512, 1024, 4096):
+        for _ in range(12):
+            t = "".join(rng.choice("abcdefghijklmnop ") for _ in range(n + rng.randint(1, n // 10)))
+            cut = rng.randint(n // 10, n // 6)
+            prints = [edit_fingerprint.fingerprint(x) for x in (t, t[:-cut])]
+            if edit_fingerprint.likeness(*prints) >= edit_fingerprint.NEAR:
+                met.append(bool(set(edit_fingerprint.band_keys(prints[0])) & set(edit_fingerprint.band_keys(prints[1]))))
+    assert len(met) > 30 and np.mean(met) > 0.95
+    rows = [(1, "00ab", 5), (2, "00ab", 5), (None, "00ab", 5), (3, None, 5), (4, None, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, fp string, _known int")
+    for c in ("_fp", "_class", "class_id", "key", "node", "n", "first"):
+        df = df.withColumn(c, F.lit(9))
+    found = edit_fingerprint.with_class(df, "fp")
+    assert sorted(found.columns) == sorted(df.columns)
+    assert sorted([(r["doc_id"], r["class_id"], r["_known"], r["_fp"]) for r in found.collect()], key=repr) == sorted(
+        [(1, 1, 5, 9), (2, 1, 5, 9), (None, 1, 5, 9), (3, 3, 5, 9), (4, 4, 5, 9)], key=repr)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables are not here")
+def test_edit_classes_of_the_drivers_table(spark):
+    """class_id is that of all pairs alike, and planted near copies (by edit distance) are found."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    prints = {r["doc_id"]: edit_fingerprint.fingerprint(r["text"]) for r in rows}
+    ids = sorted(prints)
+    label = {i: i for i in ids}
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            if edit_fingerprint.likeness(prints[a], prints[b]) >= edit_fingerprint.NEAR:
+                x, y = sorted((label[a], label[b]))
+                label = {i: x if c == y else c for i, c in label.items()}
+    df = spark.createDataFrame(list(prints.items()), "doc_id long, fp string")
+    assert {r["doc_id"]: r["class_id"] for r in edit_fingerprint.with_class(df, "fp").collect()} == label
+
+
 def test_classes_keep_every_link_of_a_bucket(spark, monkeypatch):
     """Prints edited independently, chains of edits and short texts: the classes are those of all pairs."""
     rng = random.Random(5)
