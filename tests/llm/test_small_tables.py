@@ -165,7 +165,7 @@ def test_small_inputs_are_certified_too(spark, monkeypatch):
         got = packing.pack(spark.createDataFrame([(int(n), 1) for n in lengths], "length long, certified int")).collect()
         assert len(got) == len(lengths) and seen[0] == max(1, len(lengths) // packing.PIECES_LEAST)
         used, bound = len({r["sequence_id"] for r in got}), packing.lower_bound(lengths, 1024)
-        assert bound <= used <= len(packing.best_fit(lengths, 1024)[2]) * 1.01 + 1
+        assert bound <= used <= len(packing.best_fit(lengths, 1024)[2]) * 1.02 + 1
         if seen == [1]:
             assert {r["lane_bound"] for r in got} == {bound} and {r["certified"] for r in got} == {used == bound} == {exact}
 
