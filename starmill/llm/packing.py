@@ -24,8 +24,8 @@ CAPACITY = 1024
 END_ID = 2
 # What one task packs: a piece takes some 100 bytes there.
 PIECES_PER_TASK = 200_000
-# Small inputs are dealt over the session's cores too, but a lane has this many pieces at least.
-PIECES_LEAST = 128
+# Below the limit of a task the session's cores share the pieces, but a lane has this many at least: smaller ones waste room.
+PIECES_LEAST = 1024
 # A round that saves less than this part of the pool's sequences is the last.
 GAIN = 1000
 # A sequence with at most this part of its room free stands if its lane meets the bound, and if it misses it.

@@ -159,11 +159,11 @@ def test_small_inputs_are_certified_too(spark, monkeypatch):
     seen, deal = [], packing._round
     monkeypatch.setattr(packing, "_round", lambda df, parts, *rest: seen.append(parts) or deal(df, parts, *rest))
     rng = np.random.default_rng(3)
-    monkeypatch.setattr(packing, "_lanes", lambda spark, n, most: max(1, n // packing.PIECES_LEAST))  # whatever the session's cores
+    monkeypatch.setattr(packing, "_lanes", lambda spark, n, most: max(1, n // 128))  # whatever the session's cores
     for lengths, exact in ((rng.integers(50, 900, 500), None), (np.array([512] * 40), True), (np.array([400, 400, 400]), True)):
         seen.clear()
         got = packing.pack(spark.createDataFrame([(int(n), 1) for n in lengths], "length long, certified int")).collect()
-        assert len(got) == len(lengths) and seen[0] == max(1, len(lengths) // packing.PIECES_LEAST)
+        assert len(got) == len(lengths) and seen[0] == max(1, len(lengths) // 128)
         used, bound = len({r["sequence_id"] for r in got}), packing.lower_bound(lengths, 1024)
         assert bound <= used <= len(packing.best_fit(lengths, 1024)[2]) * 1.02 + 1
         if seen == [1]:
