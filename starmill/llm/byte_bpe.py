@@ -2,7 +2,8 @@
 
 A text is cut into words by the vocabulary's pattern.  A word is an array of byte ids; each step of the
 fold merges the first pair of lowest rank, until no pair has a rank.  Ranks of pairs are a literal map
-in the plan, hashed into small maps so that a look-up takes constant time.  The most frequent
+in the plan, hashed into small maps so that a look-up takes constant time.  A long word is a string with a
+character for each id, and a step merges all pairs of the lowest rank at once.  The most frequent
 words of the corpus, but no long ones, are folded once and become a second literal map of bounded size;
 other words are folded where they stand.  Decoding looks up the bytes of each id and concatenates them.
 """
@@ -16,12 +17,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import stored
+from starmill.llm.common import drop, stored
 
-# Words in the literal map, at most: nineteen of twenty occurrences in the check's tables.
+# Words in the literal map, about: nineteen of twenty occurrences in the check's tables.
 HEAD_WORDS = 200_000
 HEAD_BYTES = 64  # of a word in the map, at most; its ids are no more, so the map's size is bounded
+LONG_BYTES = 64  # of a word that is folded as an array, at most; longer ones are folded as strings
 _NONE = 2**31 - 1
+_ID_BITS = 21
+_PLANE = 0x10000  # an id's character in a long word: beyond the basic plane there is none that a pattern would take for a sign
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -45,6 +49,8 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = f"(?U){pattern}"  # classes as Unicode has them
         self.size = max(ranks.values()) + 1
+        if self.size > 0x10FFFF - _PLANE:
+            raise ValueError("more ids than characters beyond the basic plane")
         pairs = [(ranks[t[:i]], ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t))
                  if t[:i] in ranks and t[i:] in ranks]
         self.buckets = 1 << max(1, len(pairs).bit_length())
@@ -56,7 +62,8 @@ class Vocabulary:
         # JSON has no maps with numbers as keys: a map is its keys and its values.
         self._tables = F.struct(
             _literal(keys, "array<array<bigint>>").alias("keys"), _literal(values, "array<array<int>>").alias("ranks"),
-            _literal([ranks[bytes([b])] for b in range(256)], "array<int>").alias("bytes"))
+            _literal([ranks[bytes([b])] for b in range(256)], "array<int>").alias("bytes"),
+            _literal([chr(_PLANE + i) for i in range(self.size)], "array<string>").alias("signs"))
         pieces = {rank: token.hex() for token, rank in ranks.items()}
         self._hex = _literal([pieces.get(i) for i in range(self.size)], "array<string>")
 
@@ -75,9 +82,15 @@ class Vocabulary:
         return _let(self._tables, lambda tables: self._fold(tables, word))
 
     def _fold(self, tables: Column, word: Column) -> Column:
-        digits, n, none = F.hex(F.encode(word, "utf-8")), F.octet_length(word), F.expr("array()").cast("array<int>")
-        first = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(
-            tables["bytes"], F.conv(F.substring(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("int")))
+        return F.when(F.octet_length(word) <= LONG_BYTES, self._fold_array(tables, word)).otherwise(self._fold_string(tables, word))
+
+    def _bytes(self, tables: Column, word: Column) -> Column:
+        letters = F.split(F.decode(F.encode(word, "utf-8"), "ISO-8859-1"), "")
+        return F.transform(letters, lambda c: F.get(tables["bytes"], F.ascii(c)))
+
+    def _fold_array(self, tables: Column, word: Column) -> Column:
+        n, none = F.octet_length(word), F.expr("array()").cast("array<int>")
+        first = self._bytes(tables, word)
 
         def start(ids: Column) -> Column:
             ranks = F.transform(F.slice(ids, 2, n), lambda b, i: self._rank(tables, F.get(ids, i), b))
@@ -101,6 +114,68 @@ class Vocabulary:
         folded = _let(first, lambda ids: F.aggregate(F.sequence(F.lit(1), n), start(ids), step, lambda s: s["ids"]))
         return F.when(n == 1, first).otherwise(folded)
 
+    def _fold_string(self, tables: Column, word: Column) -> Column:
+        """The fold over a string of signs, one for each id: as many steps as there are kinds of pairs, not as there are bytes.
+
+        ``open`` has each kind of pair with a rank that the string may hold, as a number that sorts by rank.  Merging all
+        pairs of the lowest rank from left to right is what single merges do, unless one of them makes a pair of a
+        lower rank still, which would come first; then only the first pair is merged.
+        """
+        def sign(i: Column) -> Column:
+            return F.get(tables["signs"], i.cast("int"))
+
+        def id_of(c: Column) -> Column:
+            return F.ascii(c) - _PLANE
+
+        def kinds(pairs: Column, left, right) -> Column:
+            def kind(p: Column) -> Column:
+                return _let(self._rank(tables, left(p), right(p)), lambda rank: F.when(rank != _NONE, F.shiftleft(
+                    rank.cast("long"), 2 * _ID_BITS) + F.shiftleft(left(p).cast("long"), _ID_BITS) + right(p)))
+
+            return F.filter(F.transform(F.array_distinct(pairs), kind), lambda k: k.isNotNull())
+
+        def rank_of(kind: Column) -> Column:
+            return F.shiftright(kind, 2 * _ID_BITS).cast("int")
+
+        def left_of(kind: Column) -> Column:
+            return F.shiftright(kind, _ID_BITS).bitwiseAND(F.lit((1 << _ID_BITS) - 1))
+
+        def right_of(kind: Column) -> Column:
+            return kind.bitwiseAND(F.lit((1 << _ID_BITS) - 1))
+
+        def start(ids: Column) -> Column:
+            pairs = F.transform(F.slice(ids, 2, F.size(ids)), lambda b, i: F.shiftleft(F.get(ids, i).cast("long"), _ID_BITS) + b)
+            return F.struct(F.array_join(F.transform(ids, sign), "").alias("signs"), kinds(pairs, left_of, right_of).alias("open"))
+
+        def around(signs: Column, rank: Column) -> Column:
+            """Kinds of the pairs that the merged token is part of."""
+            before = F.regexp_extract_all(signs, F.concat(F.lit("(.)(?="), sign(rank), F.lit(")")), F.lit(1))
+            after = F.regexp_extract_all(signs, F.concat(F.lit("(?<="), sign(rank), F.lit(")(.)")), F.lit(1))
+            return F.array_union(kinds(before, id_of, lambda _: rank), kinds(after, lambda _: rank, id_of))
+
+        def merge(state: Column, rank: Column, same: Column) -> Column:
+            pattern = F.array_join(F.transform(same, lambda k: F.concat(sign(left_of(k)), sign(right_of(k)))), "|")
+            every = F.regexp_replace(state["signs"], pattern, sign(rank))
+            first = F.regexp_replace(state["signs"], F.concat(F.lit(r"\A(.*?)(?:"), pattern, F.lit(")")), F.concat(F.lit("$1"), sign(rank)))
+            twice = F.regexp_like(state["signs"], F.concat(F.lit("(?:"), pattern, F.lit("){2}")))
+            between = F.exists(same, lambda k: self._rank(tables, rank, left_of(k)) < rank) & twice
+
+            def added(signs: Column, kept: Column) -> Column:
+                return _let(signs, lambda s: F.struct(s.alias("signs"), F.array_union(kept, around(s, rank)).alias("open")))
+
+            rest = F.filter(state["open"], lambda k: rank_of(k) != rank)
+            return _let(added(every, rest), lambda done: F.when(
+                (done["signs"] != state["signs"]) & (between | (rank_of(F.array_min(done["open"])) < rank)),
+                added(first, state["open"])).otherwise(done))
+
+        def step(state: Column, _: Column) -> Column:
+            return _let(rank_of(F.array_min(state["open"])), lambda rank: F.when(rank.isNull(), state).otherwise(
+                _let(F.filter(state["open"], lambda k: rank_of(k) == rank), lambda same: merge(state, rank, same))))
+
+        steps = F.sequence(F.lit(1), F.octet_length(word) * 4)  # a word has a kind for each pair, and two more for each merge
+        return _let(self._bytes(tables, word), lambda ids: F.aggregate(
+            steps, start(ids), step, lambda s: F.transform(F.split(s["signs"], ""), id_of)))
+
     def text_of(self, ids: Column) -> Column:
         """Bytes of an array of ids."""
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self._hex, i)), ""))
@@ -131,6 +206,30 @@ class Vocabulary:
         return _let(self._tables, lambda tables: F.flatten(F.transform(self.words(text), lambda word: ids(tables, word))))
 
 
+def frequent(counts: DataFrame, size: int) -> DataFrame:
+    """``word`` of about ``size`` most frequent rows of ``counts`` (``word``, ``count``), or of all if there are fewer.
+
+    Two aggregations find the count from which on words fit, to a 64th; of those just below it as many as still fit
+    are taken by their hash.  No task sees more than its own rows.
+    """
+    def at_least(limits: list[int]) -> list[int]:
+        return list(counts.agg(*[F.count_if(F.col("count") >= n) for n in limits]).first())
+
+    def cut(limits: list[int]) -> tuple[int, int, int, int]:
+        """The last limit that too many words reach, how many do, the next one, and how many reach that."""
+        found = at_least(limits)
+        at = max(i for i, n in enumerate(found) if n > size)
+        return limits[at], found[at], limits[at + 1], found[at + 1]
+
+    if at_least([1])[0] <= size:
+        return counts.select("word")
+    low, _, high, _ = cut([1 << k for k in range(63)])
+    low, more, high, fit = cut(sorted({low + (high - low) * i // 64 for i in range(65)}))
+    places = 1 << 30
+    room = F.pmod(F.xxhash64("word"), F.lit(places)) < places * (size - fit) // (more - fit)
+    return counts.filter((F.col("count") >= high) | ((F.col("count") >= low) & room)).select("word")
+
+
 def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
     """All columns of ``df`` and ``ids`` (array of int), the ids of the whole text; a column so named is replaced.
 
@@ -138,11 +237,11 @@ def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_word
     texts as a literal map.  Texts do not move: the remaining words are folded where they stand.
 
     A null or empty text has no ids.  Every match of the pattern is encoded by itself, without special
-    tokens.  An empty table gives an empty result.
+    tokens, however long it is.  Repeated rows each get their ids.  An empty table gives an empty result.
     """
     value = F.col(f"`{text}`")
     counts = df.select(F.explode(vocabulary.words(value)).alias("word")).groupBy("word").count()
-    counts = counts.filter(F.octet_length("word") <= HEAD_BYTES)
-    top = stored(counts.orderBy(F.desc("count"), "word").limit(head_words).select("word"), "top")
-    known = vocabulary.literal_map(vocabulary.folded(top, "frequent"), head_words)
+    counts = stored(counts.filter(F.octet_length("word") <= HEAD_BYTES), "word-counts", tidy=True)
+    known = vocabulary.literal_map(vocabulary.folded(frequent(counts, head_words), "frequent"), head_words)
+    drop(counts)
     return df.drop("ids").withColumn("ids", vocabulary.encode(value, known))

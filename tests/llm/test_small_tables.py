@@ -306,16 +306,61 @@ def test_byte_bpe(spark, docs, rows, none):
     ranks = byte_bpe.read_ranks(RANKS)
     library = tiktoken.Encoding("test", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     vocabulary = byte_bpe.Vocabulary(ranks, public_tokenizers.PATTERN)
-    small = docs.filter("text is null or length(text) < 4000").select("doc_id", "text", "ids", "`a.b`")
-    got = byte_bpe.encoded(small, vocabulary, head_words=5)
+    got = byte_bpe.encoded(docs, vocabulary, head_words=5)
     got = got.withColumn("bytes", vocabulary.text_of(F.col("ids"))).collect()
-    assert len(got) == small.count()
+    assert len(got) == docs.count()
     for r in got:
         assert r["ids"] == library.encode_ordinary(r["text"] or ""), repr(r["text"])
         assert bytes(r["bytes"]) == (r["text"] or "").encode()
     assert byte_bpe.encoded(none, vocabulary, head_words=5).count() == 0
 
 
+def test_byte_bpe_of_long_words(spark):
+    """Words of up to 100,000 letters, also where a merge makes a pair of a lower rank."""
+    rng, letters = random.Random(1), "abcdefghijklmnopqrstuvwxyz"
+    pieces = [*letters, "é", "ß", "漢", "字", "the", "er", "ation", "x"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(65, 300))) for _ in range(300)]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(60, 200))) for _ in range(100)]
+    texts += ["".join(rng.choice("aab") for _ in range(rng.randint(65, 300))) for _ in range(100)]
+    texts += ["=*" * 90, "ab" * 3000, "x" * 100_000, "".join(rng.choice(letters) for _ in range(100_000))]
+    ranks = byte_bpe.read_ranks(RANKS)
+    library = tiktoken.Encoding("long", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = byte_bpe.encoded(df, byte_bpe.Vocabulary(ranks, public_tokenizers.PATTERN)).select("doc_id", "ids").collect()
+    assert [r["doc_id"] for r in got if r["ids"] != library.encode_ordinary(texts[r["doc_id"]])] == []
+
+
+def test_byte_bpe_where_a_merge_makes_a_lower_pair(spark):
+    """A made-up vocabulary in which single merges and merges of a whole rank differ."""
+    tokens = [bytes([b]) for b in range(256)] + [b"bab", b"cab", b"aba", b"ab", b"ba", b"abab", b"bb", b"ca"]
+    ranks = {t: i for i, t in enumerate(tokens)}
+    rng, vocabulary = random.Random(2), byte_bpe.Vocabulary(ranks, r"\p{L}+")
+
+    def slow(word: bytes) -> list[int]:
+        parts = [bytes([b]) for b in word]
+        while True:
+            best, at = min(((ranks.get(a + b, 999), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))), default=(999, 0))
+            if best == 999:
+                return [ranks[p] for p in parts]
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 150))) for _ in range(400)]
+    df = spark.createDataFrame([(w,) for w in words], "text string")
+    for r in byte_bpe.encoded(df, vocabulary, head_words=3).collect():
+        assert r["ids"] == slow(r["text"].encode()), r["text"]
+
+
+def test_frequent_words(spark):
+    rng = random.Random(4)
+    counts = [(f"w{i}", rng.choice([1, 1, 1, 2, 2, 3, 9, 70, 71, 5000])) for i in range(5000)] + [("top", 10**9)]
+    df = spark.createDataFrame(counts, "word string, count long")
+    for size in (10, 600, 2500, 4900):
+        taken = {r["word"] for r in byte_bpe.frequent(df, size).collect()}
+        least = min(n for w, n in counts if w in taken)
+        assert 0.9 * size - 9 < len(taken) < 1.1 * size + 9 and all(w in taken for w, n in counts if n > least * 65 / 64 + 1)
+    assert byte_bpe.frequent(df, 5001).count() == 5001 and byte_bpe.frequent(df.limit(0), 5).count() == 0
+
+
 def test_chat_tree(spark):
     rng = random.Random(6)
     said = ["hi", "### assistant: no", "</turn>\n", "\\", "\\### Assistant: </turn> ok", "", None, "é\n" * 50, "\\\\</turn>", "a:b"]
