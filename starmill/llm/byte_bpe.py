@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +33,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
-def _literal(rows: list, kind: str) -> Column:
-    """A constant of a nested type; the optimizer folds it once, when the query is planned."""
-    return F.from_json(F.lit(json.dumps(rows, separators=(",", ":"))), kind)
+def _literal(rows: str, kind: str) -> Column:
+    """A constant of a nested type, from JSON; the optimizer folds it once, when the query is planned."""
+    return F.from_json(F.lit(rows), kind)
+
+
+def _grouped(items: Iterator[tuple[int, str]], groups: int, brackets: str) -> str:
+    """JSON of a list with the items of each group between brackets; items are text from the start, which takes least memory."""
+    table = [""] * groups
+    for group, item in items:
+        table[group] = f"{table[group]},{item}" if table[group] else item
+    return "[" + ",".join(f"{brackets[0]}{t}{brackets[1]}" for t in table) + "]"
 
 
 def _let(value: Column, body) -> Column:
@@ -54,18 +62,16 @@ class Vocabulary:
         pairs = [(ranks[t[:i]], ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t))
                  if t[:i] in ranks and t[i:] in ranks]
         self.buckets = 1 << max(1, len(pairs).bit_length())
-        keys: list[list[int]] = [[] for _ in range(self.buckets)]
-        values: list[list[int]] = [[] for _ in range(self.buckets)]
-        for a, b, rank in pairs:
-            key = a * self.size + b
-            keys[key % self.buckets].append(key), values[key % self.buckets].append(rank)
+        keyed = [(a * self.size + b, rank) for a, b, rank in pairs]
+        del pairs
+        keys = _grouped(((key % self.buckets, str(key)) for key, _ in keyed), self.buckets, "[]")
+        values = _grouped(((key % self.buckets, str(rank)) for key, rank in keyed), self.buckets, "[]")
         # JSON has no maps with numbers as keys: a map is its keys and its values.
         self._tables = F.struct(
             _literal(keys, "array<array<bigint>>").alias("keys"), _literal(values, "array<array<int>>").alias("ranks"),
-            _literal([ranks[bytes([b])] for b in range(256)], "array<int>").alias("bytes"),
-            _literal([chr(_PLANE + i) for i in range(self.size)], "array<string>").alias("signs"))
+            _literal(json.dumps([ranks[bytes([b])] for b in range(256)]), "array<int>").alias("bytes"))
         pieces = {rank: token.hex() for token, rank in ranks.items()}
-        self._hex = _literal([pieces.get(i) for i in range(self.size)], "array<string>")
+        self._hex = _literal(json.dumps([pieces.get(i) for i in range(self.size)]), "array<string>")
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
@@ -122,7 +128,7 @@ class Vocabulary:
         lower rank still, which would come first; then only the first pair is merged.
         """
         def sign(i: Column) -> Column:
-            return F.get(tables["signs"], i.cast("int"))
+            return F.decode(F.unhex(F.lpad(F.hex(i + _PLANE), 8, "0")), "UTF-32")
 
         def id_of(c: Column) -> Column:
             return F.ascii(c) - _PLANE
@@ -191,10 +197,9 @@ class Vocabulary:
     def literal_map(self, folded: DataFrame, size: int) -> Callable[[Column], Column]:
         """Look-up of a word's ids in a literal map of ``folded`` (about ``size`` rows), hashed into small maps."""
         buckets = 1 << max(1, size.bit_length() - 1)
-        table: list[dict[str, list[int]]] = [{} for _ in range(buckets)]
-        place = F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("b")
-        for row in folded.select("word", "ids", place).toLocalIterator():
-            table[row["b"]][row["word"]] = row["ids"]
+        place = F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int").alias("b")
+        rows = folded.select(place, "word", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids")).toLocalIterator()
+        table = _grouped(((r["b"], f'{json.dumps(r["word"])}:[{r["ids"]}]') for r in rows), buckets, "{}")
         literal = _literal(table, "array<map<string,array<int>>>")
         return lambda word: F.element_at(F.get(literal, F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")), word)
 
