@@ -460,6 +460,14 @@ ORACLE: dict[str, str] = {
     "seasonality_index": _on_star(f"""SELECT month, CAST(sum(net) AS DOUBLE) / count(net) AS avg_sales,
         CAST(sum(net) AS DOUBLE) / count(net) / (SELECT CAST(sum(net) AS DOUBLE) / count(net) FROM ({_MONTHS})) AS seasonality_index
         FROM ({_MONTHS}) GROUP BY month"""),
+    "seasonal_factors": _on_star(f"""SELECT month, years, CAST(mean AS DOUBLE) AS mean_ratio,
+          CAST(mean AS DOUBLE) * (count(mean) OVER ()) / CAST(sum(mean) OVER () AS DOUBLE) AS seasonal_factor
+        FROM (SELECT a.month, count(*) AS years,
+            CAST(CAST(sum(CAST(CAST(a.net AS DOUBLE) * 24 / CAST(c.twice AS DOUBLE) AS DECIMAL(24,12))) AS DOUBLE) / count(*) AS DECIMAL(24,12)) AS mean
+          FROM ({_MONTHS}) a JOIN (SELECT m.year, m.month, sum(o.net * CASE WHEN abs(o.year * 12 + o.month - m.year * 12 - m.month) = 6 THEN 1 ELSE 2 END) AS twice
+            FROM ({_MONTHS}) m JOIN ({_MONTHS}) o ON o.year * 12 + o.month BETWEEN m.year * 12 + m.month - 6 AND m.year * 12 + m.month + 6
+            GROUP BY m.year, m.month HAVING count(*) = 13) c ON c.year = a.year AND c.month = a.month
+          GROUP BY a.month)"""),
     "rls_store_filter": _on_star(f"""SELECT location_id, count(*) AS sales, {_NET} AS net_amount FROM star
         WHERE state = 'NATION_7' GROUP BY location_id"""),
     "rls_region_filter": _on_star(f"SELECT count(*) AS sales, {_NET} AS net_amount FROM star WHERE region = 'ASIA'"),
@@ -576,6 +584,22 @@ ORACLE: dict[str, str] = {
         SELECT o_custkey, o_orderpriority, strftime(day, '%Y-%m-%d') AS valid_from,
           strftime(lead(day) OVER w, '%Y-%m-%d') AS valid_to, lead(day) OVER w IS NULL AS is_current
         FROM changed WINDOW w AS (PARTITION BY o_custkey ORDER BY day)""",
+    "scd2_late_versions": """WITH days AS (SELECT o_orderkey % 5 = 0 AS late, o_custkey, CAST(o_orderdate AS DATE) AS day,
+            max(o_orderpriority) AS p FROM orders GROUP BY ALL),
+        stored AS (SELECT * FROM (SELECT o_custkey, day, p, lag(p) OVER (PARTITION BY o_custkey ORDER BY day) AS before FROM days WHERE NOT late)
+          WHERE before IS NULL OR before <> p),
+        versions AS (SELECT o_custkey, day, p FROM days WHERE late UNION ALL SELECT o_custkey, day, p FROM stored
+          WHERE (o_custkey, day) NOT IN (SELECT (o_custkey, day) FROM days WHERE late)),
+        changed AS (SELECT * FROM (SELECT *, lag(p) OVER (PARTITION BY o_custkey ORDER BY day) AS before FROM versions)
+          WHERE before IS NULL OR before <> p)
+        SELECT o_custkey, p AS o_orderpriority, strftime(day, '%Y-%m-%d') AS valid_from,
+          strftime(lead(day) OVER w, '%Y-%m-%d') AS valid_to, lead(day) OVER w IS NULL AS is_current
+        FROM changed WINDOW w AS (PARTITION BY o_custkey ORDER BY day)""",
+    "shipments_as_of": """WITH days AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, max(o_orderpriority) AS p FROM orders GROUP BY 1, 2),
+        shipped AS (SELECT o_custkey, CAST(l_shipdate AS DATE) AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+        SELECT p AS priority_when_shipped, count(*) AS shipments, count(DISTINCT s.o_custkey) AS customers
+        FROM shipped s ASOF LEFT JOIN days d ON s.o_custkey = d.o_custkey AND s.day >= d.day GROUP BY p""",
     "stream_sales": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, value
         FROM events WHERE event_type = 'purchase'""",
 }
+ORACLE["cdc_merge_buckets"] = ORACLE["cdc_merge"]

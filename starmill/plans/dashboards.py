@@ -270,6 +270,36 @@ def seasonality_index(star: Star) -> DataFrame:
     return per_month.select("month", mean.alias("avg_sales"), (mean / overall).alias("seasonality_index")).orderBy("month")
 
 
+def seasonal_factors(star: Star) -> DataFrame:
+    """Ratio of a month's net sales to its centred 2 x 12 month mean, averaged by month of the year, scaled to a sum of 12.
+
+    A trend is in the centred mean and so not in the factors.  Months without six others on both sides in an
+    unbroken row have no such mean and are left out; a month of the year that never has one gets none.
+    """
+    monthly = _daily(star, ["year", "month"]).groupBy("year", "month").agg(F.sum("net").alias("net"))
+    return factors_of(monthly)
+
+
+def factors_of(monthly: DataFrame) -> DataFrame:
+    """Seasonal factors of ``year``, ``month``, ``net`` (decimal), a row for each month."""
+    exact = "decimal(24,12)"
+    place = monthly.withColumn("at", (F.col("year") * 12 + F.col("month")).cast("long"))
+    # As many rows as the calendar has months.
+    window = _whole("at")
+    around = place.select(
+        "month", "net", F.count("net").over(window.rangeBetween(-6, 6)).alias("n"),
+        (F.sum("net").over(window.rangeBetween(-6, 5)) + F.sum("net").over(window.rangeBetween(-5, 6))).alias("twice"))
+    ratio = F.try_divide(F.col("net").cast("double") * 24, F.col("twice").cast("double")).cast(exact)
+    by_month = around.where("n = 13").groupBy("month").agg(F.sum(ratio).alias("s"), F.count(ratio).alias("years"))
+    mean = (F.col("s").cast("double") / F.col("years")).cast(exact)
+    # Twelve rows.
+    means = by_month.where("years > 0").select("month", "years", mean.alias("mean"))
+    total = F.sum("mean").over(_whole()).cast("double")
+    known = F.count("mean").over(_whole())
+    return means.select("month", "years", F.col("mean").cast("double").alias("mean_ratio"),
+                        (F.col("mean").cast("double") * known / total).alias("seasonal_factor")).orderBy("month")
+
+
 def _at_stores(star: Star, stores: DataFrame) -> DataFrame:
     chosen = Star(fact=star.fact, customer=star.customer, product=star.product, location=stores, date=star.date,
                   rows=star.rows, _hot=star._hot)

@@ -389,7 +389,7 @@ for _build in (agg.monthly_trend, agg.top_products, agg.top_products_per_categor
                dash.kpi_summary, dash.yoy_growth, dash.top10_products_total, dash.sales_ma30,
                dash.kpi_mom, dash.product_matrix_rollup, dash.price_vs_volume, dash.category_waterfall,
                dash.store_performance, dash.top_stores, dash.regional_trend, dash.calendar_rollup,
-               dash.fiscal_year_sales, dash.seasonality_index,
+               dash.fiscal_year_sales, dash.seasonality_index, dash.seasonal_factors,
                checks.table_row_counts, checks.table_counts_wide, checks.constraint_report, checks.calendar_validity):
     QUERIES[_build.__name__] = lambda w, build=_build: build(w.star)
 
@@ -578,6 +578,41 @@ def scd2_customer(w: Workspace) -> DataFrame:
     return changes.customer_history(versions, "o_custkey", "day", ["o_orderpriority"])
 
 
+@query
+def cdc_merge_buckets(w: Workspace) -> DataFrame:
+    """``cdc_merge`` on a table in buckets, as two feeds: the older half of the orders, then the newer one, which comes twice."""
+    path = w.new_folder("customers-in-buckets")
+    changes.create_buckets(w.table("customer").select("c_custkey", F.col("c_mktsegment").alias("last_order")), path, "c_custkey", 64)
+    feed = w.table("orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("last_order"),
+        F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus") == "P").alias("deleted"), F.col("o_orderkey").alias("version"))
+    half = w.table("orders").agg(F.avg("o_orderkey")).first()[0] or 0.0
+    newer = feed.where(F.col("version") > half)
+    for part in (feed.where(F.col("version") <= half), newer, newer):
+        changes.merge_into_buckets(w.spark, path, part, "version", "deleted")
+    return changes.read_buckets(w.spark, path)
+
+
+@query
+def scd2_late_versions(w: Workspace) -> DataFrame:
+    """The history of order priorities where every fifth order comes after the history was built."""
+    versions = w.table("orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderpriority")
+    late = F.col("o_orderkey") % 5 == 0
+    history = changes.customer_history(versions.where(~late), "o_custkey", "day", ["o_orderpriority"])
+    return changes.insert_versions(history, versions.where(late), "o_custkey", "day", ["o_orderpriority"])
+
+
+@query
+def shipments_as_of(w: Workspace) -> DataFrame:
+    """Shipments by the order priority that the customer had on the day of shipping."""
+    orders = w.table("orders").select("o_orderkey", "o_custkey")
+    lines = w.table("lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("shipped"))
+    facts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "shipped")
+    history = scd2_customer(w).drop("is_current")
+    return changes.as_of(facts, "shipped", history, "o_custkey").groupBy(F.col("o_orderpriority").alias("priority_when_shipped")).agg(
+        F.count(F.lit(1)).alias("shipments"), F.count_distinct("o_custkey").alias("customers"))
+
+
 @query
 def stream_sales(w: Workspace) -> DataFrame:
     """Purchases, taken from the events as a stream and appended without replays."""

@@ -199,3 +199,17 @@ def test_row_level_access(spark, star, sales):
     assert dash.store_access(star, mapping, "ann").count() == sum(s[3] in (1, 4) for s in sales)
     assert dash.store_access(star, mapping, "eve").count() == 0
     assert dash.region_access(star, "WEST").count() == sum(s[3] >= 3 for s in sales)
+
+
+def test_seasonal_factors_leave_the_trend_out(spark):
+    def factors(net):
+        months = [(2020 + i // 12, i % 12 + 1, Decimal(net(i))) for i in range(48)]
+        return {r["month"]: r["seasonal_factor"] for r in dash.factors_of(
+            spark.createDataFrame(months, "year int, month int, net decimal(22,2)")).collect()}
+
+    assert factors(lambda i: 100 + 7 * i) == {m: pytest.approx(1.0, abs=1e-9) for m in range(1, 13)}
+    season = factors(lambda i: (1000 + 3 * i) * (2 if i % 12 == 11 else 1))
+    assert sum(season.values()) == pytest.approx(12) and max(season, key=season.get) == 12
+    assert season[12] / season[6] == pytest.approx(2, rel=0.02)
+    months = [(2020, m, Decimal(5)) for m in range(1, 13)]
+    assert dash.factors_of(spark.createDataFrame(months, "year int, month int, net decimal(22,2)")).count() == 0
