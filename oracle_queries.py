@@ -460,10 +460,10 @@ ORACLE: dict[str, str] = {
     "seasonality_index": _on_star(f"""SELECT month, CAST(sum(net) AS DOUBLE) / count(net) AS avg_sales,
         CAST(sum(net) AS DOUBLE) / count(net) / (SELECT CAST(sum(net) AS DOUBLE) / count(net) FROM ({_MONTHS})) AS seasonality_index
         FROM ({_MONTHS}) GROUP BY month"""),
-    "seasonal_factors": _on_star(f"""SELECT month, years, CAST(mean AS DOUBLE) AS mean_ratio,
+    "seasonal_factors": _on_star(f"""SELECT month, years, mean / 1e9 AS mean_ratio,
           CAST(mean AS DOUBLE) * (count(mean) OVER ()) / CAST(sum(mean) OVER () AS DOUBLE) AS seasonal_factor
         FROM (SELECT a.month, count(*) AS years,
-            CAST(CAST(sum(CAST(CAST(a.net AS DOUBLE) * 24 / CAST(c.twice AS DOUBLE) AS DECIMAL(24,12))) AS DOUBLE) / count(*) AS DECIMAL(24,12)) AS mean
+            CAST(floor(CAST(sum(floor(CAST(a.net AS DOUBLE) * 24 / CAST(c.twice AS DOUBLE) * 1e9::DOUBLE + 0.5)) AS DOUBLE) / count(*) + 0.5) AS BIGINT) AS mean
           FROM ({_MONTHS}) a JOIN (SELECT m.year, m.month, sum(o.net * CASE WHEN abs(o.year * 12 + o.month - m.year * 12 - m.month) = 6 THEN 1 ELSE 2 END) AS twice
             FROM ({_MONTHS}) m JOIN ({_MONTHS}) o ON o.year * 12 + o.month BETWEEN m.year * 12 + m.month - 6 AND m.year * 12 + m.month + 6
             GROUP BY m.year, m.month HAVING count(*) = 13) c ON c.year = a.year AND c.month = a.month

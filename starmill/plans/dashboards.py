@@ -281,22 +281,27 @@ def seasonal_factors(star: Star) -> DataFrame:
 
 
 def factors_of(monthly: DataFrame) -> DataFrame:
-    """Seasonal factors of ``year``, ``month``, ``net`` (decimal), a row for each month."""
-    exact = "decimal(24,12)"
+    """Seasonal factors of ``year``, ``month``, ``net`` (decimal), a row for each month.
+
+    Ratios are whole billionths, so that their sums don't depend on the order.
+    """
+    def whole(value: Column) -> Column:
+        return F.floor(value + 0.5).cast("long")
+
     place = monthly.withColumn("at", (F.col("year") * 12 + F.col("month")).cast("long"))
     # As many rows as the calendar has months.
     window = _whole("at")
     around = place.select(
         "month", "net", F.count("net").over(window.rangeBetween(-6, 6)).alias("n"),
         (F.sum("net").over(window.rangeBetween(-6, 5)) + F.sum("net").over(window.rangeBetween(-5, 6))).alias("twice"))
-    ratio = F.try_divide(F.col("net").cast("double") * 24, F.col("twice").cast("double")).cast(exact)
+    ratio = whole(F.try_divide(F.col("net").cast("double") * 24, F.col("twice").cast("double")) * 1e9)
     by_month = around.where("n = 13").groupBy("month").agg(F.sum(ratio).alias("s"), F.count(ratio).alias("years"))
-    mean = (F.col("s").cast("double") / F.col("years")).cast(exact)
+    mean = whole(F.col("s").cast("double") / F.col("years"))
     # Twelve rows.
     means = by_month.where("years > 0").select("month", "years", mean.alias("mean"))
     total = F.sum("mean").over(_whole()).cast("double")
     known = F.count("mean").over(_whole())
-    return means.select("month", "years", F.col("mean").cast("double").alias("mean_ratio"),
+    return means.select("month", "years", (F.col("mean") / 1e9).alias("mean_ratio"),
                         (F.col("mean").cast("double") * known / total).alias("seasonal_factor")).orderBy("month")
 
 
