@@ -30,6 +30,7 @@ PIECES_LEAST = 1024
 GAIN = 1000
 # A sequence with at most this part of its room free stands if its lane meets the bound, and if it misses it.
 WELL_FILLED, FULL_ENOUGH = 16, 64
+SLICE_ROWS = 500  # of a batch whose texts and ids are Python objects at once
 
 
 def pieces(df: DataFrame, tokenizer: str, text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -46,7 +47,7 @@ def pieces(df: DataFrame, tokenizer: str, text: str = "text", capacity: int = CA
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = chunk_ids(tokenizer, lower=False).ids
-        for batch in batches:
+        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             rows, piece, start, ids = [], [], [], []
             for i, t in enumerate(texts_of(batch, "text")):
                 data = encode(t) + end
