@@ -603,3 +603,7 @@ ORACLE: dict[str, str] = {
         FROM events WHERE event_type = 'purchase'""",
 }
 ORACLE["cdc_merge_buckets"] = ORACLE["cdc_merge"]
+# Answers from stored group-bys are those of the fact.
+ORACLE |= {f"{q}_from_lattice": ORACLE[q] for q in (
+    "sliced_sales", "kpi_summary", "regional_performance", "regional_trend", "fiscal_year_sales")}
+ORACLE["lattice_after_failed_append"] = ORACLE["sliced_sales"]

@@ -23,8 +23,9 @@ from starmill.operators.fact import accepted, rejected, resolve_sales
 from starmill.operators.keys import allocate_keys
 from starmill.operators.ledger import append_new
 from starmill.plans import aggregates as agg
-from starmill.plans import changes, checks, health, rules, summaries
+from starmill.plans import changes, checks, health, lattice, rules, summaries
 from starmill.plans import dashboards as dash
+from starmill.plans.lattice import Request, Shape
 from starmill.plans.pipeline import load_fact, publish, run_pipeline
 from starmill.plans.warehouse import DIM_TABLES, SALES_FOLDER, TABLES, Star, open_star, read_rejects, read_sales_lines
 from starmill.schemas import CURATED, NATURAL_KEYS, RAW, SORT_KEYS, SURROGATE_KEYS
@@ -40,6 +41,15 @@ LATEST_MONTH = date(2001, 7, 31)
 NOW = "2024-01-30 12:00:00"
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 SLICE = {"start": date(1997, 3, 5), "end": date(1999, 7, 9), "brands": ["Brand#2", "Brand#3", "Brand#5", "Brand#7"]}
+KPIS = ("total_sales", "total_transactions", "avg_transaction_value", "unique_customers", "total_discount", "discount_rate")
+# From fine to coarse; each is built from one before it where it can be.
+SHAPES = [
+    Shape("day_brand_state", ("date_key", "brand", "category", "region", "state"), sets=True),
+    Shape("month_brand_state", ("month_key", "brand", "category", "region", "state"), sets=True),
+    Shape("state", ("region", "state"), sets=True),
+    Shape("day_store", ("date_key", "location_key")),
+]
+_SLICED = Request(KPIS, ("region", "category"), {"brand": SLICE["brands"]}, SLICE["start"], SLICE["end"])
 
 
 class Workspace:
@@ -76,6 +86,11 @@ class Workspace:
     def warehouse(self) -> str:
         return f"{self.root}/warehouse"
 
+    @cached_property
+    def lattice(self) -> lattice.Lattice:
+        lattice.sync_lattice(self.star, self.warehouse, SHAPES)
+        return lattice.open_lattice(self.star, self.warehouse, SHAPES)
+
     def stored(self, name: str) -> DataFrame:
         self.star
         return sinks.read_table(self.spark, f"{self.warehouse}/{name}")
@@ -443,6 +458,49 @@ def sliced_sales(w: Workspace) -> DataFrame:
     return dash.sliced_kpis(w.star, ["region", "category"], **SLICE)
 
 
+@query
+def sliced_sales_from_lattice(w: Workspace) -> DataFrame:
+    """``sliced_sales`` from stored group-bys: whole months from the monthly one, the days at both ends from the daily one."""
+    return w.lattice.answer(_SLICED)
+
+
+@query
+def kpi_summary_from_lattice(w: Workspace) -> DataFrame:
+    return w.lattice.answer(Request(KPIS))
+
+
+@query
+def regional_performance_from_lattice(w: Workspace) -> DataFrame:
+    found = w.lattice.answer(Request(("unique_customers", "total_transactions", "total_sales"), ("region", "state")))
+    return found.withColumnRenamed("total_transactions", "transactions")
+
+
+@query
+def regional_trend_from_lattice(w: Workspace) -> DataFrame:
+    return w.lattice.answer(Request(("total_sales",), ("region", "year", "month")))
+
+
+@query
+def fiscal_year_sales_from_lattice(w: Workspace) -> DataFrame:
+    found = w.lattice.answer(Request(("total_sales", "total_transactions"), ("fiscal_year",)))
+    return found.withColumnRenamed("total_transactions", "transactions")
+
+
+@query
+def lattice_after_failed_append(w: Workspace) -> DataFrame:
+    """``sliced_sales`` from group-bys kept over two appends, of which the second died before them and was repeated."""
+    target, loaded_at = w.new_folder("lattice_append"), F.lit(NOW).cast("timestamp")
+    for dim, table in DIM_TABLES.items():
+        sinks.write_table(getattr(w.star, dim), f"{target}/{table}")
+    sales, late = w.raw["sales"], F.pmod(F.xxhash64("sale_id"), F.lit(2)) == 1
+    for batch, dies in ((sales.where(~late), False), (sales.where(late), True), (sales.where(late), False)):
+        load = load_fact(w.spark, batch, target, loaded_at, w.star.rows, append=True)
+        star = open_star(w.spark, target, w.star.rows)
+        if not dies:
+            lattice.sync_lattice(star, target, SHAPES[:2], load)
+    return lattice.open_lattice(star, target, SHAPES[:2], load).answer(_SLICED)
+
+
 @query
 def rls_store_filter(w: Workspace) -> DataFrame:
     """Sales per store that one store manager may see; the stores are dealt out to managers by nation."""
