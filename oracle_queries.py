@@ -607,3 +607,4 @@ ORACLE["cdc_merge_buckets"] = ORACLE["cdc_merge"]
 ORACLE |= {f"{q}_from_lattice": ORACLE[q] for q in (
     "sliced_sales", "kpi_summary", "regional_performance", "regional_trend", "fiscal_year_sales")}
 ORACLE["lattice_after_failed_append"] = ORACLE["sliced_sales"]
+ORACLE["compact_small_files"] = ORACLE["load_append_idempotent"]

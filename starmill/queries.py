@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.operators import dimensions as dims
-from starmill.operators import sinks
+from starmill.operators import compaction, sinks
 from starmill.operators.fact import accepted, rejected, resolve_sales
 from starmill.operators.keys import allocate_keys
 from starmill.operators.ledger import append_new
@@ -397,6 +397,17 @@ def compact_sorted(w: Workspace) -> DataFrame:
     return _as_text({t: compact(t, df) for t, df in w.star.tables().items()})
 
 
+@query
+def compact_small_files(w: Workspace) -> DataFrame:
+    """The fact loaded in five parts, its small files then merged month by month; totals per month."""
+    path, part = w.new_folder("small_files"), F.pmod(F.xxhash64("sale_id"), F.lit(5))
+    for i in range(5):
+        sinks.write_table(w.star.fact.where(part == i), path, "append", ["month_key"])
+    compaction.compact_small_files(w.spark, path, ["month_key"], SORT_KEYS["sales_fact"])
+    return sinks.read_table(w.spark, path).groupBy("month_key").agg(
+        F.count(F.lit(1)).alias("sales"), F.sum("net_amount").alias("net_amount"))
+
+
 # --- analytics ---------------------------------------------------------------
 
 for _build in (agg.monthly_trend, agg.top_products, agg.top_products_per_category,
