@@ -16,7 +16,7 @@ def calm(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def spoken(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose text has a language; those without a letter go."""
+    """The documents whose text has a language, which unlabelled ones get from the model; those without a letter go."""
     return language.without_unknown(docs, language.fit(docs, language.fold("doc_id", 3) != 1))
 
 
@@ -31,9 +31,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their sequence and offset."""
-    pieces = packing.pieces(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
-    return packing.pack(pieces.drop("ids"))
+    """Pieces of the documents with their sequence and offset; a sequence holds texts of one language only."""
+    pieces = packing.pieces(docs.select("doc_id", "lang", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(pieces.drop("ids"), by="lang")
 
 
 STAGES = [("toxicity", calm), ("language ID", spoken), ("exact dedup", exact), ("simhash near-dedup", near),

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import add_columns, all_columns, claim_memory, fresh, python_ready
+from starmill.llm.common import add_columns, claim_memory, fresh, python_ready
 
 GRAM_BUCKETS = 1 << 16
 MAX_LANGUAGES = 1000
@@ -115,14 +115,17 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score (0 to 1) and whether it is ambiguous, for each text."""
-        margin, n = self.margins(texts)
+        return self.decide(*self.margins(texts))
+
+    def decide(self, margin: np.ndarray, n: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """``predict`` from the margins and numbers of grams."""
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
+            return [UNKNOWN] * len(n), np.zeros(len(n)), np.zeros(len(n), bool)
         signed = (self.slope * margin + self.shift)[:, None, :] * self.code[None]
         loss = (np.logaddexp(0, -signed) * self.trust).sum(axis=2)
         best = loss.argmin(axis=1)
         gaps = np.sort(loss, axis=1)
-        near = (gaps[:, 1] - gaps[:, 0] < AMBIGUOUS) if len(self.languages) > 1 else np.zeros(len(texts), bool)
+        near = (gaps[:, 1] - gaps[:, 0] < AMBIGUOUS) if len(self.languages) > 1 else np.zeros(len(n), bool)
         share = np.exp(-(loss - gaps[:, :1]))
         score = np.where(n > 0, 1 / share.sum(axis=1), 0.0)
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, n)], score, near & (n > 0)
@@ -231,12 +234,19 @@ def fold(id_column: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % folds, F.lit(0))
 
 
-def without_unknown(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows whose text has grams, as they are; texts without a letter go, whether or not a language was learned."""
-    n = fresh(df, "_grams")
+def without_unknown(df: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows whose text has grams; texts without a letter go, whether or not a language was learned.
+
+    A row whose ``lang`` is null gets the language that the model tells, or stays null if none was learned; else rows are as they are.
+    """
+    n, told = fresh(df, "_grams"), fresh(df, "_told")
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def add(texts: list[str | None]) -> dict[str, pa.Array]:
-        return {n: pa.array(shared.value.margins(texts)[1])}
+        margin, grams = shared.value.margins(texts)
+        found = shared.value.decide(margin, grams)[0] if shared.value.languages else [None] * len(texts)
+        return {n: pa.array(grams), told: pa.array(found, pa.string())}
 
-    return add_columns(df, {n: "long"}, add, text).filter(F.col(n) > 0).select(*all_columns(df))
+    known = F.coalesce(F.col(lang), F.col(told)).alias(lang)
+    columns = [known if c == lang else F.col(f"`{c}`") for c in df.columns]
+    return add_columns(df, {n: "long", told: "string"}, add, text).filter(F.col(n) > 0).select(*columns)

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.llm.common import drop, extended, python_ready, stored, texts_of, with_columns
@@ -30,6 +30,7 @@ PIECES_LEAST = 1024
 GAIN = 1000
 # A sequence with at most this part of its room free stands if its lane meets the bound, and if it misses it.
 WELL_FILLED, FULL_ENOUGH = 16, 64
+MAX_GROUPS = 4096  # that are packed apart
 SLICE_ROWS = 500  # of a batch whose texts and ids are Python objects at once
 
 
@@ -114,8 +115,8 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, np.array(fills, np.int64)
 
 
-def _round(df: DataFrame, parts: int, number: int, last: bool, capacity: int) -> DataFrame:
-    """Deal the pieces over ``parts`` lanes and pack each; ``done`` tells which placements stand."""
+def _round(df: DataFrame, parts: int, number: int, last: bool, capacity: int, group: Column) -> DataFrame:
+    """Deal the pieces of each ``group`` (numbers from 0) over ``parts`` lanes and pack each; ``done`` tells which placements stand."""
     def fit(group: pa.Table) -> pa.Table:
         lengths = group.column("length").to_numpy().astype(np.int64)
         bins, offsets, fills = best_fit(lengths, capacity)
@@ -133,7 +134,7 @@ def _round(df: DataFrame, parts: int, number: int, last: bool, capacity: int) ->
     # the former ones: of any ``parts`` rows in a row each lane gets one, in an order that the round seeds.
     row = F.monotonically_increasing_id()
     turn = F.xxhash64(F.floor(row / parts), F.lit(number)) if number else F.lit(0)
-    dealt = df.withColumn("lane", F.pmod(F.pmod(row, F.lit(parts)) + F.pmod(turn, F.lit(parts)), F.lit(parts)))
+    dealt = df.withColumn("lane", group * parts + F.pmod(F.pmod(row, F.lit(parts)) + F.pmod(turn, F.lit(parts)), F.lit(parts)))
     return dealt.groupBy("lane").applyInArrow(fit, extended(
         dealt.schema, sequence_id="long", offset="long", lane_bound="long", certified="boolean", done="boolean"))
 
@@ -143,13 +144,24 @@ def _lanes(spark: SparkSession, pieces: int, pieces_per_task: int) -> int:
     return max(1, -(-pieces // pieces_per_task), min(spark.sparkContext.defaultParallelism, pieces // PIECES_LEAST))
 
 
-def pack(df: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES_PER_TASK) -> DataFrame:
+def _numbered(df: DataFrame, by: str) -> Column:
+    """A number, from 0, for each value of a column with few of them; null is one too."""
+    values = [r[0] for r in df.select(by).distinct().limit(MAX_GROUPS + 1).collect()]
+    if len(values) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups to pack apart")
+    known = sorted(v for v in values if v is not None)
+    numbers = F.create_map(*[F.lit(x) for k, v in enumerate(known, 1) for x in (v, k)])[F.col(by)] if known else F.lit(0)
+    return F.coalesce(numbers, F.lit(0)).cast("long")
+
+
+def pack(df: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES_PER_TASK, by: str | None = None) -> DataFrame:
     """Adds ``sequence_id``, ``offset``, ``lane_bound`` and ``certified`` to rows with a ``length`` of 1 to ``capacity``.
 
     Pieces are dealt by number, not by key, so that no hot key meets in one task; equal rows are
     separate pieces.  Other columns are carried along and should be narrow.  A lane has about
     ``pieces_per_task`` pieces at most in every round, and what stands is stored.  ``lane_bound`` is the least number of sequences
-    for the lane that packed the piece last, ``certified`` whether it used no more.  Lengths that are null or out of range
+    for the lane that packed the piece last, ``certified`` whether it used no more.  A sequence has pieces of one value
+    of the column ``by`` only, if that is given.  Lengths that are null or out of range
     have no place and must be filtered before.  An empty table gives an empty result.  Clashing columns are replaced.
     """
     place = ["sequence_id", "offset", "lane_bound", "certified"]
@@ -159,9 +171,10 @@ def pack(df: DataFrame, capacity: int = CAPACITY, pieces_per_task: int = PIECES_
     left = stored(df.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(names, plain)]), "pieces")
     python_ready(spark)
     packed, number, used = [], 0, None
+    group = _numbered(left, plain[names.index(by)]) if by else F.lit(0).cast("long")
     parts = _lanes(spark, left.count(), pieces_per_task)
     while True:
-        now = stored(_round(left.select(*plain), parts, number, parts == 1, capacity), f"packed{number}")
+        now = stored(_round(left.select(*plain), parts, number, parts == 1, capacity, group), f"packed{number}")
         if used:
             needed = now.select("sequence_id").distinct().count()
             if needed > used - max(1, used // GAIN):  # next to nothing saved: what is better stands
