@@ -42,11 +42,14 @@ def resolve_sales(raw_sales: DataFrame, dims: dict[str, DataFrame], date_dim: Da
     sales = number_rows(raw_sales, "sale_key", first_key)
     sale_date_text = F.col("sale_date").cast("string").alias("_sale_date_text")
     sales = conform(sales.select("*", sale_date_text), RAW["sales"], keep=("sale_key", "_sale_date_text"))
-    sales = sales.withColumn("date_key", date_key(F.col("sale_date")))
+    # The joins carry the date, and its text only where it is written otherwise.
+    written = F.col("sale_date").cast("string")
+    sales = sales.withColumn("_sale_date_text", F.when(~F.col("_sale_date_text").eqNullSafe(written), F.col("_sale_date_text")))
     for name in DIMENSIONS:
         key = f"{name}_id"
         sales = lookup_join(sales, dims[name].select(key, f"{name}_key"), key, "left", spread="sale_key",
                             right_rows=dim_rows[name], hot=hot.get(key), broadcast_rows=broadcast_rows)
+    sales = sales.withColumn("date_key", date_key(F.col("sale_date")))
     if reject_out_of_calendar:
         known = date_dim.select("date_key", F.col("date_key").alias("_known_date"))
         sales = lookup_join(sales, known, "date_key", "left", spread="sale_key", right_rows=dim_rows.get("date"),
@@ -58,7 +61,7 @@ def resolve_sales(raw_sales: DataFrame, dims: dict[str, DataFrame], date_dim: Da
     gross = F.col("quantity") * F.col("unit_price")
     lines = sales.select(
         "sale_key", "sale_id", "customer_id", "product_id", "location_id",
-        F.col("_sale_date_text").alias("sale_date"), *KEYS, "quantity", "unit_price",
+        F.coalesce("_sale_date_text", written).alias("sale_date"), *KEYS, "quantity", "unit_price",
         gross.try_cast("decimal(12,2)").alias("gross_amount"),
         discount.alias("discount_amount"),
         tax.alias("tax_amount"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,7 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> dict[s
     }
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: list, spread: str,
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: list, spread: str | Column,
                 salts: int = SALTS) -> DataFrame:
     """Shuffle join that spreads the hot (and the missing) keys of ``left``.
 
@@ -53,7 +53,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str, hot: list
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *, spread: str,
+def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", *, spread: str | Column,
                 right_rows: int | None = None, hot: list | None = None, probe: DataFrame | None = None,
                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``left`` to a lookup table: broadcast if it is counted small in rows and bytes, else a salted shuffle join.

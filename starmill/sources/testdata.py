@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.operators.joins import lookup_join
-from starmill.operators.keys import number_rows
 from starmill.schemas import RAW
 
 
@@ -106,15 +105,17 @@ def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Both joins may shuffle the lines: amounts go as short decimals, and the line itself tells where to spread.
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
-    lines = number_rows(lines, "line_row")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int").alias("l_quantity"),
+        *[F.when(~every("l_orderkey", n), F.col(c).cast("decimal(4,2)")).alias(c) for c, n in (("l_discount", 5), ("l_tax", 7))])
+    line = F.struct(*lines.columns)
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.to_date("o_orderdate").alias("o_date"))
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_retailprice").cast("decimal(10,2)").alias("price"))
-    df = lookup_join(lines, orders, "l_orderkey", spread="line_row")
-    df = lookup_join(df, part, "l_partkey", spread="line_row", probe=lines)
+    df = lookup_join(lines, part, "l_partkey", spread=line)
+    df = lookup_join(df, orders, "l_orderkey", spread=line, probe=lines)
     df = df.withColumn("k", F.col("l_orderkey"))
     quantity = (F.when(every("k", 251), -F.col("l_quantity")).when(every("k", 241), 0)
                 .otherwise(F.col("l_quantity"))).cast("int")
@@ -127,7 +128,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(F.col("o_date").cast("string")))
 
     def share(column: str) -> Column:
-        return (amount * F.col(column).cast("decimal(4,2)")).cast("decimal(10,2)")
+        return (amount * F.col(column)).cast("decimal(10,2)")
 
     return _text(df.select(
         F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("sale_id"),
@@ -138,8 +139,8 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.when(every("k", 1009), "many").when(every("k", 307), F.concat(quantity, F.lit(".0")))
          .when(every("k", 311), F.concat(quantity, F.lit(".5"))).otherwise(quantity.cast("string"))).alias("quantity"),
         F.col("price").alias("unit_price"),
-        F.when(~every("k", 5), share("l_discount")).alias("discount_amount"),
-        F.when(~every("k", 7), share("l_tax")).alias("tax_amount"),
+        share("l_discount").alias("discount_amount"),
+        share("l_tax").alias("tax_amount"),
     ), "sales")
 
 
