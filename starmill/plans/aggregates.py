@@ -129,16 +129,24 @@ def category_by_month(star: Star) -> DataFrame:
 
 
 def sales_enriched(star: Star) -> DataFrame:
-    """The model behind the dashboards: each sale with the attributes of its four dimensions."""
-    rows = star.join(star.fact.drop("etl_inserted_date"), "date", [
-        "date_value", "year", "quarter", "month", "month_name", "day", "is_weekend", "fiscal_year"])
-    rows = star.join(rows, "product", ["product_id", "product_name", "category", "subcategory", "brand"])
-    rows = star.join(rows, "location", ["location_id", "store_name", "region", "state"])
+    """The model behind the dashboards: each sale with the attributes of its four dimensions.
+
+    The dimensions that may be large come first, the one with the least text before the other: what a shuffle carries
+    is the sale and few attributes.
+    """
+    attributes = {
+        "date": ["date_value", "year", "quarter", "month", "month_name", "day", "is_weekend", "fiscal_year"],
+        "product": ["product_id", "product_name", "category", "subcategory", "brand"],
+        "location": ["location_id", "store_name", "region", "state"], "customer": ["customer_id", "full_name", "customer_state"]}
     # the customer's own state is not the store's
     customers = star.customer.select("customer_key", "customer_id", "full_name", F.col("state").alias("customer_state"))
     named = Star(fact=star.fact, customer=customers, product=star.product, location=star.location, date=star.date,
                  rows=star.rows, _hot=star._hot)
-    return named.join(rows, "customer", ["customer_id", "full_name", "customer_state"])
+    rows = sales = star.fact.drop("etl_inserted_date")
+    for dim in ("customer", "product", "location", "date"):
+        rows = named.join(rows, dim, attributes[dim])
+    order = ["customer_key", "location_key", "product_key", "date_key"]
+    return rows.select(*order, *[c for c in sales.columns if c not in order], *[c for names in attributes.values() for c in names])
 
 
 def merge_customer_summary(star: Star, stored: DataFrame, batch: DataFrame) -> DataFrame:

@@ -74,3 +74,13 @@ def test_a_salt_may_come_from_all_columns(spark):
     right = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
     found = salted_join(left, right, "k", "inner", [0], F.struct("k", "id"))
     assert found.columns == ["k", "id", "v"] and found.count() == 300 and found.where("v = 'a'").count() == 150
+
+
+def test_large_dimensions_are_joined_before_the_text_of_the_others(spark):
+    star = small_star(spark, {"customer": 10**9, "product": 10**9, "location": 3, "date": 366})
+    found = agg.sales_enriched(star)
+    assert found.columns[:5] == ["customer_key", "location_key", "product_key", "date_key", "sale_key"]
+    assert found.columns[-8:] == ["brand", "location_id", "store_name", "region", "state", "customer_id", "full_name", "customer_state"]
+    joins = re.findall(r"Join Inner, \((\w+_key)#", plan_of(found).replace("((", "("))
+    assert joins == ["date_key", "location_key", "product_key", "customer_key"]  # the last is the first to run
+    assert found.count() == 600
