@@ -10,7 +10,7 @@ from starmill.operators import dimensions as dims
 from starmill.operators.fact import resolve_sales
 from starmill.operators.joins import salted_join
 from starmill.plans import aggregates as agg
-from starmill.plans import summaries
+from starmill.plans import lattice, summaries
 from starmill.plans.warehouse import Star
 
 
@@ -84,3 +84,18 @@ def test_large_dimensions_are_joined_before_the_text_of_the_others(spark):
     joins = re.findall(r"Join Inner, \((\w+_key)#", plan_of(found).replace("((", "("))
     assert joins == ["date_key", "location_key", "product_key", "customer_key"]  # the last is the first to run
     assert found.count() == 600
+
+
+def test_sets_of_positions_fold_in_one_pass(spark):
+    star = small_star(spark)
+    fine = lattice.Shape("fine", ("month_key", "category", "subcategory", "region"), sets=True)
+    state = lattice._state(star, lattice.fact_source(star), fine).localCheckpoint()
+    coarse = lattice.fold_state(state, ["month_key", "region"], True)
+    assert plan_of(coarse).count("Aggregate") == 1 and "Union" not in plan_of(coarse)
+    got = {(r["month_key"], r["region"]): (r["transactions"], r["net"], sorted(r["positions"])) for r in coarse.collect()}
+    line = star.fact.join(star.location, "location_key").groupBy("month_key", "region").agg(
+        F.count("*").alias("n"), F.sum("net_amount").alias("net"), F.sort_array(F.collect_set(F.col("customer_key").cast("int") - 1)).alias("who"))
+    assert got == {(r["month_key"], r["region"]): (r["n"], r["net"], r["who"]) for r in line.collect()}
+    halves = lattice.large_as_bitmaps(state.where("month_key = 202401"), ["month_key", "category", "subcategory", "region"])
+    both = lattice.fold_state(halves.withColumn("bitmap", F.lit(None).cast("binary")).unionByName(state.where("month_key > 202401")), ["region"], True)
+    assert sum(r["transactions"] for r in both.collect()) == 600
