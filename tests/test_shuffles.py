@@ -9,6 +9,7 @@ from helpers import fact_frame, raw_table, rows, sale
 from starmill.operators import dimensions as dims
 from starmill.operators.fact import resolve_sales
 from starmill.operators.joins import salted_join
+from starmill.operators.ledger import Ledger
 from starmill.plans import aggregates as agg
 from starmill.plans import lattice, summaries
 from starmill.plans.warehouse import Star
@@ -99,3 +100,18 @@ def test_sets_of_positions_fold_in_one_pass(spark):
     halves = lattice.large_as_bitmaps(state.where("month_key = 202401"), ["month_key", "category", "subcategory", "region"])
     both = lattice.fold_state(halves.withColumn("bitmap", F.lit(None).cast("binary")).unionByName(state.where("month_key > 202401")), ["region"], True)
     assert sum(r["transactions"] for r in both.collect()) == 600
+
+
+def test_unknown_lines_meet_the_ledger_by_the_key_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    kind = "id string, status string, n long"
+    stored = spark.createDataFrame([("a", "x", 1), ("b", "x", 2), ("b", "y", 3), (None, "x", 4)], kind)
+    stored.write.parquet(path)
+    book = Ledger(spark, path, "id", ("status",), number="n")
+    book.ensure(spark.read.parquet(path))
+    lines = spark.createDataFrame([("a", "x", 5), ("a", "y", 6), ("b", "y", 7), ("c", "x", 8), (None, "x", 9), ("a", None, 10)], kind)
+    found = book.unknown(lines)
+    assert rows(found, "n") == [(10,), (6,), (8,), (9,)]
+    assert "LeftSemi" not in plan_of(found)
+    joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[([^\]]*)\]", plan_of(found, "executedPlan"))
+    assert joins and all("status" not in keys for keys in joins)
