@@ -17,7 +17,7 @@ from starmill.operators import folders
 from starmill.operators.dimensions import keep_latest
 
 LAYOUT, MERGED = "_layout", "_merged"
-BIN_DAYS = 32
+BIN_DAYS = 128
 
 
 def merge_changes(stored: DataFrame, changes: DataFrame, key: str, version: str, deleted: str) -> DataFrame:
@@ -141,18 +141,19 @@ def insert_versions(history: DataFrame, late: DataFrame, key: str, day: str, tra
     return rest.unionByName(customer_history(kept.unionByName(late), key, day, tracked))
 
 
-def as_of(facts: DataFrame, day: str, history: DataFrame, key: str) -> DataFrame:
+def as_of(facts: DataFrame, day: str, history: DataFrame, key: str, days: DataFrame | None = None) -> DataFrame:
     """``facts`` with the other columns of the ``history`` period that holds ``day``; null where there is none.
 
     Days are cut into bins of BIN_DAYS.  A period comes once for each bin it meets, of those that facts have (their number
     is bounded by the calendar), so that rows meet by key and bin and never all periods of a key; adaptive
-    execution splits the bins of a hot key.
+    execution splits the bins of a hot key.  ``days`` is a cheaper source of the facts' days (``day``) than ``facts``, such as
+    the table below a join; it may hold more of them.
     """
     def bin_of(value: Column) -> Column:
         return F.floor(F.unix_date(value) / BIN_DAYS).cast("int")
 
     names = [c for c in history.columns if c not in (key, "valid_from", "valid_to")]
-    used = sorted(r[0] for r in facts.where(F.col(day).isNotNull()).select(bin_of(F.col(day))).distinct().collect())
+    used = sorted(r[0] for r in (facts if days is None else days).where(F.col(day).isNotNull()).select(bin_of(F.col(day))).distinct().collect())
     first, last = bin_of(F.col("valid_from")), bin_of(F.date_sub("valid_to", 1))
     met = F.filter(F.array(*map(F.lit, used)).cast("array<int>"), lambda b: (b >= first) & (last.isNull() | (b <= last)))
     periods = history.select(F.col(key).alias("_key"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), *names,

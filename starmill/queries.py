@@ -678,7 +678,7 @@ def shipments_as_of(w: Workspace) -> DataFrame:
     lines = w.table("lineitem").select("l_orderkey", F.to_date("l_shipdate").alias("shipped"))
     facts = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("o_custkey", "shipped")
     history = scd2_customer(w).drop("is_current")
-    return changes.as_of(facts, "shipped", history, "o_custkey").groupBy(F.col("o_orderpriority").alias("priority_when_shipped")).agg(
+    return changes.as_of(facts, "shipped", history, "o_custkey", days=lines).groupBy(F.col("o_orderpriority").alias("priority_when_shipped")).agg(
         F.count(F.lit(1)).alias("shipments"), F.count_distinct("o_custkey").alias("customers"))
 
 

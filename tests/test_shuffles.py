@@ -12,6 +12,7 @@ from starmill.operators.joins import salted_join
 from starmill.operators.ledger import Ledger
 from starmill.plans import aggregates as agg
 from starmill.plans import lattice, summaries
+from starmill.plans.changes import as_of
 from starmill.plans.warehouse import Star
 
 
@@ -115,3 +116,18 @@ def test_unknown_lines_meet_the_ledger_by_the_key_alone(spark, tmp_path):
     assert "LeftSemi" not in plan_of(found)
     joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin|BroadcastHashJoin) \[([^\]]*)\]", plan_of(found, "executedPlan"))
     assert joins and all("status" not in keys for keys in joins)
+
+
+def test_the_bins_may_come_from_a_cheaper_table(spark):
+    history = spark.createDataFrame([("A", "x", date(2024, 1, 1), date(2024, 6, 1)), ("A", "y", date(2024, 6, 1), None)],
+                                    "id string, city string, valid_from date, valid_to date")
+    data = [("A", date(2024, 5, 31)), ("A", date(2024, 6, 1)), ("A", date(2023, 1, 1)), ("B", date(2024, 6, 1)), ("A", None)]
+    days = spark.createDataFrame([(d,) for _, d in data] + [(date(2030, 1, 1),)], "sold date")
+    facts = spark.createDataFrame(data, "id string, sold date")
+    spent = spark.sparkContext.accumulator(0)
+    counted = facts.rdd.map(lambda r: (spent.add(1), r)[1]).toDF(facts.schema)
+    found = as_of(counted, "sold", history, "id", days=days)
+    assert spent.value == 0  # the facts, which may be a join, are not computed for their days
+    assert rows(found, "id", "sold", "city") == rows(as_of(facts, "sold", history, "id"), "id", "sold", "city")
+    assert {(r["sold"], r["city"]) for r in found.collect() if r["id"] == "A" and r["sold"]} == {
+        (date(2024, 5, 31), "x"), (date(2024, 6, 1), "y"), (date(2023, 1, 1), None)}
