@@ -50,6 +50,7 @@ MAX_TOXIC, MAX_CLEAN = 8_000, 16_000
 FOLDS = 5
 MAX_KNOWN, MAX_TOKEN = 1_000_000, 64  # tokens that a worker remembers, and their length
 _SLICE = 1 << 20
+_BEGINS, _WHOLE = zlib.crc32(b"^"), zlib.crc32(b"=")
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _TWICE = re.compile(r"([^\W\d_])\1", re.I)
@@ -166,8 +167,19 @@ def decode_spaced(run: str, logp: np.ndarray) -> str:
 
 def features(word: str) -> list[int]:
     """Buckets of a word's beginnings and of the word itself."""
-    marks = [f"^{word[:k]}" for k in PREFIXES if k <= len(word)]
-    return [zlib.crc32(m.encode()) % FEATURES for m in (*marks, f"={word}")]
+    data, crc32 = word.encode(), zlib.crc32
+    whole = crc32(data, _WHOLE) % FEATURES
+    if len(data) != len(word):
+        return [*[crc32(word[:k].encode(), _BEGINS) % FEATURES for k in PREFIXES if k <= len(word)], whole]
+    if len(data) < PREFIXES[0]:
+        return [whole]
+    crc = crc32(data[:PREFIXES[0]], _BEGINS)  # a beginning's checksum goes on from that of the one before
+    found = [crc % FEATURES]
+    for k in range(PREFIXES[0], min(len(data), PREFIXES[-1])):
+        crc = crc32(data[k:k + 1], crc)
+        found.append(crc % FEATURES)
+    found.append(whole)
+    return found
 
 
 @dataclass
@@ -177,8 +189,11 @@ class Reader:
     logp: np.ndarray
 
     def read(self, token: str) -> tuple[str, ...]:
-        found = _CORE.search(token)
-        core = found.group() if found else ""
+        if token.isalpha():  # letters only: all of it is the core
+            core = token
+        else:
+            found = _CORE.search(token)
+            core = found.group() if found else ""
         if core.isalpha() and not _TWICE.search(core):
             return (core.lower(),)
         if not any(c.isalpha() for c in core):
@@ -207,9 +222,11 @@ class Model:
 
     def marked(self, words: tuple[str, ...] | list[str]) -> tuple[tuple[float, str], ...]:
         """Words with a score above 0."""
-        weights = self.weights
-        scored = ([weights[f] for f in features(w) if f in weights] for w in words)
-        return tuple((max(s), w) for s, w in zip(scored, words) if s)
+        weights, found = self.weights, []
+        for w in words:
+            if scores := [weights[f] for f in features(w) if f in weights]:
+                found.append((max(scores), w))
+        return tuple(found)
 
     def evidence(self, text: str | None) -> list[float]:
         """The highest scores of a text's distinct words, summed up, and its length in distinct tokens."""
