@@ -36,10 +36,8 @@ def settle_compaction(spark: SparkSession, path: str) -> str:
 
 def small_files(spark: SparkSession, path: str, target_bytes: int = TARGET_BYTES) -> list[str]:
     """Files under half the target size, of the partitions that have more of them than their bytes need."""
-    files, _ = folders.opened(spark, path)
     by_partition: dict[str, list[tuple[str, int]]] = {}
-    for name in folders.data_paths(spark, path):
-        size = files.getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")).getLen()
+    for name, size in folders.data_files(spark, path):
         if size < target_bytes / 2:
             by_partition.setdefault(name.rpartition("/")[0], []).append((name, size))
     return [name for small in by_partition.values() if len(small) > -(-sum(s for _, s in small) // target_bytes) for name, _ in small]

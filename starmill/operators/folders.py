@@ -95,18 +95,23 @@ def settle(spark: SparkSession, path: str) -> str:
     return path
 
 
-def data_paths(spark: SparkSession, folder: str) -> Iterator[str]:
-    """Data files below a folder, as paths relative to it."""
+def data_files(spark: SparkSession, folder: str) -> Iterator[tuple[str, int]]:
+    """Data files below a folder, as paths relative to it, and their sizes, from one listing."""
     files, at = opened(spark, folder)
     if not files.exists(at):
         return
     base = files.makeQualified(at).toUri().getPath().rstrip("/")
     listing = files.listFiles(at, True)
     while listing.hasNext():
-        path = listing.next().getPath()
-        relative = path.toUri().getPath()[len(base) + 1:]
+        found = listing.next()
+        relative = found.getPath().toUri().getPath()[len(base) + 1:]
         if not any(part.startswith(("_", ".")) for part in relative.split("/")):
-            yield relative
+            yield relative, found.getLen()
+
+
+def data_paths(spark: SparkSession, folder: str) -> Iterator[str]:
+    """Data files below a folder, as paths relative to it."""
+    return (path for path, _ in data_files(spark, folder))
 
 
 def move_all(spark: SparkSession, source: str, goal: str, tag: str = "") -> int:

@@ -37,7 +37,7 @@ def observed(seen: Observation) -> dict | None:
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
                 sort_by: list[str] | None = None, notes: Mapping[str, str] | None = None, in_place: bool = False,
-                options: Mapping[str, str] | None = None, **metrics) -> dict:
+                options: Mapping[str, str] | None = None, gathered: bool = False, **metrics) -> dict:
     """Write Parquet and return the row count (and ``metrics``), observed during the write itself.
 
     An overwrite is finished beside the table, with its ``notes``, and then put in its place: a job that dies leaves the
@@ -46,11 +46,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     A partitioned table is rebalanced on its partition columns: adaptive
     execution splits a hot partition over tasks and merges small ones.  The
     writer needs the rows sorted by partition anyway; ``sort_by`` refines that
-    order, so that the files' min/max values prune.
+    order, so that the files' min/max values prune.  ``gathered`` rows lie by
+    these partitions in the stored table that they are read from: they are
+    written where they are read, without a shuffle, some more files than partitions.
     """
     seen, spark = Observation(), df.sparkSession
     beside = mode == "overwrite" and not in_place
-    if partition_by:
+    if partition_by and not gathered:
         df = df.hint("rebalance", *partition_by)
     # Counted in the last stage, where a re-run task counts once.
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])

@@ -402,7 +402,7 @@ def compact_small_files(w: Workspace) -> DataFrame:
     """The fact loaded in five parts, its small files then merged month by month; totals per month."""
     path, part = w.new_folder("small_files"), F.pmod(F.xxhash64("sale_id"), F.lit(5))
     for i in range(5):
-        sinks.write_table(w.star.fact.where(part == i), path, "append", ["month_key"])
+        sinks.write_table(w.star.fact.where(part == i), path, "append", ["month_key"], gathered=True)
     compaction.compact_small_files(w.spark, path, ["month_key"], SORT_KEYS["sales_fact"])
     return sinks.read_table(w.spark, path).groupBy("month_key").agg(
         F.count(F.lit(1)).alias("sales"), F.sum("net_amount").alias("net_amount"))

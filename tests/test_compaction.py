@@ -1,9 +1,12 @@
 import os
+from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import rows
+from helpers import fact_frame, rows
+from starmill import queries
 from starmill.operators import compaction, folders
 from starmill.operators.compaction import compact_small_files, settle_compaction
 from starmill.operators.sinks import read_table
@@ -68,3 +71,30 @@ def test_a_table_without_partitions_or_rows(spark, tmp_path):
     compact_small_files(spark, path)
     assert rows(read_table(spark, path)) == rows(spark.range(3).union(spark.range(4)))
     assert len(files_of(path)) == 1
+
+
+def test_the_loads_of_the_query_move_no_rows(spark, tmp_path, monkeypatch):
+    data = [(i, 1 + i % 50, 1 + i % 4, 1 + i % 3, date(2024, 1 + i % 3, 1 + i % 20), 5 + i) for i in range(600)]
+    fact_frame(spark, data).repartition(1, "month_key").write.partitionBy("month_key").parquet(str(tmp_path / "fact"))
+    w = SimpleNamespace(spark=spark, star=SimpleNamespace(fact=read_table(spark, str(tmp_path / "fact"))), new_folder=lambda n: str(tmp_path / n))
+    jobs, merged, write = [], [], queries.sinks.write_table
+
+    def watched(*args, **kwargs):
+        spark.sparkContext.setJobGroup(f"load {len(jobs)}", "load")
+        jobs.append(f"load {len(jobs)}")
+        write(*args, **kwargs)
+        spark.sparkContext.setJobGroup("others", "others")
+
+    real = compaction.compact_small_files
+    monkeypatch.setattr(queries.sinks, "write_table", watched)
+    monkeypatch.setattr(compaction, "compact_small_files", lambda *a: merged.extend(real(*a)))
+    found = rows(queries.compact_small_files(w), "month_key", "sales")
+    assert found == [(202401, 200), (202402, 200), (202403, 200)] and len(merged) == 15 and len(files_of(str(tmp_path / "small_files"))) == 3
+    status = spark.sparkContext.statusTracker()
+    assert [sum(len(status.getJobInfo(j).stageIds) for j in status.getJobIdsForGroup(g)) for g in jobs] == [1] * 5
+
+
+def test_sizes_come_with_the_listing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    build(spark, path)
+    assert dict(folders.data_files(spark, path)) == {f: os.path.getsize(os.path.join(path, f)) for f in files_of(path)}
