@@ -2,10 +2,10 @@
 
 A text is cut into words by the vocabulary's pattern.  A word is an array of byte ids; each step of the
 fold merges the first pair of lowest rank, until no pair has a rank.  Ranks of pairs are a literal map
-in the plan, hashed into small maps so that a look-up takes constant time.  A long word is a string with a
-character for each id, and a step merges all pairs of the lowest rank at once.  The most frequent
-words of the corpus, but no long ones, are folded once and become a second literal map of bounded size;
-other words are folded where they stand.  Decoding looks up the bytes of each id and concatenates them.
+in the plan, hashed into small maps so that a look-up takes constant time.  The most frequent words of the
+corpus, but no long ones, are folded so, once, and become a second literal map of bounded size.  The words that
+it lacks leave holes in the ids of their texts; the same fold in Arrow batches, once for each distinct word of a
+batch, fills them.  Decoding looks up the bytes of each id and concatenates them.
 """
 
 from __future__ import annotations
@@ -13,19 +13,21 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Callable, Iterator
+from heapq import heapify, heappop, heappush
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import drop, stored
+from starmill.llm.common import all_columns, claim_memory, drop, extended, python_ready, stored
 
 # Words in the literal map, about: nineteen of twenty occurrences in the check's tables.
 HEAD_WORDS = 200_000
 HEAD_BYTES = 64  # of a word in the map, at most; its ids are no more, so the map's size is bounded
-LONG_BYTES = 64  # of a word that is folded as an array, at most; longer ones are folded as strings
+LONG_BYTES = 64  # of a word whose next pair is looked for among all, at most; those of longer ones are kept in a heap
 _NONE = 2**31 - 1
-_ID_BITS = 21
-_PLANE = 0x10000  # an id's character in a long word: beyond the basic plane there is none that a pattern would take for a sign
+_HOLE = -1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,14 +53,68 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word: the first pair of lowest rank is merged until no pair has a rank."""
+    if len(word) > LONG_BYTES:
+        return _merged_long(word, ranks)
+    cuts = list(range(len(word) + 1))
+    pairs = [ranks.get(word[i:i + 2], _NONE) for i in range(len(word) - 1)]
+    while pairs and (best := min(pairs)) != _NONE:
+        at = pairs.index(best)
+        del cuts[at + 1], pairs[at]
+        if at < len(pairs):
+            pairs[at] = ranks.get(word[cuts[at]:cuts[at + 2]], _NONE)
+        if at:
+            pairs[at - 1] = ranks.get(word[cuts[at - 1]:cuts[at + 1]], _NONE)
+    return [ranks[word[a:z]] for a, z in zip(cuts, cuts[1:])]
+
+
+def _merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same from a heap of pairs, by rank and place; one that is no longer there is passed over."""
+    n = len(word)
+    ends, before, begins = list(range(1, n + 1)), list(range(-1, n - 1)), bytearray(b"\1") * n
+    heap = [(rank, i) for i in range(n - 1) if (rank := ranks.get(word[i:i + 2])) is not None]
+    heapify(heap)
+    while heap:
+        rank, at = heappop(heap)
+        middle = ends[at]
+        if not begins[at] or middle == n or ranks.get(word[at:ends[middle]]) != rank:
+            continue
+        begins[middle], ends[at] = 0, ends[middle]
+        end = ends[at]
+        if end < n:
+            before[end] = at
+            if (rank := ranks.get(word[at:ends[end]])) is not None:
+                heappush(heap, (rank, at))
+        if at and (rank := ranks.get(word[before[at]:end])) is not None:
+            heappush(heap, (rank, before[at]))
+    return [ranks[word[i:ends[i]]] for i in range(n) if begins[i]]
+
+
+def filled(ids: pa.ListArray, missing: pa.ListArray, ranks: dict[bytes, int]) -> pa.ListArray:
+    """``ids`` with each hole replaced by the ids of its word; ``missing`` has a row's words of the holes, in order."""
+    flat, starts = ids.flatten().to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    words = missing.flatten().dictionary_encode()
+    folds = [merged(w.encode(), ranks) for w in words.dictionary.to_pylist()]
+    of = words.indices.to_numpy()
+    sizes = np.fromiter(map(len, folds), np.int64, len(folds))
+    values = np.fromiter((i for f in folds for i in f), np.int32, int(sizes.sum()))
+    places, counts = np.cumsum(sizes) - sizes, sizes[of]
+    times = np.ones(len(flat), np.int64)
+    times[flat == _HOLE] = counts
+    out = np.repeat(flat, times)
+    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    out[out == _HOLE] = values[np.repeat(places[of], counts) + inside]
+    bounds = np.concatenate([[0], np.cumsum(times)])[starts - starts[0]]
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(out, pa.int32()))
+
+
 class Vocabulary:
     """Expressions for one rank file; ``pattern`` cuts texts into words."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = f"(?U){pattern}"  # classes as Unicode has them
-        self.size = max(ranks.values()) + 1
-        if self.size > 0x10FFFF - _PLANE:
-            raise ValueError("more ids than characters beyond the basic plane")
+        self.ranks, self.size = ranks, max(ranks.values()) + 1
         pairs = [(ranks[t[:i]], ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t))
                  if t[:i] in ranks and t[i:] in ranks]
         self.buckets = 1 << max(1, len(pairs).bit_length())
@@ -87,14 +143,11 @@ class Vocabulary:
         """Ids of one word, as an array."""
         return _let(self._tables, lambda tables: self._fold(tables, word))
 
-    def _fold(self, tables: Column, word: Column) -> Column:
-        return F.when(F.octet_length(word) <= LONG_BYTES, self._fold_array(tables, word)).otherwise(self._fold_string(tables, word))
-
     def _bytes(self, tables: Column, word: Column) -> Column:
         letters = F.split(F.decode(F.encode(word, "utf-8"), "ISO-8859-1"), "")
         return F.transform(letters, lambda c: F.get(tables["bytes"], F.ascii(c)))
 
-    def _fold_array(self, tables: Column, word: Column) -> Column:
+    def _fold(self, tables: Column, word: Column) -> Column:
         n, none = F.octet_length(word), F.expr("array()").cast("array<int>")
         first = self._bytes(tables, word)
 
@@ -120,68 +173,6 @@ class Vocabulary:
         folded = _let(first, lambda ids: F.aggregate(F.sequence(F.lit(1), n), start(ids), step, lambda s: s["ids"]))
         return F.when(n == 1, first).otherwise(folded)
 
-    def _fold_string(self, tables: Column, word: Column) -> Column:
-        """The fold over a string of signs, one for each id: as many steps as there are kinds of pairs, not as there are bytes.
-
-        ``open`` has each kind of pair with a rank that the string may hold, as a number that sorts by rank.  Merging all
-        pairs of the lowest rank from left to right is what single merges do, unless one of them makes a pair of a
-        lower rank still, which would come first; then only the first pair is merged.
-        """
-        def sign(i: Column) -> Column:
-            return F.decode(F.unhex(F.lpad(F.hex(i + _PLANE), 8, "0")), "UTF-32")
-
-        def id_of(c: Column) -> Column:
-            return F.ascii(c) - _PLANE
-
-        def kinds(pairs: Column, left, right) -> Column:
-            def kind(p: Column) -> Column:
-                return _let(self._rank(tables, left(p), right(p)), lambda rank: F.when(rank != _NONE, F.shiftleft(
-                    rank.cast("long"), 2 * _ID_BITS) + F.shiftleft(left(p).cast("long"), _ID_BITS) + right(p)))
-
-            return F.filter(F.transform(F.array_distinct(pairs), kind), lambda k: k.isNotNull())
-
-        def rank_of(kind: Column) -> Column:
-            return F.shiftright(kind, 2 * _ID_BITS).cast("int")
-
-        def left_of(kind: Column) -> Column:
-            return F.shiftright(kind, _ID_BITS).bitwiseAND(F.lit((1 << _ID_BITS) - 1))
-
-        def right_of(kind: Column) -> Column:
-            return kind.bitwiseAND(F.lit((1 << _ID_BITS) - 1))
-
-        def start(ids: Column) -> Column:
-            pairs = F.transform(F.slice(ids, 2, F.size(ids)), lambda b, i: F.shiftleft(F.get(ids, i).cast("long"), _ID_BITS) + b)
-            return F.struct(F.array_join(F.transform(ids, sign), "").alias("signs"), kinds(pairs, left_of, right_of).alias("open"))
-
-        def around(signs: Column, rank: Column) -> Column:
-            """Kinds of the pairs that the merged token is part of."""
-            before = F.regexp_extract_all(signs, F.concat(F.lit("(.)(?="), sign(rank), F.lit(")")), F.lit(1))
-            after = F.regexp_extract_all(signs, F.concat(F.lit("(?<="), sign(rank), F.lit(")(.)")), F.lit(1))
-            return F.array_union(kinds(before, id_of, lambda _: rank), kinds(after, lambda _: rank, id_of))
-
-        def merge(state: Column, rank: Column, same: Column) -> Column:
-            pattern = F.array_join(F.transform(same, lambda k: F.concat(sign(left_of(k)), sign(right_of(k)))), "|")
-            every = F.regexp_replace(state["signs"], pattern, sign(rank))
-            first = F.regexp_replace(state["signs"], F.concat(F.lit(r"\A(.*?)(?:"), pattern, F.lit(")")), F.concat(F.lit("$1"), sign(rank)))
-            twice = F.regexp_like(state["signs"], F.concat(F.lit("(?:"), pattern, F.lit("){2}")))
-            between = F.exists(same, lambda k: self._rank(tables, rank, left_of(k)) < rank) & twice
-
-            def added(signs: Column, kept: Column) -> Column:
-                return _let(signs, lambda s: F.struct(s.alias("signs"), F.array_union(kept, around(s, rank)).alias("open")))
-
-            rest = F.filter(state["open"], lambda k: rank_of(k) != rank)
-            return _let(added(every, rest), lambda done: F.when(
-                (done["signs"] != state["signs"]) & (between | (rank_of(F.array_min(done["open"])) < rank)),
-                added(first, state["open"])).otherwise(done))
-
-        def step(state: Column, _: Column) -> Column:
-            return _let(rank_of(F.array_min(state["open"])), lambda rank: F.when(rank.isNull(), state).otherwise(
-                _let(F.filter(state["open"], lambda k: rank_of(k) == rank), lambda same: merge(state, rank, same))))
-
-        steps = F.sequence(F.lit(1), F.octet_length(word) * 4)  # a word has a kind for each pair, and two more for each merge
-        return _let(self._bytes(tables, word), lambda ids: F.aggregate(
-            steps, start(ids), step, lambda s: F.transform(F.split(s["signs"], ""), id_of)))
-
     def text_of(self, ids: Column) -> Column:
         """Bytes of an array of ids."""
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self._hex, i)), ""))
@@ -203,12 +194,29 @@ class Vocabulary:
         literal = _literal(table, "array<map<string,array<int>>>")
         return lambda word: F.element_at(F.get(literal, F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")), word)
 
-    def encode(self, text: Column, known: Callable[[Column], Column]) -> Column:
-        """Ids of a whole text; a word that ``known`` does not have is folded in place."""
-        def ids(tables: Column, word: Column) -> Column:
-            return F.coalesce(known(word), self._fold(tables, word))
+    def looked_up(self, text: Column, known: Callable[[Column], Column]) -> Column:
+        """``ids`` of a whole text, with a hole for each word that ``known`` does not have, and these words as ``missing``."""
+        def parts(words: Column, found: Column) -> Column:
+            ids = F.flatten(F.transform(found, lambda f: F.coalesce(f, F.array(F.lit(_HOLE)))))
+            return F.struct(ids.alias("ids"), F.filter(words, lambda _, i: F.get(found, i).isNull()).alias("missing"))
+
+        return _let(self.words(text), lambda words: _let(F.transform(words, known), lambda found: parts(words, found)))
+
+    def encode(self, df: DataFrame, text: str, known: Callable[[Column], Column], keep_text: bool = True) -> DataFrame:
+        """``df`` with ``ids`` of the whole texts; the words that ``known`` does not have are folded in Arrow batches."""
+        python_ready(df.sparkSession)
+        kept = df if keep_text else df.drop(text)
+        ranks, plain = self.ranks, [f"c{i}" for i in range(len(kept.columns))]
+        parts = df.select(*all_columns(kept), self.looked_up(F.col(f"`{text}`"), known)).toDF(*plain, "parts")
+
+        def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            claim_memory(merged)
+            for batch in batches:
+                *columns, ids, missing = batch.columns
+                yield pa.RecordBatch.from_arrays([*columns, filled(ids, missing, ranks)], names=[*plain, "ids"])
 
-        return _let(self._tables, lambda tables: F.flatten(F.transform(self.words(text), lambda word: ids(tables, word))))
+        schema = extended(kept.toDF(*plain).schema, ids="array<int>")
+        return parts.select(*plain, "parts.ids", "parts.missing").mapInArrow(fill, schema).toDF(*kept.columns, "ids")
 
 
 def frequent(counts: DataFrame, size: int) -> DataFrame:
@@ -235,11 +243,13 @@ def frequent(counts: DataFrame, size: int) -> DataFrame:
     return counts.filter((F.col("count") >= high) | ((F.col("count") >= low) & room)).select("word")
 
 
-def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_words: int = HEAD_WORDS) -> DataFrame:
-    """All columns of ``df`` and ``ids`` (array of int), the ids of the whole text; a column so named is replaced.
+def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_words: int = HEAD_WORDS,
+            keep_text: bool = True) -> DataFrame:
+    """All columns of ``df`` (but the text, if it isn't to be kept) and ``ids`` (array of int), the ids of the whole text; a
+    column so named is replaced.
 
     The distinct words of all texts are counted; the most frequent ones of at most HEAD_BYTES are folded once and come back to the
-    texts as a literal map.  Texts do not move: the remaining words are folded where they stand.
+    texts as a literal map.  Texts are not shuffled: the remaining words are folded in the Arrow batches of their texts.
 
     A null or empty text has no ids.  Every match of the pattern is encoded by itself, without special
     tokens, however long it is.  Repeated rows each get their ids.  An empty table gives an empty result.
@@ -249,4 +259,4 @@ def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_word
     counts = stored(counts.filter(F.octet_length("word") <= HEAD_BYTES), "word-counts", tidy=True)
     known = vocabulary.literal_map(vocabulary.folded(frequent(counts, head_words), "frequent"), head_words)
     drop(counts)
-    return df.drop("ids").withColumn("ids", vocabulary.encode(value, known))
+    return vocabulary.encode(df.drop("ids"), text, known, keep_text)

@@ -52,7 +52,7 @@ def op4_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     vocabulary = byte_bpe.Vocabulary(ranks, public_tokenizers.PATTERN)
-    docs = byte_bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).select("doc_id", "ids")
+    docs = byte_bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, keep_text=False)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
                        F.sha2(vocabulary.text_of(F.col("ids")), 256).alias("decoded_sha256"))

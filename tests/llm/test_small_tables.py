@@ -10,6 +10,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -350,6 +351,26 @@ def test_byte_bpe_where_a_merge_makes_a_lower_pair(spark):
         assert r["ids"] == slow(r["text"].encode()), r["text"]
 
 
+def test_words_that_the_map_lacks_fill_the_holes_of_their_texts(spark):
+    ranks, rng = byte_bpe.read_ranks(RANKS), random.Random(5)
+    library = tiktoken.Encoding("holes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    words = ["".join(rng.choice("aeinrst äß漢") for _ in range(rng.randint(1, n))).encode() for n in (3, 12, 64, 65, 400) for _ in range(60)]
+    for word in words:
+        want = library._core_bpe.encode_single_piece(word)
+        assert byte_bpe.merged(word, ranks) == want == byte_bpe._merged_long(word, ranks)
+    fold = {w: byte_bpe.merged(w.encode(), ranks) for w in ("zxqv", "xx", "qqqzzq")}
+    ids, missing = [[], [-1], [7, -1, -1], [1, 2], [-1, 9]], [[], ["zxqv"], ["xx", "zxqv"], [], ["qqqzzq"]]
+    want = [[], fold["zxqv"], [7, *fold["xx"], *fold["zxqv"]], [1, 2], [*fold["qqqzzq"], 9]]
+    made = pa.array(ids, pa.list_(pa.int32())), pa.array(missing, pa.list_(pa.string()))
+    assert byte_bpe.filled(*made, ranks).to_pylist() == want
+    assert byte_bpe.filled(*(m.slice(2, 2) for m in made), ranks).to_pylist() == want[2:4]
+    assert byte_bpe.filled(*(m.slice(0, 1) for m in made), ranks).to_pylist() == [[]]
+    df = spark.createDataFrame([(1, "a rare zxqvkw"), (2, None), (3, "")], "doc_id long, text string")
+    got = byte_bpe.encoded(df, byte_bpe.Vocabulary(ranks, public_tokenizers.PATTERN), head_words=1, keep_text=False)
+    assert got.columns == ["doc_id", "ids"] and "aggregate(" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["doc_id"]: r["ids"] for r in got.collect()} == {1: library.encode_ordinary("a rare zxqvkw"), 2: [], 3: []}
+
+
 def test_frequent_words(spark):
     rng = random.Random(4)
     counts = [(f"w{i}", rng.choice([1, 1, 1, 2, 2, 3, 9, 70, 71, 5000])) for i in range(5000)] + [("top", 10**9)]
