@@ -3,28 +3,32 @@
 A text is cut into words by the vocabulary's pattern.  A word is an array of byte ids; each step of the
 fold merges the first pair of lowest rank, until no pair has a rank.  Ranks of pairs are a literal map
 in the plan, hashed into small maps so that a look-up takes constant time.  The most frequent words of the
-corpus, but no long ones, are folded so, once, and become a second literal map of bounded size.  The words that
-it lacks leave holes in the ids of their texts; the same fold in Arrow batches, once for each distinct word of a
-batch, fills them.  Decoding looks up the bytes of each id and concatenates them.
+corpus, but no long ones, are folded so, once, and go to the tasks with their function, as a table of bounded size.
+Arrow batches of words look their distinct words up in it.  Those that it lacks leave holes in the ids of their
+texts; the same fold, once for each distinct word of a batch, fills them.  Decoding looks up the bytes of each id
+and concatenates them.
+
+The words are no literal, since Spark keeps a plan's text with all values of its literals, several times, on the driver.
 """
 
 from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import all_columns, claim_memory, drop, extended, python_ready, stored
 
-# Words in the literal map, about: nineteen of twenty occurrences in the check's tables.
+# Words in the table, about: nineteen of twenty occurrences in the check's tables.
 HEAD_WORDS = 200_000
-HEAD_BYTES = 64  # of a word in the map, at most; its ids are no more, so the map's size is bounded
+HEAD_BYTES = 64  # of a word in the table, at most; its ids are no more, so the table's size is bounded
 LONG_BYTES = 64  # of a word whose next pair is looked for among all, at most; those of longer ones are kept in a heap
 _NONE = 2**31 - 1
 _HOLE = -1
@@ -91,6 +95,24 @@ def _merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:ends[i]]] for i in range(n) if begins[i]]
 
 
+def looked_up(words: pa.ListArray, table: pa.Table) -> tuple[pa.ListArray, pa.ListArray]:
+    """Ids of each row's words, with a hole for each word that ``table`` (``word``, ``ids``) lacks, and these words, in order."""
+    flat, rows = words.flatten(), words.offsets.to_numpy() - words.offsets[0].as_py()
+    distinct = flat.dictionary_encode()
+    head, known = table["word"].combine_chunks(), table["ids"].combine_chunks()
+    values = np.append(known.flatten().to_numpy(zero_copy_only=False), np.int32(_HOLE))
+    starts = np.append(known.offsets.to_numpy() - known.offsets[0].as_py(), np.int32(len(values)))  # the last one is the hole
+    at = pc.index_in(distinct.dictionary, value_set=head).fill_null(len(head)).to_numpy()[distinct.indices.to_numpy()]
+    ends = np.cumsum(counts := np.diff(starts)[at], dtype=np.int64)
+    ids = values[np.repeat(starts[at] - (ends - counts), counts) + np.arange(counts.sum())]
+    holes = at == len(head)
+
+    def listed(of_word: np.ndarray, items: pa.Array) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.append(0, of_word)[rows], pa.int32()), items)
+
+    return listed(ends, pa.array(ids, pa.int32())), listed(np.cumsum(holes), flat.filter(pa.array(holes)))
+
+
 def filled(ids: pa.ListArray, missing: pa.ListArray, ranks: dict[bytes, int]) -> pa.ListArray:
     """``ids`` with each hole replaced by the ids of its word; ``missing`` has a row's words of the holes, in order."""
     flat, starts = ids.flatten().to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
@@ -185,38 +207,21 @@ class Vocabulary:
         """``word``, ``ids`` of distinct words, stored."""
         return stored(words.select("word").repartition("word").select("word", self.fold(F.col("word")).alias("ids")), name)
 
-    def literal_map(self, folded: DataFrame, size: int) -> Callable[[Column], Column]:
-        """Look-up of a word's ids in a literal map of ``folded`` (about ``size`` rows), hashed into small maps."""
-        buckets = 1 << max(1, size.bit_length() - 1)
-        place = F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int").alias("b")
-        rows = folded.select(place, "word", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids")).toLocalIterator()
-        table = _grouped(((r["b"], f'{json.dumps(r["word"])}:[{r["ids"]}]') for r in rows), buckets, "{}")
-        literal = _literal(table, "array<map<string,array<int>>>")
-        return lambda word: F.element_at(F.get(literal, F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")), word)
-
-    def looked_up(self, text: Column, known: Callable[[Column], Column]) -> Column:
-        """``ids`` of a whole text, with a hole for each word that ``known`` does not have, and these words as ``missing``."""
-        def parts(words: Column, found: Column) -> Column:
-            ids = F.flatten(F.transform(found, lambda f: F.coalesce(f, F.array(F.lit(_HOLE)))))
-            return F.struct(ids.alias("ids"), F.filter(words, lambda _, i: F.get(found, i).isNull()).alias("missing"))
-
-        return _let(self.words(text), lambda words: _let(F.transform(words, known), lambda found: parts(words, found)))
-
-    def encode(self, df: DataFrame, text: str, known: Callable[[Column], Column], keep_text: bool = True) -> DataFrame:
-        """``df`` with ``ids`` of the whole texts; the words that ``known`` does not have are folded in Arrow batches."""
+    def encode(self, df: DataFrame, text: str, folded: DataFrame, keep_text: bool = True) -> DataFrame:
+        """``df`` with ``ids`` of the whole texts; words that ``folded`` (bounded, it goes to all tasks) lacks are folded in Arrow batches."""
         python_ready(df.sparkSession)
         kept = df if keep_text else df.drop(text)
-        ranks, plain = self.ranks, [f"c{i}" for i in range(len(kept.columns))]
-        parts = df.select(*all_columns(kept), self.looked_up(F.col(f"`{text}`"), known)).toDF(*plain, "parts")
+        ranks, table, plain = self.ranks, folded.select("word", "ids").toArrow(), [f"c{i}" for i in range(len(kept.columns))]
+        parts = df.select(*all_columns(kept), self.words(F.col(f"`{text}`"))).toDF(*plain, "words")
 
         def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             claim_memory(merged)
             for batch in batches:
-                *columns, ids, missing = batch.columns
-                yield pa.RecordBatch.from_arrays([*columns, filled(ids, missing, ranks)], names=[*plain, "ids"])
+                *columns, words = batch.columns
+                yield pa.RecordBatch.from_arrays([*columns, filled(*looked_up(words, table), ranks)], names=[*plain, "ids"])
 
         schema = extended(kept.toDF(*plain).schema, ids="array<int>")
-        return parts.select(*plain, "parts.ids", "parts.missing").mapInArrow(fill, schema).toDF(*kept.columns, "ids")
+        return parts.mapInArrow(fill, schema).toDF(*kept.columns, "ids")
 
 
 def frequent(counts: DataFrame, size: int) -> DataFrame:
@@ -249,7 +254,7 @@ def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_word
     column so named is replaced.
 
     The distinct words of all texts are counted; the most frequent ones of at most HEAD_BYTES are folded once and come back to the
-    texts as a literal map.  Texts are not shuffled: the remaining words are folded in the Arrow batches of their texts.
+    texts as a table.  Texts are not shuffled: the remaining words are folded in the Arrow batches of their texts.
 
     A null or empty text has no ids.  Every match of the pattern is encoded by itself, without special
     tokens, however long it is.  Repeated rows each get their ids.  An empty table gives an empty result.
@@ -257,6 +262,6 @@ def encoded(df: DataFrame, vocabulary: Vocabulary, text: str = "text", head_word
     value = F.col(f"`{text}`")
     counts = df.select(F.explode(vocabulary.words(value)).alias("word")).groupBy("word").count()
     counts = stored(counts.filter(F.octet_length("word") <= HEAD_BYTES), "word-counts", tidy=True)
-    known = vocabulary.literal_map(vocabulary.folded(frequent(counts, head_words), "frequent"), head_words)
+    folded = vocabulary.folded(frequent(counts, head_words), "frequent")
     drop(counts)
-    return vocabulary.encode(df.drop("ids"), text, known, keep_text)
+    return vocabulary.encode(df.drop("ids"), text, folded, keep_text)

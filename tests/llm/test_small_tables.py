@@ -371,6 +371,28 @@ def test_words_that_the_map_lacks_fill_the_holes_of_their_texts(spark):
     assert {r["doc_id"]: r["ids"] for r in got.collect()} == {1: library.encode_ordinary("a rare zxqvkw"), 2: [], 3: []}
 
 
+def test_plans_hold_no_frequent_words(spark):
+    """Spark keeps the text of a plan on the driver, with the values of its literals, for as long as the session lasts."""
+    ranks, rng = byte_bpe.read_ranks(RANKS), random.Random(7)
+    library = tiktoken.Encoding("plan", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    words = ["".join(rng.choice("bcdfgkqxzé漢") for _ in range(12)) for _ in range(2000)]
+    df = spark.createDataFrame([(i, " ".join(words[i::20] + words[:i])) for i in range(20)], "doc_id long, text string")
+    got = byte_bpe.encoded(df, byte_bpe.Vocabulary(ranks, public_tokenizers.PATTERN))
+    plan = got._jdf.queryExecution().toString()
+    assert not any(w in plan for w in words) and len(plan) < 20_000
+    assert all(r["ids"] == library.encode_ordinary(r["text"]) for r in got.collect())
+
+
+def test_words_are_looked_up_in_the_table(spark):
+    table = pa.table({"word": pa.array(["-", "a", "bb"]), "ids": pa.array([[9], [1], [2, 3]], pa.list_(pa.int32()))}).slice(1)
+    words = pa.array([[], ["a", "x", "bb"], ["bb"], [], ["y", "y", "a"]], pa.list_(pa.string()))
+    ids, missing = [[], [1, -1, 2, 3], [2, 3], [], [-1, -1, 1]], [[], ["x"], [], [], ["y", "y"]]
+    for at, n in ((0, 5), (1, 2), (2, 3), (3, 1), (0, 0)):
+        found = byte_bpe.looked_up(words.slice(at, n), table)
+        assert [f.to_pylist() for f in found] == [ids[at:at + n], missing[at:at + n]]
+    assert [f.to_pylist() for f in byte_bpe.looked_up(words.slice(1, 2), table.slice(2))] == [[[-1, -1, -1], [-1]], [["a", "x", "bb"], ["bb"]]]
+
+
 def test_frequent_words(spark):
     rng = random.Random(4)
     counts = [(f"w{i}", rng.choice([1, 1, 1, 2, 2, 3, 9, 70, 71, 5000])) for i in range(5000)] + [("top", 10**9)]
