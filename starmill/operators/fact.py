@@ -32,6 +32,14 @@ def resolve_sales(raw_sales: DataFrame, dims: dict[str, DataFrame], date_dim: Da
     ``raw_sales`` is a read of files.  The lookups are broadcast or salted by size.  With ``reject_out_of_calendar=False`` a
     date outside the calendar keeps its key, only an unreadable date is missing.
     """
+    return measured(keyed_sales(raw_sales, dims, date_dim, first_key=first_key, dim_rows=dim_rows,
+                                reject_out_of_calendar=reject_out_of_calendar, broadcast_rows=broadcast_rows), loaded_at)
+
+
+def keyed_sales(raw_sales: DataFrame, dims: dict[str, DataFrame], date_dim: DataFrame, *, first_key: int = 0,
+                dim_rows: dict[str, int] | None = None, reject_out_of_calendar: bool = True,
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Every sales line as delivered, typed, with the keys it has: what ``measured`` needs and no more."""
     dim_rows = dict(dim_rows or {})
     for name in DIMENSIONS:
         if dim_rows.get(name) is None:
@@ -54,23 +62,45 @@ def resolve_sales(raw_sales: DataFrame, dims: dict[str, DataFrame], date_dim: Da
         known = date_dim.select("date_key", F.col("date_key").alias("_known_date"))
         sales = lookup_join(sales, known, "date_key", "left", spread="sale_key", right_rows=dim_rows.get("date"),
                             broadcast_rows=broadcast_rows).withColumn("date_key", F.col("_known_date"))
+    return sales.select(
+        "sale_key", "sale_id", "customer_id", "product_id", "location_id", F.coalesce("_sale_date_text", written).alias("sale_date"),
+        *KEYS, "quantity", "unit_price", "discount_amount", "tax_amount")
 
+
+def _amounts() -> dict[str, Column]:
     zero = F.lit(0).cast("decimal(10,2)")
     discount = F.coalesce("discount_amount", zero)
     tax = F.coalesce("tax_amount", zero)
     gross = F.col("quantity") * F.col("unit_price")
-    lines = sales.select(
-        "sale_key", "sale_id", "customer_id", "product_id", "location_id",
-        F.coalesce("_sale_date_text", written).alias("sale_date"), *KEYS, "quantity", "unit_price",
-        gross.try_cast("decimal(12,2)").alias("gross_amount"),
-        discount.alias("discount_amount"),
-        tax.alias("tax_amount"),
-        (gross - discount + tax).try_cast("decimal(12,2)").alias("net_amount"),
-        loaded_at.alias("etl_inserted_date"),
-    )
-    # An amount is missing if it is unreadable or does not fit its type; such a line would be lost to every sum.
-    reason = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in (*KEYS, *AMOUNTS)])
-    return lines.withColumn("reject_reason", F.nullif(reason, F.lit("")))
+    return {"gross_amount": gross.try_cast("decimal(12,2)"), "discount_amount": discount, "tax_amount": tax,
+            "net_amount": (gross - discount + tax).try_cast("decimal(12,2)")}
+
+
+def _missing() -> Column:
+    """Names of the keys and amounts that a keyed line lacks.
+
+    An amount is missing if it is unreadable or does not fit its type; such a line would be lost to every sum.
+    """
+    found = {c: F.col(c) for c in (*KEYS, *AMOUNTS)} | {n: c for n, c in _amounts().items() if n in AMOUNTS}
+    return F.nullif(F.concat_ws(",", *[F.when(c.isNull(), F.lit(n)) for n, c in found.items()]), F.lit(""))
+
+
+def measured(keyed: DataFrame, loaded_at: Column) -> DataFrame:
+    """Keyed lines with their amounts, the audit time and the reason why a line is rejected."""
+    amounts = {n: c.alias(n) for n, c in _amounts().items()}
+    return keyed.select(
+        "sale_key", "sale_id", "customer_id", "product_id", "location_id", "sale_date", *KEYS, "quantity", "unit_price",
+        *amounts.values(), loaded_at.alias("etl_inserted_date"), _missing().alias("reject_reason"))
+
+
+def by_month(keyed: DataFrame) -> DataFrame:
+    """Keyed lines with their storage month, 0 for rejects, and without the ids that only rejects are stored with.
+
+    This is what shuffles carry before a write; the amounts follow from it.
+    """
+    bad = _missing().isNotNull()
+    ids = {c: F.when(bad, F.col(c)) for c in REJECT_IDS}
+    return keyed.withColumn("month_key", F.when(~bad, month_key(F.col("date_key"))).otherwise(F.lit(0))).withColumns(ids)
 
 
 def accepted(resolved: DataFrame) -> DataFrame:

@@ -22,6 +22,11 @@ def row_bytes(schema: T.StructType) -> int:
     return 16 + sum(8 + _TEXT_BYTES * isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in schema)
 
 
+def is_small(schema: T.StructType, rows: int, broadcast_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a lookup side of so many rows is broadcast."""
+    return rows <= broadcast_rows and rows * row_bytes(schema) <= BROADCAST_BYTES
+
+
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> dict[str, list]:
     """Values that hold more than ``share`` of the rows, at most 100 per key column.
 
@@ -63,7 +68,7 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     """
     if right_rows is None:
         right_rows = right.count()
-    if right_rows <= broadcast_rows and right_rows * row_bytes(right.schema) <= BROADCAST_BYTES:
+    if is_small(right.schema, right_rows, broadcast_rows):
         return left.join(F.broadcast(right), key, how)
     if hot is None:
         hot = hot_keys(left if probe is None else probe, [key])[key]

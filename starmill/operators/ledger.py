@@ -96,12 +96,16 @@ class Ledger:
             same = same & (F.col(c) <= F.col(f"_known{i}")) & (F.col(c) >= F.col(f"_known{i}"))
         return lines.join(known, same, "left_anti").select(*lines.columns)
 
-    def append(self, lines: DataFrame, partition_by: list[str] | None = None, sort_by: list[str] | None = None, **metrics) -> dict:
-        """Add lines to the table and their keys to the ledger, both or neither; the counts of ``write_table``."""
+    def append(self, lines: DataFrame, partition_by: list[str] | None = None, sort_by: list[str] | None = None,
+               gathered: bool = False, **metrics) -> dict:
+        """Add lines to the table and their keys to the ledger, both or neither; the counts of ``write_table``.
+
+        ``gathered`` lines lie by the partitions already.
+        """
         if self.number:
             metrics["top"] = F.max(self.number)
         staged = f"{self.entering}/lines"
-        written = write_table(lines, staged, partition_by=partition_by, sort_by=sort_by, in_place=True, **metrics)
+        written = write_table(lines, staged, partition_by=partition_by, sort_by=sort_by, in_place=True, gathered=gathered, **metrics)
         if written["rows"]:
             self._write(self.spark.read.schema(lines.schema).parquet(staged), f"{self.entering}/keys", written["rows"])
             top = max(self.top, written["top"]) if self.number else -1

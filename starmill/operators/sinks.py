@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.operators import folders
+from starmill.session import tidy
 
 log = logging.getLogger("starmill")
+# Of stored tables, whatever the session's own default.
+COMPRESSION = "zstd"
 REQUIRED = "starmill.required"
 
 
@@ -47,8 +50,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     execution splits a hot partition over tasks and merges small ones.  The
     writer needs the rows sorted by partition anyway; ``sort_by`` refines that
     order, so that the files' min/max values prune.  ``gathered`` rows lie by
-    these partitions in the stored table that they are read from: they are
-    written where they are read, without a shuffle, some more files than partitions.
+    these partitions already, in the stored table that they are read from or by a shuffle of the
+    caller's: they are written where they are, without another one, some more files than partitions.
     """
     seen, spark = Observation(), df.sparkSession
     beside = mode == "overwrite" and not in_place
@@ -58,10 +61,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
     if partition_by or sort_by:
         rows = rows.sortWithinPartitions(*(partition_by or []), *(sort_by or []))
-    out = rows.write.mode(mode).options(**(options or {}))
+    out = rows.write.mode(mode).option("compression", COMPRESSION).options(**(options or {}))
     if partition_by:
         out = out.partitionBy(*partition_by)
-    out.parquet(folders.beside(path) if beside else folders.settle(spark, path))
+    with tidy(spark):
+        out.parquet(folders.beside(path) if beside else folders.settle(spark, path))
     if beside:
         for name, text in (notes or {}).items():
             folders.write_note(spark, folders.beside(path), name, text)
@@ -73,9 +77,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return counts
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """Delimited text for other tools: header, comma, double quotes, full replace."""
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+def export_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """Delimited text for other tools: header, comma, double quotes, full replace; its files may be compressed."""
+    out = df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+    with tidy(df.sparkSession):
+        out.csv(path, compression=compression)
 
 
 def one_per_key(df: DataFrame, key: str, best: list[Column]) -> DataFrame:
@@ -90,8 +96,9 @@ def one_per_key(df: DataFrame, key: str, best: list[Column]) -> DataFrame:
 
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Overwrite only the partitions that ``df`` holds."""
-    (df.hint("rebalance", *partition_by).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    out = df.hint("rebalance", *partition_by).write.mode("overwrite").option("compression", COMPRESSION)
+    with tidy(df.sparkSession):
+        out.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def compact_sorted(df: DataFrame, path: str, sort_keys: list[str], files: int | None = None) -> None:
@@ -102,7 +109,8 @@ def compact_sorted(df: DataFrame, path: str, sort_keys: list[str], files: int |
     spread = F.xxhash64(*df.columns)
     by = [*[F.col(k) for k in sort_keys], spread]
     ranged = df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
-    ranged.sortWithinPartitions(*sort_keys).write.mode("overwrite").parquet(path)
+    with tidy(df.sparkSession):
+        ranged.sortWithinPartitions(*sort_keys).write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
 
 
 def _ddl_column(field: T.StructField, default: str | None) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starmill.operators import dimensions as dims
-from starmill.operators.fact import ACCEPTED, KEYS, SALES_LINES, by_status, resolve_sales
+from starmill.operators.fact import ACCEPTED, KEYS, REJECTED, SALES_LINES, by_month, by_status, keyed_sales, measured
 from starmill.operators.keys import allocate_keys
 from starmill.operators.ledger import GENERATION, Ledger
 from starmill.operators.sinks import (
@@ -85,17 +85,23 @@ def load_fact(spark: SparkSession, raw_sales: DataFrame, target: str, loaded_at:
         ledger = Ledger(spark, path, "sale_id", ("status",), number="sale_key")
         ledger.ensure(read_or_empty(spark, path, SALES_LINES))
         first = ledger.top + 1
-    lines = by_status(resolve_sales(raw_sales, stored, read_table(spark, f"{target}/date_dim"), loaded_at,
-                                    first_key=first, dim_rows=rows, reject_out_of_calendar=reject_out_of_calendar))
+    lines = by_month(keyed_sales(raw_sales, stored, read_table(spark, f"{target}/date_dim"), first_key=first, dim_rows=rows,
+                                 reject_out_of_calendar=reject_out_of_calendar))
     # Months are few: one value for each month of the calendar.
     seen = {"rejects": F.count("reject_reason"), "months": F.collect_set(F.when(F.col("status") == ACCEPTED, F.col("month_key")))}
     partitions, order = ["status", "month_key"], SORT_KEYS["sales_fact"]
+
+    def whole(keyed: DataFrame) -> DataFrame:
+        """All stored columns, made after the last shuffle: a month, 0 for rejects, has one status."""
+        return by_status(measured(keyed.hint("rebalance", "month_key"), loaded_at))
+
     if ledger:
-        lines = ledger.unknown(one_per_key(lines, "sale_id", [F.col("status").asc(), F.col("sale_key").asc()]), batch=raw_sales)
-        written = ledger.append(lines, partitions, order, **seen)
+        once = one_per_key(lines, "sale_id", [(F.col("month_key") == 0).asc(), F.col("sale_key").asc()])
+        new = ledger.unknown(once.withColumn("status", F.when(F.col("month_key") == 0, REJECTED).otherwise(ACCEPTED)), batch=raw_sales)
+        written = ledger.append(whole(new), partitions, order, gathered=True, **seen)
     else:
-        written = write_table(lines, path, "overwrite", partitions, order, notes={GENERATION: uuid.uuid4().hex}, **seen,
-                              top=F.max("sale_key"))
+        written = write_table(whole(lines), path, "overwrite", partitions, order, notes={GENERATION: uuid.uuid4().hex},
+                              gathered=True, **seen, top=F.max("sale_key"))
     top = first - 1 if written["top"] is None else written["top"]
     return {"fact": written["rows"] - written["rejects"], "rejects": written["rejects"], "first_key": first, "top": top,
             "months": sorted(written["months"])}

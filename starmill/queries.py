@@ -68,7 +68,7 @@ class Workspace:
     @cached_property
     def landing(self) -> str:
         def store(name):
-            testdata.RAW_BUILDERS[name](self.spark, self.sf_dir).write.mode("overwrite").parquet(f"{self.root}/raw/{name}")
+            sinks.write_table(testdata.RAW_BUILDERS[name](self.spark, self.sf_dir), f"{self.root}/raw/{name}", in_place=True)
 
         side_by_side(self.spark, {name: partial(store, name) for name in testdata.RAW_BUILDERS})
         return f"{self.root}/raw"

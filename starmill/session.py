@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import logging
 import tempfile
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark import inheritable_thread_target
@@ -40,6 +42,32 @@ def side_by_side(spark: SparkSession, jobs: dict[str, Callable[[], object]]) ->
     return {name: job.result() for name, job in running.items()}
 
 
+#: With this setting Spark deletes the shuffle files of a query when it ends, not when the driver collects garbage.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_tidying, _one = {}, threading.Lock()  # how many writes of a session go on, and what was set before the first
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Writes in here free their shuffle files at their end: what they moved does not lie beside what the next ones move.
+
+    For writes, which are planned and run once; they may go on side by side.
+    """
+    key = spark.sparkContext.applicationId
+    with _one:
+        before, running = _tidying.get(key, (None, 0))
+        _tidying[key] = (spark.conf.get(TIDY, "false") if not running else before, running + 1)
+        spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        with _one:
+            before, running = _tidying[key]
+            _tidying[key] = (before, running - 1)
+            if running == 1:
+                spark.conf.set(TIDY, before)
+
+
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
 
 

@@ -1,0 +1,97 @@
+"""What lies on disk while tables are written: no shuffle outlives its write, and shuffles carry what the rows need."""
+
+import re
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import raw_table, rows, sale
+from starmill.operators.sinks import compact_sorted, export_csv, replace_partitions, write_table
+from starmill.operators.fact import SALES_LINES
+from starmill.plans import pipeline
+from starmill.session import TIDY, tidy
+
+
+def shuffle_files(spark) -> set[str]:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def plan_of(df, kind="optimizedPlan"):
+    return getattr(df._jdf.queryExecution(), kind)().toString()
+
+
+@pytest.mark.parametrize("write", [
+    lambda df, path: write_table(df, path, partition_by=["k"]),
+    lambda df, path: replace_partitions(df, path, ["k"]),
+    lambda df, path: export_csv(df, path),
+    lambda df, path: compact_sorted(df, path, ["k"])], ids=["write", "replace", "export", "compact"])
+def test_a_write_leaves_no_shuffle_behind(spark, tmp_path, write):
+    before, setting = shuffle_files(spark), spark.conf.get(TIDY)
+    write(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), str(tmp_path / "t"))
+    assert shuffle_files(spark) <= before and spark.conf.get(TIDY) == setting
+
+
+def test_writes_side_by_side_keep_the_setting(spark):
+    setting = spark.conf.get(TIDY)
+
+    def one(_):
+        with tidy(spark):
+            return spark.conf.get(TIDY)
+
+    with ThreadPoolExecutor(8) as pool, tidy(spark):
+        assert set(pool.map(one, range(50))) == {"true"}
+        assert spark.conf.get(TIDY) == "true"
+    assert spark.conf.get(TIDY) == setting
+    with pytest.raises(ZeroDivisionError), tidy(spark):
+        1 / 0
+    assert spark.conf.get(TIDY) == setting
+
+
+def test_stored_tables_are_compressed_whatever_the_session_says(spark, tmp_path):
+    spark.conf.set("spark.sql.parquet.compression.codec", "uncompressed")
+    try:
+        write_table(spark.range(10), str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.parquet.compression.codec")
+    assert all(".zstd." in p.name for p in (tmp_path / "t").glob("*.parquet")) and list((tmp_path / "t").glob("*.parquet"))
+
+
+def small_tables(spark, target):
+    for name, prefix in (("customer", "CUST"), ("product", "PROD"), ("location", "LOC")):
+        found = spark.createDataFrame([(n, f"{prefix}{n}") for n in range(1, 4)], f"{name}_key long, {name}_id string")
+        write_table(found, f"{target}/{name}_dim")
+    write_table(spark.createDataFrame([(20240105,), (20240206,)], "date_key int"), f"{target}/date_dim")
+    return {"customer": 3, "product": 3, "location": 3, "date": 2}
+
+
+def test_amounts_are_made_after_the_last_shuffle_of_a_load(spark, tmp_path, monkeypatch):
+    target, plans = str(tmp_path), []
+    sizes = small_tables(spark, target)
+    sales = [sale(i, customer_id=f"CUST{i % 4}", product_id=f"PROD{i % 3 + 1}", sale_date=("2024-01-05", "2024-02-06", "2024-03-07", "x")[i % 4],
+                  quantity=("2", "3.0", "many")[i % 3], discount_amount=(None, "1.00")[i % 2]) for i in range(48)]
+    raw_table(spark, "sales", sales).write.parquet(f"{target}/raw")
+    plain = pipeline.write_table
+    monkeypatch.setattr(pipeline, "write_table", lambda df, *a, **b: plans.append(plan_of(df)) or plain(df, *a, **b))
+    load = pipeline.load_fact(spark, spark.read.parquet(f"{target}/raw"), target, F.lit("2024-01-30 12:00:00").cast("timestamp"), sizes)
+    monkeypatch.undo()
+    below = plans[0][plans[0].index("RebalancePartitions"):]
+    made = set(re.findall(r"AS (\w+)#", below))
+    assert "month_key" in made and not made & {"gross_amount", "net_amount", "etl_inserted_date", "reject_reason", "status"}
+    stored = spark.read.schema(SALES_LINES).parquet(f"{target}/sales_lines")
+    assert stored.count() == 48 and load["fact"] + load["rejects"] == 48
+    good = {f"SALE{i}" for i in range(48) if i % 4 in (1,) and i % 3 != 2}
+    assert {r["sale_id"] for r in stored.where("status = 'accepted'").collect()} == good
+    assert rows(stored.where("status = 'accepted'").select("month_key", "customer_id", "sale_date", "reject_reason").distinct()) == [
+        (202402, None, None, None)]
+    bad = {r["sale_id"]: r for r in stored.where("status = 'rejected'").collect()}
+    assert bad["SALE3"]["sale_date"] == "x" and bad["SALE3"]["reject_reason"] == "date_key"
+    assert bad["SALE0"]["customer_id"] == "CUST0" and bad["SALE0"]["month_key"] == 0
+    assert bad["SALE5"]["reject_reason"] == "quantity,gross_amount,net_amount"
+    # a repeated line comes in once, the accepted one before a rejected one
+    again = [sale(7, quantity="many"), sale(7, sale_date="2024-02-06"), sale(99, sale_date="2024-02-06"), sale(99, sale_date="x")]
+    raw_table(spark, "sales", again).write.parquet(f"{target}/more")
+    added = pipeline.load_fact(spark, spark.read.parquet(f"{target}/more"), target, F.lit(None).cast("timestamp"), sizes, append=True)
+    assert (added["fact"], added["rejects"], added["months"]) == (2, 0, [202402])
