@@ -14,6 +14,9 @@ _TEXT_BYTES = 40
 HOT_SHARE = 0.01
 SALTS = 256
 _MAX_HOT = 100  # 1 / HOT_SHARE
+# Columns of few distinct values go to the rows as numbers, a short for each dense key, in blocks of so many keys.
+MOST_VALUES = 10_000
+KEY_BLOCK = 1024
 _SKETCH_ITEMS = 10_000
 
 
@@ -75,6 +78,60 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     return salted_join(left, right, key, how, hot, spread)
 
 
+def numbered_values(rows: DataFrame, columns: list[str], most: int = MOST_VALUES) -> DataFrame | None:
+    """The distinct values of some columns with a number, ``_code``, for each; None if they are more than ``most``."""
+    found = rows.select(*columns).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        return None
+    schema = T.StructType([T.StructField("_code", T.IntegerType()), *[T.StructField(f.name, f.dataType) for f in rows.select(*columns).schema]])
+    return rows.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(sorted(found, key=repr))], schema)
+
+
+def with_number(rows: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the number of their values, in place of the values."""
+    columns = [c for c in values.columns if c != "_code"]
+    known = F.broadcast(values.select(F.col("_code").alias(name), *[F.col(c).alias(f"_known_{c}") for c in columns]))
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_known_{c}"))
+    return rows.join(known, same).drop(*columns, *[f"_known_{c}" for c in columns])
+
+
+def with_values(rows: DataFrame, values: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the values of their number, in place of it."""
+    return rows.join(F.broadcast(values.withColumnRenamed("_code", name)), name).drop(name)
+
+
+def key_blocks(lookup: DataFrame, key: str, columns: list[str]) -> tuple[DataFrame, DataFrame] | None:
+    """A lookup table of dense whole keys as blocks of numbers, and the values of the numbers.
+
+    A key takes two bytes, so that a table too large to broadcast as rows may go to all tasks all the same.  None where the
+    columns have too many values, or keys repeat, are sparse or too many.
+    """
+    seen = lookup.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(key).alias("n"), F.count_distinct(key).alias("distinct")).first()
+    if not seen["n"] or seen["low"] < 0 or seen["n"] != seen["distinct"] or seen["high"] > 4 * seen["n"] or 2 * seen["high"] > BROADCAST_BYTES:
+        return None
+    values = numbered_values(lookup, columns)
+    if values is None:
+        return None
+    number = F.col("_number").cast("short")
+    block, place = F.floor(F.col(key) / KEY_BLOCK).alias("_block"), F.pmod(key, F.lit(KEY_BLOCK)).cast("int").alias("_place")
+    given = with_number(lookup.where(F.col(key).isNotNull()), values, "_number").select(block, place, number.alias("_number"))
+    # Every place of a block is there, whether it has a key or not.
+    places = lookup.sparkSession.range((seen["high"] // KEY_BLOCK + 1) * KEY_BLOCK).withColumnRenamed("id", key)
+    whole = given.unionByName(places.select(block, place, F.lit(None).cast("short").alias("_number"))).repartition("_block")
+    listed = whole.groupBy("_block", "_place").agg(F.max("_number").alias("_number")).groupBy("_block").agg(
+        F.sort_array(F.collect_list(F.struct("_place", "_number")))["_number"].alias("_numbers"))
+    return listed, values
+
+
+def block_join(left: DataFrame, blocks: DataFrame, key: str, name: str) -> DataFrame:
+    """``left`` with the number of its key; rows whose key is not in the blocks go, as in an inner join."""
+    left = left.withColumn("_block", F.floor(F.col(key) / KEY_BLOCK)).join(F.broadcast(blocks), "_block")
+    number = F.get("_numbers", F.pmod(key, F.lit(KEY_BLOCK)).cast("int")).cast("int")
+    return left.withColumn(name, number).drop("_block", "_numbers").where(F.col(name).isNotNull())
+
+
 def count_orphans(fact: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """One row: how many fact rows have a key (or a missing key) that the lookup lacks.
 

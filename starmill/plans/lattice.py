@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 
 from starmill.functions.cleaning import safe_ratio
 from starmill.operators import folders
-from starmill.operators.joins import lookup_join
+from starmill.operators.groups import group_by_month, near_by_month
+from starmill.operators.joins import lookup_join, numbered_values, with_number, with_values
 from starmill.operators.sinks import read_table, write_table
 from starmill.plans.aggregates import MONTHLY_KEYS
 from starmill.plans.summaries import APPLIED, GENERATION, MOST_LOADS, POSITIONS, SUMS, THROUGH
@@ -172,26 +173,73 @@ def _united(by: list[str], rows: DataFrame, *others: DataFrame) -> DataFrame:
     return rows.groupBy(*by).agg(*[F.first(c, ignorenulls=True).alias(c) for c in rows.columns if c not in by])
 
 
-def fold_state(rows: DataFrame, keys: list[str], sets: bool, lines: bool = False) -> DataFrame:
+def line_state(star: Star, source: Source, keys: list[str], sets: bool) -> DataFrame:
+    """Sums, and sets if wanted, of lines, by keys and attributes.
+
+    Where a dimension's attributes have few values, lines go by their number: no shuffle for the lookup, and no text in the
+    one that brings a group together.  With a month among the keys the groups lie by it.
+    """
+    rows, values, wanted = source.table, {}, {}
+    for c in keys:
+        if (key := source.key_of(c)) != c:
+            wanted.setdefault(key, []).append(c)
+    for key, names in wanted.items():
+        dim = key.removesuffix("_key")
+        if key in ("product_key", "location_key") and (coded := star.code(rows, dim, names, f"_{dim}")) is not None:
+            rows, values[f"_{dim}"] = coded
+        else:
+            rows = _with_columns(star, source, rows, names, False)
+    given = {c for known in values.values() for c in known.columns}
+    by = [*[c for c in keys if c not in given], *values, *(["bucket"] if sets else [])]
+    position, summed = F.col("positions")[0].alias("position"), [n for n in SUMS if n != "transactions"]
+    rows = rows.select(*by, *([position] if sets else []), *summed)
+    folded = _grouped(rows, by, F.count(F.lit(1)).alias("transactions"), *_sum(summed),
+                      *([F.collect_set("position").alias("positions")] if sets else []))
+    for name, known in values.items():
+        folded = with_values(folded, known, name)
+    return folded.select(*keys, *(["bucket"] if sets else []), *SUMS, *(["positions", F.lit(None).cast("binary").alias("bitmap")] if sets else []))
+
+
+def _grouped(rows: DataFrame, by: list[str], *aggregates: Column) -> DataFrame:
+    if _MONTH not in by:
+        return rows.groupBy(*by).agg(*aggregates)
+    others = [c for c in by if c != _MONTH]
+    return group_by_month(near_by_month(rows, [_MONTH], others), [_MONTH], others, *aggregates)
+
+
+def fold_state(rows: DataFrame, keys: list[str], sets: bool) -> DataFrame:
     """Sums, and sets if wanted, by coarser keys.  A set has 32,768 positions in a bucket at most, however many rows it comes from.
 
-    ``lines`` are rows with sets of one, which take one pass.
+    With a month among the keys the groups lie by it.
     """
+    text = [f.name for f in rows.select(*keys).schema if isinstance(f.dataType, T.StringType)]
+    values = numbered_values(rows, text) if text else None
+    if values is not None:
+        rows = with_number(rows, values, "_text")
+    columns, keys = keys, [*[k for k in keys if k not in text], "_text"] if values is not None else keys
+    folded = _folded(rows, keys, sets)
+    return (folded if values is None else with_values(folded, values, "_text")).select(
+        *columns, *(["bucket"] if sets else []), *SUMS, *(_SETS if sets else []))
+
+
+def _folded(rows: DataFrame, keys: list[str], sets: bool) -> DataFrame:
     if not sets:
-        return rows.groupBy(*keys).agg(*_sum(SUMS))
+        return _grouped(rows.select(*keys, *SUMS), keys, *_sum(SUMS))
     by = [*keys, "bucket"]
-    if lines:
-        ones = rows.groupBy(*by).agg(*_sum(SUMS), F.collect_set(F.col("positions")[0]).alias("positions"))
-        return ones.withColumn("bitmap", F.lit(None).cast("binary"))
     if rows.where("bitmap IS NOT NULL").isEmpty():  # one pass too: a row comes once for each position, its sums with the first
-        ones = rows.select(*by, *SUMS, F.posexplode_outer("positions").alias("at", "position"))
+        near, others = rows.select(*by, *SUMS, "positions"), [c for c in by if c != _MONTH]
+        if _MONTH in by:
+            near = near_by_month(near, [_MONTH], others)
+        ones = near.select(*[c for c in near.columns if c != "positions"], F.posexplode_outer("positions").alias("at", "position"))
         first = F.coalesce("at", F.lit(0)) == 0
         sums = [F.sum(F.when(first, F.col(n))).cast(_KINDS[n]).alias(n) for n in SUMS]
-        folded = ones.groupBy(*by).agg(*sums, F.collect_set("position").alias("positions"))
+        sums += [F.collect_set("position").alias("positions")]
+        folded = group_by_month(ones, [_MONTH], others, *sums) if _MONTH in by else ones.groupBy(*by).agg(*sums)
         return folded.withColumn("bitmap", F.lit(None).cast("binary"))
     positions = rows.select(*by, F.explode("positions").alias("position")).groupBy(*by).agg(F.collect_set("position").alias("positions"))
     bitmaps = rows.where("bitmap IS NOT NULL").groupBy(*by).agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
-    return _united(by, rows.groupBy(*by).agg(*_sum(SUMS)), positions, bitmaps)
+    united = _united(by, rows.groupBy(*by).agg(*_sum(SUMS)), positions, bitmaps)
+    return united.hint("rebalance", _MONTH) if _MONTH in by else united
 
 
 def large_as_bitmaps(state: DataFrame, keys: list[str]) -> DataFrame:
@@ -243,18 +291,20 @@ def _stored(spark: SparkSession, target: str, shape: Shape) -> Source:
 
 def _state(star: Star, source: Source, shape: Shape) -> DataFrame:
     keys = list(dict.fromkeys([*shape.grain, *([_MONTH] if _DAY in shape.grain else [])]))
-    lines = source.rows is None
-    return fold_state(_with_columns(star, source, source.table, keys, not lines), keys, shape.sets, lines)
+    if source.rows is None:
+        return line_state(star, source, keys, shape.sets)
+    return fold_state(_with_columns(star, source, source.table, keys, True), keys, shape.sets)
 
 
 def _write(state: DataFrame, path: str, shape: Shape, through: int) -> None:
-    """Write a state and its mark.  Only where a set is large is it read again, to make bitmaps."""
+    """Write a state, which lies by month, and its mark.  Only where a set is large is it read again, to make bitmaps."""
     spark, parts = state.sparkSession, [_MONTH] if {_DAY, _MONTH} & set(shape.grain) else None
     folders.remove(spark, path)
     if not shape.sets:
-        write_table(state, path, partition_by=parts, in_place=True)
+        write_table(state, path, partition_by=parts, in_place=True, gathered=True)
     else:
-        largest = write_table(state, f"{path}__sets", partition_by=parts, in_place=True, largest=F.max(F.size("positions")))["largest"]
+        largest = write_table(state, f"{path}__sets", partition_by=parts, in_place=True, gathered=True,
+                              largest=F.max(F.size("positions")))["largest"]
         if largest and largest > POSITIONS:
             sets = spark.read.schema(state.schema).parquet(f"{path}__sets")
             keys = [c for c in sets.columns if c not in (*SUMS, *_SETS, "bucket")]

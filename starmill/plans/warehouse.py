@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmill.operators.fact import ACCEPTED, REJECTED, SALES_LINES
 from starmill.operators.folders import settle
-from starmill.operators.joins import BROADCAST_ROWS, hot_keys, lookup_join
+from starmill.operators.joins import BROADCAST_ROWS, block_join, hot_keys, is_small, key_blocks, lookup_join, numbered_values, with_number
 from starmill.operators.sinks import read_table
 from starmill.schemas import CURATED
 
@@ -29,6 +29,7 @@ class Star:
     date: DataFrame
     rows: dict[str, int] = field(default_factory=dict)
     _hot: dict[str, list] = field(default_factory=dict, repr=False)
+    _coded: dict[tuple, tuple | None] = field(default_factory=dict, repr=False)
 
     def hot(self, key: str) -> list:
         """The fact's hot values of a key, looked for once per star."""
@@ -58,6 +59,30 @@ class Star:
         return lookup_join(left, lookup, key, how, spread="sale_key", right_rows=rows, hot=hot)
 
 
+    def code(self, rows: DataFrame, dim: str, columns: list[str], name: str) -> tuple[DataFrame, DataFrame] | None:
+        """Fact rows with a number, ``name``, for the values of a dimension's ``columns``, and the values of the numbers.
+
+        Rows without a member go, as in ``join``.  No shuffle, however large the dimension; None where its columns have too
+        many distinct values for that, and ``join`` is to be used.
+        """
+        key = f"{dim}_key"
+        lookup = getattr(self, dim).select(key, *columns)
+        if (dim, *columns) not in self._coded:
+            count = self.rows[dim] if self.rows.get(dim) is not None else lookup.count()
+            if is_small(lookup.schema, count, BROADCAST_ROWS):
+                values = numbered_values(lookup, columns)
+                found = None if values is None else (None, values)
+            else:
+                found = key_blocks(lookup, key, columns)
+            self._coded[(dim, *columns)] = found
+        if (found := self._coded[(dim, *columns)]) is None:
+            return None
+        blocks, values = found
+        if blocks is not None:
+            return block_join(rows, blocks, key, name), values
+        return rows.join(F.broadcast(with_number(lookup, values, name)), key), values
+
+
 def read_sales_lines(spark: SparkSession, root: str) -> DataFrame:
     """Accepted and rejected sales lines, told apart by ``status``."""
     return spark.read.schema(SALES_LINES).parquet(settle(spark, f"{root}/{SALES_FOLDER}"))
