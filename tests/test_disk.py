@@ -2,15 +2,18 @@
 
 import re
 from concurrent.futures import ThreadPoolExecutor
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import raw_table, rows, sale
-from starmill.operators.sinks import compact_sorted, export_csv, replace_partitions, write_table
+from starmill import queries
 from starmill.operators.fact import SALES_LINES
-from starmill.plans import pipeline
+from starmill.operators.sinks import compact_sorted, export_csv, replace_partitions, write_table
+from starmill.plans import aggregates, pipeline, summaries
 from starmill.session import TIDY, tidy
+from test_shuffles import small_star
 
 
 def shuffle_files(spark) -> set[str]:
@@ -95,3 +98,30 @@ def test_amounts_are_made_after_the_last_shuffle_of_a_load(spark, tmp_path, monk
     raw_table(spark, "sales", again).write.parquet(f"{target}/more")
     added = pipeline.load_fact(spark, spark.read.parquet(f"{target}/more"), target, F.lit(None).cast("timestamp"), sizes, append=True)
     assert (added["fact"], added["rejects"], added["months"]) == (2, 0, [202402])
+
+
+def test_exported_text_may_be_compressed(spark, tmp_path, monkeypatch):
+    data = spark.createDataFrame([(1, 'a "b", c'), (2, None)], "n int, t string")
+    export_csv(data, str(tmp_path / "plain"))
+    export_csv(data, str(tmp_path / "small"), compression="gzip")
+    assert list((tmp_path / "small").glob("*.csv.gz")) and not list((tmp_path / "plain").glob("*.gz"))
+    back = spark.read.schema("n int, t string").option("header", True).option("escape", '"')
+    assert rows(back.csv(str(tmp_path / "small"))) == rows(back.csv(str(tmp_path / "plain"))) == rows(data)
+    asked = []
+    monkeypatch.setattr(queries.sinks, "export_csv", lambda df, path, compression="none": asked.append(compression) or export_csv(df, path, compression))
+    w = SimpleNamespace(spark=spark, new_folder=lambda name: str(tmp_path / name), star=small_star(spark))
+    monkeypatch.setattr(queries, "CURATED", {t: df.schema for t, df in w.star.tables().items()})
+    assert queries.curated_roundtrip(w).count() == sum(df.count() for df in w.star.tables().values())
+    assert set(asked) == {"gzip"} and len(asked) == 5
+
+
+def test_the_state_of_a_load_is_written_where_its_groups_were_made(spark, tmp_path, monkeypatch):
+    star, plain, plans = small_star(spark), summaries.write_table, []
+    monkeypatch.setattr(summaries, "write_table", lambda df, path, *a, **b: plans.append((path, b.get("gathered"))) or plain(df, path, *a, **b))
+    first = star.fact.where("sale_key < 300")
+    summaries.replace_state(summaries.monthly_state(star, first), str(tmp_path / "s"), 299, gathered=True)
+    summaries.extend_state(star, star.fact, str(tmp_path / "s"), 599)
+    assert [g for _, g in plans] == [True, True]
+    found = summaries.monthly_view(summaries.read_state(spark, str(tmp_path / "s")).drop("from"))
+    want = aggregates.monthly_sales(star)
+    assert rows(found.select(*want.columns)) == rows(want)
